@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20
     if not batch.num_rows:
         return
     col = batch.column(batch.schema.get_field_index(column))
-    sizes = np.asarray(pa.compute.binary_length(col).fill_null(0)).astype(np.int64)
+    sizes = np.asarray(pc.binary_length(col).fill_null(0)).astype(np.int64)
     start, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + n > most:
