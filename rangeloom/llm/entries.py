@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangeloom.llm import packing, simhash
+from rangeloom.llm import packing, simhash, token_store
 from rangeloom.llm.common import read_table
 
 
@@ -14,12 +14,16 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store(read_table(spark, sf_dir, "documents"), end_id=0)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), capacity=1024)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash_near_dedup, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op2_simhash_near_dedup, op4_token_store, op9_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
