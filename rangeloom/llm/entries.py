@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangeloom.llm import packing, simhash, token_store
+from rangeloom.llm import packing, simhash, token_count, token_store
 from rangeloom.llm.common import read_table
 
 
@@ -22,8 +22,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), capacity=1024)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash_near_dedup, op4_token_store, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op2_simhash_near_dedup, op4_token_store, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
