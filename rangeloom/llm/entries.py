@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangeloom.llm import packing, simhash, token_count, token_store
+from rangeloom.llm import bpe, packing, simhash, token_count, token_store
 from rangeloom.llm.common import read_table
 
 
@@ -18,6 +18,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(read_table(spark, sf_dir, "documents"), end_id=0)
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(read_table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), capacity=1024)
 
@@ -27,7 +31,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash_near_dedup, op4_token_store, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op2_simhash_near_dedup, op4_token_store, op7_byte_bpe, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
