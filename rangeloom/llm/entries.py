@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangeloom.llm import bpe, packing, simhash, token_count, token_store
+from rangeloom.llm import bpe, media, packing, simhash, token_count, token_store
 from rangeloom.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(read_table(spark, sf_dir, "documents"), end_id=0)
 
@@ -31,7 +35,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash_near_dedup, op4_token_store, op7_byte_bpe, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op2_simhash_near_dedup, op3_media_columns, op4_token_store, op7_byte_bpe, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
