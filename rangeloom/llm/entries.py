@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeloom.llm import bpe, media, packing, simhash, suffix_dedup, token_count, token_store
+from rangeloom.llm import bpe, classifier, media, packing, simhash, suffix_dedup, token_count, token_store
 from rangeloom.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(read_table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), capacity=1024)
 
@@ -41,7 +45,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_dedup, op3_media_columns, op4_token_store, op7_byte_bpe, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_dedup, op3_media_columns, op4_token_store, op7_byte_bpe, op8_quality_classifier, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
