@@ -1,0 +1,70 @@
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rangeloom.llm import pii
+
+TEXT = (
+    "Write to jan.07@mail3.example.com or JAN.07@MAIL3.EXAMPLE.COM, call +1 (663) 555-6869 or +1 663 555 6869; host 188.54.39.104. "
+    'Card 4539 1488 0343 6467, not 4757965300669738. token = "7c72db563d7f6e50cec00950f7bab1f2223b6afd" and 123-45-6789, '
+    "IBAN DE89 3704 0044 0532 0130 00. Mrs. Anna Müller met Herr Otto Schmidt and Mrs. Anna Müller. Version 4.0.1, 1999-2004, 300.1.2.3."
+)
+
+
+def test_kinds_and_formats():
+    got = [(k, TEXT[a:z]) for a, z, k in pii.entities(TEXT)]
+    assert Counter(k for k, _ in got) == {"email": 2, "phone": 2, "ip": 1, "card": 1, "secret": 1, "national": 1, "iban": 1, "person": 3}
+    for kind, found in got:
+        new = pii.surrogate(b"k", kind, found)
+        assert new.lower() != found.lower() and pii.valid(kind, new)
+        if kind != "person" and kind != "ip":
+            assert [c.isdigit() for c in new] == [c.isdigit() for c in found] or kind in ("secret", "hex")
+            assert len(new) == len(found)
+        assert [x[2] for x in pii.entities(f"Mrs. {new} " if kind == "person" else f'token = "{new}"' if kind == "secret" else f" {new} ")] == [kind]
+
+
+def test_mentions_of_an_entity_share_a_surrogate():
+    a, b = "jan.07@mail3.example.com", "JAN.07@MAIL3.EXAMPLE.COM"
+    assert pii.surrogate(b"k", "email", a).upper() == pii.surrogate(b"k", "email", b)
+    assert pii.only_digits(pii.surrogate(b"k", "phone", "+1 (663) 555-6869")) == pii.only_digits(pii.surrogate(b"k", "phone", "+1 663 555 6869"))
+    assert pii.surrogate(b"k", "email", a) != pii.surrogate(b"other", "email", a)
+
+
+def test_given_names_keep_their_gender():
+    for names in (pii.WOMEN, pii.MEN):
+        new = [pii.surrogate(b"k", "person", f"{n} Young").split()[0] for n in names]
+        assert sorted(new) == sorted(names)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(2, 300), st.text(max_size=5))
+def test_permutations(size, tweak):
+    assert sorted(pii.permuted(b"k", tweak, i, size) for i in range(size)) == list(range(size))
+
+
+def test_all_of_a_format_stay_distinct():
+    new = {pii.same_pattern(b"k", "t", f"{a}{b}.{d}") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz" for d in "0123456789"}
+    assert len(new) == 6760
+
+
+def test_tables(spark, edge, nothing, sample):
+    assert pii.checked(nothing).count() == 0
+    got = Counter((r.doc_id, r.text, r.n_entities) for r in pii.checked(edge).collect())
+    assert got == Counter((r.doc_id, r.text, 0) for r in edge.collect())
+    docs = spark.createDataFrame([(1, TEXT), (1, TEXT), (None, TEXT), (2, None), (3, ""), (4, "clean text")], "doc_id long, text string")
+    rows = pii.checked(docs).collect()
+    new = {r.text for r in rows if r.n_entities}
+    assert len(new) == 1 and len(rows) == 6
+    for a, z, k in pii.entities(TEXT):
+        if k != "person":
+            assert TEXT[a:z] not in new.copy().pop()
+    before = {r.doc_id: r.text for r in sample.collect()}
+    for r in pii.checked(sample).collect():
+        spans = pii.entities(before[r.doc_id])
+        assert len(spans) == r.n_entities
+        if not spans:
+            assert r.text == before[r.doc_id]
+        for a, z, _ in spans:
+            assert before[r.doc_id][a:z] not in r.text
+    assert sum(r.n_entities for r in pii.replace(sample).collect()) > 0
