@@ -18,6 +18,11 @@ def make_folder(uri: str) -> None:
     where.create_dir(path, recursive=True)
 
 
+def remove_folder(uri: str) -> None:
+    where, path = _split(uri)
+    where.delete_dir(path)
+
+
 @contextmanager
 def written_whole(uri: str) -> Iterator:
     """A stream to a file that appears under its name only when complete: a task that is run again replaces it."""

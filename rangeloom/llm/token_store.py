@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from rangeloom.llm.common import cut, flat_bytes, mix, new_folder, shuffle_partitions, sub_batches, table, texts
-from rangeloom.llm.files import make_folder, opened, written_whole
+from rangeloom.llm.files import make_folder, opened, remove_folder, written_whole
 from rangeloom.llm.tokens import encode_column, encoder_path, hub_encoder
 
 #: A cut falls where the rolling hash of WINDOW ids has CUT_BITS zero bits, at least LEAST and at most MOST ids apart.
 WINDOW, CUT_BITS, LEAST, MOST = 16, 9, 64, 4096
 
-CHUNKS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("seq", pa.int32()), ("after", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("payload", pa.binary())])
-CHUNKS_DDL = "doc_id long, row long, seq int, after long, n long, digest binary, payload binary"
+CHUNKS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("seq", pa.int32()), ("after", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("pack", pa.int32()), ("offset", pa.int64()), ("size", pa.int32())])
+CHUNKS_DDL = "doc_id long, row long, seq int, after long, n long, digest binary, pack int, offset long, size int"
 
 
 def chunk_ends(ids: np.ndarray) -> list[int]:
@@ -59,8 +59,9 @@ def chunk_ends(ids: np.ndarray) -> list[int]:
     return [*found, n]
 
 
-def chunks(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
-    """A row for each chunk of each document; a partition gives a chunk's bytes once."""
+def chunks(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
+    """A row for each chunk of each document. Each partition writes its distinct chunks to a draft pack as it goes; the
+    first row of a chunk has its place there."""
     path = tokenizer or encoder_path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,51 +72,71 @@ def chunks(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) -> Da
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         pack = zstandard.ZstdCompressor(level=3)
         seen: set[bytes] = set()
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for b in sub_batches(batch):
-                ids, offsets = encode_column(encoder, *flat_bytes(b.column(1)))
-                rows = []
-                for doc, a, z in zip(b.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    own = np.append(ids[a:z], np.int32(end_id))
-                    last, row = 0, row + 1
-                    for k, end in enumerate(chunk_ends(own)):
-                        raw = bytes([width]) + own[last:end].astype(f"<u{width}").tobytes()
-                        digest = hashlib.blake2b(raw, digest_size=20).digest()
-                        rows.append((doc, row, k, len(own) - end, end - last, digest, None if digest in seen else pack.compress(raw)))
-                        if len(seen) > 1 << 20:
-                            seen.clear()  # only repeats more bytes; the writer keeps one copy
-                        seen.add(digest)
-                        last = end
-                yield table(CHUNKS, **dict(zip(CHUNKS.names, zip(*rows, strict=True), strict=True)))
-
+        part = TaskContext.get().partitionId()
+        row, at = part << 40, 0
+        with written_whole(_draft(folder, part)) as out:
+            for batch in batches:
+                for b in sub_batches(batch):
+                    ids, offsets = encode_column(encoder, *flat_bytes(b.column(1)))
+                    rows = []
+                    for doc, a, z in zip(b.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                        own = np.append(ids[a:z], np.int32(end_id))
+                        last, row = 0, row + 1
+                        for k, end in enumerate(chunk_ends(own)):
+                            raw = bytes([width]) + own[last:end].astype(f"<u{width}").tobytes()
+                            digest = hashlib.blake2b(raw, digest_size=20).digest()
+                            place = (None, None)
+                            if digest not in seen:
+                                if len(seen) > 1 << 20:
+                                    seen.clear()  # a chunk may stand twice in a draft; one place is chosen
+                                seen.add(digest)
+                                data = pack.compress(raw)
+                                out.write(data)
+                                place = (at, len(data))
+                                at += len(data)
+                            rows.append((doc, row, k, len(own) - end, end - last, digest, part, *place))
+                            last = end
+                    yield table(CHUNKS, **dict(zip(CHUNKS.names, zip(*rows, strict=True), strict=True)))
+
+    make_folder(f"{folder}/drafts")
     return texts(docs).mapInArrow(run, CHUNKS_DDL)
 
 
+def _draft(folder: str, part: int) -> str:
+    return f"{folder}/drafts/{part:06d}.pack"
+
+
 def write_packs(found: DataFrame, folder: str) -> DataFrame:
-    """digest, pack, offset, size of every unique chunk, after its bytes were written."""
+    """digest, pack, offset, size of every unique chunk, after its bytes were copied from the draft chosen for it."""
     schema = pa.schema([("digest", pa.binary()), ("pack", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        name = f"{folder}/packs/{TaskContext.get().partitionId():06d}.pack"
-        last, at = None, 0
-        with written_whole(name) as out:
-            for b in batches:
-                rows = []
-                for digest, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    if digest != last:  # sorted: copies from several partitions are neighbours
-                        out.write(payload)
-                        rows.append((digest, name, at, len(payload)))
-                        last, at = digest, at + len(payload)
-                if rows:
-                    yield table(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
+        part, places = None, []
+        for b in batches:
+            for r in b.to_pylist():
+                if r["pack"] != part and places:
+                    yield copied(part, places)
+                    places = []
+                part = r["pack"]
+                places.append((r["digest"], r["offset"], r["size"]))
+        if places:
+            yield copied(part, places)
+
+    def copied(part: int, places: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+        name, at, rows = f"{folder}/packs/{part:06d}.pack", 0, []
+        with opened(_draft(folder, part)) as f, written_whole(name) as out:
+            for digest, offset, size in places:
+                out.write(f.read_at(size, offset))
+                rows.append((digest, name, at, size))
+                at += size
+        return table(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
 
     make_folder(f"{folder}/packs")
-    n = shuffle_partitions(found.sparkSession)
-    kept = found.where("payload is not null").select("digest", "payload").repartition(n, "digest").sortWithinPartitions("digest")
-    return cut(kept.mapInArrow(run, "digest binary, pack string, offset long, size long"))
+    one = found.where("size is not null").groupBy("digest").agg(F.min(F.struct("pack", "offset", "size")).alias("x")).select("digest", "x.*")
+    one = one.repartition(shuffle_partitions(found.sparkSession), "pack").sortWithinPartitions("pack", "offset")
+    index = cut(one.mapInArrow(run, "digest binary, pack string, offset long, size long"))
+    remove_folder(f"{folder}/drafts")
+    return index
 
 
 def merkle_root(leaves: list[bytes]) -> bytes:
@@ -234,7 +255,7 @@ def store(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, folder
     """Writes the store for ``docs`` and reads every document back: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-store")
-    found = cut(chunks(docs, tokenizer, end_id))
+    found = cut(chunks(docs, folder, tokenizer, end_id))
     index = write_packs(found, folder)
     write_recipes(found, folder)
     return read_documents(spark, folder, index)

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from rangeloom.llm import token_store
-from rangeloom.llm.common import new_folder
+from rangeloom.llm.common import cut, new_folder
 
 
 def check(df):
@@ -38,14 +38,15 @@ def test_cuts_follow_content_and_copies_are_stored_once(spark):
     assert max(np.diff([0, *x])) <= token_store.MOST and min(np.diff([0, *x[:-1]])) >= token_store.LEAST
     text = " ".join(f"word{i}" for i in range(4000))
     df = spark.createDataFrame([(i, text) for i in range(20)], "doc_id long, text string").repartition(4)
-    found = token_store.chunks(df).cache()
-    index = token_store.write_packs(found, new_folder(spark, "t"))
+    folder = new_folder(spark, "t")
+    found = cut(token_store.chunks(df, folder))
+    index = token_store.write_packs(found, folder)
     assert index.count() == found.select("digest").distinct().count() < found.count() / 10
 
 
 def test_damage_is_found(spark, sample):
     folder = new_folder(spark, "t")
-    found = token_store.chunks(sample.limit(20)).cache()
+    found = cut(token_store.chunks(sample.limit(20), folder))
     index = token_store.write_packs(found, folder)
     token_store.write_recipes(found, folder)
     name = index.where("size > 20").first()["pack"].removeprefix("file://")
