@@ -180,19 +180,36 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dimensions: in
     return idf, space, unit(x @ space).astype(np.float32), y
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS) -> DataFrame:
+def _scores(model, texts_: pa.Array) -> np.ndarray:
+    idf, space, known, y = model
+    if known is None or y.min() == y.max():
+        return np.full(len(texts_), 0.5 if known is None else y[0])
+    return vote(unit(weighted(counts(*flat_bytes(texts_)), idf) @ space), known, y, NEIGHBOURS)
+
+
+def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample, dimensions))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, space, known, y = model.value
         for batch in batches:
             for b in _groups(batch):
-                if known is None or y.min() == y.max():
-                    score = np.full(b.num_rows, 0.5 if known is None else y[0])
-                else:
-                    score = vote(unit(weighted(counts(*flat_bytes(b.column(1))), idf) @ space), known, y, neighbours)
+                score = _scores(model.value, b.column(1))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = texts(docs).withColumn("held_out", remainder() == 1)
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -> DataFrame:
+    """The rows that classify predicts as 1, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample, dimensions))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                b = batch.slice(i, 512)
+                yield b.filter(pa.array(_scores(model.value, b.column(at).fill_null("")) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rangeloom.llm import bpe, classifier, media, packing, pii, quality_rules, simhash, suffix_dedup, token_count, token_store
 from rangeloom.llm.common import read_table
 
@@ -53,8 +54,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_dedup, op3_media_columns, op4_token_store, op5_pii_surrogates, op6_quality_rules, op7_byte_bpe, op8_quality_classifier, op9_best_fit_packing, op10_token_counts)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_dedup, op3_media_columns, op4_token_store, op5_pii_surrogates, op6_quality_rules, op7_byte_bpe, op8_quality_classifier, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -206,6 +206,16 @@ def surrogate(key: bytes, kind: str, found: str) -> str:
     return recased(found, same_pattern(key, kind, found.lower()))  # secrets keep their case pattern
 
 
+def rewritten(key: bytes, text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
+    if not spans:
+        return text
+    parts, at = [], 0
+    for a, z, kind in spans:
+        parts += [text[at:a], surrogate(key, kind, text[a:z])]
+        at = z
+    return "".join([*parts, text[at:]])
+
+
 REPLACED = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_entities", pa.int64()), ("kinds", pa.list_(pa.string()))])
 
 
@@ -226,13 +236,7 @@ def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         rows = []
         for doc, text in zip(ids, found, strict=True):
             spans = entities(text)
-            if spans:
-                parts, at = [], 0
-                for a, z, kind in spans:
-                    parts += [text[at:a], surrogate(key, kind, text[a:z])]
-                    at = z
-                text = "".join([*parts, text[at:]])
-            rows.append((doc, text, len(spans), sorted({k for _, _, k in spans})))
+            rows.append((doc, rewritten(key, text, spans), len(spans), sorted({k for _, _, k in spans})))
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), REPLACED, strict=True)], schema=REPLACED)
 
     return docs.select("doc_id", "text").mapInArrow(_over_texts(out), "doc_id long, text string, n_entities long, kinds array<string>")
@@ -270,3 +274,17 @@ def checked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     if not collisions(docs, key).isEmpty():
         raise ValueError("surrogates collide")
     return replace(docs, key)
+
+
+def replaced_in_place(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+    """docs with all its columns, the text with surrogates; after collisions() was found empty."""
+    if not collisions(docs, key).isEmpty():
+        raise ValueError("surrogates collide")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new = [rewritten(key, t, entities(t)) for t in b.column(at).to_pylist()]
+            yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)

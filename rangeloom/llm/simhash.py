@@ -48,14 +48,14 @@ def fingerprint(text: str, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and fp (signed long) of every row."""
+    """doc_id, k2 (hash of the text) and fp (signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = pa.array([fingerprint(t, words) for t in b.column(1).to_pylist()], type=pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), fp], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), fp], names=["doc_id", "k2", "fp"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2")).mapInArrow(run, "doc_id long, k2 long, fp long")
 
 
 def _ring(distance: int) -> list[tuple[int, int]]:
@@ -99,11 +99,23 @@ def links(nodes: DataFrame, distance: int = 4) -> DataFrame:
     return index.join(query, (index.key == query.key) & ok).select("a", "b").distinct()
 
 
+def grouped(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
+    """doc_id, k2, fp and root (a fingerprint that names the component) of every row."""
+    own = cut(fingerprints(docs, words))
+    roots = connected(links(own.select("fp").distinct(), distance))
+    return own.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "k2", "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (least doc_id that links reach) of every row."""
-    own = cut(fingerprints(docs, words))
-    nodes = own.select("fp").distinct()
-    roots = connected(links(nodes, distance))
-    own = own.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
+    own = grouped(docs, words, distance)
     least = own.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return own.join(least, "root").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each component with all its columns: the least doc_id (a row without id only if no other has one)."""
+    least = grouped(docs, words, distance).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(-1)).alias("k1"), "k2")).alias("x"))
+    kept = least.select("x.nameless", "x.k1", "x.k2")
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(-1)).alias("k1"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2"))
+    return keyed.join(kept, ["nameless", "k1", "k2"]).dropDuplicates(["nameless", "k1", "k2"]).select("row.*")
