@@ -1,10 +1,546 @@
-"""Every registered query and its SQL."""
+"""Every registered query over the given tables and, where SQL can express it, the SQL that must give the same rows."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rangeloom.functions import encoding, evm, ranges
+from rangeloom.operators import analytics, joins, kv, ledger, merge, partition, reorg
+from rangeloom.sinks import jdbc, lake
+from rangeloom.sources import chain, datasets, labels
+from rangeloom.sources.chain import read
+from rangeloom.streaming import continuous
+
 QUERIES: dict = {}
 ORACLE: dict = {}
 
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL if it has one."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder that driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = f"file://{tempfile.mkdtemp(prefix='spark-shared-', dir='/tmp')}"
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+# --- scans, projections, partitions -------------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey >= 1000 AND l_orderkey < 5000")
+def block_range_filter(spark, d):
+    return partition.in_range(read(spark, d, "lineitem"), "l_orderkey", 1000, 5000).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey >= (SELECT greatest(0, max(o_orderkey) - 1000) FROM orders)")
+def recent_blocks(spark, d):
+    return partition.recent_blocks(read(spark, d, "orders"), "o_orderkey", 1000).select("o_orderkey", "o_custkey")
+
+
+@query("SELECT l_orderkey, count(*) AS tx_count FROM lineitem GROUP BY l_orderkey")
+def tx_per_block(spark, d):
+    return analytics.tx_per_block(read(spark, d, "lineitem"), "l_orderkey")
+
+
+@query(
+    "WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) + 1 AS hi FROM orders), s AS (SELECT lo, hi, (hi - lo + 15) // 16 AS step FROM b) "
+    "SELECT i AS part, lo + i * step AS start_block, least(lo + (i + 1) * step, hi) AS end_block FROM s, range(0, 16) t(i) WHERE lo + i * step < hi"
+)
+def block_partitions(spark, d):
+    bounds = read(spark, d, "orders").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return partition.block_partitions(spark, bounds[0], bounds[1] + 1, workers=16)
+
+
+@query(
+    "WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) + 1 AS hi FROM lineitem), s AS (SELECT lo, hi, (hi - lo + 7) // 8 AS step FROM b) "
+    "SELECT (l_orderkey - lo) // step AS part, count(*) AS row_count, min(l_orderkey) AS first_block, max(l_orderkey) AS last_block FROM lineitem, s GROUP BY 1"
+)
+def partitioned_load_stats(spark, d):
+    li = read(spark, d, "lineitem")
+    b = li.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    out = partition.partitioned_load(li.select("l_orderkey", "l_linenumber", "l_quantity"), "l_orderkey", "lineitem", b[0], b[1] + 1, scratch(spark, "load"), workers=8)
+    return out.select("part", F.col("rows").alias("row_count"), "first_block", "last_block")
+
+
+@query("SELECT min(o_orderkey) AS start_block, max(o_orderkey) AS current_block, count(*) AS \"rows\" FROM orders")
+def table_progress(spark, d):
+    return datasets.table_progress(read(spark, d, "orders"), "o_orderkey").select("start_block", "current_block", "rows")
+
+
+@query("SELECT count(*) AS \"rows\", 6 AS \"columns\", count(DISTINCT o_orderkey) AS \"keys\", count(*) = count(DISTINCT o_orderkey) AS is_unique FROM orders")
+def table_stats(spark, d):
+    o = read(spark, d, "orders")
+    return datasets.table_stats(o).select("columns").join(merge.distinct_check(o, "o_orderkey"))
+
+
+@query(
+    "SELECT o_orderkey AS block_num, c_custkey AS customer, c_mktsegment AS segment, CAST(round(o_totalprice * 100) AS BIGINT) AS cents "
+    "FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 200000"
+)
+def derived_dataset(spark, d):
+    sql = (
+        "SELECT o_orderkey AS block_num, c_custkey AS customer, c_mktsegment AS segment, CAST(round(o_totalprice * 100) AS BIGINT) AS cents "
+        "FROM shop.orders JOIN shop.customer ON o_custkey = c_custkey WHERE o_totalprice > 200000"
+    )
+    path = scratch(spark, "derived")
+    _, manifest = datasets.register_derived(spark, "large_orders", sql, {"shop": {"orders": read(spark, d, "orders"), "customer": read(spark, d, "customer")}}, path=path)
+    return datasets.read_dataset(spark, manifest, "large_orders", path)
+
+
+@query("SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_size > 10")
+def adhoc_select(spark, d):
+    return datasets.adhoc_select(read(spark, d, "part"), ["p_partkey", "p_name", "p_retailprice"], "p_size > 10", None)
+
+
+# --- joins --------------------------------------------------------------------------------------------------------
+
+_LABELS = "SELECT c_custkey, c_name, c_acctbal, CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey"
+
+
+def _nation_labels(spark, d):
+    return labels.as_labels(read(spark, d, "nation").select("n_nationkey", "n_name"))
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey < 20")
+def label_join(spark, d):
+    """A label set written as CSV and read back as text; customers of nations without a label drop."""
+    path = scratch(spark, "labels")
+    read(spark, d, "nation").where("n_nationkey < 20").select("n_nationkey", "n_name").write.option("header", True).csv(path)
+    rows = read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return joins.label_join(rows, labels.read_labels(spark, path), "n_nationkey", "c_nationkey")
+
+
+@query(
+    "SELECT n_name, c_mktsegment, count(*) AS row_count FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey "
+    "GROUP BY 1, 2 ORDER BY row_count DESC, n_name, c_mktsegment LIMIT 10"
+)
+def top_labels(spark, d):
+    c = read(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
+    rows = joins.enrich_inner(read(spark, d, "orders").select("o_custkey"), c, "o_custkey")
+    return analytics.top_labels(joins.label_join(rows, _nation_labels(spark, d), "n_nationkey", "c_nationkey"), ["n_name", "c_mktsegment"])
+
+
+@query("SELECT o_orderkey, o_custkey, c_mktsegment FROM orders JOIN customer ON unhex(printf('%040x', o_custkey)) = unhex(printf('%040x', c_custkey))")
+def hex_key_join(spark, d):
+    """Orders with the customer's address as hex text, labels with it as bytes."""
+    address = lambda c: F.concat(F.lit("0x"), F.lower(F.lpad(F.hex(c), 40, "0")))
+    rows = read(spark, d, "orders").select("o_orderkey", "o_custkey", address("o_custkey").alias("owner"))
+    sets = labels.as_labels(read(spark, d, "customer").select(address("c_custkey").alias("address"), "c_mktsegment"))
+    return joins.label_join(rows, sets, "address", "owner").drop("owner")
+
+
+@query("SELECT o_orderkey, o_custkey, c_name, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey")
+def enrich_inner(spark, d):
+    c = read(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+    return joins.enrich_inner(read(spark, d, "orders").select("o_orderkey", "o_custkey"), c, "o_custkey")
+
+
+@query(
+    "WITH h AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS n_errors FROM events WHERE event_type = 'error' GROUP BY 1) "
+    "SELECT event_id, event_type, n_errors FROM events LEFT JOIN h ON date_trunc('hour', ts) = hour"
+)
+def enrich_left_hourly(spark, d):
+    e = read(spark, d, "events")
+    hourly = e.where("event_type = 'error'").groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n_errors"))
+    return joins.enrich_left_hourly(e.select("event_id", "event_type", "ts"), hourly, "ts", "hour").select("event_id", "event_type", "n_errors")
+
+
+# --- batches and ranges in SQL ------------------------------------------------------------------------------------
+
+_BLOCKS = "blocks AS (SELECT event_id, user_id, value, ts, event_type AS network, event_id // 10 AS block_num, (event_id // 10) // 10 AS slot FROM events)"
+_BATCHES = f"WITH {_BLOCKS}, batches AS (SELECT network, slot, min(block_num) AS \"start\", max(block_num) AS \"end\", 'h' || network || min(block_num) AS hash FROM blocks GROUP BY 1, 2)"
+_IDS = (
+    ", ids AS (SELECT *, substr(sha256(network || ':' || \"start\" || ':' || \"end\" || ':' || hash || ':'), 1, 16) AS batch_id FROM batches)"
+)
+_PLACES = ", places AS (SELECT network, dense_rank() OVER (ORDER BY network) AS n FROM (SELECT DISTINCT network FROM batches))"
+_STREAM = (
+    _PLACES + ", two AS (SELECT network, slot, \"start\", \"end\", hash, 0 AS turn FROM batches UNION ALL "
+    "SELECT network, slot, greatest(\"start\" - 5, 0), \"end\", 'r' || network || greatest(\"start\" - 5, 0), 1 FROM batches WHERE slot % 7 = 3), "
+    "stream AS (SELECT two.*, (slot * 2 + turn) * 1000 + n AS _seq FROM two JOIN places USING (network)), "
+    "seen AS (SELECT *, lag(\"start\") OVER w AS p_start, lag(\"end\") OVER w AS p_end, lag(hash) OVER w AS p_hash FROM stream WINDOW w AS (PARTITION BY network ORDER BY _seq)), "
+    "voids AS (SELECT _seq, network, \"start\", greatest(\"end\", p_end) AS \"end\" FROM seen WHERE (\"start\", \"end\", hash) IS DISTINCT FROM (p_start, p_end, p_hash) AND \"start\" <= p_end)"
+)
+
+
+@query(_BATCHES + _IDS + " SELECT network, \"start\", \"end\", batch_id FROM ids")
+def batch_ids(spark, d):
+    return reorg.range_ids(chain.batches(spark, d)).select("network", "start", "end", "batch_id")
+
+
+@query(_BATCHES + _IDS + " SELECT batch_id AS _batch_id, count(*) AS row_count FROM blocks JOIN ids USING (network, slot) GROUP BY 1")
+def rows_per_batch(spark, d):
+    return analytics.rows_per_batch(_identified(spark, d))
+
+
+def _identified(spark, d) -> DataFrame:
+    """Events with the id of their batch."""
+    b = chain.batches(spark, d).select("network", "slot", F.array(ranges.make_range("network", "start", "end", "hash", "prev_hash")).alias("_ranges"))
+    return reorg.add_batch_columns(chain.blocks(spark, d).join(b, ["network", "slot"])).drop("_ranges")
+
+
+@query(
+    _BATCHES + ", w AS (SELECT network, greatest(\"start\" - 3, 0) AS \"start\", \"end\" + 3 AS \"end\" FROM batches) "
+    "SELECT a.network, a.\"start\" AS a_start, a.\"end\" AS a_end, b.\"start\" AS b_start, b.\"end\" AS b_end FROM w a JOIN batches b ON a.network = b.network AND NOT (a.\"end\" < b.\"start\" OR b.\"end\" < a.\"start\")"
+)
+def range_overlap(spark, d):
+    b = chain.batches(spark, d)
+    wide = b.select("network", F.greatest(F.col("start") - 3, F.lit(0)).alias("start"), (F.col("end") + 3).alias("end"))
+    return reorg.range_overlaps(wide, b, 10)
+
+
+@query(
+    _BATCHES + " SELECT network, min(\"start\") AS \"start\", max(\"end\") AS \"end\", max_by(hash, \"end\") AS hash FROM batches GROUP BY network"
+)
+def merge_ranges(spark, d):
+    return reorg.merge_ranges(chain.batches(spark, d).withColumn("_seq", F.col("slot"))).drop("prev_hash")
+
+
+@query(
+    _BATCHES + _IDS + " SELECT network, \"start\", \"end\", hash, batch_id FROM (SELECT *, row_number() OVER (PARTITION BY network ORDER BY \"end\" DESC, \"start\" DESC) AS k FROM ids) WHERE k = 1"
+)
+def max_position(spark, d):
+    return ledger.max_position(reorg.range_ids(chain.batches(spark, d))).drop("prev_hash")
+
+
+_HOLED = " WHERE slot % 5 <> 4"
+_GAPS = (
+    _BATCHES + ", held AS (SELECT * FROM batches" + _HOLED + "), reach AS (SELECT *, max(\"end\") OVER (PARTITION BY network ORDER BY \"start\", \"end\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM held), "
+    "gaps AS (SELECT network, r + 1 AS gap_start, \"start\" - 1 AS gap_end FROM reach WHERE \"start\" > r + 1)"
+)
+
+
+def _held(spark, d):
+    return chain.batches(spark, d).where("slot % 5 <> 4")
+
+
+@query(_GAPS + " SELECT network, gap_start, gap_end FROM gaps ORDER BY network, gap_start")
+def detect_gaps(spark, d):
+    return ledger.detect_gaps(_held(spark, d)).orderBy("network", "gap_start")
+
+
+@query(_GAPS + " SELECT network, gap_start AS \"start\", gap_end AS \"end\", true AS is_gap FROM gaps UNION ALL SELECT network, max(\"end\") + 1, max(\"end\") + 1, false FROM held GROUP BY network")
+def resume_position(spark, d):
+    return ledger.resume_position(_held(spark, d), with_gaps=True)
+
+
+@query(
+    _GAPS + ", todo AS (SELECT network, gap_start AS a, gap_end + 1 AS z, 0 AS priority FROM gaps UNION ALL SELECT network, max(\"end\") + 1, 1000000, 1 FROM held GROUP BY network HAVING max(\"end\") + 1 < 1000000) "
+    "SELECT network, a + k * 5000 AS start_block, least(a + (k + 1) * 5000, z) AS end_block, priority FROM todo, range(0, 201) t(k) WHERE a + k * 5000 < z"
+)
+def resume_plan(spark, d):
+    return ledger.resume_plan(_held(spark, d), 1_000_000, size=5000)
+
+
+@query(_BATCHES + _STREAM + " SELECT _seq, network, \"start\", \"end\" FROM voids")
+def detect_reorgs(spark, d):
+    return reorg.detect_reorgs(chain.stream(spark, d))
+
+
+@query(_BATCHES + _PLACES + " SELECT (slot * 2 + 1) * 1000 + n AS _seq FROM batches JOIN places USING (network) WHERE slot % 7 = 3")
+def detect_duplicates(spark, d):
+    return reorg.detect_duplicates(chain.stream(spark, d, "repeat"))
+
+
+def _stream_batches(spark, d) -> DataFrame:
+    r = ranges.make_range("network", "start", "end", "hash", "prev_hash")
+    return chain.stream(spark, d).select("_seq", F.array(r).alias("_ranges"), F.lit(True).alias("_ranges_complete"), F.lit(False).alias("_notice"))
+
+
+def _stream_rows(spark, d) -> DataFrame:
+    """The rows that each batch of the stream delivers: those of its network and blocks."""
+    s = chain.stream(spark, d).select("_seq", "network", "start", "end", F.explode(F.sequence(F.expr("start div 10"), F.expr("end div 10"))).alias("slot"))
+    rows = chain.blocks(spark, d).join(s, ["network", "slot"]).where("block_num BETWEEN start AND end")
+    return rows.select("_seq", "network", "event_id", "user_id", "block_num", "value")
+
+
+_PUBLISHED = ", published AS (SELECT s.* FROM stream s WHERE NOT EXISTS (SELECT 1 FROM voids v WHERE v.network = s.network AND v._seq > s._seq AND v.\"start\" <= s.\"end\"))"
+_CURRENT = _PUBLISHED + ", current_rows AS (SELECT p._seq, p.network, b.event_id, b.user_id, b.block_num, b.value FROM published p JOIN blocks b ON b.network = p.network AND b.block_num BETWEEN p.\"start\" AND p.\"end\")"
+_REPLAY = _BATCHES + _STREAM + _CURRENT + " SELECT network, _seq, count(*) AS row_count, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM current_rows GROUP BY 1, 2"
+
+
+def _by_batch(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("network", "_seq").agg(F.count("*").alias("row_count"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
+
+
+@query(_REPLAY)
+def replay_with_reorgs(spark, d):
+    return _by_batch(reorg.current_rows(_stream_rows(spark, d), _stream_batches(spark, d)))
+
+
+@query(_BATCHES + " SELECT network, \"start\", \"end\" FROM batches WHERE NOT (network = 'click' AND \"end\" >= 200)")
+def invalidate_from_block(spark, d):
+    return ledger.invalidate_from(chain.batches(spark, d), "click", 200)[0].select("network", "start", "end")
+
+
+@query(_BATCHES + " SELECT b.event_id, b.network, b.block_num FROM blocks b ANTI JOIN (SELECT network, slot FROM batches WHERE network = 'click' AND \"end\" >= 205) x USING (network, slot)")
+def apply_reorg(spark, d):
+    rows, _ = reorg.apply_reorg(_identified(spark, d), reorg.range_ids(chain.batches(spark, d)), "click", 205)
+    return rows.select("event_id", "network", "block_num")
+
+
+@query(
+    _BATCHES + _STREAM + ", hit AS (SELECT s._seq, min(v._seq) AS by_seq FROM stream s JOIN voids v ON v.network = s.network AND v._seq > s._seq AND v.\"start\" <= s.\"end\" GROUP BY 1) "
+    "SELECT s.network, b.event_id, s._seq, hit.by_seq IS NULL AS _is_current, CAST(hit.by_seq AS VARCHAR) AS _reorg_batch_id FROM stream s JOIN blocks b ON b.network = s.network AND b.block_num BETWEEN s.\"start\" AND s.\"end\" LEFT JOIN hit USING (_seq)"
+)
+def superseded_history(spark, d):
+    """History of the stream's rows: what was voided, and by which batch first."""
+    s = reorg.range_ids(chain.stream(spark, d))
+    voids = reorg.detect_reorgs(s).select(F.col("_seq").alias("by_seq"), "network", F.col("start").alias("void"))
+    # a copy reaches back five blocks, so what it voids lies in its own slot or the one before; both are met by slot
+    near = voids.join(s.select(F.col("_seq").alias("by_seq"), "slot"), "by_seq").select("by_seq", "network", "void", F.explode(F.array(F.col("slot"), F.col("slot") - 1)).alias("slot"))
+    hit = s.join(near, ["network", "slot"]).where("by_seq > _seq AND void <= end").groupBy(F.concat_ws("-", "batch_id", "_seq").alias("batch_id")).agg(F.min("by_seq").cast("string").alias("by_seq"))
+    rows = _stream_rows(spark, d).join(s.select("_seq", F.concat_ws("-", "batch_id", "_seq").alias("_batch_id")), "_seq").withColumn("_is_current", F.lit(True)).withColumn("_reorg_batch_id", F.lit(None).cast("string"))
+    _, history = reorg.history_views(reorg.mark_superseded(rows, hit, "by_seq"), "stream_rows")
+    return history.select("network", "event_id", "_seq", "_is_current", "_reorg_batch_id")
+
+
+@query(_BATCHES + " SELECT network, \"start\", \"end\" FROM batches WHERE network <> 'view' OR \"end\" >= 300")
+def cleanup_before(spark, d):
+    return ledger.cleanup_before(chain.batches(spark, d), "view", 300).select("network", "start", "end")
+
+
+@query(_BATCHES + " SELECT b.event_id, b.network, b.block_num FROM blocks b WHERE NOT EXISTS (SELECT 1 FROM batches x WHERE x.network = b.network AND x.slot = b.slot AND x.slot % 2 = 0)")
+def unprocessed_batches(spark, d):
+    known = reorg.range_ids(chain.batches(spark, d).where("slot % 2 = 0")).select("batch_id")
+    return ledger.unprocessed_batches(_identified(spark, d), known).select("event_id", "network", "block_num")
+
+
+@query(_BATCHES + _IDS + " SELECT network, \"start\", \"end\", batch_id FROM ids WHERE slot % 2 = 0 OR slot % 3 = 0")
+def mark_processed(spark, d):
+    b = reorg.range_ids(chain.batches(spark, d)).select("network", "start", "end", "batch_id", "slot")
+    marked = ledger.mark_processed(b.where("slot % 2 = 0"), b.withColumn("_ranges_complete", F.col("slot") % 3 == 0))
+    return marked.drop("slot")
+
+
+# --- changing tables ----------------------------------------------------------------------------------------------
+
+
+def _slices(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Orders in two slices that share keys; the second changes what it repeats."""
+    o = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return o.where("o_orderkey % 3 <> 0"), o.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("X"))
+
+
+_SLICES = "WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders), a AS (SELECT * FROM o WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus FROM o WHERE o_orderkey % 2 = 0)"
+
+
+@query(_SLICES + " SELECT * FROM a UNION ALL SELECT * FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)")
+def insert_if_absent(spark, d):
+    return merge.insert_if_absent(*_slices(spark, d), ["o_orderkey"], ["o_custkey"])[0]
+
+
+@query(_SLICES + " SELECT o_orderkey, o_custkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY k DESC) AS n FROM (SELECT *, 0 AS k FROM a UNION ALL SELECT *, 1 FROM b)) WHERE n = 1")
+def upsert(spark, d):
+    """Through a lake table: first slice written, second upserted, read back."""
+    first, second = _slices(spark, d)
+    table = lake.LakeTable(spark, scratch(spark, "orders"))
+    table.write(first)
+    table.write(second, "upsert", keys=["o_orderkey"], order=["o_custkey"])
+    return table.read()
+
+
+@query("SELECT o_orderkey, o_custkey, NULL AS priority FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderkey % 2 = 1")
+def evolve_schema(spark, d):
+    o = read(spark, d, "orders")
+    return merge.evolve_schema(o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey"), o.where("o_orderkey % 2 = 1").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority")))
+
+
+# --- owners, logs -------------------------------------------------------------------------------------------------
+
+_LATEST = "latest AS (SELECT l_partkey, l_suppkey FROM (SELECT l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) AS n FROM lineitem) WHERE n = 1)"
+
+
+def _latest(spark, d):
+    return analytics.latest_by(read(spark, d, "lineitem"), "l_partkey", "l_suppkey", ["l_orderkey", "l_linenumber", "l_suppkey"])
+
+
+@query(f"WITH {_LATEST} SELECT l_partkey, l_suppkey FROM latest")
+def latest_owner(spark, d):
+    return _latest(spark, d)
+
+
+@query(f"WITH {_LATEST} SELECT l_suppkey, array_to_string(list_sort(list(l_partkey)), ',') AS tokens, count(*) AS token_count FROM latest GROUP BY 1")
+def owner_holdings(spark, d):
+    out = analytics.owner_holdings(_latest(spark, d), "l_partkey", "l_suppkey")
+    return out.withColumn("tokens", F.array_join(F.col("tokens").cast("array<string>"), ","))
+
+
+@query("SELECT l_orderkey AS block_num, l_linenumber AS log_index, l_partkey AS from_id, l_suppkey AS to_id, CAST(l_quantity AS BIGINT) AS amount FROM lineitem")
+def decode_events(spark, d):
+    logs = chain.logs(spark, d).where((F.col("topic0") == evm.event_topic(chain.TRANSFER)) & F.col("topic3").isNull())
+    dec = evm.decode_event(chain.TRANSFER, F.col("topic1"), F.col("topic2"), F.col("topic3"), F.col("data"))
+    number = lambda c: F.conv(F.hex(c), 16, 10).cast("long")
+    return logs.select("block_num", "log_index", dec.alias("dec")).select("block_num", "log_index", number(F.col("dec")["from"]).alias("from_id"), number(F.col("dec")["to"]).alias("to_id"), F.col("dec")["value"].cast("long").alias("amount"))
+
+
+@query("SELECT l_orderkey AS block_num, l_linenumber AS log_index, '0x' || lower(printf('%064x', l_partkey)) AS topic1, '0x' || lower(printf('%064x', CAST(l_quantity AS BIGINT))) AS data FROM lineitem")
+def hex_encode_binary(spark, d):
+    return encoding.hex_encode_binary(chain.logs(spark, d).select("block_num", "log_index", "topic1", "data"))
+
+
+# --- key-value layouts --------------------------------------------------------------------------------------------
+
+
+@query("SELECT 'event:' || event_id AS key, event_type AS f_type, CAST(user_id AS VARCHAR) AS f_user FROM events")
+def kv_hash(spark, d):
+    e = read(spark, d, "events").withColumn("id", F.col("event_id"))
+    out = kv.kv_hash(e, encoding.key_from_pattern(e, "{table}:{id}", "event"), ["event_type", "user_id"])
+    return out.select("key", F.col("fields")["event_type"].alias("f_type"), F.col("fields")["user_id"].alias("f_user"))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS key, '{\"event_id\":' || max(event_id) || ',\"event_type\":\"' || max_by(event_type, event_id) || '\"}' AS value FROM events GROUP BY user_id")
+def kv_json(spark, d):
+    e = read(spark, d, "events").select("event_id", "event_type", "user_id")
+    return kv.kv_json(e, encoding.composite_key(e, ["user_id"]), F.col("event_id"), ["event_id", "event_type"])
+
+
+@query("SELECT DISTINCT p_brand AS member FROM part")
+def kv_set(spark, d):
+    return kv.kv_set(read(spark, d, "part"), "p_brand")
+
+
+@query("SELECT p_name AS member, max_by(p_retailprice, p_partkey) AS score FROM part GROUP BY p_name")
+def kv_zset(spark, d):
+    return kv.kv_zset(read(spark, d, "part"), "p_name", F.col("p_retailprice"), F.col("p_partkey"))
+
+
+@query("WITH z AS (SELECT max_by(p_retailprice, p_partkey) AS score FROM part GROUP BY p_name) SELECT count(*) AS size, min(score) AS min_score, max(score) AS max_score FROM z")
+def zset_score_range(spark, d):
+    return kv.zset_score_range(kv_zset(spark, d))
+
+
+@query(_BATCHES + " SELECT 'block_index:events:' || network || ':' || \"start\" || '-' || \"end\" AS key, count(*) AS n_ids FROM blocks JOIN batches USING (network, slot) GROUP BY 1")
+def kv_range_index(spark, d):
+    b = chain.batches(spark, d).select("network", "slot", F.array(ranges.make_range("network", "start", "end")).alias("_ranges"))
+    out = kv.kv_range_index(chain.blocks(spark, d).join(b, ["network", "slot"]), "events", F.col("event_id"))
+    return out.select("key", F.size("ids").cast("long").alias("n_ids"))
+
+
+@query("SELECT event_id AS pos, '{\"event_id\":' || event_id || ',\"user_id\":' || user_id || '}' AS value FROM events")
+def kv_entries(spark, d):
+    e = read(spark, d, "events")
+    return kv.kv_entries(e, F.col("event_id"), ["event_id", "user_id"])
+
+
+# --- text forms, pages, search, output ----------------------------------------------------------------------------
+
+
+@query(_BATCHES + " SELECT network, \"start\", \"end\", hash, NULL::VARCHAR AS prev_hash FROM batches")
+def range_json_round_trip(spark, d):
+    b = chain.batches(spark, d).select(ranges.make_range("network", "start", "end", "hash", "prev_hash").alias("r"))
+    nested = F.concat(F.lit('{"network":"'), F.col("r.network"), F.lit('","numbers":{"start":'), F.col("r.start").cast("string"), F.lit(',"end":'), F.col("r.end").cast("string"), F.lit('},"hash":"'), F.col("r.hash"), F.lit('"}'))
+    text = F.when(F.col("r.start") % 20 == 0, nested).otherwise(ranges.range_to_json(F.col("r")))
+    return b.select(ranges.parse_range(text).alias("r")).select("r.*")
+
+
+@query("SELECT p_partkey, p_name, p_retailprice, (SELECT count(*) FROM part) AS total, (SELECT count(*) FROM part) > 75 AS has_next FROM part ORDER BY p_retailprice DESC, p_partkey OFFSET 50 LIMIT 25")
+def list_page(spark, d):
+    return analytics.list_page(read(spark, d, "part").select("p_partkey", "p_name", "p_retailprice"), "p_retailprice", page=3, size=25, descending=True, ties=["p_partkey"])
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey > 100 ORDER BY p_partkey LIMIT 50")
+def keyset_page(spark, d):
+    return analytics.keyset_page(read(spark, d, "part").select("p_partkey", "p_name"), "p_partkey", 100, 50)
+
+
+@query(
+    "WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents), tf AS (SELECT doc_id, word, count(*) AS tf FROM w WHERE word IN ('the', 'license', 'stupid') GROUP BY 1, 2), "
+    "df AS (SELECT word, ln(1 + (SELECT count(*) FROM documents) / count(*)) AS idf FROM tf GROUP BY 1) "
+    "SELECT doc_id, round(sum(tf * idf), 6) AS score FROM tf JOIN df USING (word) GROUP BY 1 ORDER BY sum(tf * idf) DESC, doc_id LIMIT 50"
+)
+def keyword_search(spark, d):
+    return analytics.keyword_search(read(spark, d, "documents"), "doc_id", "text", "the license stupid", 50).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0) SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])), 6) AS similarity FROM embeddings, q "
+    "ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])) DESC, vec_id LIMIT 20"
+)
+def semantic_search(spark, d):
+    e = read(spark, d, "embeddings")
+    query_vector = F.array(*[F.lit(float(x)) for x in e.where("vec_id = 0").first()["embedding"]])
+    return analytics.semantic_search(e, "vec_id", "embedding", query_vector, 20).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS value FROM orders")
+def indexer_output(spark, d):
+    path = scratch(spark, "indexer")
+    lake.write_indexer(read(spark, d, "orders"), path, "o_orderdate", "o_orderkey", "o_totalprice")
+    return spark.read.parquet(path)
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def extract_metadata(spark, d):
+    return read(spark, d, "events").select("event_id", encoding.extract_fields(F.col("props"), "k long")["k"].alias("k"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text FROM events")
+def timestamp_text(spark, d):
+    return read(spark, d, "events").select("event_id", encoding.timestamp_text(F.col("ts")).alias("ts_text"))
+
+
+@query("SELECT event_type, event_type = 'error' AS transient, count(*) AS n FROM events GROUP BY 1, 2")
+def transient_errors(spark, d):
+    e = read(spark, d, "events").withColumn("message", F.when(F.col("event_type") == "error", F.concat(F.lit("Request Timed Out after "), F.col("value").cast("string"))).otherwise(F.lit("no such table")))
+    return e.select("event_type", encoding.is_transient(F.col("message")).alias("transient")).groupBy("event_type", "transient").agg(F.count("*").alias("n"))
+
+
+# --- sinks and streams --------------------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+def jdbc_round_trip(spark, d):
+    """Through a Derby database in memory: written twice with truncation, read back."""
+    table = jdbc.JdbcTable(spark, f"jdbc:derby:memory:x{uuid.uuid4().hex};create=true", "customer", jdbc.DERBY)
+    rows = read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    table.write(rows, "overwrite")
+    table.write(rows, "overwrite")
+    out = table.read()
+    return out.select([F.col(c).alias(c.lower()) for c in out.columns])
+
+
+@query("SELECT CAST(\"columns\" AS INTEGER) AS \"columns\", \"rows\", true AS success FROM (SELECT 4 AS \"columns\", count(*) AS \"rows\" FROM lineitem)")
+def load_audit(spark, d):
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    return lake.load(rows, lake.LakeTable(spark, scratch(spark, "lake")), "overwrite", "lineitem").select("columns", "rows", "success")
+
+
+@query(_REPLAY)
+def continuous_load(spark, d):
+    """The replay as a stream: rows in files of several epochs, read until there are no more."""
+    rows = _stream_rows(spark, d).join(_stream_batches(spark, d).select("_seq", F.concat(F.lit('{"ranges":'), ranges.ranges_json(F.col("_ranges")), F.lit(',"ranges_complete":true}')).alias("_metadata_json")), "_seq")
+    source = scratch(spark, "source")
+    rows.withColumn("_notice", F.lit(False)).repartitionByRange(4, "_seq").write.parquet(source)
+    schema = T.StructType([f for f in rows.schema if f.name not in ("_seq", "_metadata_json")])
+    table = continuous.ContinuousTable(spark, scratch(spark, "table"))
+    continuous.await_load(table.start(continuous.read_block_stream(spark, source, schema, files_per_trigger=2), available_now=True))
+    return _by_batch(table.current())
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical rows after all reorganisations, joined with labels of their users, counted by label."""
+    current = reorg.current_rows(_stream_rows(spark, sf_dir), _stream_batches(spark, sf_dir))
+    sets = labels.as_labels(read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+    return analytics.top_labels(joins.label_join(current, sets, "c_custkey", "user_id"), ["network", "c_mktsegment"])
+
+
+_FLAGSHIP = _BATCHES + _STREAM + _CURRENT + " SELECT network, c_mktsegment, count(*) AS row_count FROM current_rows JOIN customer ON user_id = c_custkey GROUP BY 1, 2 ORDER BY row_count DESC, network, c_mktsegment LIMIT 10"
+QUERIES["canonical_top_labels"] = flagship
+ORACLE["canonical_top_labels"] = _FLAGSHIP
