@@ -131,7 +131,8 @@ def int_word(word: Column) -> Column:
     flipped = F.unhex(F.translate(F.hex(word), "0123456789ABCDEF", "FEDCBA9876543210"))
     negative = F.substring(F.hex(word), 1, 1) >= "8"
     one = F.lit("1").cast("decimal(38,0)")
-    return F.when(negative, -_sum38(uint_word(flipped), one)).otherwise(uint_word(word)).cast("decimal(38,0)")
+    # subtraction is exact; negation would round to 34 digits
+    return F.when(negative, F.lit("0").cast("decimal(38,0)") - _sum38(uint_word(flipped), one)).otherwise(uint_word(word)).cast("decimal(38,0)")
 
 
 def _tail(data: Column, word: Column) -> Column:
