@@ -6,9 +6,11 @@ and null ids keep separate, well defined results. Null text counts as the empty
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this library where the driver has it (on a cluster it is installed or sent along)."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one is set where the session names none (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rangeloom.llm import bpe, classifier, media, packing, pii, quality_rules, simhash, suffix_dedup, token_count, token_store
-from rangeloom.llm.common import read_table
+from rangeloom.llm.common import importable, read_table
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +54,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+QUERIES = (op1_suffix_array_dedup, op2_simhash_near_dedup, op3_media_columns, op4_token_store, op5_pii_surrogates, op6_quality_rules, op7_byte_bpe, op8_quality_classifier, op9_best_fit_packing, op10_token_counts)
+
+
+def _ready(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_dedup, op3_media_columns, op4_token_store, op5_pii_surrogates, op6_quality_rules, op7_byte_bpe, op8_quality_classifier, op9_best_fit_packing, op10_token_counts)}
+    return {"pipeline": _ready(corpus_pipeline.run)} | {f.__name__: _ready(f) for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
