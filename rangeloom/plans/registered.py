@@ -534,6 +534,36 @@ def continuous_load(spark, d):
     return _by_batch(table.current())
 
 
+@query(_BATCHES + " SELECT event_id, network, block_num FROM blocks WHERE slot % 5 <> 0")
+def microbatch_assembly(spark, d):
+    """Each batch comes in two parts of one range, the second completes it; every fifth batch never gets complete."""
+    b = chain.batches(spark, d).select("network", "slot", F.array(ranges.make_range("network", "start", "end", "hash", "prev_hash")).alias("_ranges"))
+    place = chain.stream(spark, d).where("turn = 0").select("network", "slot", F.col("_seq").alias("place"))
+    parts = b.join(place, ["network", "slot"]).select("network", "slot", "_ranges", F.explode(F.array(F.lit(0), F.lit(1))).alias("part"), "place").where("part = 0 OR slot % 5 <> 0")
+    parts = parts.withColumn("_seq", 2 * F.col("place") + F.col("part"))
+    marks = parts.select("_seq", "_ranges", (F.col("part") == 1).alias("_ranges_complete"), F.lit(False).alias("_notice"))
+    rows = chain.blocks(spark, d).withColumn("part", (F.col("event_id") % 2).cast("int")).join(parts.select("network", "slot", "part", "_seq"), ["network", "slot", "part"])
+    return reorg.current_rows(rows, marks).select("event_id", "network", "block_num")
+
+
+@query("SELECT event_type AS network, count(*) AS row_count, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
+def hybrid_load(spark, d):
+    """The older half of the blocks as history in ranges, then a stream that starts 200 blocks before its end."""
+    rows = chain.blocks(spark, d).select("event_id", "network", "slot", "block_num")
+    middle = partition.max_block(rows, "block_num") // 2
+    past = partition.in_range(rows, "block_num", 0, middle)
+    live = rows.where(F.col("block_num") >= middle - 500).join(chain.stream(spark, d).where("turn = 0").select("network", "slot", "_seq", "start", "end"), ["network", "slot"])
+    meta = F.concat(F.lit('{"ranges":'), ranges.ranges_json(F.array(ranges.make_range("network", "start", "end"))), F.lit(',"ranges_complete":true}'))
+    source, path = scratch(spark, "source"), scratch(spark, "history")
+    live.select("event_id", "network", "block_num", "_seq", meta.alias("_metadata_json"), F.lit(False).alias("_notice")).repartitionByRange(2, "_seq").write.parquet(source)
+    schema = T.StructType([rows.schema["event_id"], rows.schema["network"], rows.schema["block_num"]])
+    table = continuous.ContinuousTable(spark, scratch(spark, "live"))
+    _, running = continuous.hybrid_load(past, "block_num", "events", 0, path, table, continuous.read_block_stream(spark, source, schema), buffer=200)
+    continuous.await_load(running)
+    both = continuous.combined(spark.read.parquet(path).select("event_id", "network", "block_num"), table.current().select("event_id", "network", "block_num"), ["event_id"])
+    return both.groupBy("network").agg(F.count("*").alias("row_count"), F.sum("event_id").alias("ids"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical rows after all reorganisations, joined with labels of their users, counted by label."""
     current = reorg.current_rows(_stream_rows(spark, sf_dir), _stream_batches(spark, sf_dir))
