@@ -41,10 +41,16 @@ class LakeTable:
         out = fs.create(draft, True)
         out.write(bytearray(str(n).encode()))
         out.close()
-        _, p = self._fs(f"{self.root}/CURRENT")
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(draft, p)
+        self._replace(fs, draft, f"{self.root}/CURRENT")
+
+    def _replace(self, fs, draft, name: str) -> None:
+        """Renames in one step over what is there."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = gateway.new_array(kind, 1)
+        how[0] = kind.OVERWRITE
+        source, target = fs.makeQualified(draft), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(name))
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration()).rename(source, target, how)
 
     def exists(self) -> bool:
         return self._version() is not None
