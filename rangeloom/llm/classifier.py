@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import flat_bytes, sub_batches, texts
+from rangeloom.llm.common import flat_bytes, in_small_batches, sub_batches, texts
 from rangeloom.llm.tokens import span_hashes
 
 #: Bounds of the labelled sample and of its latent space; neighbours that vote.
@@ -212,4 +212,4 @@ def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dimension
                 b = batch.slice(i, 512)
                 yield b.filter(pa.array(_scores(model.value, b.column(at).fill_null("")) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)

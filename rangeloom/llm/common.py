@@ -6,6 +6,7 @@ and null ids keep separate, well defined results. Null text counts as the empty
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -56,9 +57,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """docs, after the session's rows of an Arrow batch were lowered from Spark's default: texts are long rows, and a
+    batch of them is held by the executor and by its Python worker. A session with a value of its own keeps it."""
+    conf = docs.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return docs
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (null: empty) of the rows, with other columns by name; everything else is pruned."""
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)
+    return in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
 def row_key() -> list[Column]:
@@ -66,7 +76,7 @@ def row_key() -> list[Column]:
     return [F.coalesce("doc_id", F.lit(-1)).alias("k1"), F.xxhash64("text").alias("k2")]
 
 
-def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``most`` bytes of a string or binary column (at least a row each): bounds numpy's scratch."""
     if not batch.num_rows:
         return
@@ -79,6 +89,17 @@ def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20
             start, held = i, 0
         held += int(n)
     yield batch.slice(start)
+    release()
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives memory that a batch no longer needs back to the system: workers live as long as their executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def flat_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rangeloom.llm.common import in_small_batches, release
+
 KEY = b"surrogates"
 
 # --- keyed permutations -------------------------------------------------------------------------------------------
@@ -222,9 +224,10 @@ REPLACED = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_entitie
 def _over_texts(out: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, b.num_rows, 1024):
-                part = b.slice(i, 1024)
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
                 yield out(part.column(0).to_pylist(), part.column(1).to_pylist())
+            release()
 
     return run
 
@@ -239,7 +242,7 @@ def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
             rows.append((doc, rewritten(key, text, spans), len(spans), sorted({k for _, _, k in spans})))
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), REPLACED, strict=True)], schema=REPLACED)
 
-    return docs.select("doc_id", "text").mapInArrow(_over_texts(out), "doc_id long, text string, n_entities long, kinds array<string>")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(_over_texts(out), "doc_id long, text string, n_entities long, kinds array<string>")
 
 
 def mentions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
@@ -258,7 +261,7 @@ def mentions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         cols = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(_over_texts(out), "kind string, entity binary, surrogate binary")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(_over_texts(out), "kind string, entity binary, surrogate binary")
 
 
 def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
@@ -283,8 +286,11 @@ def replaced_in_place(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            new = [rewritten(key, t, entities(t)) for t in b.column(at).to_pylist()]
-            yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
-
-    return docs.mapInArrow(run, docs.schema)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                b = batch.slice(i, 512)
+                new = [rewritten(key, t, entities(t)) for t in b.column(at).to_pylist()]
+                yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
+            release()
+
+    return in_small_batches(docs).mapInArrow(run, docs.schema)

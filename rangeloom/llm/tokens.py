@@ -17,7 +17,7 @@ import numpy as np
 from rangeloom.llm.common import mix
 
 SPECIAL = b"<|endoftext|>"
-BLOCK = 4 << 20
+BLOCK = 2_000_000
 _SEED = np.random.default_rng(20240229)
 _BYTE = _SEED.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -54,9 +54,10 @@ class Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         while len(self.up) < n:
             m = len(self.up)
+            more = min(m, n + (1 << 16) - m)
             for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
                 own = getattr(self, name)
-                setattr(self, name, np.concatenate([own, own * np.uint64(pow(base, m, 1 << 64))]))
+                setattr(self, name, np.concatenate([own, own[:more] * np.uint64(pow(base, m, 1 << 64))]))
         return self.up, self.down
 
 
