@@ -25,15 +25,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import cut, new_folder, shuffle_partitions, table, texts
+from rangeloom.llm.common import cut, new_folder, release, shuffle_partitions, table, texts
 from rangeloom.llm.files import make_folder, opened, written_whole
 
 WIDTH = 64
 #: PNG signature, and the image header chunk up to its interlace byte.
 SIGNATURE, HEADER_BYTES = b"\x89PNG\r\n\x1a\n", 29
 
-PLACES = pa.schema([("digest", pa.string()), ("shard", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
-PLACES_DDL = "digest string, shard string, offset long, length long"
+PLACES = pa.schema([("digest", pa.binary()), ("shard", pa.int32()), ("offset", pa.int64()), ("length", pa.int32())])
+PLACES_DDL = "digest binary, shard int, offset long, length int"
+
+
+def shard_name(folder: str, shard: int) -> str:
+    return f"{folder}/{shard:06d}.tar"
 
 
 def _chunk(kind: bytes, data: bytes) -> bytes:
@@ -85,7 +89,7 @@ def payloads(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, payload and digest (SHA-256) of every row."""
     raw = texts(docs).select("doc_id", F.col("text").cast("binary").alias("raw")).withColumn("n_bytes", F.octet_length("raw").cast("long"))
     padded = F.expr(f"rpad(raw, cast(greatest({WIDTH}, ceil(n_bytes / {WIDTH}) * {WIDTH}) as int), X'00')")
-    return raw.select("doc_id", "n_bytes", padded.alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    return raw.select("doc_id", "n_bytes", padded.alias("payload")).withColumn("digest", F.unhex(F.sha2("payload", 256)))
 
 
 def write_shards(rows: DataFrame, folder: str) -> DataFrame:
@@ -94,10 +98,10 @@ def write_shards(rows: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        name = f"{folder}/{TaskContext.get().partitionId():06d}.tar"
-        seen: set[str] = set()
+        shard = TaskContext.get().partitionId()
+        seen: set[bytes] = set()
         at = 0
-        with written_whole(name) as out:
+        with written_whole(shard_name(folder, shard)) as out:
             for b in batches:
                 found = []
                 for digest, payload in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -105,14 +109,15 @@ def write_shards(rows: DataFrame, folder: str) -> DataFrame:
                         continue
                     seen.add(digest)
                     image = to_image(payload.as_py())
-                    info = tarfile.TarInfo(f"{digest}.png")
+                    info = tarfile.TarInfo(f"{digest.hex()}.png")
                     info.size = len(image)
                     head = info.tobuf(tarfile.GNU_FORMAT)
                     out.write(head + image + bytes(-len(image) % tarfile.BLOCKSIZE))
-                    found.append((digest, name, at + len(head), len(image)))
+                    found.append((digest, shard, at + len(head), len(image)))
                     at += len(head) + len(image) + -len(image) % tarfile.BLOCKSIZE
                 if found:
                     yield table(PLACES, **dict(zip(PLACES.names, zip(*found, strict=True), strict=True)))
+                release()
             out.write(bytes(2 * tarfile.BLOCKSIZE))
 
     make_folder(folder)
@@ -121,12 +126,12 @@ def write_shards(rows: DataFrame, folder: str) -> DataFrame:
     return cut(one.repartitionByRange(shuffle_partitions(rows.sparkSession), "shard", "offset").sortWithinPartitions("shard", "offset"))
 
 
-def _ranges(places: pa.RecordBatch, gap: int = 1 << 16, most: int = 8 << 20, first: int | None = None) -> Iterator[tuple[int, bytes]]:
+def _ranges(folder: str, places: pa.RecordBatch, gap: int = 1 << 16, most: int = 8 << 20, first: int | None = None) -> Iterator[tuple[int, bytes]]:
     """(row, bytes) of each place, rows in order of shard and offset; neighbours share a read. first: no more bytes."""
     shard, offset, length = (places.column(i).to_pylist() for i in (1, 2, 3))
     n, i = len(shard), 0
     while i < n:
-        with opened(shard[i]) as f:
+        with opened(shard_name(folder, shard[i])) as f:
             name = shard[i]
             while i < n and shard[i] == name:
                 if first is not None:
@@ -143,35 +148,36 @@ def _ranges(places: pa.RecordBatch, gap: int = 1 << 16, most: int = 8 << 20, fir
                 i = j
 
 
-def read_headers(places: DataFrame) -> DataFrame:
+def read_headers(places: DataFrame, folder: str) -> DataFrame:
     """digest, width, height, bits of every place, from its first bytes alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            w, h, bits = zip(*(image_header(x) for _, x in _ranges(b, first=HEADER_BYTES)), strict=True) if b.num_rows else ((), (), ())
+            w, h, bits = zip(*(image_header(x) for _, x in _ranges(folder, b, first=HEADER_BYTES)), strict=True) if b.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (w, h, bits))], names=["digest", "width", "height", "bits"])
 
-    return places.mapInArrow(run, "digest string, width long, height long, bits long")
+    return places.mapInArrow(run, "digest binary, width long, height long, bits long")
 
 
-FEATURES = pa.schema([("digest", pa.string()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
-FEATURES_DDL = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+FEATURES = pa.schema([("digest", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
+FEATURES_DDL = "digest binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def read_features(places: DataFrame) -> DataFrame:
+def read_features(places: DataFrame, folder: str) -> DataFrame:
     """Digests, checksums and a feature of every place from the stored bytes; a payload that is not its digest's is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             digests, rows = b.column(0).to_pylist(), []
-            for i, image in _ranges(b):
+            for i, image in _ranges(folder, b):
                 payload = from_image(image)
-                sha = hashlib.sha256(payload).hexdigest()
-                if sha != digests[i]:
-                    raise ValueError(f"the image at {digests[i]} holds another payload")
-                rows.append((digests[i], len(payload), sha, zlib.crc32(payload[-WIDTH:]), len(image), hashlib.sha256(image).hexdigest(), feature(payload)))
+                sha = hashlib.sha256(payload)
+                if sha.digest() != digests[i]:
+                    raise ValueError(f"the image of {digests[i].hex()} holds another payload")
+                rows.append((digests[i], len(payload), sha.hexdigest(), zlib.crc32(payload[-WIDTH:]), len(image), hashlib.sha256(image).hexdigest(), feature(payload)))
             if rows:
                 yield table(FEATURES, **dict(zip(FEATURES.names, zip(*rows, strict=True), strict=True)))
+            release()
 
     return places.mapInArrow(run, FEATURES_DDL)
 
@@ -181,5 +187,5 @@ def media_columns(docs: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or new_folder(docs.sparkSession, "media")
     rows = payloads(docs)
     places = write_shards(rows, folder)
-    known = places.join(read_headers(places), "digest").join(read_features(places), "digest")
-    return rows.drop("payload").join(known, "digest", "left").drop("digest")
+    known = places.join(read_headers(places, folder), "digest").join(read_features(places, folder), "digest")
+    return rows.drop("payload").join(known, "digest", "left").drop("digest").withColumn("folder", F.lit(folder))

@@ -45,12 +45,12 @@ def test_shards_are_tar_files_and_damage_is_found(spark, sample):
     folder = new_folder(spark, "m")
     places = media.write_shards(media.payloads(sample), folder)
     rows = places.collect()
-    name = rows[0]["shard"].removeprefix("file://")
+    name = media.shard_name(folder, rows[0]["shard"]).removeprefix("file://")
     with tarfile.open(name) as t:
         members = {m.name.removesuffix(".png"): (m.offset_data, m.size) for m in t}
-    assert members == {r["digest"]: (r["offset"], r["length"]) for r in rows if r["shard"] == rows[0]["shard"]}
+    assert members == {r["digest"].hex(): (r["offset"], r["length"]) for r in rows if r["shard"] == rows[0]["shard"]}
     with open(name, "r+b") as f:
         f.seek(rows[0]["offset"] + 45)
         f.write(b"\xff\x00\xff")
     with pytest.raises(Exception):  # noqa: B017
-        media.read_features(places).collect()
+        media.read_features(places, folder).collect()
