@@ -16,13 +16,15 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import connected, cut, texts
+from rangeloom.llm.common import connected, cut, release, texts
 
 SEED = 42
 
@@ -54,6 +56,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
         for b in batches:
             fp = pa.array([fingerprint(t, words) for t in b.column(1).to_pylist()], type=pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), fp], names=["doc_id", "k2", "fp"])
+            release()
 
     return texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2")).mapInArrow(run, "doc_id long, k2 long, fp long")
 
@@ -91,12 +94,20 @@ def links(nodes: DataFrame, distance: int = 4) -> DataFrame:
     index = nodes.select(F.col("fp").alias("a"), F.explode(F.array(*plain)).alias("x")).select("a", "x.i", "x.key")
     query = nodes.select(F.col("fp").alias("b"), F.explode(F.array(*near)).alias("x")).select("b", "x.key")
     diff = F.col("a").bitwiseXOR(F.col("b"))
-    ok = (F.col("a") < F.col("b")) & (F.bit_count(diff) <= distance)
-    for length in range(3, n):
-        masks = [_signed(sum(((1 << ring[(i + j) % n][1]) - 1) << ring[(i + j) % n][0] for j in range(length))) for i in range(n)]
-        chain = F.element_at(F.array(*[F.lit(m) for m in masks]), F.col("i") + 1)
-        ok = (F.bit_count(diff.bitwiseAND(chain)) <= length * distance // n) & ok
-    return index.join(query, (index.key == query.key) & ok).select("a", "b").distinct()
+
+    def viable(i: int) -> F.Column:
+        """Whether every chain from segment i keeps its budget; the first two lengths are what the keys test."""
+        ok, mask = F.lit(True), 0
+        for length in range(1, n):
+            off, size = ring[(i + length - 1) % n]
+            mask |= ((1 << size) - 1) << off
+            ok = ok & (F.bit_count(diff.bitwiseAND(F.lit(_signed(mask)))) <= length * distance // n)
+        return ok
+
+    # a pair counts at its first viable chain, so it comes out once
+    turns = [F.when(F.col("i") == i, viable(i) & ~(reduce(or_, map(viable, range(i))) if i else F.lit(False))) for i in range(n)]
+    ok = (F.col("a") < F.col("b")) & (F.bit_count(diff) <= distance) & F.coalesce(*turns, F.lit(False))
+    return index.join(query, (index.key == query.key) & ok).select("a", "b")
 
 
 def grouped(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
