@@ -2,9 +2,9 @@
 
 The language model is a modified Kneser-Ney model of byte n-grams. Spark counts the n-grams of the whole corpus by
 language, derives continuation counts, discounts and interpolated probabilities with aggregations and joins, and writes
-each order as a sorted array of hash slots with log probabilities and log backoff weights. A language's arrays have at
-most 2^SLOT_BITS entries an order, whatever the corpus; n-grams that share a slot share the larger probability. Tasks
-load the arrays of the languages they meet from the shared folder.
+each order with log probabilities and log backoff weights to files by hash prefix (shards). Every n-gram has its own entry
+under its whole key, so the model grows with the corpus; the number of shards follows from the counted n-grams. Tasks
+load the shards they meet from the shared folder and hold HELD bytes of them at a time.
 
 The perplexity of a text is that of its bytes from the ORDER-th on. Its logarithm is compared with the median of the texts of
 its language that pass the base rules; a text is rejected outside a band of so many robust deviations on either side,
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as pads
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +31,15 @@ from rangeloom.llm.common import cut, flat_bytes, in_small_batches, mix, new_fol
 from rangeloom.llm.files import _split
 from rangeloom.llm.tokens import span_hashes
 
-ORDER, SLOT_BITS = 5, 22
+ORDER = 7  # bytes: the longest whose keys are positive longs
+#: Entries of a shard, and bytes of shards that a worker holds at a time.
+SHARD, HELD = 1 << 20, 160_000_000
 #: Reach of the band below and above the median in robust deviations, and the text length in bytes at which its variance
 #: doubles. Below it is wide: a passage that much of the corpus shares is well predicted and no fault of its text.
 BELOW, ABOVE, SHORT = 16.0, 8.0, 400.0
 #: Least deviation of log perplexity, so that a corpus of near equal texts rejects none for nothing.
 LEAST_SPREAD = 0.02
 WINDOW_WORDS = 8
-LANGUAGES = 8  # whose arrays a worker holds at a time
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -200,52 +202,107 @@ def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, D
     return out
 
 
-def slots(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys.astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def hashed(keys: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values of keys: the highest bits name the shard, the lowest ones the slot in it."""
+    return mix(keys.astype(np.uint64) + np.uint64(1))
 
 
 def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str) -> None:
-    """Sorted slot arrays: folder/lang=<hash>/part with kind ('p' or 'g'), order, slot, value (natural logarithm)."""
+    """Shards: folder/bits=<b>/language=<hash>/kind=<p or g and order>/shard=<highest b bits of the key's hash>/part with
+    key and value (natural logarithm). b follows from the number of n-grams, so that a shard has about SHARD entries at most."""
+    most = parts[max(parts)][0].groupBy("lang").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    bits = max(0, -(-most // SHARD) - 1).bit_length()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = pa.array(slots(np.asarray(b.column(2))).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), s], names=["lang", "kind", "value", "slot"])
+            h = hashed(np.asarray(b.column(2)))
+            s = pa.array((h >> np.uint64(64 - bits) if bits else h * np.uint64(0)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([*b.columns, s], names=["language", "kind", "key", "value", "shard"])
 
     rows = None
     for k, (probs, weights) in parts.items():
         for kind, t in ((f"p{k}", probs.withColumnRenamed("p", "x")), (f"g{k}", weights.withColumnRenamed("g", "x"))):
-            own = t.select("lang", F.lit(kind).alias("kind"), "key", F.log("x").cast("float").alias("value"))
+            own = t.select(F.sha2("lang", 256).alias("language"), F.lit(kind).alias("kind"), "key", F.log("x").cast("float").alias("value"))
             rows = own if rows is None else rows.unionByName(own)
-    slotted = rows.mapInArrow(run, "lang string, kind string, value float, slot int")
-    best = slotted.groupBy("lang", "kind", "slot").agg(F.max("value").alias("value"))
-    best = best.withColumn("language", F.sha2("lang", 256)).repartition("language", "kind").sortWithinPartitions("language", "kind", "slot")
-    best.select("language", "kind", "slot", "value").write.partitionBy("language", "kind").parquet(folder)
+    sharded = rows.mapInArrow(run, "language string, kind string, key long, value float, shard long")
+    sharded.repartition("language", "kind", "shard").write.partitionBy("language", "kind", "shard").parquet(f"{folder}/bits={bits}")
+
+
+class Shard:
+    """The entries of a file by slot: those of slot i are at first[i] up to first[i + 1], about one in two slots has one."""
+
+    def __init__(self, where, at: str):
+        found = where.get_file_info(at)
+        keys, value = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        if found.type != fs.FileType.NotFound:
+            t = pads.dataset(at, filesystem=where, format="parquet").to_table(columns=["key", "value"]).combine_chunks()
+            keys, value = t["key"].to_numpy(), t["value"].to_numpy()
+        self.mask = np.uint64((1 << max(1, (2 * len(keys)).bit_length())) - 1)
+        slot = (hashed(keys) & self.mask).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        self.keys, self.value = keys[order], value[order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=int(self.mask) + 1))]).astype(np.int32)
+        self.size = self.keys.nbytes + self.value.nbytes + self.first.nbytes
+
+    def find(self, keys: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """The value of each key, nan for keys that are not there."""
+        out = np.full(len(keys), np.nan)
+        slot = (h & self.mask).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end, own = at[left], end[left], keys[left]
+        while len(left):
+            hit = self.keys[at] == own
+            out[left[hit]] = self.value[at[hit]]
+            more = np.flatnonzero(~hit & (at + 1 < end))
+            left, at, end, own = left[more], at[more] + 1, end[more], own[more]
+        return out
+
+
+_LOADED: OrderedDict = OrderedDict()
+
+
+def shard(folder: str, where, at: str) -> Shard:
+    """From the worker's shards, which have HELD bytes at most besides the one in use."""
+    if (folder, at) in _LOADED:
+        _LOADED.move_to_end((folder, at))
+    else:
+        if _LOADED and next(iter(_LOADED))[0] != folder:  # another model: a worker serves many jobs
+            _LOADED.clear()
+        while _LOADED and sum(x.size for x in _LOADED.values()) > HELD:
+            _LOADED.popitem(last=False)
+        _LOADED[folder, at] = Shard(where, at)
+    return _LOADED[folder, at]
 
 
 class Arrays:
-    """A language's sorted arrays; the highest order also as a table of all slots."""
+    """A language's n-grams, shard by shard."""
 
     def __init__(self, folder: str, language: str):
-        where, path = _split(folder)
-        self.parts = {}
-        for kind in [f"{x}{k}" for k in range(1, ORDER + 1) for x in "pg"]:
-            at = f"{path}/language={language}/kind={kind}"
-            t = pads.dataset(at, filesystem=where, format="parquet").to_table(columns=["slot", "value"]).combine_chunks()
-            slot, value = t["slot"].to_numpy(), t["value"].to_numpy()
-            order = np.argsort(slot, kind="stable")
-            self.parts[kind] = slot[order], value[order]
-        self.top = np.full(1 << SLOT_BITS, np.nan, np.float32)
-        self.top[self.parts[f"p{ORDER}"][0]] = self.parts[f"p{ORDER}"][1]
+        self.folder = folder
+        self.where, path = _split(folder)
+        (top,) = [x.path for x in self.where.get_file_info(fs.FileSelector(path)) if "/bits=" in x.path]
+        self.bits = int(top.rpartition("=")[2])
+        self.path = f"{top}/language={language}"
 
     def find(self, kind: str, keys: np.ndarray) -> np.ndarray:
-        slot, value = self.parts[kind]
-        s = slots(keys)
-        i = np.minimum(np.searchsorted(slot, s), len(slot) - 1)
-        return np.where(slot[i] == s, value[i], np.nan)
+        h = hashed(keys)
+        keys = keys.astype(np.int64)
+        of = lambda i: shard(self.folder, self.where, f"{self.path}/kind={kind}/shard={i}")
+        if not self.bits:
+            return of(0).find(keys, h)
+        out = np.full(len(keys), np.nan)
+        number = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        order = np.argsort(number, kind="stable")
+        ends = np.flatnonzero(np.append(np.diff(number[order]) != 0, True)) + 1 if len(order) else []
+        for a, z in zip([0, *ends[:-1]], ends, strict=True):
+            own = order[a:z]
+            out[own] = of(number[own[0]]).find(keys[own], h[own])
+        return out
 
     def log_p(self, keys: np.ndarray) -> np.ndarray:
         """Log probability of each n-gram's last symbol after the others; unseen n-grams back off."""
-        out = self.top[slots(keys)].astype(np.float64)
+        out = self.find(f"p{ORDER}", keys)
         left = np.flatnonzero(np.isnan(out))
         extra, k = np.zeros(len(left)), ORDER
         while len(left):
@@ -262,19 +319,8 @@ class Arrays:
         return out
 
 
-_LOADED: OrderedDict = OrderedDict()
-
-
 def arrays(folder: str, language: str) -> Arrays:
-    if (folder, language) in _LOADED:
-        _LOADED.move_to_end((folder, language))
-    else:
-        if _LOADED and next(iter(_LOADED))[0] != folder:  # another model: a worker serves many jobs
-            _LOADED.clear()
-        _LOADED[folder, language] = Arrays(folder, language)
-        while len(_LOADED) > LANGUAGES:
-            _LOADED.popitem(last=False)
-    return _LOADED[folder, language]
+    return Arrays(folder, language)
 
 
 # --- scores and verdicts ------------------------------------------------------------------------------------------

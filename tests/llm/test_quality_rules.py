@@ -105,3 +105,28 @@ def test_gibberish_goes_and_clean_texts_stay(spark):
     assert not any(r.kept for r in got if r.doc_id < 0)
     clean = [r.kept for r in got if r.quality == 1 and not r.base_failed]
     assert np.mean(clean) > 0.99
+
+
+def test_each_ngram_has_its_own_entry_in_any_number_of_shards(spark, monkeypatch):
+    """Keys that share 22 bits of their hash with seen ones stay unseen, and small shards give the same values."""
+    import hashlib
+
+    from rangeloom.llm.common import mix, new_folder
+
+    found = ["".join(chr(97 + (i * i + 7 * i * j) % 26) for j in range(400)) for i in range(40)]
+    parts = q.model(q.counted(spark.createDataFrame([(i, t, "en") for i, t in enumerate(found)], "doc_id long, text string, lang string")))
+    seen = np.array(sorted(r.key for r in parts[q.ORDER][0].collect()), np.uint64)
+    others = np.setdiff1d(np.random.default_rng(1).integers(0, 1 << 8 * q.ORDER, 1 << 21, dtype=np.uint64), seen)
+    bits = lambda keys: mix(keys + np.uint64(1)) >> np.uint64(42)
+    twins = others[np.isin(bits(others), bits(seen))]
+    assert len(twins) > 100
+    values = []
+    for most, held in ((1 << 20, 1 << 20), (64, 1 << 10)):
+        monkeypatch.setattr(q, "SHARD", most, raising=False)
+        monkeypatch.setattr(q, "HELD", held, raising=False)
+        folder = new_folder(spark, "m")
+        q.write_model(parts, folder)
+        a = q.arrays(folder, hashlib.sha256(b"=en").hexdigest())
+        assert np.isnan(a.find(f"p{q.ORDER}", twins)).all()
+        values.append(a.find(f"p{q.ORDER}", seen))
+    assert not np.isnan(values[0]).any() and np.array_equal(*values)
