@@ -7,7 +7,7 @@ under its whole key, so the model grows with the corpus; the number of shards fo
 load the shards they meet from the shared folder and hold HELD bytes of them at a time.
 
 The perplexity of a text is that of its bytes from the ORDER-th on. Its logarithm is compared with the median of the texts of
-its language that pass the base rules; a text is rejected outside a band of so many robust deviations on either side,
+its language that pass the base rules; a text is rejected outside a band of so many robust deviations of either side,
 the wider the shorter the text.
 
 Defined cases: null text has no words and fails the base rules; a null language is a language of its own; rows with repeated
@@ -34,9 +34,9 @@ from rangeloom.llm.tokens import span_hashes
 ORDER = 7  # bytes: the longest whose keys are positive longs
 #: Entries of a shard, and bytes of shards that a worker holds at a time.
 SHARD, HELD = 1 << 20, 160_000_000
-#: Reach of the band below and above the median in robust deviations, and the text length in bytes at which its variance
-#: doubles. Below it is wide: a passage that much of the corpus shares is well predicted and no fault of its text.
-BELOW, ABOVE, SHORT = 16.0, 8.0, 400.0
+#: Reach of the band below and above the median in robust deviations of that side, and the text length in bytes at which
+#: its variance doubles.
+BELOW, ABOVE, SHORT = 6.0, 6.0, 400.0
 #: Least deviation of log perplexity, so that a corpus of near equal texts rejects none for nothing.
 LEAST_SPREAD = 0.02
 WINDOW_WORDS = 8
@@ -168,6 +168,13 @@ def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return _rows(docs).mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df through Parquet in the shared folder, a fraction of the size of a checkpoint."""
+    folder = new_folder(df.sparkSession, "ngrams")
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, DataFrame]]:
     """By order: (lang, key, p) interpolated probabilities and (lang, key, g) backoff weights of contexts.
 
@@ -175,7 +182,7 @@ def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, D
     """
     tables = {order: counts}
     for k in range(order - 1, 0, -1):
-        tables[k] = tables[k + 1].groupBy("lang", F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("key")).agg(F.count("*").alias("c"))
+        tables[k] = stored(tables[k + 1].groupBy("lang", F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("key")).agg(F.count("*").alias("c")))
     out: dict[int, tuple[DataFrame, DataFrame]] = {}
     lower = None
     for k in range(1, order + 1):
@@ -197,7 +204,7 @@ def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, D
         else:
             short = lower.select("lang", F.col("key").alias("short"), F.col("p").alias("q"))
             probs = own.withColumn("short", F.col("key").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(short, ["lang", "short"]).select("lang", "key", (p + g * F.col("q")).alias("p"))
-        lower = probs = cut(probs)
+        lower = probs = stored(probs)
         out[k] = probs, weights
     return out
 
@@ -357,16 +364,20 @@ def scores(docs: DataFrame, folder: str) -> DataFrame:
 def judge(docs: DataFrame, below: float = BELOW, above: float = ABOVE, folder: str | None = None) -> DataFrame:
     """doc_id, base counts, base_failed, kept, perplexity and the band's ends of every row."""
     folder = folder or new_folder(docs.sparkSession, "ngrams")
-    write_model(model(cut(counted(docs))), folder)
+    write_model(model(stored(counted(docs))), folder)
     found = cut(scores(docs, folder))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    found = found.withColumn("base_failed", failed)
+    return banded(found.withColumn("base_failed", failed), below, above)
+
+
+def banded(found: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
+    """Verdicts of scored rows; each end of a language's band follows from the texts on its side of the median."""
     usual = found.where("not base_failed and log_ppl is not null")
     middle = usual.groupBy("lang").agg(F.percentile_approx("log_ppl", 0.5, 10000).alias("middle"))  # a row for each language
-    away = usual.join(F.broadcast(middle), "lang").withColumn("away", F.abs(F.col("log_ppl") - F.col("middle")) / _widening())
-    spread = away.groupBy("lang").agg(F.first("middle").alias("middle"), F.greatest(F.lit(LEAST_SPREAD), 1.4826 * F.percentile_approx("away", 0.5, 10000)).alias("spread"))
-    step = F.col("spread") * _widening()
-    out = found.join(F.broadcast(spread), "lang", "left").withColumn("lower", F.exp(F.col("middle") - below * step)).withColumn("upper", F.exp(F.col("middle") + above * step))
+    away = usual.join(F.broadcast(middle), "lang").withColumn("away", (F.col("log_ppl") - F.col("middle")) / _widening())
+    side = lambda on, sign: F.greatest(F.lit(LEAST_SPREAD), F.coalesce(1.4826 * F.percentile_approx(F.when(on, sign * F.col("away")), 0.5, 10000), F.lit(LEAST_SPREAD)))
+    spread = away.groupBy("lang").agg(F.first("middle").alias("middle"), side(F.col("away") <= 0, -1).alias("under"), side(F.col("away") >= 0, 1).alias("over"))
+    out = found.join(F.broadcast(spread), "lang", "left").withColumn("lower", F.exp(F.col("middle") - below * F.col("under") * _widening())).withColumn("upper", F.exp(F.col("middle") + above * F.col("over") * _widening()))
     out = out.withColumn("perplexity", F.exp("log_ppl"))
     inside = F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(True))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"), "perplexity", "lower", "upper")

@@ -130,3 +130,15 @@ def test_each_ngram_has_its_own_entry_in_any_number_of_shards(spark, monkeypatch
         assert np.isnan(a.find(f"p{q.ORDER}", twins)).all()
         values.append(a.find(f"p{q.ORDER}", seen))
     assert not np.isnan(values[0]).any() and np.array_equal(*values)
+
+
+def test_both_ends_of_the_band_reject(spark):
+    """A spread of 0.1 around a median of 2: the band has a lower end above perplexity 1 that templated text falls below."""
+    r = np.random.default_rng(3)
+    usual = [(i, float(x)) for i, x in enumerate(r.normal(2.0, 0.1, 1000))]
+    rows = [(i, "=en", 100, 0, 0, 0, 0, 20000, x, False) for i, x in [*usual, (-1, 1.0), (-2, 3.0)]]
+    found = spark.createDataFrame(rows, q.SCORES_DDL + ", base_failed boolean")
+    got = {x.doc_id: x for x in q.banded(found).collect()}
+    assert not got[-1].kept and not got[-2].kept
+    assert np.mean([got[i].kept for i, _ in usual]) == 1
+    assert got[-1].lower > math.e and got[-1].upper < math.exp(3)
