@@ -19,6 +19,7 @@ import bisect
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -42,26 +43,48 @@ def permuted(key: bytes, tweak: str, value: int, size: int) -> int:
     while True:
         a, b = value >> half, value & mask
         for turn in range(6):
-            h = hmac.digest(key, f"{tweak}|{size}|{turn}|{b}".encode(), "sha256")
+            h = hmac.digest(key, (f"{tweak}|{size}|{turn}|{b}" if half <= 256 else f"{tweak}|{size:x}|{turn}|{b:x}").encode(), "sha256")
+            if half > 256:
+                h = hashlib.shake_256(h).digest(half // 8 + 1)
             a, b = b, a ^ int.from_bytes(h, "big") & mask
         value = a << half | b
         if value < size:
             return value
 
 
-#: Sets of characters that a position keeps; a character in none of them stays.
+#: Sets of characters that a position keeps; other letters and digits have the set that block_set() gives, the rest stays.
 _SETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "áàâäãåæéèêëíìîïñóòôöõúùûüýÿçœß"]
 _SET_OF = {c: s for s in _SETS for c in s}
 
 
+def lowered(text: str) -> str:
+    """Lower case, but for letters whose lower case is more than one character."""
+    return "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
+@lru_cache(1 << 12)
+def _class(c: str) -> tuple | None:
+    """What a letter or digit outside _SETS shares with its set: block of 128 characters, category and cases."""
+    if not c.isalnum() or c in _SET_OF:
+        return None
+    return ord(c) >> 7, unicodedata.category(c), lowered(c) == c, len(c.upper()) == 1 and lowered(c.upper()) == c and c.upper() != c
+
+
+@lru_cache(1 << 12)
+def block_set(c: str) -> str | None:
+    if (own := _class(c)) is None:
+        return None
+    return "".join(x for x in map(chr, range(own[0] << 7, (own[0] + 1) << 7)) if _class(x) == own)
+
+
 def same_pattern(key: bytes, tweak: str, text: str) -> str:
     """Lower-case text permuted within its pattern of character sets."""
-    sets = [_SET_OF.get(c) for c in text]
+    sets = [_SET_OF.get(c) or block_set(c) for c in text]
     value, size = 0, 1
     for c, s in zip(text, sets, strict=True):
         if s:
             value, size = value * len(s) + s.index(c), size * len(s)
-    value = permuted(key, tweak + "|" + "".join("-" if s is None else str(_SETS.index(s)) for s in sets), value, size)
+    value = permuted(key, tweak + "|" + "".join("-" if s is None else str(_SETS.index(s)) if s in _SETS else f"({s[0]})" for s in sets), value, size)
     out = []
     for c, s in zip(reversed(text), reversed(sets), strict=True):
         if s:
@@ -110,7 +133,7 @@ _NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+(?:[-'][A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+)
 PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[\w-]+\.)+[^\W\d_]{2,}(?![\w-])"),
     "secret": re.compile(r"""(?i)\b(?:api[_-]?key|access[_-]?key|auth|password|passwd|secret|token)\b["']?\s{0,3}[:=]\s{0,3}["']?(?P<v>[A-Za-z0-9_\-+/]{16,})"""),
-    "hex": re.compile(r"(?<![\w])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,128}(?![\w])"),
+    "hex": re.compile(r"(?<![\w])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,}(?![\w])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)"),
     "card": re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"),
     "phone": re.compile(r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w])"),
@@ -159,7 +182,7 @@ def normal(kind: str, found: str) -> str:
     if kind in ("card", "phone", "national"):
         return only_digits(found)
     if kind in ("email", "hex", "person"):
-        return found.lower()
+        return lowered(found)
     if kind == "iban":
         return found.replace(" ", "").upper()
     if kind == "ip":

@@ -68,3 +68,20 @@ def test_tables(spark, edge, nothing, sample):
         for a, z, _ in spans:
             assert before[r.doc_id][a:z] not in r.text
     assert sum(r.n_entities for r in pii.replace(sample).collect()) > 0
+
+
+def test_addresses_of_every_script_and_long_keys_are_replaced():
+    for found in ("ιωαννης@παραδειγμα.gr", "محمد@مثال.com", "太郎@例え.jp", "İlker@örnek.com", "Ωμεγα@пример.org", "홍길동@보기.kr"):
+        ((a, z, kind),) = pii.entities(f"Write to {found} now")
+        new = pii.surrogate(b"k", kind, found)
+        assert kind == "email" and len(new) == len(found)
+        local, domain = found.split("@")
+        assert new.split("@")[0] != local and new.split("@")[1] != domain
+        assert [k for _, _, k in pii.entities(f"Write to {new} now")] == ["email"]
+    assert len({pii.same_pattern(b"k", "t", a + b) for a in "αβγδεζηθικλμ" for b in "太郎例え보기길"}) == 12 * 7
+    for n in (129, 200, 5000):
+        found = ("0123456789abcdef" * n)[:n]
+        assert [k for _, _, k in pii.entities(f"key {found} end")] == ["hex"]
+        new = pii.surrogate(b"k", "hex", found)
+        assert len(new) == n and sum(a == b for a, b in zip(new, found, strict=True)) < n / 4
+        assert all(new[i : i + 20] != found[i : i + 20] for i in range(n - 20))
