@@ -2,7 +2,7 @@
 
 Detected entities are e-mail addresses, phone and national identity numbers, IPv4 addresses, payment cards (with a valid
 check digit), bank accounts (IBAN with valid check digits), secrets (named assignments and long hexadecimal strings) and
-persons named with a title. A surrogate keeps type, length, separators, script and case; a card or an account gets valid
+persons named with a title, whose later or earlier mentions in the same text by whole, family or given name need none. A surrogate keeps type, length, separators, script and case; a card or an account gets valid
 check digits; a person keeps the title and so the gender, and known given names are replaced by given names of the same gender.
 
 Each surrogate is a keyed permutation of the entity within its format (a Feistel network with cycle walking over the
@@ -19,6 +19,7 @@ import bisect
 import hashlib
 import hmac
 import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -127,8 +128,20 @@ def iban_ok(text: str) -> bool:
 #: Given names by gender, fixed values for surrogates; a name of a list is replaced by one of that list.
 WOMEN = "Alice Anna Carla Clara Elena Emma Eva Greta Ines Irene Julia Laura Lena Lucia Maria Marta Nadia Olga Paula Petra Rosa Sara Sofia Vera".split()
 MEN = "Adam Alan Bruno Carlos David Diego Erik Felix Georg Hugo Ivan Jan Jean Karl Luis Marco Martin Otto Pablo Paul Peter Robert Simon Victor".split()
-_TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra|Don|Doña"
-_NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+(?:[-'][A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+)*"
+_LISTED = {x.lower() for x in WOMEN + MEN}
+_TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra|Don|Doña|Господин|Госпожа|Г-н|Г-жа|Κύριος|Κυρία"
+
+
+def _ranges(kinds: tuple[str, ...]) -> str:
+    """The letters of these categories for a character class."""
+    found = [i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i)) in kinds]
+    starts = [i for i, before in zip(found, [-2, *found], strict=False) if i != before + 1]
+    ends = [i for i, after in zip(found, [*found[1:], -2], strict=True) if i + 1 != after]
+    return "".join(f"{chr(i)}-{chr(k)}" for i, k in zip(starts, ends, strict=True))
+
+
+_UPPER, _LOWER = _ranges(("Lu", "Lt")), _ranges(("Ll",))
+_NAME = rf"[{_UPPER}][{_LOWER}]+(?:[-'][{_UPPER}][{_LOWER}]+)*"
 
 PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[\w-]+\.)+[^\W\d_]{2,}(?![\w-])"),
@@ -174,6 +187,26 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             apart = (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= z)
             if apart and valid(kind, text[a:z]):
                 taken.insert(i, (a, z, kind))
+    return untitled(text, taken)
+
+
+def untitled(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """taken with the mentions without title of the persons in it: by whole name, family name or given name."""
+    kinds: dict[str, str] = {}
+    for a, z, kind in taken:
+        if kind == "person":
+            given, _, family = text[a:z].partition(" ")
+            kinds[text[a:z]] = "person"
+            if family:
+                kinds[family] = "person"
+                kinds.setdefault(given, "given")
+    if kinds:
+        names = "|".join(map(re.escape, sorted(kinds, key=len, reverse=True)))
+        for m in re.finditer(rf"(?<!\w)(?:{names})(?!\w)", text):
+            a, z = m.span()
+            i = bisect.bisect(taken, (a, z, ""))
+            if (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= z):
+                taken.insert(i, (a, z, kinds[m[0]]))
     return taken
 
 
@@ -181,7 +214,7 @@ def normal(kind: str, found: str) -> str:
     """What all mentions of an entity have in common."""
     if kind in ("card", "phone", "national"):
         return only_digits(found)
-    if kind in ("email", "hex", "person"):
+    if kind in ("email", "hex", "person", "given"):
         return lowered(found)
     if kind == "iban":
         return found.replace(" ", "").upper()
@@ -220,17 +253,27 @@ def surrogate(key: bytes, kind: str, found: str) -> str:
         check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{n[:2]}00")) % 97
         left = iter(f"{n[:2]}{check:02d}{body}")
         return "".join(c if c == " " else next(left) for c in found)
-    if kind == "person":
-        first, _, rest = n.partition(" ")
-        for names in (WOMEN, MEN):
-            known = [x.lower() for x in names]
-            if first in known and rest:
-                i = permuted(key, "given" + rest, known.index(first), len(names))
-                return f"{names[i]} {recased(found[len(first) + 1 :], same_pattern(key, 'family', rest))}"
-        return recased(found, same_pattern(key, "family", n))
+    if kind == "given":
+        return given_name(key, found)
+    if kind == "person":  # the parts do not depend on each other, so a family name has one surrogate with and without a given name
+        given, _, family = found.rpartition(" ")
+        new = recased(family, same_pattern(key, "family", lowered(family)))
+        return f"{given_name(key, given)} {new}" if given else new
     return recased(found, same_pattern(key, kind, found.lower()))  # secrets keep their case pattern
 
 
+def given_name(key: bytes, found: str) -> str:
+    """A listed name gives another of its list, any other one a name within its pattern that is in no list."""
+    n = lowered(found)
+    for names in (WOMEN, MEN):
+        if (known := [x.lower() for x in names]).count(n):
+            return names[permuted(key, "given", known.index(n), len(names))]
+    while True:
+        n = same_pattern(key, "given", n)
+        if n not in _LISTED:
+            return recased(found, n)
+
+
 def rewritten(key: bytes, text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
     if not spans:
         return text
@@ -262,7 +305,7 @@ def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         rows = []
         for doc, text in zip(ids, found, strict=True):
             spans = entities(text)
-            rows.append((doc, rewritten(key, text, spans), len(spans), sorted({k for _, _, k in spans})))
+            rows.append((doc, rewritten(key, text, spans), len(spans), sorted({"person" if k == "given" else k for _, _, k in spans})))
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), REPLACED, strict=True)], schema=REPLACED)
 
     return in_small_batches(docs).select("doc_id", "text").mapInArrow(_over_texts(out), "doc_id long, text string, n_entities long, kinds array<string>")

@@ -85,3 +85,21 @@ def test_addresses_of_every_script_and_long_keys_are_replaced():
         new = pii.surrogate(b"k", "hex", found)
         assert len(new) == n and sum(a == b for a, b in zip(new, found, strict=True)) < n / 4
         assert all(new[i : i + 20] != found[i : i + 20] for i in range(n - 20))
+
+
+def test_persons_are_one_in_all_their_mentions():
+    text = "Mrs. Anna Müller came. Anna Müller sat; Müller slept and Anna woke. Herr Kovář, Mr Иван Петров and Dr Γιώργος Παπάς; Петров left. Mr John Smith and Mr Smith."
+    spans = pii.entities(text)
+    new = pii.rewritten(b"k", text, spans)
+    for name in ("Anna", "Müller", "Kovář", "Иван", "Петров", "Γιώργος", "Παπάς", "John", "Smith"):
+        assert name not in new, name
+    found = [pii.surrogate(b"k", k, text[a:z]) for a, z, k in spans]
+    first, family = found[0].split(" ")
+    assert found[1] == found[0] and found[2] == family and found[3] == first and first in pii.WOMEN
+    assert found[-2].split(" ")[1] == found[-1]
+    assert found[5].split(" ")[1] == found[7]
+
+
+def test_given_names_outside_the_lists_never_become_listed_ones():
+    new = {pii.given_name(b"k", x + y + z) for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for y in "abcdefghijklmnopqrstuvwxyz" for z in "abcdefghijklmnopqrstuvwxyz"}
+    assert len(new) == 26**3
