@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -62,3 +62,14 @@ def cosine(a: Column, b: Column) -> Column:
 def semantic_search(df: DataFrame, ident: str, vector: str, query: Column, n: int = 50) -> DataFrame:
     """ident and cosine similarity of the n nearest vectors."""
     return df.select(ident, cosine(F.col(vector), query).alias("similarity")).orderBy(F.desc("similarity"), ident).limit(n)
+
+
+def semantic_search_each(df: DataFrame, ident: str, vector: str, queries: DataFrame, n: int = 50) -> DataFrame:
+    """query_id, ident, rank and cosine similarity of the n nearest vectors of each row of queries (ident and vector)."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    own = lambda t, i, v, l: t.select(F.col(ident).alias(i), F.col(vector).cast("array<double>").alias(v)).withColumn(l, F.sqrt(dot(F.col(v), F.col(v))))
+    pairs = own(df, ident, "v", "length").crossJoin(own(queries, "query_id", "w", "query_length"))
+    found = pairs.select("query_id", ident, (dot(F.col("v"), F.col("w")) / (F.col("length") * F.col("query_length"))).alias("similarity"))
+    # tasks keep the n first of each query before the exchange
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), ident))
+    return found.withColumn("rank", rank).where(F.col("rank") <= n)

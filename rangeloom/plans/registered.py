@@ -479,6 +479,15 @@ def semantic_search(spark, d):
     return analytics.semantic_search(e, "vec_id", "embedding", query_vector, 20).withColumn("similarity", F.round("similarity", 6))
 
 
+@query(
+    "WITH q AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE vec_id % 100 = 0), s AS (SELECT query_id, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])) AS c FROM embeddings, q), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, rank, round(c, 6) AS similarity FROM r WHERE rank <= 20"
+)
+def semantic_search_each(spark, d):
+    e = read(spark, d, "embeddings")
+    return analytics.semantic_search_each(e, "vec_id", "embedding", e.where("vec_id % 100 = 0"), 20).withColumn("similarity", F.round("similarity", 6))
+
+
 @query("SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS value FROM orders")
 def indexer_output(spark, d):
     path = scratch(spark, "indexer")
