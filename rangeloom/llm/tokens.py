@@ -3,8 +3,8 @@
 The byte-level tokenizers cut text by a pattern before they merge. Some cuts are certain from two neighbouring
 characters alone: before a space or newline that follows a visible character, and between an ASCII letter and an ASCII
 mark. Text between certain cuts (a unit) encodes the same alone as in place, so each distinct unit goes through the
-library once and the ids of a text are gathered from those of its units. Hashes of all units of a block come from one
-running sum, so only units that were never seen become Python strings.
+library once and the ids of a text are gathered from those of its units. Hashes of all units of a block come from
+running sums, so only units that were never seen become Python strings; a unit that is found by its hash is compared byte by byte.
 """
 
 from __future__ import annotations
@@ -18,9 +18,8 @@ from rangeloom.llm.common import mix
 
 SPECIAL = b"<|endoftext|>"
 BLOCK = 2_000_000
-_SEED = np.random.default_rng(20240229)
-_BYTE = _SEED.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
+PRIME = (1 << 61) - 1
+_BASE = 0x9E3779B97F4A7C15 % PRIME
 _codes = np.arange(256)
 _LETTER = ((_codes | 32) >= 97) & ((_codes | 32) <= 122) & (_codes < 128)
 _GRAPH = (_codes > 32) & (_codes < 127)
@@ -46,30 +45,68 @@ def certain_cuts(data: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of an odd base and of its inverse modulo 2^64, as far as asked."""
+    """Powers of a base and of its inverse modulo the prime 2^61 - 1, as far as asked."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
+        self.low, self.high = self._halves()
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.up) < n:
-            m = len(self.up)
-            more = min(m, n + (1 << 16) - m)
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                own = getattr(self, name)
-                setattr(self, name, np.concatenate([own, own[:more] * np.uint64(pow(base, m, 1 << 64))]))
-        return self.up, self.down
+    def _halves(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.up & np.uint64(0xFFFFFFFF), self.up >> np.uint64(32)
+
+    def upto(self, n: int) -> "Powers":
+        if len(self.up) < n:
+            while len(self.up) < n:
+                m = len(self.up)
+                more = min(m, n + (1 << 16) - m)
+                for name, base in (("up", _BASE), ("down", pow(_BASE, -1, PRIME))):
+                    own = getattr(self, name)
+                    setattr(self, name, np.concatenate([own, times(own[:more], np.uint64(pow(base, m, PRIME)))]))
+            self.low, self.high = self._halves()
+        return self
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(PRIME), x - np.uint64(PRIME), x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, from products of halves."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    mid = a0 * b1 + a1 * b0
+    return _reduced(_reduced(a1 * b1 * np.uint64(2) + (mid >> np.uint64(30)) + ((mid & np.uint64((1 << 30) - 1)) << half)) + a0 * b0)
 
 
 POWERS = Powers()
+#: Bytes whose weighted sums stay below 2^64.
+_STEP = 1 << 22
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, equal for equal bytes wherever they stand."""
-    up, down = POWERS.upto(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each span of bytes, equal for equal bytes wherever they stand: the span's polynomial modulo the prime
+    2^61 - 1, from two running sums (of the powers' halves), spread over 64 bits. Two different spans of n bytes share it for n
+    of 2^61 bases at most; modulo a power of two there are strings that share it whatever the base."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    for i in range(0, len(data), _STEP):
+        part = data[i : i + _STEP].astype(np.uint64) + np.uint64(1)
+        z = i + len(part)
+        powers = POWERS.upto(z)
+        high = _reduced(np.cumsum(part * powers.high[i:z]))
+        # times 2^32 modulo the prime turns 61 bits by 32 places
+        high = (high & np.uint64((1 << 29) - 1)) << np.uint64(32) | high >> np.uint64(29)
+        sums[i + 1 : z + 1] = _reduced(_reduced(np.cumsum(part * powers.low[i:z])) + high + sums[i])
+    return mix(times(_reduced(sums[ends] + np.uint64(PRIME) - sums[starts]), POWERS.upto(len(data) + 1).down[starts]))
+
+
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position of data, which has eight bytes more than are asked for."""
+    return np.ndarray(len(data) - 7, "<u8", data.data, 0, (1,))
+
+
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 class UnitEncoder:
@@ -86,9 +123,10 @@ class UnitEncoder:
         self.place = np.zeros(1 << self.SLOTS, np.int32)
         self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.first, self.ids, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, np.int32), 0
+        self.text_first, self.text = np.zeros(1, np.int64), np.zeros(1 << 16, np.uint8)
 
-    def _learn(self, keys: np.ndarray, units: list[str]) -> None:
-        found = self.encode_strings(units)
+    def _learn(self, keys: np.ndarray, units: list[bytes]) -> None:
+        found = self.encode_strings([u.decode() for u in units])
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         more = int(sizes.sum())
         while self.used + more > len(self.ids):
@@ -97,15 +135,34 @@ class UnitEncoder:
         n = len(self.first) - 1
         self.first = np.concatenate([self.first, self.used + np.cumsum(sizes)])
         self.used += more
+        raw, a = np.frombuffer(b"".join(units), np.uint8), self.text_first[-1]
+        while a + len(raw) + 8 > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros(len(self.text), np.uint8)])
+        self.text[a : a + len(raw)] = raw
+        self.text_first = np.concatenate([self.text_first, a + np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))])
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.at = np.insert(self.at, where, np.arange(n, n + len(keys), dtype=np.int32))
 
-    def _block(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """ids of the units, and how many each has."""
-        if self.used > self.limit:
-            self._forget()
-        h = span_hashes(data, starts, ends)
+    def _same(self, data: np.ndarray, starts: np.ndarray, size: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Whether each unit has the bytes of the known unit at its place; data has eight bytes to spare."""
+        at = self.text_first[place]
+        same = self.text_first[place + 1] - at == size
+        here, there = _words(data), _words(self.text)
+        left = np.flatnonzero(same & (size <= 64))
+        a, b, n = starts[left], at[left], size[left]
+        while len(left):
+            keep = _KEEP[np.minimum(n, 8)]
+            differ = (here[a] ^ there[b]) & keep != 0
+            same[left[differ]] = False
+            more = np.flatnonzero(~differ & (n > 8))
+            left, a, b, n = left[more], a[more] + 8, b[more] + 8, n[more] - 8
+        for i in np.flatnonzero(same & (size > 64)).tolist():
+            same[i] = np.array_equal(data[starts[i] : starts[i] + size[i]], self.text[at[i] : at[i] + size[i]])
+        return same
+
+    def _places(self, h: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The place of each unit by its hash alone; units whose hash is new are learned."""
         slot = (h >> np.uint64(64 - self.SLOTS)).astype(np.int64)
         place = self.place[slot]
         miss = np.flatnonzero(self.tag[slot] != h)
@@ -114,14 +171,28 @@ class UnitEncoder:
             at = np.searchsorted(self.keys, keys)
             new = (at == len(self.keys)) | (self.keys[np.minimum(at, len(self.keys) - 1)] != keys) if len(self.keys) else np.ones(len(keys), bool)
             if new.any():
-                raw = data.tobytes()
                 which = miss[one[new]]
-                self._learn(keys[new], [raw[a:b].decode() for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)])
+                raw = data.tobytes()
+                self._learn(keys[new], [raw[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)])
                 at = np.searchsorted(self.keys, keys)
             own = self.at[at]
             s = slot[miss[one]]
             self.tag[s], self.place[s] = keys, own
             place[miss] = own[back]
+        return place
+
+    def _block(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the units, and how many each has. A unit whose hash is that of other bytes goes on to the next hash."""
+        if self.used > self.limit:
+            self._forget()
+        h, data = span_hashes(data, starts, ends), np.append(data, np.zeros(8, np.uint8))
+        place = self._places(h, data, starts, ends)
+        left = np.flatnonzero(~self._same(data, starts, ends - starts, place))
+        while len(left):
+            h[left] = mix(h[left] + np.uint64(1))
+            a, b = starts[left], ends[left]
+            place[left] = self._places(h[left], data, a, b)
+            left = left[~self._same(data, a, b - a, place[left])]
         size = self.first[place + 1] - self.first[place]
         out = np.cumsum(size)
         ids = self.ids[np.repeat(self.first[place] - out + size, size) + np.arange(out[-1] if len(out) else 0)]

@@ -1,4 +1,6 @@
+import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -23,3 +25,45 @@ def test_forgets_without_changing_results():
     for text in ("one two three", "two four", "one two three"):
         ids, _ = small.encode(*flat_bytes(pa.array([text])))
         assert ids.tolist() == own.tokenizer.encode(text).ids
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_strings_that_polynomials_modulo_powers_of_two_cannot_tell_apart(n):
+    pair = [thue_morse(n), thue_morse(n, "ba")]
+    data, offsets = flat_bytes(pa.array(pair))
+    a, b = tokens.span_hashes(data, offsets[:-1], offsets[1:])
+    assert a != b
+    e = tokens.hub_encoder(tokens.encoder_path("byte_bpe_50k.json"))
+    want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in pair]
+    for column in (pair, pair[::-1], pair[:1], pair[1:]):
+        ids, offsets = tokens.encode_column(e, *flat_bytes(pa.array(column)))
+        for i, t in enumerate(column):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == want[pair.index(t)]
+
+
+def test_units_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    own = tokens.hub_encoder(tokens.encoder_path("byte_bpe_50k.json"))
+    real = tokens.span_hashes
+    monkeypatch.setattr(tokens, "span_hashes", lambda d, a, z: real(d, a, z) & np.uint64(3))
+    few = tokens.UnitEncoder(own.encode_strings)
+    found = ["the quick brown fox " * 3 + "x" * 300 + " " + "x" * 299 + "y", "the quack 12 34 ab-cd " * 5, "internationalisation internationalisatiom"]
+    for _ in range(2):
+        ids, offsets = few.encode(*flat_bytes(pa.array(found)))
+        for i, t in enumerate(found):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == own.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_hashes_follow_the_bytes_wherever_they_stand(monkeypatch):
+    data = np.random.default_rng(5).integers(0, 4, 5000).astype(np.uint8)
+    starts, sizes = np.random.default_rng(6).integers(0, 4000, 3000), np.random.default_rng(7).integers(0, 6, 3000)
+    found = []
+    for step in (1 << 22, 700):
+        monkeypatch.setattr(tokens, "_STEP", step)
+        found.append(tokens.span_hashes(data, starts, starts + sizes).tolist())
+    assert found[0] == found[1]
+    spans = [data[a : a + n].tobytes() for a, n in zip(starts, sizes, strict=True)]
+    assert len(set(zip(spans, found[0], strict=True))) == len(set(spans)) == len(set(found[0]))
