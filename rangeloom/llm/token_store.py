@@ -2,12 +2,14 @@
 
 A rolling hash over the last ids of a stream cuts it into chunks, so equal passages give equal chunks wherever they
 stand. A chunk's address is a digest of its ids. Unique chunks are written once, compressed, to pack files; a document is
-a recipe, the list of its chunks' addresses; recipes are written in ascending doc_id order with a Merkle root each, and a
-manifest holds the root of every recipe file and of the whole. Reading back fetches each pack's ranges, checks every
-address, and rebuilds the checksum of each document from those of its chunks; Merkle roots are compared.
+a recipe, the list of its chunks' addresses, and recipes are written in ascending doc_id order. Merkle nodes are hashes of
+at most FAN children: a document's of its chunks' addresses (all of them), those above of documents and of nodes, up to one root of the
+whole; the manifest has every node. Reading back fetches each pack's ranges, checks every address, rebuilds the checksum of
+each document from those of its chunks, and builds the manifest again from the recipes to compare it.
 
 Pack file: chunks one after the other, each a zstd frame of one byte, the width of an id (2,
-or 4 if the vocabulary needs it), and little-endian unsigned ids of that width. Recipe files: Parquet rows doc_id, start, n_tokens, chunks (address and ids), root.
+or 4 if the vocabulary needs it), and little-endian unsigned ids of that width. Recipe files: Parquet rows doc_id, start,
+n_tokens, place (rank in the order of the files), chunks (address, ids, ids after it). Manifest: level, node, root, children.
 
 Defined cases: null text is the empty text, so the end id alone; rows with repeated or null ids are stored each, null
 first; an empty table gives empty files and an empty result; other columns are ignored.
@@ -21,9 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from rangeloom.llm.common import cut, flat_bytes, mix, new_folder, shuffle_partitions, sub_batches, table, texts
 from rangeloom.llm.files import make_folder, opened, remove_folder, written_whole
@@ -31,37 +32,49 @@ from rangeloom.llm.tokens import encode_column, encoder_path, hub_encoder
 
 #: A cut falls where the rolling hash of WINDOW ids has CUT_BITS zero bits, at least LEAST and at most MOST ids apart.
 WINDOW, CUT_BITS, LEAST, MOST = 16, 9, 64, 4096
+#: Children of a Merkle node above the documents.
+FAN = 1024
 
-CHUNKS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("seq", pa.int32()), ("after", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("pack", pa.int32()), ("offset", pa.int64()), ("size", pa.int32())])
-CHUNKS_DDL = "doc_id long, row long, seq int, after long, n long, digest binary, pack int, offset long, size int"
+CHUNK = [("after", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())]
+PLACE = [("digest", pa.binary()), ("offset", pa.int64()), ("size", pa.int64())]
+FOUND_DDL = "doc_id long, row long, n_tokens long, chunks array<struct<after:long,n:long,digest:binary>>, part int, new array<struct<digest:binary,offset:long,size:long>>"
 
 
-def chunk_ends(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of one id stream."""
-    n = len(ids)
-    if n <= LEAST:
-        return [n] if n else []
+def chunk_ends(ids: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
+    """Ends of the chunks of each id stream; streams stand one after the other in ids. A cut is at least LEAST ids after its
+    stream's start, so the WINDOW ids that decide it are the stream's own."""
+    h = np.zeros(len(ids), np.uint64)
     gear = mix(ids.astype(np.uint64) + np.uint64(1))
-    h = np.zeros(n, np.uint64)
     for k in range(WINDOW):
-        h[k:] += gear[: n - k] << np.uint64(k)
-    found, last = [], 0
-    for p in (np.flatnonzero(h >> np.uint64(WINDOW) & np.uint64((1 << CUT_BITS) - 1) == 0) + 1).tolist():
-        while p - last > MOST:
+        h[k:] += gear[: len(ids) - k] << np.uint64(k)
+    marks = np.flatnonzero(h >> np.uint64(WINDOW) & np.uint64((1 << CUT_BITS) - 1) == 0) + 1
+    bounds = np.searchsorted(marks, offsets).tolist()
+    marks, offsets, found = marks.tolist(), offsets.tolist(), []
+    for i, (last, stop) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+        own = []
+        for p in marks[bounds[i] : bounds[i + 1]] if stop - last > LEAST else ():
+            while p - last > MOST:
+                last += MOST
+                own.append(last)
+            if p - last >= LEAST and p < stop:
+                own.append(p)
+                last = p
+        while stop - last > MOST:
             last += MOST
-            found.append(last)
-        if p - last >= LEAST and p < n:
-            found.append(p)
-            last = p
-    while n - last > MOST:
-        last += MOST
-        found.append(last)
-    return [*found, n]
+            own.append(last)
+        found.append([*own, stop] if stop > offsets[i] else own)
+    return found
+
+
+def _structs(fields: list, columns: list, offsets: np.ndarray) -> pa.Array:
+    """A list column of structs from their flat columns."""
+    flat = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
 
 
 def chunks(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
-    """A row for each chunk of each document. Each partition writes its distinct chunks to a draft pack as it goes; the
-    first row of a chunk has its place there."""
+    """A row for each document with its chunks in order. Each partition writes its distinct chunks to a draft pack as it goes:
+    ``new`` has the places of those that a document is the first to hold there."""
     path = tokenizer or encoder_path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +83,7 @@ def chunks(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: i
 
         encoder = hub_encoder(path)
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        pack = zstandard.ZstdCompressor(level=3)
+        first, pack, address = bytes([width]), zstandard.ZstdCompressor(level=1), hashlib.blake2b
         seen: set[bytes] = set()
         part = TaskContext.get().partitionId()
         row, at = part << 40, 0
@@ -78,28 +91,36 @@ def chunks(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: i
             for batch in batches:
                 for b in sub_batches(batch):
                     ids, offsets = encode_column(encoder, *flat_bytes(b.column(1)))
-                    rows = []
-                    for doc, a, z in zip(b.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                        own = np.append(ids[a:z], np.int32(end_id))
-                        last, row = 0, row + 1
-                        for k, end in enumerate(chunk_ends(own)):
-                            raw = bytes([width]) + own[last:end].astype(f"<u{width}").tobytes()
-                            digest = hashlib.blake2b(raw, digest_size=20).digest()
-                            place = (None, None)
+                    ids, offsets = np.insert(ids, offsets[1:], end_id), offsets + np.arange(len(offsets))
+                    ends = chunk_ends(ids, offsets)
+                    raw, n = memoryview(ids.astype(f"<u{width}").tobytes()), b.num_rows
+                    digests, places, fresh, a = [], [], [0], 0
+                    for own in ends:
+                        for z in own:
+                            data = first + raw[a * width : z * width]
+                            digest = address(data, digest_size=20).digest()
+                            digests.append(digest)
                             if digest not in seen:
                                 if len(seen) > 1 << 20:
                                     seen.clear()  # a chunk may stand twice in a draft; one place is chosen
                                 seen.add(digest)
-                                data = pack.compress(raw)
+                                data = pack.compress(data)
                                 out.write(data)
-                                place = (at, len(data))
+                                places.append((digest, at, len(data)))
                                 at += len(data)
-                            rows.append((doc, row, k, len(own) - end, end - last, digest, part, *place))
-                            last = end
-                    yield table(CHUNKS, **dict(zip(CHUNKS.names, zip(*rows, strict=True), strict=True)))
+                            a = z
+                        fresh.append(len(places))
+                    counts = np.array([0, *map(len, ends)])
+                    flat = np.array([z for own in ends for z in own], np.int64)
+                    after = np.repeat(offsets[1:], counts[1:]) - flat
+                    recipe = _structs(CHUNK, [after, np.diff(flat, prepend=0), digests], np.cumsum(counts))
+                    new = _structs(PLACE, list(zip(*places, strict=True)) or [[], [], []], np.array(fresh))
+                    cols = [b.column(0).cast(pa.int64()), pa.array(np.arange(row, row + n)), pa.array(np.diff(offsets)), recipe, pa.array(np.full(n, part, np.int32)), new]
+                    yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "n_tokens", "chunks", "part", "new"])
+                    row += n
 
     make_folder(f"{folder}/drafts")
-    return texts(docs).mapInArrow(run, CHUNKS_DDL)
+    return texts(docs).mapInArrow(run, FOUND_DDL)
 
 
 def _draft(folder: str, part: int) -> str:
@@ -111,61 +132,85 @@ def write_packs(found: DataFrame, folder: str) -> DataFrame:
     schema = pa.schema([("digest", pa.binary()), ("pack", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, places = None, []
-        for b in batches:
-            for r in b.to_pylist():
-                if r["pack"] != part and places:
-                    yield copied(part, places)
-                    places = []
-                part = r["pack"]
-                places.append((r["digest"], r["offset"], r["size"]))
-        if places:
-            yield copied(part, places)
-
-    def copied(part: int, places: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
-        name, at, rows = f"{folder}/packs/{part:06d}.pack", 0, []
-        with opened(_draft(folder, part)) as f, written_whole(name) as out:
-            for digest, offset, size in places:
-                out.write(f.read_at(size, offset))
-                rows.append((digest, name, at, size))
-                at += size
-        return table(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
+        # rows come by draft and offset; a task copies the ranges of one draft after the other
+        part, out, source, at = None, None, None, 0
+        try:
+            for b in batches:
+                rows = []
+                for digest, own, offset, size in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                    if own != part:
+                        for x in (out, source):
+                            if x is not None:
+                                x.__exit__(None, None, None)
+                        part, at, name = own, 0, f"{folder}/packs/{own:06d}.pack"
+                        source, out = opened(_draft(folder, own)), written_whole(name)
+                        f, to = source.__enter__(), out.__enter__()
+                    to.write(f.read_at(size, offset))
+                    rows.append((digest, name, at, size))
+                    at += size
+                yield table(schema, **dict(zip(schema.names, list(zip(*rows, strict=True)) or [[]] * 4, strict=True)))
+        except BaseException as e:
+            if out is not None:
+                out.__exit__(type(e), e, e.__traceback__)  # a draft of a file that is not complete keeps no name
+                out = None
+            raise
+        finally:
+            for x in (out, source):
+                if x is not None:
+                    x.__exit__(None, None, None)
 
     make_folder(f"{folder}/packs")
-    one = found.where("size is not null").groupBy("digest").agg(F.min(F.struct("pack", "offset", "size")).alias("x")).select("digest", "x.*")
-    one = one.repartition(shuffle_partitions(found.sparkSession), "pack").sortWithinPartitions("pack", "offset")
+    new = found.select("part", F.explode("new").alias("x")).select("part", "x.*")
+    one = new.groupBy("digest").agg(F.min(F.struct("part", "offset", "size")).alias("x")).select("digest", "x.*")
+    one = one.repartition(shuffle_partitions(found.sparkSession), "part").sortWithinPartitions("part", "offset")
     index = cut(one.mapInArrow(run, "digest binary, pack string, offset long, size long"))
     remove_folder(f"{folder}/drafts")
     return index
 
 
-def merkle_root(leaves: list[bytes]) -> bytes:
-    """Root over the leaves in order; an odd last node goes up as it is."""
-    level = [hashlib.sha256(b"\0" + x).digest() for x in leaves] or [hashlib.sha256(b"").digest()]
-    while len(level) > 1:
-        level = [hashlib.sha256(b"\1" + level[i] + level[i + 1]).digest() if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
-    return level[0]
+def hashed_children(kind: str, children: Column) -> Column:
+    """A Merkle node over its children in order: SHA-256 of the kind of node and the children's hexadecimal hashes."""
+    return F.sha2(F.concat(F.lit(kind), F.array_join(children, "")), 256)
 
 
-@F.udf(BinaryType())
-def _root(leaves):
-    return merkle_root([bytes(x) for x in leaves])
+def manifest(recipes: DataFrame) -> DataFrame:
+    """level, node, root, children of every Merkle node over recipes.place: level 1 over FAN documents each, each level
+    over FAN nodes of the one below, the last one over all."""
+    root = hashed_children("0", F.transform("chunks.digest", F.hex))
+    below = recipes.select(F.col("place").alias("node"), root.alias("root"))
+    out, level, nodes = None, 0, None
+    while nodes is None or nodes > 1:
+        level += 1
+        own = below.groupBy(F.floor(F.col("node") / FAN).alias("parent")).agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("x"))  # FAN children at most
+        own = cut(own.select(F.lit(level).alias("level"), F.col("parent").alias("node"), hashed_children("1", F.col("x.root")).alias("root"), F.size("x").alias("children")))
+        out, below, nodes = own if out is None else out.unionByName(own), own, own.count()
+    return out
 
 
 def write_recipes(found: DataFrame, folder: str) -> None:
-    """Recipe files in ascending doc_id order and the manifest of their Merkle roots."""
+    """Recipe files in ascending doc_id order and the manifest of their Merkle nodes."""
     spark = found.sparkSession
-    docs = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("seq", "after", "n", "digest"))).alias("chunks"))
-    ordered = cut(docs.repartitionByRange(shuffle_partitions(spark), "doc_id", "row").withColumn("part", F.spark_partition_id()))
-    own = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("doc_id", "row")) - F.col("n_tokens")
-    totals = ordered.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row for each partition
-    base = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
-    out = ordered.withColumn("own", own).join(F.broadcast(base), "part").withColumn("start", F.col("base") + F.col("own"))
-    out = out.select("doc_id", "row", "part", "start", "n_tokens", "chunks", _root("chunks.digest").alias("root"))
-    out.sortWithinPartitions("part", "doc_id", "row").write.parquet(f"{folder}/recipes")
-    read = spark.read.parquet(f"{folder}/recipes")
-    leaves = F.sort_array(F.collect_list(F.struct("start", "root")))
-    read.groupBy("part").agg(_root(leaves["root"]).alias("root"), F.count("*").alias("documents")).write.parquet(f"{folder}/manifest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, tokens, rows = TaskContext.get().partitionId(), 0, 0
+        for b in batches:
+            n = np.asarray(b.column(1))
+            total = tokens + np.cumsum(n)
+            cols = [*b.columns, pa.array(np.full(len(n), part, np.int32)), pa.array(total - n), pa.array(rows + np.arange(len(n)))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "row", "chunks", "part", "own", "nth"])
+            tokens, rows = int(total[-1]) if len(n) else tokens, rows + len(n)
+
+    # documents in order, counted by their tasks as they stand; a row for each partition then gives the places in the whole
+    ordered = found.select("doc_id", "n_tokens", "row", "chunks").repartitionByRange(shuffle_partitions(spark), "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    ordered = cut(ordered.mapInArrow(run, "doc_id long, n_tokens long, row long, chunks array<struct<after:long,n:long,digest:binary>>, part int, own long, nth long"))
+    totals = ordered.groupBy("part").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("above"))
+    out = ordered.join(F.broadcast(base), "part")  # a row for each partition
+    out.select("doc_id", "row", (F.col("base") + F.col("own")).alias("start"), "n_tokens", (F.col("above") + F.col("nth")).alias("place"), "chunks").write.parquet(f"{folder}/recipes")
+    manifest(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
 
 
 # --- reading back -----------------------------------------------------------------------------------------------
@@ -240,9 +285,9 @@ def read_documents(spark, folder: str, index: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(share.astype(np.int64)), b.column(5)], names=["row", "doc_id", "start", "share", "ids"])
 
     recipes = spark.read.parquet(f"{folder}/recipes")
-    manifest = spark.read.parquet(f"{folder}/manifest").withColumnRenamed("root", "noted")
-    bad = recipes.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("start", _root("chunks.digest").alias("root")))).alias("leaves")).join(manifest, "part", "full").where(~_root("leaves.root").eqNullSafe(F.col("noted")))
-    if bad.limit(1).count():
+    key = ["level", "node", "root", "children"]
+    noted, again = spark.read.parquet(f"{folder}/manifest").select(*key), manifest(recipes).select(*key)
+    if not noted.exceptAll(again).unionByName(again.exceptAll(noted)).isEmpty():
         raise ValueError("recipes do not match the manifest")
     each = recipes.select("row", "doc_id", "start", F.explode("chunks").alias("c")).select("row", "doc_id", "start", "c.digest", "c.after", F.col("c.n").alias("noted"))
     got = each.join(read_packs(index), "digest", "left")

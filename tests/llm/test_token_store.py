@@ -1,9 +1,11 @@
+import hashlib
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rangeloom.llm import token_store
@@ -33,7 +35,9 @@ def test_whole_table(sample):
 def test_cuts_follow_content_and_copies_are_stored_once(spark):
     r = np.random.default_rng(1)
     a, b = r.integers(0, 50000, 20000).astype(np.int32), r.integers(0, 50000, 777).astype(np.int32)
-    x, y = token_store.chunk_ends(a), token_store.chunk_ends(np.concatenate([b, a]))
+    (x,), (y,) = (token_store.chunk_ends(i, np.array([0, len(i)])) for i in (a, np.concatenate([b, a])))
+    both = token_store.chunk_ends(np.concatenate([b, a, a]), np.array([0, 777, 20777, 40777]))
+    assert both[1] == [e + 777 for e in x] and both[2] == [e + 20777 for e in x]
     assert len(set(x) & {e - 777 for e in y}) > 0.9 * len(x)
     assert max(np.diff([0, *x])) <= token_store.MOST and min(np.diff([0, *x[:-1]])) >= token_store.LEAST
     text = " ".join(f"word{i}" for i in range(4000))
@@ -41,7 +45,29 @@ def test_cuts_follow_content_and_copies_are_stored_once(spark):
     folder = new_folder(spark, "t")
     found = cut(token_store.chunks(df, folder))
     index = token_store.write_packs(found, folder)
-    assert index.count() == found.select("digest").distinct().count() < found.count() / 10
+    all_chunks = found.select(F.explode("chunks.digest").alias("digest"))
+    assert index.count() == all_chunks.distinct().count() < all_chunks.count() / 10
+
+
+def test_manifest_is_a_merkle_tree_of_bounded_nodes(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "FAN", 3)
+    text = [None, "", *(f"some text {i} " * (i * 9 % 40) for i in range(20))]
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string").repartition(3)
+    folder = new_folder(spark, "t")
+    found = cut(token_store.chunks(docs, folder))
+    token_store.write_packs(found, folder)
+    token_store.write_recipes(found, folder)
+    rows = sorted(spark.read.parquet(f"{folder}/recipes").collect(), key=lambda r: r.doc_id)
+    assert [r.place for r in rows] == list(range(22))
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    level, want, below = 0, {}, [sha("0" + "".join(c.digest.hex().upper() for c in r.chunks)) for r in rows]
+    while level == 0 or len(below) > 1:
+        level += 1
+        groups = [below[i : i + 3] for i in range(0, len(below), 3)]
+        below = [sha("1" + "".join(g)) for g in groups]
+        want |= {(level, i): (x, len(g)) for i, (x, g) in enumerate(zip(below, groups, strict=True))}
+    got = {(r.level, r.node): (r.root, r.children) for r in spark.read.parquet(f"{folder}/manifest").collect()}
+    assert got == want and max(level for level, _ in got) == 3
 
 
 def test_damage_is_found(spark, sample):
