@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,11 +34,14 @@ def importable(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one is set where the session names none (tests)."""
+    """The folder that driver and executors share. Where the session names none, a session with all executors in the driver's
+    process (tests) gets a temporary one; any other is told to name one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = f"file://{tempfile.mkdtemp(prefix='spark-shared-', dir='/tmp')}"
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -66,6 +70,13 @@ def in_small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def in_larger_tasks(docs: DataFrame, size: int = 16 << 20) -> DataFrame:
+    """docs in tasks of about ``size`` bytes of input or more, by Spark's estimate, without a shuffle: what each task has
+    gathered of its rows meets again after the next shuffle, so many small tasks would shuffle the same keys many times."""
+    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return docs.coalesce(max(1, min(estimate // size, 1 << 30)))
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (null: empty) of the rows, with other columns by name; everything else is pruned."""
     return in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)

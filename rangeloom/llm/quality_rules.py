@@ -6,13 +6,15 @@ each order with log probabilities and log backoff weights to files by hash prefi
 under its whole key, so the model grows with the corpus; the number of shards follows from the counted n-grams. Tasks
 load the shards they meet from the shared folder and hold HELD bytes of them at a time.
 
-The perplexity of a text is that of its bytes from the ORDER-th on. Its logarithm is compared with the median of the texts of
-its language that pass the base rules; a text is rejected outside a band of so many robust deviations of either side,
-the wider the shorter the text.
+The perplexity of a text is that of its bytes from the ORDER-th on by letter: the inverse of their probability, to the power
+one by the number of letters, digits and other characters beyond ASCII marks. So marks between words, of which a model of
+the whole corpus expects as many as the corpus has, raise it without lengthening the text. Its logarithm is compared with
+the median of the texts of its language that pass the base rules (equal texts count once there); a text is rejected outside a
+band of so many robust deviations of either side, the wider the shorter the text.
 
 Defined cases: null text has no words and fails the base rules; a null language is a language of its own; rows with repeated
-or null ids give a row each; a text shorter than ORDER bytes has no perplexity and is judged by the base rules alone; an
-empty table gives an empty result; other columns are ignored.
+or null ids give a row each; a text shorter than ORDER bytes or without letters has no perplexity and is judged by the base
+rules alone; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,16 +29,16 @@ import pyarrow.fs as fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import cut, flat_bytes, in_small_batches, mix, new_folder, sub_batches, table
+from rangeloom.llm.common import cut, flat_bytes, in_larger_tasks, in_small_batches, mix, new_folder, sub_batches, table
 from rangeloom.llm.files import _split
 from rangeloom.llm.tokens import span_hashes
 
-ORDER = 7  # bytes: the longest whose keys are positive longs
+ORDER = 5  # bytes, at most 7 as keys are positive longs
 #: Entries of a shard, and bytes of shards that a worker holds at a time.
 SHARD, HELD = 1 << 20, 160_000_000
-#: Reach of the band below and above the median in robust deviations of that side, and the text length in bytes at which
+#: Reach of the band below and above the median in robust deviations of that side, and the text length in letters at which
 #: its variance doubles.
-BELOW, ABOVE, SHORT = 6.0, 6.0, 400.0
+BELOW, ABOVE, SHORT = 12.0, 6.0, 100.0
 #: Least deviation of log perplexity, so that a corpus of near equal texts rejects none for nothing.
 LEAST_SPREAD = 0.02
 WINDOW_WORDS = 8
@@ -45,6 +47,9 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
+_codes = np.arange(256)
+#: First bytes of letters, digits and characters beyond ASCII.
+_LETTER = ((_codes | 32) >= 97) & ((_codes | 32) <= 122) & (_codes < 128) | (_codes >= 48) & (_codes <= 57) | (_codes >= 0xC2)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -165,7 +170,7 @@ def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
         for lang, own in held.items():
             yield from emitted(lang, own)
 
-    return _rows(docs).mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
+    return in_larger_tasks(_rows(docs)).mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -332,12 +337,12 @@ def arrays(folder: str, language: str) -> Arrays:
 
 # --- scores and verdicts ------------------------------------------------------------------------------------------
 
-SCORES = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((x, pa.int64()) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_scored")), ("log_ppl", pa.float64())])
-SCORES_DDL = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_scored long, log_ppl double"
+SCORES = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((x, pa.int64()) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_letters")), ("log_ppl", pa.float64())])
+SCORES_DDL = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_letters long, log_ppl double"
 
 
 def scores(docs: DataFrame, folder: str) -> DataFrame:
-    """Base counts, number of scored bytes and log perplexity of every row."""
+    """Base counts, number of letters and log perplexity of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -350,13 +355,14 @@ def scores(docs: DataFrame, folder: str) -> DataFrame:
                     data, offsets = flat_bytes(own.column(1))
                     n = own.num_rows
                     at, keys = ngrams(data, offsets)
-                    scored, total = np.zeros(n, np.int64), np.zeros(n)
+                    letters = np.diff(np.concatenate([[0], np.cumsum(_LETTER[data])])[offsets])
+                    scored, total = np.zeros(n, bool), np.zeros(n)
                     if len(keys):
                         doc = np.searchsorted(offsets, at, side="right") - 1
-                        scored = np.bincount(doc, minlength=n)
+                        scored[doc] = True
                         total = np.bincount(doc, weights=arrays(folder, hashlib.sha256(lang.encode()).hexdigest()).log_p(keys), minlength=n)
-                    ppl = pa.array(-total / np.maximum(1, scored), mask=scored == 0)
-                    yield table(SCORES, doc_id=own.column(0), lang=[lang] * n, n_scored=scored, log_ppl=ppl, **base_counts(data, offsets))
+                    ppl = pa.array(-total / np.maximum(1, letters), mask=~scored | (letters == 0))
+                    yield table(SCORES, doc_id=own.column(0), lang=[lang] * n, n_letters=letters, log_ppl=ppl, **base_counts(data, offsets))
 
     return _rows(docs).mapInArrow(run, SCORES_DDL)
 
@@ -372,7 +378,7 @@ def judge(docs: DataFrame, below: float = BELOW, above: float = ABOVE, folder: s
 
 def banded(found: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
     """Verdicts of scored rows; each end of a language's band follows from the texts on its side of the median."""
-    usual = found.where("not base_failed and log_ppl is not null")
+    usual = found.where("not base_failed and log_ppl is not null").select("lang", "log_ppl", "n_letters").distinct()
     middle = usual.groupBy("lang").agg(F.percentile_approx("log_ppl", 0.5, 10000).alias("middle"))  # a row for each language
     away = usual.join(F.broadcast(middle), "lang").withColumn("away", (F.col("log_ppl") - F.col("middle")) / _widening())
     side = lambda on, sign: F.greatest(F.lit(LEAST_SPREAD), F.coalesce(1.4826 * F.percentile_approx(F.when(on, sign * F.col("away")), 0.5, 10000), F.lit(LEAST_SPREAD)))
@@ -384,4 +390,4 @@ def banded(found: DataFrame, below: float = BELOW, above: float = ABOVE) -> Data
 
 
 def _widening():
-    return F.sqrt(1 + SHORT / F.greatest(F.lit(1.0), F.col("n_scored").cast("double")))
+    return F.sqrt(1 + SHORT / F.greatest(F.lit(1.0), F.col("n_letters").cast("double")))
