@@ -2,11 +2,19 @@
 
 A fingerprint of 64 bits is cut into a ring of segments, one more than the allowed distance. If two fingerprints differ
 in at most t bits, some chain of consecutive segments keeps every cumulative difference within its proportional share
-of t: none in the first segment, one in the first two, and so on. The join key holds the first two segments of each
-chain (one side lists the at most one flipped bit of the second), the longer chains are tested inside the join's
-condition, then the whole distance.
+of t: none in the first segment, one in the first two, two in the first three, and so on. The bucket key holds the first three
+segments of a chain; each fingerprint is filed under its own key and those with one bit of the second or third segment
+flipped, so two that differ in two of these bits meet. What meets in a bucket is tested on the chain's further lengths, then on
+the whole distance.
 
-Equal fingerprints are one node: copies never become pairs. Links are made transitive by star contraction.
+A bucket gives a spanning forest of its links, not all pairs: whoever is linked to a member is tested against those that are
+not linked yet. Every link is a link of some bucket, so the forests together have the components of all links, and a dense group
+gives as many rows as it has members. Equal fingerprints are one node. Links are made transitive by star contraction.
+
+``near_duplicates`` is by the fingerprint of word shingles alone. ``one_of_each`` asks for a similarity of about 0.8 on five-word
+shingles: an edited word changes five shingles but one word, so candidates come from the fingerprints of the distinct words
+(WORD_BITS apart at most) and are checked by those of the shingles, from whose distance the similarity is estimated
+(SHINGLE_BITS: at a similarity of 0.8 pairs are 9.7 bits apart in the mean, at 0.5 they are 17).
 
 Defined cases: null text is the empty text; a text without words has fingerprint 0; repeated rows and repeated ids give
 a row each; a component in which every id is null has a null component_id; an empty table gives an empty result; other
@@ -15,50 +23,90 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from functools import reduce
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import connected, cut, release, texts
+from rangeloom.llm.common import connected, cut, release, shuffle_partitions, texts
 
 SEED = 42
+#: Segments of a key, bytes of a text that are cut into words at a time, and members of a bucket that are tested pair by pair.
+KEYED, BLOCK, FEW = 3, 1 << 20, 16
+WORD_BITS, SHINGLE_BITS = 7, 14
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_blocks(text: str) -> Iterator[list[bytes]]:
+    """The words of a text with ASCII letters in lower case, by blocks of some BLOCK bytes."""
+    raw, at = text.encode(), 0
+    while at < len(raw):
+        end = _BLANK.search(raw, at + BLOCK) if at + BLOCK < len(raw) else None
+        end = end.start() if end else len(raw)
+        yield raw[at:end].lower().split()
+        at = end
 
-def fingerprint(text: str, words: int) -> int:
-    """Signed 64-bit fingerprint: a bit is set if it is set in over half of the shingles' hashes."""
-    from xxhash import xxh64_intdigest as h
 
-    parts = text.encode().lower().split()
-    if not parts:
-        return 0
-    line = b" ".join(parts)
-    if len(parts) <= words:
-        return int(np.uint64(h(line, SEED)).astype(np.int64))
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate([[0], ends[: -words] + 1]).tolist()
-    hashes = np.array([h(line[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)], dtype=np.uint64)
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes have each bit."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 14):
         bits = np.unpackbits(hashes[i : i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+    return ones
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id, k2 (hash of the text) and fp (signed long) of every row."""
+def _majority(ones: np.ndarray, n: int) -> int:
+    return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
+
+
+def fingerprint(text: str, words: int) -> int:
+    """Signed 64-bit fingerprint: a bit is set if it is set in over half of the shingles' hashes."""
+    from xxhash import xxh64_intdigest as h
+
+    ones, n, before = np.zeros(64, np.int64), 0, []
+    for block in word_blocks(text):
+        parts = before + block
+        if len(parts) < words:
+            before = parts
+            continue
+        line = b" ".join(parts)
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+        starts = np.concatenate([[0], ends[:-words] + 1]).tolist()
+        hashes = np.array([h(line[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)], dtype=np.uint64)
+        ones, n, before = ones + _ones(hashes), n + len(hashes), parts[len(parts) - words + 1 :]
+    if not n:
+        return int(np.uint64(h(b" ".join(before), SEED)).astype(np.int64)) if before else 0
+    return _majority(ones, n)
+
+
+def word_fingerprint(text: str) -> int:
+    """As fingerprint, of the distinct words."""
+    from xxhash import xxh64_intdigest as h
+
+    found = np.zeros(0, np.uint64)
+    for block in word_blocks(text):
+        found = np.union1d(found, np.array([h(w, SEED) for w in set(block)], dtype=np.uint64))
+    return _majority(_ones(found), len(found)) if len(found) else 0
+
+
+def fingerprints(docs: DataFrame, words: int = 4, by_word: bool = False) -> DataFrame:
+    """doc_id, k2 (hash of the text) and fp (signed long) of every row; by_word: fp of the distinct words, and wide of the shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = pa.array([fingerprint(t, words) for t in b.column(1).to_pylist()], type=pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), fp], names=["doc_id", "k2", "fp"])
+            found = b.column(1).to_pylist()
+            cols = [pa.array([fingerprint(t, words) for t in found], pa.int64())]
+            if by_word:
+                cols.insert(0, pa.array([word_fingerprint(t) for t in found], pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), *cols], names=["doc_id", "k2", "fp", "wide"][: 2 + len(cols)])
             release()
 
-    return texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2")).mapInArrow(run, "doc_id long, k2 long, fp long")
+    return texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2")).mapInArrow(run, "doc_id long, k2 long, fp long" + ", wide long" * by_word)
 
 
 def _ring(distance: int) -> list[tuple[int, int]]:
@@ -68,53 +116,114 @@ def _ring(distance: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), s) for i, s in enumerate(sizes)]
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def links(nodes: DataFrame, distance: int = 4) -> DataFrame:
-    """Pairs (a, b) of distinct values of nodes.fp, a < b, that differ in 1 to ``distance`` bits."""
-    ring = _ring(distance)
+def _keys(distance: int) -> list[F.Column]:
+    """The keys of a fingerprint: for every chain its first segments, plain and with one bit flipped after the first."""
+    ring, out = _ring(distance), []
     n = len(ring)
-    if distance == 0:
+    for i in range(n):
+        own, key, flips, width = [ring[(i + k) % n] for k in range(min(KEYED, n - 1))], None, [0], 0
+        for k, (off, size) in enumerate(own):
+            part = F.shiftrightunsigned("fp", off).bitwiseAND(F.lit((1 << size) - 1))
+            key = part if key is None else F.shiftleft(key, size).bitwiseOR(part)
+            width += size if k else 0
+        flips += [1 << b for b in range(width)]
+        out += [key.bitwiseXOR(F.lit(i << 58 | f)) for f in flips]
+    return out
+
+
+class Chains:
+    """The test of two fingerprints that meet under a key of chain i: each further length, the whole distance, then ``wide``."""
+
+    def __init__(self, distance: int, wide_distance: int | None):
+        ring = _ring(distance)
+        n = len(ring)
+        self.distance, self.wide_distance = distance, wide_distance
+        self.masks = [[sum(((1 << s) - 1) << o for o, s in (ring[(i + k) % n] for k in range(length))) for length in range(1, n)] for i in range(n)]
+        self.budgets = [length * distance // n for length in range(1, n)]
+
+    def linked(self, i: np.ndarray, diff: np.ndarray, wide: np.ndarray | None) -> np.ndarray:
+        """Positions of the pairs with difference diff that are links; i is the chain of each, in rising order."""
+        out = []
+        for chain in np.unique(i):
+            at = np.arange(np.searchsorted(i, chain), np.searchsorted(i, chain, side="right"))
+            for mask, most in zip(self.masks[chain], self.budgets, strict=True):
+                at = at[np.bitwise_count(diff[at] & np.uint64(mask)) <= most]
+            at = at[np.bitwise_count(diff[at]) <= self.distance]
+            if wide is not None:
+                at = at[np.bitwise_count(wide[at]) <= self.wide_distance]
+            out.append(at)
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+    def forest(self, chain: int, fp: np.ndarray, wide: np.ndarray | None) -> tuple[list, list]:
+        """Links that connect what the links among fp connect."""
+        a, b, left = [], [], np.arange(len(fp))
+        while len(left):
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                one = queue.pop()
+                at = self.linked(np.full(len(left), chain), fp[left] ^ fp[one], None if wide is None else wide[left] ^ wide[one])
+                if len(at):
+                    queue += left[at].tolist()
+                    a.append(np.full(len(at), one))
+                    b.append(left[at])
+                    left = np.delete(left, at)
+        return a, b
+
+
+def links(nodes: DataFrame, distance: int = 4, wide_distance: int | None = None) -> DataFrame:
+    """Pairs (a, b) of distinct values of nodes.fp that differ in 1 to ``distance`` bits: enough of them to connect what all of
+    them connect. With wide_distance nodes are (fp, wide), a and b structs of both, and wide differs in so many bits at most too."""
+    names = ["fp"] if wide_distance is None else ["fp", "wide"]
+    schema = ", ".join(f"{side}_{n} long" for side in "ab" for n in names)
+    side = lambda x: F.col(f"{x}_fp").alias(x) if wide_distance is None else F.struct(*[F.col(f"{x}_{n}").alias(n) for n in names]).alias(x)
+    if distance == 0 and wide_distance is None:
         return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
 
-    def part(i: int) -> F.Column:
-        off, size = ring[i % n]
-        return F.shiftrightunsigned("fp", off).bitwiseAND(F.lit((1 << size) - 1))
-
-    plain, near = [], []
-    for i in range(n):
-        size = ring[(i + 1) % n][1]
-        key = F.lit(i << 58).bitwiseOR(F.shiftleft(part(i), size)).bitwiseOR(part(i + 1))
-        plain.append(F.struct(F.lit(i).alias("i"), key.alias("key")))
-        # budgets: floor(l * distance / n) is 0 for the first segment and at most 1 for the first two
-        flips = [0] + [1 << b for b in range(size)] if 2 * distance // n else [0]
-        near += [F.struct(F.lit(i).alias("i"), key.bitwiseXOR(F.lit(f)).alias("key")) for f in flips]
-    index = nodes.select(F.col("fp").alias("a"), F.explode(F.array(*plain)).alias("x")).select("a", "x.i", "x.key")
-    query = nodes.select(F.col("fp").alias("b"), F.explode(F.array(*near)).alias("x")).select("b", "x.key")
-    diff = F.col("a").bitwiseXOR(F.col("b"))
-
-    def viable(i: int) -> F.Column:
-        """Whether every chain from segment i keeps its budget; the first two lengths are what the keys test."""
-        ok, mask = F.lit(True), 0
-        for length in range(1, n):
-            off, size = ring[(i + length - 1) % n]
-            mask |= ((1 << size) - 1) << off
-            ok = ok & (F.bit_count(diff.bitwiseAND(F.lit(_signed(mask)))) <= length * distance // n)
-        return ok
-
-    # a pair counts at its first viable chain, so it comes out once
-    turns = [F.when(F.col("i") == i, viable(i) & ~(reduce(or_, map(viable, range(i))) if i else F.lit(False))) for i in range(n)]
-    ok = (F.col("a") < F.col("b")) & (F.bit_count(diff) <= distance) & F.coalesce(*turns, F.lit(False))
-    return index.join(query, (index.key == query.key) & ok).select("a", "b")
-
-
-def grouped(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """doc_id, k2, fp and root (a fingerprint that names the component) of every row."""
-    own = cut(fingerprints(docs, words))
-    roots = connected(links(own.select("fp").distinct(), distance))
-    return own.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "k2", "fp", F.coalesce("root", "fp").alias("root"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test, held = Chains(distance, wide_distance), None
+        for b in batches:
+            cols = [np.asarray(c).view(np.uint64) for c in b.columns]
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
+            # the last bucket may go on in the next batch
+            end = int(np.searchsorted(cols[0].view(np.int64), cols[0].view(np.int64)[-1])) if len(cols[0]) else 0
+            held = [c[end:] for c in cols]
+            yield found(test, [c[:end] for c in cols])
+        if held is not None:
+            yield found(test, held)
+
+    def found(test: Chains, cols: list[np.ndarray]) -> pa.RecordBatch:
+        key, fp, wide = cols[0], cols[1], cols[2] if len(cols) > 2 else None
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(first, append=len(key))
+        a, b = [], []
+        for gap in range(1, min(FEW, int(size.max(initial=0)))):
+            one = np.concatenate([np.zeros(0, np.int64), *(first[(size <= FEW) & (size > gap + k)] + k for k in range(FEW - gap))])
+            one = one[np.argsort(key[one] >> np.uint64(58), kind="stable")]
+            at = one[test.linked((key[one] >> np.uint64(58)).astype(np.int64), fp[one] ^ fp[one + gap], None if wide is None else wide[one] ^ wide[one + gap])]
+            a.append(at)
+            b.append(at + gap)
+        for start, n in zip(first[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
+            own = slice(start, start + n)
+            x, y = test.forest(int(key[start]) >> 58, fp[own], None if wide is None else wide[own])
+            a += [start + v for v in x]
+            b += [start + v for v in y]
+        a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (a, b))
+        return pa.RecordBatch.from_arrays([pa.array(c[v].view(np.int64)) for v in (a, b) for c in cols[1:]], names=[f"{s}_{n}" for s in "ab" for n in names])
+
+    filed = nodes.select(F.explode(F.array(*_keys(max(1, distance)))).alias("key"), *names)
+    # by key alone, so that no bucket ends within a task
+    filed = filed.repartition(shuffle_partitions(nodes.sparkSession), "key").sortWithinPartitions("key")
+    return filed.mapInArrow(run, schema).select(side("a"), side("b")).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def grouped(docs: DataFrame, words: int = 4, distance: int = 4, wide_distance: int | None = None) -> DataFrame:
+    """doc_id, k2, fp and root (a node that names the component) of every row. wide_distance: as for links, fp of the distinct words."""
+    own = cut(fingerprints(docs, words, wide_distance is not None))
+    names = ["fp"] if wide_distance is None else ["fp", "wide"]
+    roots = connected(links(own.select(*names).distinct(), distance, wide_distance))
+    node = F.col("fp") if wide_distance is None else F.struct(*names)
+    return own.withColumn("node", node).join(roots, "node", "left").select("doc_id", "k2", "fp", F.coalesce("root", "node").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
@@ -124,9 +233,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataF
     return own.join(least, "root").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 5, distance: int = WORD_BITS, wide_distance: int | None = SHINGLE_BITS) -> DataFrame:
     """One row of each component with all its columns: the least doc_id (a row without id only if no other has one)."""
-    least = grouped(docs, words, distance).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(-1)).alias("k1"), "k2")).alias("x"))
+    own = grouped(docs, words, distance, wide_distance)
+    least = own.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(-1)).alias("k1"), "k2")).alias("x"))
     kept = least.select("x.nameless", "x.k1", "x.k2")
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(-1)).alias("k1"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2"))
     return keyed.join(kept, ["nameless", "k1", "k2"]).dropDuplicates(["nameless", "k1", "k2"]).select("row.*")

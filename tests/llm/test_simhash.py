@@ -12,24 +12,48 @@ def brute_fp(text, k):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def brute(rows, k=4, d=4):
-    fp = [brute_fp(t, k) for _, t in rows]
-    parent = list(range(len(rows)))
+def brute_words(text):
+    w = {x for x in "".join(c.lower() if c.isascii() else c for c in text or "").translate({c: " " for c in range(9, 14)}).split(" ") if x}
+    h = [xxh64_intdigest(x.encode(), 42) for x in w]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def groups(n, linked):
+    """The least member of each one's component."""
+    parent = list(range(n))
 
     def find(i):
         while parent[i] != i:
             i = parent[i]
         return i
 
-    for i in range(len(rows)):
+    for i in range(n):
         for j in range(i):
-            if (fp[i] ^ fp[j]).bit_count() <= d:
+            if linked(i, j):
                 parent[max(find(i), find(j))] = min(find(i), find(j))
-    out = []
-    for i, (doc, _) in enumerate(rows):
-        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
-        out.append((doc, f"{fp[i]:016x}", min(ids, default=None)))
-    return sorted(out, key=str)
+    return [find(i) for i in range(n)]
+
+
+def named(rows, group):
+    """The least id of each row's component."""
+    least = {}
+    for (doc, _), g in zip(rows, group, strict=True):
+        if doc is not None:
+            least[g] = min(doc, least.get(g, doc))
+    return [least.get(g) for g in group]
+
+
+def brute(rows, k=4, d=4):
+    fp = [brute_fp(t, k) for _, t in rows]
+    ids = named(rows, groups(len(rows), lambda i, j: (fp[i] ^ fp[j]).bit_count() <= d))
+    return sorted(((doc, f"{fp[i]:016x}", ids[i]) for i, (doc, _) in enumerate(rows)), key=str)
+
+
+def brute_kept(rows):
+    """Ids of the rows that one_of_each keeps."""
+    a, b = [brute_words(t) for _, t in rows], [brute_fp(t, 5) for _, t in rows]
+    near = lambda i, j: (a[i] ^ a[j]).bit_count() <= simhash.WORD_BITS and (b[i] ^ b[j]).bit_count() <= simhash.SHINGLE_BITS
+    return set(named(rows, groups(len(rows), near)))
 
 
 def check(df):
@@ -47,11 +71,68 @@ def test_whole_table(sample):
     check(sample)
 
 
-def test_links_equal_brute_force(spark):
+def test_links_connect_what_all_links_connect(spark, monkeypatch):
     r = random.Random(5)
     base = [r.getrandbits(64) for _ in range(40)]
     fps = {x ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 6))) for x in base for _ in range(12)} | {0, (1 << 64) - 1, 1 << 63}
-    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
-    for d in (4, 0, 1, 3, 6):
-        got = [tuple(x) for x in simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), d).collect()]
-        assert sorted(got) == sorted((a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= d)
+    signed = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    for d, few in ((4, 16), (4, 1), (0, 16), (1, 16), (2, 16), (3, 16), (6, 2), (7, 16)):
+        monkeypatch.setattr(simhash, "FEW", few)
+        near = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= d  # noqa: B023, E731
+        got = [tuple(x) for x in simhash.links(df, d).collect()]
+        assert all(a < b and near(a, b) for a, b in got) and len(set(got)) == len(got)
+        pairs, at = set(got), {x: i for i, x in enumerate(signed)}
+        linked = {(at[b], at[a]) for a, b in pairs}
+        assert groups(len(signed), lambda i, j: (i, j) in linked) == groups(len(signed), lambda i, j: near(signed[i], signed[j]))  # noqa: B023
+
+
+def test_a_dense_group_gives_few_links(spark):
+    fps = [0, *(1 << i | 1 << j for i in range(64) for j in range(i))]
+    n = simhash.links(spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")).count()
+    assert len(fps) - 1 <= n < 100 * len(fps)
+
+
+def test_long_texts_are_cut_into_blocks(monkeypatch):
+    text = "".join(random.Random(1).choice(["one two", " three\n", "four ", "\tfive six ", "seven", "É "]) for _ in range(600))
+    want = [simhash.fingerprint(text, k) for k in (1, 4, 5)], simhash.word_fingerprint(text)
+    monkeypatch.setattr(simhash, "BLOCK", 37)
+    assert ([simhash.fingerprint(text, k) for k in (1, 4, 5)], simhash.word_fingerprint(text)) == want
+    assert want[0][1] & (2**64 - 1) == brute_fp(text, 4) and want[1] & (2**64 - 1) == brute_words(text)
+
+
+def test_one_of_each_equals_brute_force(edge, sample):
+    for df in (edge, sample):
+        rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+        assert sorted((r.doc_id for r in simhash.one_of_each(df).collect()), key=str) == sorted(brute_kept(rows), key=str)
+
+
+def test_near_copies_share_a_component(spark):
+    """Of the pairs of different texts with a Jaccard similarity of 0.8 or more of their five-word shingles, at least 0.9 are in one component."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    shingles, holders = {}, {}
+    for doc, text in rows:
+        w = text.lower().split()
+        shingles[doc] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+        for x in shingles[doc]:
+            holders.setdefault(x, []).append(doc)
+    shared = {}
+    for own in holders.values():
+        for i, a in enumerate(own if len(own) < 300 else ()):
+            for b in own[:i]:
+                shared[b, a] = shared.get((b, a), 0) + 1
+    text = dict(rows)
+    near = [(a, b) for (a, b), n in shared.items() if text[a] != text[b] and n / (len(shingles[a]) + len(shingles[b]) - n) >= 0.8]
+    r = random.Random(3)
+    edited = []
+    for doc, t in rows[:150]:  # light edits of every text, at a similarity of 0.8 to 1
+        w = t.split(" ")
+        if len(w) >= 60:
+            for i in r.sample(range(len(w)), max(1, len(w) // 60)):
+                w[i] = r.choice(["alpha", "beta", "gamma", "delta"]) + str(i)
+            edited.append((1_000_000 + doc, " ".join(w)))
+            near.append((doc, 1_000_000 + doc))
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(edited, "doc_id long, text string"))
+    roots = {x.doc_id: x.root for x in simhash.grouped(both, 5, simhash.WORD_BITS, simhash.SHINGLE_BITS).collect()}
+    assert sum(roots[a] == roots[b] for a, b in near) >= 0.9 * len(near) and len(near) > 60
