@@ -5,7 +5,8 @@ character. The first boundary in an overlap that both neighbours have is where t
 memory, so from a common boundary on both give the same pieces, and each piece belongs to one chunk. Boundaries near the
 end of a chunk, where the pattern cannot see what follows, are not used. Pieces are then encoded by the ranks, every
 distinct stretch between certain boundaries once (rangeloom.llm.tokens). Decoding concatenates the bytes of the ranks.
-A text in which two neighbours have no common boundary (one piece longer than the overlap) is encoded uncut.
+Neighbours without a common boundary (a piece longer than the overlap, say) get chunks and overlaps GROWTH times as long, until
+they meet; a text that is one chunk is encoded as it is. Ids and bytes of a text's pieces reach one task in order and are digested as they pass.
 
 Defined cases: null text is the empty text, no tokens; rows with repeated or null ids are encoded each; an empty table
 gives an empty result; other columns are ignored; names of special tokens are ordinary text.
@@ -19,14 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import flat_bytes, shuffle_partitions, sub_batches, table, texts
+from rangeloom.llm.common import flat_bytes, shuffle_partitions, stored, sub_batches, table, texts
 from rangeloom.llm.tokens import UnitEncoder, encoder_path
 
 #: Characters of a chunk before its overlap, and of the overlap.
-CHUNK, OVERLAP = 1 << 15, 1 << 11
+CHUNK, OVERLAP, GROWTH = 1 << 15, 1 << 11, 8
 #: The longest fixed alternative of the pattern looks this far ahead.
 AHEAD = 3
 
@@ -71,8 +72,10 @@ def boundaries(pattern, text: str) -> list[int]:
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 RESULT_DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-SEGMENTS = pa.schema([("doc_id", pa.int64()), ("k2", pa.int64()), ("copies", pa.int64()), ("k", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
-SEGMENTS_DDL = "doc_id long, k2 long, copies long, k long, ids binary, decoded binary"
+SEGMENTS = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("k", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
+SEGMENTS_DDL = "uid long, doc_id long, k long, ids binary, decoded binary"
+CHUNKS = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("k", pa.int64()), ("text", pa.string())])
+CHUNKS_DDL = "uid long, doc_id long, k long, text string"
 
 
 def _whole(path: str):
@@ -92,16 +95,20 @@ def _whole(path: str):
 
 
 def _chunks(chunk: int, overlap: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("k2", pa.int64()), ("copies", pa.int64()), ("k", pa.int64()), ("text", pa.string())])
+    """Rows (doc_id, text) in chunks; uid tells the rows apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for i in range(batch.num_rows):
-                doc, text, copies, k2 = (batch.column(j)[i].as_py() for j in range(4))
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
                 for at in range(0, len(text), chunk * 64):
                     parts = [text[a : a + chunk + overlap] for a in range(at, min(len(text), at + chunk * 64), chunk)]
                     n = len(parts)
-                    yield table(schema, doc_id=[doc] * n, k2=[k2] * n, copies=[copies] * n, k=np.arange(n) + at // chunk, text=parts)
+                    yield table(CHUNKS, uid=[uid] * n, doc_id=[doc] * n, k=np.arange(n) + at // chunk, text=parts)
+                uid += 1
 
     return run
 
@@ -115,7 +122,7 @@ def _overlaps(chunk: int, overlap: int, pattern: str):
         compiled = regex.compile(pattern)
         for b in batches:
             head, tail = [], []
-            for text in b.column(4).to_pylist():
+            for text in b.column(3).to_pylist():
                 found = boundaries(compiled, text)
                 head.append([0, *(x for x in found if x < overlap)])
                 sure = len(text) - AHEAD
@@ -130,29 +137,33 @@ def _segments(path: str, chunk: int):
         c = coder(path)
         for batch in batches:
             for b in sub_batches(batch):
-                first, last = b.column(5).to_pylist(), b.column(6).to_pylist()
-                own = [t[a:] if z is None else t[a : chunk + z] for t, a, z in zip(b.column(4).to_pylist(), first, last, strict=True)]
+                own = [t[a:] if z is None else t[a : chunk + z] for t, a, z in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)), strict=True)]
                 ids, at = c.units.encode(*flat_bytes(pa.array(own, pa.string())))
                 back, end = c.decode(ids, at)
                 raw, back = ids.astype("<u4").tobytes(), back.tobytes()
                 part = lambda buffer, o, w=1: [buffer[x * w : y * w] for x, y in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
-                yield table(SEGMENTS, doc_id=b.column(0), k2=b.column(1), copies=b.column(2), k=b.column(3), ids=part(raw, at, 4), decoded=part(back, end))
+                yield table(SEGMENTS, uid=b.column(0), doc_id=b.column(1), k=b.column(2), ids=part(raw, at, 4), decoded=part(back, end))
 
     return run
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text from its segments, which come in order of uid and k."""
+    uid, doc, n, ids, back = None, None, 0, None, None
     for b in batches:
         rows = []
-        for doc, copies, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            ids, back, n = hashlib.sha256(), hashlib.sha256(), 0
-            for p in parts:
-                ids.update(p["ids"])
-                back.update(p["decoded"])
-                n += len(p["ids"]) // 4
-            rows += [(doc, n, ids.hexdigest(), back.hexdigest())] * copies
+        for own, own_doc, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3), b.column(4), strict=True):
+            if own != uid:
+                if uid is not None:
+                    rows.append((doc, n, ids.hexdigest(), back.hexdigest()))
+                uid, doc, n, ids, back = own, own_doc, 0, hashlib.sha256(), hashlib.sha256()
+            ids.update(x.as_buffer())
+            back.update(y.as_buffer())
+            n += x.as_buffer().size // 4
         if rows:
             yield table(RESULT, **dict(zip(RESULT.names, zip(*rows, strict=True), strict=True)))
+    if uid is not None:
+        yield table(RESULT, doc_id=[doc], n_tokens=[n], ids_sha256=[ids.hexdigest()], decoded_sha256=[back.hexdigest()])
 
 
 def encode_and_decode(docs: DataFrame, ranks: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -162,24 +173,28 @@ def encode_and_decode(docs: DataFrame, ranks: str | None = None, chunk: int = CH
     if not 4 * AHEAD < overlap < chunk:
         raise ValueError("the overlap must be shorter than a chunk and longer than the pattern looks ahead")
     path = ranks or encoder_path("byte_bpe_multi_50k.tiktoken")
-    docs = texts(docs)
+    docs, out, left = texts(docs), None, True
     n = shuffle_partitions(docs.sparkSession)
-    short = docs.where(F.length("text") <= chunk).mapInArrow(_whole(path), RESULT_DDL)
-    long = docs.where(F.length("text") > chunk).groupBy("doc_id", "text").agg(F.count("*").alias("copies")).withColumn("k2", F.xxhash64("text"))
-    cuts = long.mapInArrow(_chunks(chunk, overlap), "doc_id long, k2 long, copies long, k long, text string").repartition(n, "k2", "k")
-    cuts = cuts.mapInArrow(_overlaps(chunk, overlap, public_tokenizers.PATTERN), "doc_id long, k2 long, copies long, k long, text string, head array<int>, tail array<int>")
-    # neighbours meet by a join on (document, chunk): no window needs a document's chunks in one task
-    tails = cuts.select(F.coalesce("doc_id", F.lit(-1)).alias("k1"), "k2", (F.col("k") + 1).alias("k"), F.col("tail").alias("before"))
-    heads = cuts.select(F.coalesce("doc_id", F.lit(-1)).alias("k1"), "k2", "k", "head")
-    meet = heads.join(tails, ["k1", "k2", "k"]).select("k1", "k2", "k", F.array_min(F.array_intersect("head", "before")).alias("at"))
-    lost = meet.where("at is null").select("k1", "k2").distinct()
-    first = meet.select("k1", "k2", "k", F.col("at").alias("first"))
-    last = meet.select("k1", "k2", (F.col("k") - 1).alias("k"), F.col("at").alias("last"))
-    own = cuts.withColumn("k1", F.coalesce("doc_id", F.lit(-1))).join(lost, ["k1", "k2"], "left_anti")
-    own = own.join(first, ["k1", "k2", "k"], "left").join(last, ["k1", "k2", "k"], "left")
-    own = own.select("doc_id", "k2", "copies", "k", "text", F.coalesce("first", F.lit(0)).alias("first"), "last")
-    parts = own.mapInArrow(_segments(path, chunk), SEGMENTS_DDL)
-    parts = parts.groupBy("doc_id", "k2").agg(F.first("copies").alias("copies"), F.sort_array(F.collect_list(F.struct("k", "ids", "decoded"))).alias("parts"))
-    stitched = parts.select("doc_id", "copies", "parts").mapInArrow(_joined, RESULT_DDL)
-    uncut = long.withColumn("k1", F.coalesce("doc_id", F.lit(-1))).join(lost, ["k1", "k2"]).select("doc_id", "text", F.explode(F.expr("sequence(1L, copies)"))).select("doc_id", "text")
-    return short.unionByName(stitched).unionByName(uncut.mapInArrow(_whole(path), RESULT_DDL))
+    key = ["uid", "k"]
+    while left:
+        size = F.length("text")
+        short = docs.where(size <= chunk).mapInArrow(_whole(path), RESULT_DDL)
+        out = short if out is None else out.unionByName(short)
+        cuts = docs.where(size > chunk).mapInArrow(_chunks(chunk, overlap), CHUNKS_DDL).repartition(n, *key)
+        cuts = stored(cuts.mapInArrow(_overlaps(chunk, overlap, public_tokenizers.PATTERN), CHUNKS_DDL + ", head array<int>, tail array<int>"))
+        # neighbours meet by a join on (text, chunk): no window needs a text's chunks in one task
+        tails = cuts.select("uid", (F.col("k") + 1).alias("k"), F.col("tail").alias("before"))
+        meet = stored(cuts.select(*key, "head").join(tails, key).select(*key, F.array_min(F.array_intersect("head", "before")).alias("at")))
+        lost = meet.where("at is null").select("uid").distinct()
+        left = not lost.isEmpty()
+        own = cuts.join(lost, "uid", "left_anti") if left else cuts
+        bounds = meet.select(*key, F.col("at").alias("first"), F.lit(None).cast("int").alias("last")).unionByName(meet.select("uid", (F.col("k") - 1).alias("k"), F.lit(None).cast("int").alias("first"), F.col("at").alias("last")))
+        bounds = bounds.groupBy(*key).agg(F.max("first").alias("first"), F.max("last").alias("last"))
+        own = own.join(bounds, key, "left").select("uid", "doc_id", "k", "text", F.coalesce("first", F.lit(0)).alias("first"), "last")
+        parts = own.mapInArrow(_segments(path, chunk), SEGMENTS_DDL)
+        out = out.unionByName(parts.repartition(n, "uid").sortWithinPartitions("uid", "k").mapInArrow(_digested, RESULT_DDL))
+        if left:  # those texts again, from their chunks' own parts, in longer ones
+            whole = cuts.join(lost, "uid", "left_semi").groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("k", F.substring("text", 1, chunk).alias("part")))).alias("x"))
+            docs = stored(whole.select("doc_id", F.array_join("x.part", "").alias("text")))
+            chunk, overlap = chunk * GROWTH, overlap * GROWTH
+    return out

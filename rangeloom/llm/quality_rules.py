@@ -29,7 +29,7 @@ import pyarrow.fs as fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import cut, flat_bytes, in_larger_tasks, in_small_batches, mix, new_folder, sub_batches, table
+from rangeloom.llm.common import cut, flat_bytes, in_larger_tasks, in_small_batches, mix, new_folder, stored, sub_batches, table
 from rangeloom.llm.files import _split
 from rangeloom.llm.tokens import span_hashes
 
@@ -173,13 +173,6 @@ def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return in_larger_tasks(_rows(docs)).mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df through Parquet in the shared folder, a fraction of the size of a checkpoint."""
-    folder = new_folder(df.sparkSession, "ngrams")
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
-
-
 def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, DataFrame]]:
     """By order: (lang, key, p) interpolated probabilities and (lang, key, g) backoff weights of contexts.
 
