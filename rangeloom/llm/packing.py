@@ -3,9 +3,11 @@
 Every document becomes pieces of at most ``capacity`` tokens. Pieces of equal length are interchangeable, so the search
 works on the histogram of lengths (at most ``capacity`` counts, however many documents there are) and its answer is a
 list of patterns with a number of uses. Around the largest remaining length the undominated fillings are enumerated from
-long to short lengths; a branch whose reachable sums leave more waste than the incumbent filling is cut. The outer
-search keeps the best-fit-decreasing packing as its first incumbent and cuts states whose waste so far already forces as
-many bins as the incumbent has.
+long to short lengths; a branch whose reachable sums leave more waste than the incumbent filling is cut, and a filling whose
+lengths fit into those of another one goes. A branch is a filling and how often it is used: as often as the lengths last, or less. The
+outer search keeps the best-fit-decreasing packing as its first incumbent and cuts states whose waste so far already forces as
+many bins as the incumbent has. It ends when the incumbent meets the lower bound, when all is searched, or after NODES states: bin
+packing has no fast exact way, so what is left open is told by ``gap``, not hidden.
 
 Pieces then take their places by their rank within their length. Ranks come from counts by (length, salt), so a length
 that holds a third of all pieces is still many groups.
@@ -16,6 +18,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -30,6 +33,8 @@ from rangeloom.llm.tokens import encode_column, encoder_path, hub_encoder
 
 CAPACITY = 1024
 END_ID = 2
+#: States of the outer search, fillings of a state, and steps of their enumeration.
+NODES, FILLINGS, STEPS = 6000, 6, 800
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -59,7 +64,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Bins that any packing needs: by volume, and by lengths that cannot share a bin (Martello and Toth's L2)."""
+    """Bins that any packing needs: by volume, by lengths that cannot share a bin (Martello and Toth's L2), and by how many
+    lengths over a (k + 1)-th of a bin one can hold (the dual feasible functions of Fekete and Schepers)."""
     lengths = sorted(counts)
     best = -(-sum(x * n for x, n in counts.items()) // capacity)
     for k in [0, *(x for x in lengths if 2 * x <= capacity)]:
@@ -68,6 +74,9 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
         room = sum((capacity - x) * n for x, n in middle)
         small = sum(x * n for x, n in counts.items() if k <= x <= capacity / 2)
         best = max(best, large + sum(n for _, n in middle) + max(0, -(-(small - room) // capacity)))
+    for k in range(1, 101):
+        parts = sum(n * (k * x if (k + 1) * x % capacity == 0 else (k + 1) * x // capacity * capacity) for x, n in counts.items())
+        best = max(best, -(-parts // (k * capacity)))
     return best
 
 
@@ -103,7 +112,30 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     return [(p, n) for bins in room.values() for p, n in bins.items()]
 
 
-def fillings(counts: dict[int, int], slack: int, most: int = 3) -> list[tuple[int, Pattern]]:
+def fits_into(small: Pattern, large: Pattern) -> bool:
+    """Whether the lengths of small can be put into those of large, each of which is a bin (by best fit). A bin that
+    holds large instead is then never worse, as small can go where large came from."""
+    room = sorted(x for x, k in large for _ in range(k))
+    for x, k in small:
+        for _ in range(k):
+            i = bisect.bisect_left(room, x)
+            if i == len(room):
+                return False
+            if left := room.pop(i) - x:
+                bisect.insort(room, left)
+    return True
+
+
+def undominated(found: list[tuple[int, Pattern]]) -> list[tuple[int, Pattern]]:
+    """Those of the fillings, least waste first, that fit into no other one that is kept."""
+    out: list[tuple[int, Pattern]] = []
+    for waste, filling in found:
+        if not any(fits_into(filling, x) for _, x in out):
+            out.append((waste, filling))
+    return out
+
+
+def fillings(counts: dict[int, int], slack: int, most: int = FILLINGS) -> list[tuple[int, Pattern]]:
     """(waste, filling) of the least wasteful undominated fillings of ``slack``; those with longer lengths first.
 
     reach[i] marks the sums that lengths from the i-th on can make; a branch is cut if no sum in reach brings its waste
@@ -128,7 +160,7 @@ def fillings(counts: dict[int, int], slack: int, most: int = 3) -> list[tuple[in
     def search(i: int, room: int, chosen: Pattern) -> None:
         nonlocal steps
         steps += 1
-        if len(found) == most and found[-1][0] <= least_waste(i, room) or steps > 400:
+        if len(found) == most and found[-1][0] <= least_waste(i, room) or steps > STEPS:
             return
         while i < len(lengths) and lengths[i] > room:
             i += 1
@@ -159,10 +191,15 @@ def fillings(counts: dict[int, int], slack: int, most: int = 3) -> list[tuple[in
                 chosen.append((x, k))
                 room -= k * x
         found.append((room, tuple(chosen)))
-    return found
+    return undominated(found)
 
 
-def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = 6000) -> list[tuple[Pattern, int]]:
+def gap(plan: list[tuple[Pattern, int]], counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Bins of a plan beyond the lower bound: 0 proves that no packing has fewer."""
+    return sum(n for _, n in plan) - lower_bound(counts, capacity)
+
+
+def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
     """Patterns and their uses that pack the histogram; as few bins as the search of ``nodes`` states finds."""
     counts = {x: n for x, n in counts.items() if n}
     best = best_fit(counts, capacity)
@@ -183,13 +220,17 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int =
         elif options is None:
             nodes -= 1
             left[largest] -= 1
-            options = [(w, p) for w, p in fillings(left, capacity - largest)]
+            found = fillings(left, capacity - largest)
             left[largest] += 1
+            options = []
+            for w, filling in found:
+                pattern = Counter(dict(filling))
+                pattern[largest] += 1
+                options.append((w, pattern, min(left[x] // k for x, k in pattern.items())))
+            # after each filling at its most, the same ones used less: the lengths they save may fit better elsewhere
+            options += [(w, pattern, n) for w, pattern, uses in options for n in {uses // 2, 1} if 0 < n < uses]
         if options:
-            w, filling = options[0]
-            pattern = Counter(dict(filling))
-            pattern[largest] += 1
-            uses = min(left[x] // k for x, k in pattern.items())
+            w, pattern, uses = options[0]
             for x, k in pattern.items():
                 left[x] -= k * uses
             trail.append((tuple(sorted(pattern.items(), reverse=True)), uses, w, options[1:]))
@@ -220,7 +261,8 @@ def places(plan: list[tuple[Pattern, int]]) -> np.ndarray:
 def ranked(parts: DataFrame) -> DataFrame:
     """parts with rank, from 0 within equal length, without one task for a length."""
     salts = 4 * shuffle_partitions(parts.sparkSession)
-    parts = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    # with the partition, so that equal rows do not share a salt; parts are materialised, so it is the same each time
+    parts = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id()), F.lit(salts)))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")
     base = parts.groupBy("length", "salt").agg(F.count("*").alias("n")).select("length", "salt", before.alias("base"))
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1

@@ -61,6 +61,28 @@ def test_never_worse_than_best_fit(counts, cap):
     assert packing.lower_bound(counts, cap) <= found <= fit
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 9), min_size=1, max_size=4), st.lists(st.integers(1, 20), min_size=1, max_size=4))
+def test_a_dominated_filling_fits_into_the_other(small, large):
+    pattern = lambda v: tuple(sorted(Counter(v).items(), reverse=True))
+
+    def brute(items, room):
+        return not items or any(r >= items[0] and brute(items[1:], [*room[:i], r - items[0], *room[i + 1 :]]) for i, r in enumerate(room))
+
+    if packing.fits_into(pattern(small), pattern(large)):
+        assert brute(small, large)
+    assert packing.fits_into(pattern(small), pattern(small))
+
+
+def test_uneven_lengths_come_near_the_bound():
+    for seed in range(3):
+        r = random.Random(seed)
+        counts = Counter(r.randint(260, 699) for _ in range(3000))
+        fit, found = packing.best_fit(counts, 1024), packing.complete_bins(counts, 1024)
+        assert valid(counts, 1024, found) <= valid(counts, 1024, fit)
+        assert 0 <= packing.gap(found, counts) <= 0.003 * packing.lower_bound(counts, 1024)
+
+
 def test_finds_the_optimum_that_best_fit_misses():
     assert valid({5: 1, 4: 1, 3: 2, 2: 2, 1: 1}, 10, packing.complete_bins({5: 1, 4: 1, 3: 2, 2: 2, 1: 1}, 10)) == 2
     r = random.Random(1)
