@@ -1,12 +1,12 @@
 """Media columns: content-addressed payloads in tar shards.
 
-A payload is stored losslessly as an 8-bit grey PNG image of 64 samples a row. A task writes the images of its partition
-to one tar shard, each distinct payload once, named by its digest. The catalogue maps a digest to one place: rows carry
-the digest, the shard, and offset and length of the image in it. Metadata columns come from range reads of an image's
-first bytes alone; whole images are read only for the columns that need samples.
-
-Storing needs no shuffle of payloads: copies in different partitions may be stored in several shards, of which the
-catalogue names one.
+A payload is stored losslessly as an 8-bit grey PNG image of 64 samples a row, once in the whole store, named by its digest. A
+first pass over the rows gives their digests and places (partition and number in it); the least place of a digest owns it. In the
+second pass each task reads which rows of its partition are owners and writes their images to its tar shard, so digests are
+shuffled and payloads are not. Rows must come in the same partitions both times, as they do from files or a checkpoint; a row
+that does not have the digest it should is an error. The catalogue maps a digest to its place: rows carry the digest, the shard, and
+offset and length of the image in it. Metadata columns come from range reads of an image's first bytes alone; whole images are
+read only for the columns that need samples.
 
 Defined cases: null text is the empty text, padded to 64 zero bytes; rows with repeated or null ids give a row each;
 an empty table gives an empty result; other columns are ignored.
@@ -22,11 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pads
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import cut, new_folder, release, shuffle_partitions, table, texts
-from rangeloom.llm.files import make_folder, opened, written_whole
+from rangeloom.llm.common import cut, new_folder, release, shuffle_partitions, stored, table, texts
+from rangeloom.llm.files import _split, make_folder, opened, written_whole
 
 WIDTH = 64
 #: PNG signature, and the image header chunk up to its interlace byte.
@@ -92,22 +94,50 @@ def payloads(docs: DataFrame) -> DataFrame:
     return raw.select("doc_id", "n_bytes", padded.alias("payload")).withColumn("digest", F.unhex(F.sha2("payload", 256)))
 
 
-def write_shards(rows: DataFrame, folder: str) -> DataFrame:
-    """Stores rows.payload under rows.digest; the catalogue: digest, shard, offset, length."""
+def addressed(rows: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, digest, part and nth (the row's place) of the rows of payloads()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, nth = TaskContext.get().partitionId(), 0
+        for b in batches:
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(nth, nth + n))], names=[*b.schema.names, "part", "nth"])
+            nth += n
+
+    return stored(rows.select("doc_id", "n_bytes", "digest").mapInArrow(run, "doc_id long, n_bytes long, digest binary, part int, nth long"))
+
+
+def _owned(folder: str, part: int) -> dict[int, bytes]:
+    """Digest by number of the rows of a partition that own theirs."""
+    where, path = _split(f"{folder}/owners")
+    at = f"{path}/part={part}"
+    if where.get_file_info(at).type == fs.FileType.NotFound:
+        return {}
+    t = pads.dataset(at, filesystem=where, format="parquet").to_table(columns=["nth", "digest"])
+    return dict(zip(t["nth"].to_pylist(), t["digest"].to_pylist(), strict=True))
+
+
+def write_shards(rows: DataFrame, known: DataFrame, folder: str) -> DataFrame:
+    """Stores rows.payload under rows.digest, known being addressed(rows); the catalogue: digest, shard, offset, length."""
+    owners = known.groupBy("digest").agg(F.min(F.struct("part", "nth")).alias("x")).select("digest", "x.*")
+    owners.repartition(shuffle_partitions(rows.sparkSession), "part").write.partitionBy("part").parquet(f"{folder}/owners")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        seen: set[bytes] = set()
-        at = 0
+        owned, nth, at = _owned(folder, shard), -1, 0
         with written_whole(shard_name(folder, shard)) as out:
             for b in batches:
                 found = []
                 for digest, payload in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                    if digest in seen:
+                    nth += 1
+                    if (own := owned.pop(nth, None)) is None:
                         continue
-                    seen.add(digest)
+                    if own != digest:
+                        raise ValueError("the rows came in another order than at first; store them as a table before")
                     image = to_image(payload.as_py())
                     info = tarfile.TarInfo(f"{digest.hex()}.png")
                     info.size = len(image)
@@ -118,12 +148,13 @@ def write_shards(rows: DataFrame, folder: str) -> DataFrame:
                 if found:
                     yield table(PLACES, **dict(zip(PLACES.names, zip(*found, strict=True), strict=True)))
                 release()
+            if owned:
+                raise ValueError("rows are missing that were there at first; store them as a table before")
             out.write(bytes(2 * tarfile.BLOCKSIZE))
 
     make_folder(folder)
     placed = cut(rows.select("digest", "payload").mapInArrow(run, PLACES_DDL))
-    one = placed.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("x")).select("digest", "x.*")
-    return cut(one.repartitionByRange(shuffle_partitions(rows.sparkSession), "shard", "offset").sortWithinPartitions("shard", "offset"))
+    return cut(placed.repartitionByRange(shuffle_partitions(rows.sparkSession), "shard", "offset").sortWithinPartitions("shard", "offset"))
 
 
 def _ranges(folder: str, places: pa.RecordBatch, gap: int = 1 << 16, most: int = 8 << 20, first: int | None = None) -> Iterator[tuple[int, bytes]]:
@@ -186,6 +217,7 @@ def media_columns(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """Stores every text and reads it back: see FEATURES, with doc_id, n_bytes, place and header columns of every row."""
     folder = folder or new_folder(docs.sparkSession, "media")
     rows = payloads(docs)
-    places = write_shards(rows, folder)
-    known = places.join(read_headers(places, folder), "digest").join(read_features(places, folder), "digest")
-    return rows.drop("payload").join(known, "digest", "left").drop("digest").withColumn("folder", F.lit(folder))
+    known = addressed(rows)
+    places = write_shards(rows, known, folder)
+    images = places.join(read_headers(places, folder), "digest").join(read_features(places, folder), "digest")
+    return known.drop("part", "nth").join(images, "digest", "left").drop("digest").withColumn("folder", F.lit(folder))
