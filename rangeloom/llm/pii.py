@@ -2,12 +2,17 @@
 
 Detected entities are e-mail addresses, phone and national identity numbers, IPv4 addresses, payment cards (with a valid
 check digit), bank accounts (IBAN with valid check digits), secrets (named assignments and long hexadecimal strings) and
-persons named with a title, whose later or earlier mentions in the same text by whole, family or given name need none. A surrogate keeps type, length, separators, script and case; a card or an account gets valid
-check digits; a person keeps the title and so the gender, and known given names are replaced by given names of the same gender.
+persons. A person stands after a title or, with two names, after a word that announces one (TITLES and CUES, fixed lists in
+several languages); later or earlier mentions in the same text by whole, family or given name need neither. A surrogate keeps type,
+length, separators, script and case; a card or an account gets valid check digits. Listed given names are replaced by given names
+of the same gender; other names keep their last letter, which shows the gender in many languages, and their pattern of vowels and consonants.
 
-Each surrogate is a keyed permutation of the entity within its format (a Feistel network with cycle walking over the
-format's values), so an entity has one surrogate in the whole corpus and two entities of a format never share one,
-without a table of entities. ``collisions`` checks that over the whole corpus with one aggregation.
+Each surrogate is a keyed permutation without fixed points of the entity's normal form within its format (a Feistel network with
+cycle walking over the format's values), so an entity has one surrogate in the whole corpus and two entities of a format never
+share one, without a table of entities. ``collisions`` checks that over the whole corpus with one aggregation; should it find one, the corpus
+gets another key derived from the first.
+
+The key is a parameter, or the session's setting ``spark.rangeloom.pii.key`` (hexadecimal); a session without it gets a random one.
 
 Defined cases: null text stays null; texts without entities are returned as they are; rows with repeated or null ids give
 a row each; an empty table gives an empty result; other columns are ignored.
@@ -19,43 +24,68 @@ import bisect
 import hashlib
 import hmac
 import re
+import secrets
 import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangeloom.llm.common import in_small_batches, release
 
-KEY = b"surrogates"
+KEY_SETTING = "spark.rangeloom.pii.key"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key of the session's setting; a random one is set where there is none."""
+    found = spark.conf.get(KEY_SETTING, None)
+    if not found:
+        found = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, found)
+    return bytes.fromhex(found)
+
 
 # --- keyed permutations -------------------------------------------------------------------------------------------
 
 
-def permuted(key: bytes, tweak: str, value: int, size: int) -> int:
-    """A permutation of 0 .. size - 1 that depends on key and tweak."""
-    if size < 2:
-        return value
+def _turned(key: bytes, tweak: str, value: int, size: int, turns: range) -> int:
+    """A Feistel network over the least even number of bits that hold size, walked until it is back below size. The turns in
+    falling order undo those in rising order."""
     half = ((size - 1).bit_length() + 1) // 2
-    mask = (1 << half) - 1
+    mask, back = (1 << half) - 1, turns.step < 0
     while True:
         a, b = value >> half, value & mask
-        for turn in range(6):
-            h = hmac.digest(key, (f"{tweak}|{size}|{turn}|{b}" if half <= 256 else f"{tweak}|{size:x}|{turn}|{b:x}").encode(), "sha256")
+        if back:
+            a, b = b, a
+        for turn in turns:
+            h = hmac.digest(key, f"{tweak}|{size:x}|{turn}|{b:x}".encode(), "sha256")
             if half > 256:
                 h = hashlib.shake_256(h).digest(half // 8 + 1)
             a, b = b, a ^ int.from_bytes(h, "big") & mask
+        if back:
+            a, b = b, a
         value = a << half | b
         if value < size:
             return value
 
 
+def permuted(key: bytes, tweak: str, value: int, size: int) -> int:
+    """A permutation of 0 .. size - 1 that depends on key and tweak and moves every value: the next one in a keyed order."""
+    if size < 2:
+        return value
+    there = _turned(key, tweak, value, size, range(6))
+    return _turned(key, tweak, (there + 1) % size, size, range(5, -1, -1))
+
+
 #: Sets of characters that a position keeps; other letters and digits have the set that block_set() gives, the rest stays.
 _SETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "áàâäãåæéèêëíìîïñóòôöõúùûüýÿçœß"]
 _SET_OF = {c: s for s in _SETS for c in s}
+#: Of names, so that their surrogates can be spoken: vowels stay vowels.
+_NAME_SETS = ["aeiouy", "bcdfghjklmnpqrstvwxz", "áàâäãåæéèêëíìîïóòôöõúùûüý", "αεηιουωάέήίόύώ", "βγδζθκλμνξπρστφχψ"]
+_NAME_SET_OF = {c: s for s in _NAME_SETS for c in s}
 
 
 def lowered(text: str) -> str:
@@ -78,14 +108,14 @@ def block_set(c: str) -> str | None:
     return "".join(x for x in map(chr, range(own[0] << 7, (own[0] + 1) << 7)) if _class(x) == own)
 
 
-def same_pattern(key: bytes, tweak: str, text: str) -> str:
-    """Lower-case text permuted within its pattern of character sets."""
-    sets = [_SET_OF.get(c) or block_set(c) for c in text]
+def same_pattern(key: bytes, tweak: str, text: str, special: dict[str, str] | None = None) -> str:
+    """Lower-case text permuted within its pattern of character sets; special: sets that go before the usual ones."""
+    sets = [(special or {}).get(c) or _SET_OF.get(c) or block_set(c) for c in text]
     value, size = 0, 1
     for c, s in zip(text, sets, strict=True):
         if s:
             value, size = value * len(s) + s.index(c), size * len(s)
-    value = permuted(key, tweak + "|" + "".join("-" if s is None else str(_SETS.index(s)) if s in _SETS else f"({s[0]})" for s in sets), value, size)
+    value = permuted(key, tweak + "|" + "".join("-" if s is None else f"({s[0]}{len(s)})" for s in sets), value, size)
     out = []
     for c, s in zip(reversed(text), reversed(sets), strict=True):
         if s:
@@ -95,8 +125,16 @@ def same_pattern(key: bytes, tweak: str, text: str) -> str:
     return "".join(reversed(out))
 
 
+def name_pattern(key: bytes, tweak: str, name: str) -> str:
+    """A lower-case name permuted within its pattern of vowels and consonants, but for the last letter of three or more."""
+    end = name[-1:] if sum(map(str.isalpha, name)) > 2 and name[-1:].isalpha() else ""
+    return same_pattern(key, f"{tweak}|{end}", name.removesuffix(end), _NAME_SET_OF) + end
+
+
 def recased(model: str, text: str) -> str:
-    return "".join(c.upper() if m.isupper() else c for m, c in zip(model, text, strict=True))
+    """text with the cases of model, but for letters whose upper case is longer or has another lower case."""
+    up = lambda c: x if len(x := c.upper()) == 1 and lowered(x) == c else c
+    return "".join(up(c) if m.isupper() else c for m, c in zip(model, text, strict=True))
 
 
 def refilled(model: str, digits: str) -> str:
@@ -129,7 +167,8 @@ def iban_ok(text: str) -> bool:
 WOMEN = "Alice Anna Carla Clara Elena Emma Eva Greta Ines Irene Julia Laura Lena Lucia Maria Marta Nadia Olga Paula Petra Rosa Sara Sofia Vera".split()
 MEN = "Adam Alan Bruno Carlos David Diego Erik Felix Georg Hugo Ivan Jan Jean Karl Luis Marco Martin Otto Pablo Paul Peter Robert Simon Victor".split()
 _LISTED = {x.lower() for x in WOMEN + MEN}
-_TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra|Don|Doña|Господин|Госпожа|Г-н|Г-жа|Κύριος|Κυρία"
+TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra|Don|Doña|Господин|Госпожа|Г-н|Г-жа|Κύριος|Κυρία"
+CUES = "[Nn]ame(?: is)?|[Cc]ontact|[Pp]atient|[Cc]ustomer|[Ee]mployee|[Aa]ttn|[Ss]igned(?: by)?|[Dd]ear|Kind regards|[Kk]ontakt|[Kk]unde|Kundin|[Nn]om|[Cc]liente?|[Nn]ombre|Cher|Chère|Querid[oa]|Liebe[r]?|Имя|Όνομα"
 
 
 def _ranges(kinds: tuple[str, ...]) -> str:
@@ -152,10 +191,11 @@ PATTERNS = {
     "phone": re.compile(r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w])"),
     "national": re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     "ip": re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]|\w)"),
-    "person": re.compile(rf"(?<!\w)(?:{_TITLES})\.? (?P<v>{_NAME}(?: {_NAME})?)(?!\w)"),
+    "person": re.compile(rf"(?<!\w)(?:{TITLES})\.? (?P<v>{_NAME}(?: {_NAME})?)(?!\w)"),
+    "announced": re.compile(rf"(?<!\w)(?:{CUES})[:,]? (?P<v>{_NAME} {_NAME})(?!\w)"),
 }
 #: What a text must hold for a pattern to be tried.
-_NEEDS = {"email": re.compile("@"), "person": re.compile(rf"\b(?:{_TITLES})\b"), "secret": re.compile("[:=]")}
+_NEEDS = {"email": re.compile("@"), "person": re.compile(rf"\b(?:{TITLES})\b"), "secret": re.compile("[:=]"), "announced": re.compile(rf"\b(?:{CUES})[:,]? [{_UPPER}]")}
 _DIGIT = re.compile("[0-9]")
 
 
@@ -186,7 +226,7 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             i = bisect.bisect(taken, (a, z, ""))
             apart = (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= z)
             if apart and valid(kind, text[a:z]):
-                taken.insert(i, (a, z, kind))
+                taken.insert(i, (a, z, "person" if kind == "announced" else kind))
     return untitled(text, taken)
 
 
@@ -231,10 +271,9 @@ def _digits(key: bytes, kind: str, digits: str) -> str:
 def surrogate(key: bytes, kind: str, found: str) -> str:
     """The replacement of a mention; equal for equal normal forms but for separators and case."""
     n = normal(kind, found)
-    if kind in ("phone", "national"):
-        if kind == "phone" and found.startswith("+"):  # the country stays
-            code = len(only_digits(re.match(r"\+[0-9]+", found)[0]))
-            return refilled(found, n[:code] + _digits(key, f"phone{n[:code]}", n[code:]))
+    if kind == "phone":  # the first digit stays, of a number with + that of the zone; separators play no part
+        return refilled(found, n[0] + _digits(key, f"phone{n[0]}", n[1:]))
+    if kind == "national":
         return refilled(found, _digits(key, kind, n))
     if kind == "card":  # the issuer's digit stays, the last one checks
         body = n[0] + _digits(key, f"card{n[0]}", n[1:-1])
@@ -257,7 +296,7 @@ def surrogate(key: bytes, kind: str, found: str) -> str:
         return given_name(key, found)
     if kind == "person":  # the parts do not depend on each other, so a family name has one surrogate with and without a given name
         given, _, family = found.rpartition(" ")
-        new = recased(family, same_pattern(key, "family", lowered(family)))
+        new = recased(family, name_pattern(key, "family", lowered(family)))
         return f"{given_name(key, given)} {new}" if given else new
     return recased(found, same_pattern(key, kind, found.lower()))  # secrets keep their case pattern
 
@@ -269,7 +308,7 @@ def given_name(key: bytes, found: str) -> str:
         if (known := [x.lower() for x in names]).count(n):
             return names[permuted(key, "given", known.index(n), len(names))]
     while True:
-        n = same_pattern(key, "given", n)
+        n = name_pattern(key, "given", n)
         if n not in _LISTED:
             return recased(found, n)
 
@@ -298,9 +337,11 @@ def _over_texts(out: Callable) -> Callable:
     return run
 
 
-def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def replace(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """doc_id, text with surrogates, n_entities and the sorted distinct kinds found, for every row."""
 
+    key = key or session_key(docs.sparkSession)
+
     def out(ids: list, found: list) -> pa.RecordBatch:
         rows = []
         for doc, text in zip(ids, found, strict=True):
@@ -311,7 +352,7 @@ def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return in_small_batches(docs).select("doc_id", "text").mapInArrow(_over_texts(out), "doc_id long, text string, n_entities long, kinds array<string>")
 
 
-def mentions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def mentions(docs: DataFrame, key: bytes) -> DataFrame:
     """kind, entity (a keyed hash of the normal form) and surrogate (the same, of its normal form) of every mention."""
     schema = pa.schema([("kind", pa.string()), ("entity", pa.binary()), ("surrogate", pa.binary())])
 
@@ -330,7 +371,7 @@ def mentions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return in_small_batches(docs).select("doc_id", "text").mapInArrow(_over_texts(out), "kind string, entity binary, surrogate binary")
 
 
-def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def collisions(docs: DataFrame, key: bytes) -> DataFrame:
     """kind, surrogate and number of entities where entities share a surrogate or one entity has several: none is right."""
     pairs = mentions(docs, key).distinct()
     shared = pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).where("n > 1")
@@ -338,17 +379,24 @@ def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return shared.unionByName(several)
 
 
-def checked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """As replace, after collisions() was found empty over the same rows."""
-    if not collisions(docs, key).isEmpty():
-        raise ValueError("surrogates collide")
-    return replace(docs, key)
+def sound_key(docs: DataFrame, key: bytes | None = None, tries: int = 4) -> bytes:
+    """The key, or the first one derived from it, without collisions over the rows of docs."""
+    key = key or session_key(docs.sparkSession)
+    for _ in range(tries):
+        if collisions(docs, key).isEmpty():
+            return key
+        key = hmac.digest(key, b"next", "sha256")
+    raise ValueError(f"surrogates collide with {tries} keys")
+
+
+def checked(docs: DataFrame, key: bytes | None = None) -> DataFrame:
+    """As replace, with a key for which collisions() was found empty over the same rows."""
+    return replace(docs, sound_key(docs, key))
 
 
-def replaced_in_place(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """docs with all its columns, the text with surrogates; after collisions() was found empty."""
-    if not collisions(docs, key).isEmpty():
-        raise ValueError("surrogates collide")
+def replaced_in_place(docs: DataFrame, key: bytes | None = None) -> DataFrame:
+    """docs with all its columns, the text with surrogates of a sound key."""
+    key = sound_key(docs, key)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

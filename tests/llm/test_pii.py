@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 from hypothesis import given, settings
@@ -40,7 +41,8 @@ def test_given_names_keep_their_gender():
 @settings(max_examples=50, deadline=None)
 @given(st.integers(2, 300), st.text(max_size=5))
 def test_permutations(size, tweak):
-    assert sorted(pii.permuted(b"k", tweak, i, size) for i in range(size)) == list(range(size))
+    new = [pii.permuted(b"k", tweak, i, size) for i in range(size)]
+    assert sorted(new) == list(range(size)) and all(i != x for i, x in enumerate(new))
 
 
 def test_all_of_a_format_stay_distinct():
@@ -103,3 +105,67 @@ def test_persons_are_one_in_all_their_mentions():
 def test_given_names_outside_the_lists_never_become_listed_ones():
     new = {pii.given_name(b"k", x + y + z) for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for y in "abcdefghijklmnopqrstuvwxyz" for z in "abcdefghijklmnopqrstuvwxyz"}
     assert len(new) == 26**3
+
+
+def test_a_number_has_one_surrogate_however_it_is_written():
+    same = [("+1 663 555 6869", "+16 635 556 869", "+1 (663) 555-6869"), ("(663) 555-6869", "+66 3555 6869", "663-555-6869")]
+    for forms in same:
+        assert all(len(pii.entities(f"call {x} now")) == 1 for x in forms)
+        assert len({pii.only_digits(pii.surrogate(b"k", "phone", x)) for x in forms}) == 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.text("aAbBzßſςσΣİıŉǅéÉ1.用户χ", min_size=1, max_size=6), st.text("aßςΣİı例π", min_size=2, max_size=4)), min_size=2, max_size=8))
+def test_addresses_of_any_letters_stay_distinct(parts):
+    new = {}
+    for local, name in parts:
+        found = f"{local}@{name}.com"
+        n = pii.normal("email", found)
+        x = pii.surrogate(b"k", "email", found)
+        assert new.setdefault(n, pii.normal("email", x)) == pii.normal("email", x)
+    assert len(set(new.values())) == len(new)
+
+
+def test_planted_entities_over_a_table(spark):
+    """Against what was planted, without the detector: what is not an entity stays, equal entities get equal surrogates in
+    all documents, different ones different ones, and none stays."""
+    who = [("email", "jo@site.org"), ("email", "İ@example.com"), ("email", "用户@例子.中国"), ("email", "χρήστης@παράδειγμα.ελ"), ("email", "Straße@example.de"), ("phone", "+1 663 555 6869"), ("phone", "(663) 555-6870"), ("ip", "10.20.30.40"),
+           ("secret", "Ab9_" * 200), ("hex", "0a1b" * 30), ("card", "4539 1488 0343 6467"), ("iban", "DE89 3704 0044 0532 0130 00"), ("national", "123-45-6789")]
+    lead = {"secret": "password = "}
+    docs = [(i, f"Tale {i} begins. {lead.get(k, '')}{x} ends it; {lead.get(k2, '')}{y} too.") for i, ((k, x), (k2, y)) in enumerate((a, b) for a in who for b in who)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.checked(df, b"test").collect()}
+    new: dict[str, set] = {}
+    for i, ((k, x), (k2, y)) in enumerate((a, b) for a in who for b in who):
+        m = re.fullmatch(rf"Tale {i} begins\. {re.escape(lead.get(k, ''))}(.+) ends it; {re.escape(lead.get(k2, ''))}(.+) too\.", got[i].text)
+        assert m and got[i].n_entities == 2
+        for found, own in ((x, m[1]), (y, m[2])):
+            new.setdefault(found, set()).add(own)
+            assert found == "10.20.30.40" or [c.isalnum() for c in own] == [c.isalnum() for c in found]
+    assert all(len(v) == 1 and found not in v for found, v in new.items())
+    assert len({next(iter(v)) for v in new.values()}) == len(who)
+    secret = next(iter(new["Ab9_" * 200]))
+    assert sum(a == b for a, b in zip(secret, "Ab9_" * 200, strict=True)) < 300  # marks stay, so do some characters by chance
+
+
+def test_names_after_words_that_announce_them():
+    for text in ("My name is Peter Kowalski.", "Contact: Ingrid Olsen, room 4", "Kind regards, Ingrid Olsen"):
+        assert [k for _, _, k in pii.entities(text)] == ["person"]
+    for text in ("Contact us by mail.", "Dear Sir, the name is long.", "Name Of things"):
+        assert not pii.entities(text)
+
+
+def test_the_session_has_a_key_of_its_own(spark):
+    spark.conf.unset(pii.KEY_SETTING)
+    key = pii.session_key(spark)
+    assert len(key) == 32 and pii.session_key(spark) == key
+    spark.conf.set(pii.KEY_SETTING, "00ff")
+    assert pii.session_key(spark) == b"\x00\xff"
+    spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_collisions_are_resolved_by_another_key(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a@b.com"), (2, "c@d.com")], "doc_id long, text string")
+    real, asked = pii.collisions, []
+    monkeypatch.setattr(pii, "collisions", lambda docs, key: asked.append(key) or (docs if len(asked) < 2 else real(docs, key)))
+    assert pii.sound_key(df, b"k") == asked[1] != b"k"

@@ -2,7 +2,7 @@ from collections import Counter
 
 import corpus_pipeline as cp
 from rangeloom.llm import classifier, packing, pii
-from test_simhash import brute as components
+from test_simhash import brute_kept
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,7 +22,7 @@ def brute(spark, rows):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     good = {r.doc_id for r in classifier.classify(docs, labels).collect() if r.predicted}
     rows = [r for r in rows if r[0] in good]
-    kept = {c for _, _, c in components([(r[0], r[1]) for r in rows])}
+    kept = brute_kept([(r[0], r[1]) for r in rows])
     rows = [r for r in rows if r[0] in kept]
     raw = [(r[1] or "").encode() for r in rows]
     out = {}
@@ -32,7 +32,7 @@ def brute(spark, rows):
             text = text.decode()
         except UnicodeDecodeError:
             text = text.decode(errors="replace").replace("�", "")
-        out[r[0]] = pii.rewritten(pii.KEY, text, pii.entities(text))
+        out[r[0]] = pii.rewritten(pii.session_key(spark), text, pii.entities(text))
     return out
 
 
@@ -58,4 +58,4 @@ def test_each_stage_keeps_the_columns(spark, edge, nothing):
 def test_one_row_of_each_component(spark, edge):
     got = cp.near_dedup(spark, edge, FOLDER).collect()
     rows = [(r.doc_id, r.text) for r in edge.collect()]
-    assert sorted((r.doc_id for r in got), key=str) == sorted({c for _, _, c in components(rows)}, key=str)
+    assert sorted((r.doc_id for r in got), key=str) == sorted(brute_kept(rows), key=str)
