@@ -211,9 +211,11 @@ def links(nodes: DataFrame, distance: int = 4, wide_distance: int | None = None)
         a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (a, b))
         return pa.RecordBatch.from_arrays([pa.array(c[v].view(np.int64)) for v in (a, b) for c in cols[1:]], names=[f"{s}_{n}" for s in "ab" for n in names])
 
-    filed = nodes.select(F.explode(F.array(*_keys(max(1, distance)))).alias("key"), *names)
+    n = shuffle_partitions(nodes.sparkSession)
+    # few bytes that become many: each task files its share
+    filed = nodes.repartition(n, *names).select(F.explode(F.array(*_keys(max(1, distance)))).alias("key"), *names)
     # by key alone, so that no bucket ends within a task
-    filed = filed.repartition(shuffle_partitions(nodes.sparkSession), "key").sortWithinPartitions("key")
+    filed = filed.repartition(n, "key").sortWithinPartitions("key")
     return filed.mapInArrow(run, schema).select(side("a"), side("b")).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -37,6 +37,11 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str | None = None, end_i
 
         name = f"{folder}/{TaskContext.get().partitionId():06d}.bin"
         encoder, ordinal = hub_encoder(path, special_is_text=True), 0
+        known = encoder.tokenizer
+        if max(end_id, known.get_vocab_size() - 1) >= 1 << 8 * width:
+            raise ValueError(f"ids of this vocabulary need more than {width} bytes")
+        if end_id < known.get_vocab_size() and end_id not in known.get_added_tokens_decoder():
+            raise ValueError(f"id {end_id} is no separator: texts can hold it")
         with written_whole(name) as out:
             for batch in batches:
                 for b in sub_batches(batch):

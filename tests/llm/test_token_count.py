@@ -45,3 +45,9 @@ def test_blocks_that_cut_documents_anywhere(spark, block):
     files = spark.createDataFrame([(f"{folder}/{k}.bin",) for k in range(3)], "file string")
     got = token_count.scan(spark, files, block_bytes=block).select("file", "ordinal", "n_tokens").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_an_ordinary_id_or_a_narrow_file_is_refused(spark, sample):
+    for how in ({"end_id": 100}, {"width": 1}):
+        with pytest.raises(Exception, match="no separator|more than 1 bytes"):
+            token_count.write_flat(sample.limit(3), new_folder(spark, "flat"), **how).count()
