@@ -54,15 +54,20 @@ def _key_part(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("null"))
 
 
-def key_from_pattern(df: DataFrame, pattern: str, table: str) -> Column:
+def key_from_pattern(df: DataFrame, pattern: str, table: str, index: Column | None = None) -> Column:
     """A key from a template such as ``{table}:{id}``. Bytes enter as eight digits of their MD5, nulls as ``null``; a
-    null ``id`` is an error."""
+    null ``id`` is an error. ``{index}`` is the row's number: ``index``, else one that is unique in the table. A template that
+    names a column that is not there gives ``<table>:`` and the MD5 of all values."""
+    if set(re.findall(r"\{(\w+)\}", pattern)) - {"table", "index", *df.columns}:
+        return F.concat(F.lit(f"{table}:"), composite_key(df))
     parts = []
     for text, name in re.findall(r"([^{}]*)(?:\{(\w+)\})?", pattern):
         if text:
             parts.append(F.lit(text))
         if name == "table":
             parts.append(F.lit(table))
+        elif name == "index" and "index" not in df.columns:
+            parts.append((F.monotonically_increasing_id() if index is None else index).cast("string"))
         elif name:
             part = _key_part(df, name)
             if name == "id":

@@ -104,35 +104,52 @@ def event_topic(signature: str) -> Column:
 
 
 def _number(part: Column) -> Column:
-    """Up to six bytes, most significant first."""
-    return F.conv(F.hex(part), 16, 10).cast("decimal(38,0)")
-
-
-def _times_2_48(x: Column) -> Column:
-    """x * 2^48 as decimal(38,0), null if it has more digits."""
-    most = (10**38 - 1) >> 48
-    return F.when(x <= F.lit(str(most)).cast("decimal(38,0)"), x.cast("decimal(24,0)") * F.lit(str(1 << 48)).cast("decimal(15,0)")).cast("decimal(38,0)")
-
-
-def _sum38(a: Column, b: Column) -> Column:
-    most = F.lit(str(10**38 - 1)).cast("decimal(38,0)")
-    return F.when(a <= most - b, a + b).cast("decimal(38,0)")
+    """Up to eight bytes, most significant first."""
+    return F.conv(F.hex(part), 16, 10).cast("decimal(20,0)")
 
 
 def uint_word(word: Column) -> Column:
-    """A 32-byte word as an unsigned decimal(38,0); null if it needs more than 38 digits."""
-    high = F.substring(word, 1, 16) == F.lit(bytearray(16))
-    a, b, c = _number(F.substring(word, 17, 4)), _number(F.substring(word, 21, 6)), _number(F.substring(word, 27, 6))
-    return F.when(high, _sum38(_times_2_48(_sum38(_times_2_48(a), b)), c))
+    """A 32-byte word as an unsigned decimal(38,0); null if it needs more than 38 digits.
+
+    Words of eight bytes, nearly all of them, are one conversion; longer ones are two halves."""
+    low, zeros = _number(F.substring(word, 25, 8)), lambda n: F.substring(word, 1, n) == F.lit(bytearray(n))
+    both = F.try_add(F.try_multiply(_number(F.substring(word, 17, 8)), F.lit(str(1 << 64)).cast("decimal(20,0)")), low)
+    return F.when(zeros(24), low.cast("decimal(38,0)")).when(zeros(16), both.cast("decimal(38,0)"))
 
 
 def int_word(word: Column) -> Column:
     """A 32-byte word in two's complement as decimal(38,0); null beyond 38 digits."""
     flipped = F.unhex(F.translate(F.hex(word), "0123456789ABCDEF", "FEDCBA9876543210"))
-    negative = F.substring(F.hex(word), 1, 1) >= "8"
-    one = F.lit("1").cast("decimal(38,0)")
+    negative = F.substring(F.hex(F.substring(word, 1, 1)), 1, 1) >= "8"
     # subtraction is exact; negation would round to 34 digits
-    return F.when(negative, F.lit("0").cast("decimal(38,0)") - _sum38(uint_word(flipped), one)).otherwise(uint_word(word)).cast("decimal(38,0)")
+    return F.when(negative, F.try_subtract(F.lit("-1").cast("decimal(38,0)"), uint_word(flipped))).otherwise(uint_word(word)).cast("decimal(38,0)")
+
+
+def word_digits(word: Column) -> Column:
+    """A 32-byte word as the text of its unsigned decimal number, of any size. Four numbers of eight bytes are added up in
+    limbs of nine digits: the carry of each product stays below 2^63."""
+    limbs, base, parts = 9, 10**9, [F.conv(F.hex(F.substring(word, 1 + 4 * i, 4)), 16, 10).cast("long") for i in range(8)]
+
+    def times_2_32_plus(x: Column, part: Column) -> Column:
+        # the last field is the least limb; aggregate carries from there
+        step = lambda acc, limb: F.struct(F.concat(F.array((limb * F.lit(1 << 32) + acc["carry"]) % base), acc["out"]).alias("out"), F.call_function("div", limb * F.lit(1 << 32) + acc["carry"], F.lit(base)).alias("carry"))
+        return F.aggregate(F.reverse(x), F.struct(F.array().cast("array<bigint>").alias("out"), part.alias("carry")), step)["out"]
+
+    first = F.array(*[F.lit(0).cast("long")] * limbs)
+    total = F.aggregate(F.array(*parts), first, times_2_32_plus)
+    text = F.array_join(F.transform(total, lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.coalesce(F.nullif(F.regexp_replace(text, "^0+", ""), F.lit("")), F.when(word.isNotNull(), "0"))
+
+
+def _signed_digits(word: Column) -> Column:
+    """As word_digits, of the number in two's complement: -(1 + the flipped word) if it is negative."""
+    negative = F.substring(F.hex(F.substring(word, 1, 1)), 1, 1) >= "8"
+    less_one = word_digits(F.unhex(F.translate(F.hex(word), "0123456789ABCDEF", "FEDCBA9876543210")))
+    # adding one changes the last digit that is not 9 and the nines after it
+    nines = F.regexp_extract(less_one, "9*$", 0)
+    head = F.substring(less_one, F.lit(1), F.length(less_one) - F.length(nines))
+    up = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.when(head == "", "1").otherwise((F.substring(head, -1, 1).cast("int") + 1).cast("string")), F.regexp_replace(nines, "9", "0"))
+    return F.when(negative, F.concat(F.lit("-"), up)).otherwise(word_digits(word))
 
 
 def _tail(data: Column, word: Column) -> Column:
@@ -157,15 +174,21 @@ def _value(kind: str, word: Column, data: Column | None) -> Column:
     return F.substring(word, 1, int(kind.removeprefix("bytes")))
 
 
-def decode_event(signature: str, topic1: Column, topic2: Column, topic3: Column, data: Column, with_hex: bool = False) -> Column:
-    """A struct of the event's parameters. with_hex adds ``<name>_hex`` with the whole word of each number."""
+def decode_event(signature: str, topic1: Column, topic2: Column, topic3: Column, data: Column, with_hex: bool = False, wide: str = "text") -> Column:
+    """A struct of the event's parameters. Numbers are decimal(38,0). Types of more than 126 bits can hold more: with wide =
+    ``text`` they get ``<name>_text`` beside the number, the whole number in decimal digits where the number is null for its
+    size (so nothing is lost and the rest costs nothing); with wide = ``none`` they do not. with_hex adds ``<name>_hex`` with the
+    whole word of each number."""
     topics, at, fields = [topic1, topic2, topic3], 0, []
     for p in parse_signature(signature).parameters:
         if p.indexed:
             word, source = topics.pop(0), None
         else:
             word, source, at = F.substring(data, at + 1, 32), data, at + 32
-        fields.append(_value(p.type, word, source).alias(p.name))
+        value = _value(p.type, word, source)
+        fields.append(value.alias(p.name))
+        if wide == "text" and re.match("u?int", p.type) and int(p.type.lstrip("uint")) > 126:
+            fields.append(F.when(word.isNotNull() & value.isNull(), _signed_digits(word) if p.type.startswith("int") else word_digits(word)).alias(f"{p.name}_text"))
         if with_hex and re.match("u?int", p.type):
             fields.append(F.concat(F.lit("0x"), F.lower(F.hex(word))).alias(f"{p.name}_hex"))
     return F.struct(*fields)

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,7 +41,19 @@ def test_decoding(spark):
     df = spark.createDataFrame([(word(0xABCDEF), data)], "t1 binary, d binary")
     got = df.select(evm.decode_event(sig, F.col("t1"), F.lit(None), F.lit(None), F.col("d"), with_hex=True).alias("x")).select("x.*").first()
     assert bytes(got.who).hex() == "abcdef".rjust(40, "0") and (int(got.a), int(got.b), got.s, got.ok, bytes(got.tag)) == (7, -3, "héllo", True, b"ab")
-    assert got.a_hex == "0x" + f"{7:064x}"
+    assert got.a_hex == "0x" + f"{7:064x}" and got.b_text is None
+
+
+def test_numbers_of_any_size_are_not_lost(spark):
+    big = [0, 1, 10**38 - 1, 10**38, 2**128, 2**200 + 9, 2**255 - 1, 2**255, 2**256 - 1, 2**256 - 10**40, None]
+    df = spark.createDataFrame([(i, None if n is None else word(n)) for i, n in enumerate(big)], "i int, w binary")
+    dec = lambda kind: evm.decode_event(f"E({kind} v)", F.lit(None), F.lit(None), F.lit(None), F.col("w"))
+    rows = df.select("i", evm.word_digits(F.col("w")).alias("t"), dec("uint256").alias("u"), dec("int256").alias("s"), dec("uint64").alias("n")).orderBy("i").collect()
+    assert [r.t for r in rows] == [None if n is None else str(n) for n in big]
+    for r, n in zip(rows, big, strict=True):
+        assert "v_text" not in r.n.asDict()
+        for got, want in ((r.u, n), (r.s, n if n is None or n < 2**255 else n - 2**256)):
+            assert (got.v is None and got.v_text is None) if want is None else (got.v_text == str(want) and got.v is None) if abs(want) >= 10**38 else int(got.v) == want and got.v_text is None
 
 
 @settings(max_examples=30, deadline=None)
@@ -65,6 +79,9 @@ def test_encodings(spark):
     with pytest.raises(Exception, match="no id"):
         bad = spark.createDataFrame([(None,)], "id long")
         bad.select(encoding.key_from_pattern(bad, "{table}:{id}", "t")).collect()
+    assert keys.select(encoding.key_from_pattern(keys, "{table}:{index}", "t", F.lit(7))).first()[0] == "t:7"
+    assert re.fullmatch("t:[0-9]+", keys.select(encoding.key_from_pattern(keys, "{table}:{index}", "t")).first()[0])
+    assert re.fullmatch("t:[0-9a-f]{32}", keys.select(encoding.key_from_pattern(keys, "{table}:{nowhere}", "t")).first()[0])
     assert keys.select(encoding.composite_key(keys, ["id", "other"])).first()[0] == "1:null"
     assert len(keys.select(encoding.composite_key(keys)).first()[0]) == 32
     ref = spark.createDataFrame([("ns/name@1.0.0",), ("bad",)], "r string").select(encoding.parse_reference(F.col("r")).alias("x")).select("x.*").collect()
