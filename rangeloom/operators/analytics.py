@@ -46,7 +46,9 @@ def keyword_search(df: DataFrame, ident: str, text: str, query: str, n: int = 50
     """ident and score of the n best texts: sum over the query's words of count times ln(1 + texts / texts with the
     word). Words are runs of letters and digits, without regard to case. The scoring is this library's own."""
     words = sorted({w for w in query.lower().split() if w})
-    found = df.select(ident, F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}]+")).alias("word")).where(F.col("word").isin(words))
+    # a text's other words are dropped before its words become rows
+    hits = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w.isin(words))
+    found = df.select(ident, F.explode(hits).alias("word"))
     tf = found.groupBy(ident, "word").agg(F.count("*").alias("tf"))
     n_texts = df.agg(F.count("*").alias("n_texts"))
     idf = tf.groupBy("word").agg(F.count("*").alias("df")).join(F.broadcast(n_texts)).select("word", F.log1p(F.col("n_texts") / F.col("df")).alias("idf"))  # a row for each word of the query
@@ -61,7 +63,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 def semantic_search(df: DataFrame, ident: str, vector: str, query: Column, n: int = 50) -> DataFrame:
     """ident and cosine similarity of the n nearest vectors."""
-    return df.select(ident, cosine(F.col(vector), query).alias("similarity")).orderBy(F.desc("similarity"), ident).limit(n)
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
+    v, length = F.col(vector), df.sparkSession.range(1).select(F.sqrt(dot(query, query))).first()[0]  # the query's own, once
+    return df.select(ident, (dot(v, query) / (F.sqrt(dot(v, v)) * F.lit(length))).alias("similarity")).orderBy(F.desc("similarity"), ident).limit(n)
 
 
 def semantic_search_each(df: DataFrame, ident: str, vector: str, queries: DataFrame, n: int = 50) -> DataFrame:

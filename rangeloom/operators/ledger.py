@@ -35,13 +35,17 @@ def max_position(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("network").agg(top.alias("x")).select("network", "x.*")
 
 
-def detect_gaps(ledger: DataFrame) -> DataFrame:
+def detect_gaps(ledger: DataFrame, bucket: int = 1 << 20) -> DataFrame:
     """network, gap_start, gap_end of the blocks between ranges that no range covers; ranges may overlap.
 
-    The window runs over ledger rows of one network: batches, not table rows.
+    How far earlier ranges reach is the greatest end within the bucket of ``bucket`` blocks, or of all buckets before it: windows
+    run over a bucket's rows, and over one row for each bucket.
     """
-    before = Window.partitionBy("network").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    reach = ledger.withColumn("reach", F.max("end").over(before))
+    own = ledger.select("network", "start", "end").withColumn("bucket", F.floor(F.col("start") / bucket))
+    ends = own.groupBy("network", "bucket").agg(F.max("end").alias("top"))
+    carried = ends.withColumn("carried", F.max("top").over(Window.partitionBy("network").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).drop("top")
+    before = Window.partitionBy("network", "bucket").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reach = own.withColumn("inner", F.max("end").over(before)).join(carried, ["network", "bucket"]).withColumn("reach", F.greatest("inner", "carried"))
     return reach.where(F.col("start") > F.col("reach") + 1).select("network", (F.col("reach") + 1).alias("gap_start"), (F.col("start") - 1).alias("gap_end"))
 
 

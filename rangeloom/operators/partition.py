@@ -32,9 +32,9 @@ def recent_range(df: DataFrame, block: str, n: int) -> tuple[int, int]:
 
 
 def recent_blocks(df: DataFrame, block: str, n: int) -> DataFrame:
-    """Rows of recent_range, as one plan."""
-    top = df.agg(F.max(block).alias("top"))
-    return df.join(F.broadcast(top), F.col(block) >= F.greatest(F.lit(0), F.col("top") - n)).drop("top")
+    """Rows of recent_range. The highest block is looked up first, from file statistics where Spark can, so that the range is a
+    literal that reaches the scan."""
+    return df.where(F.col(block) >= recent_range(df, block, n)[0])
 
 
 def resolve_end(df: DataFrame, block: str, spec: str | int | None) -> int | None:

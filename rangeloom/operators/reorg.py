@@ -28,15 +28,40 @@ def _same(a: str, b: str) -> Column:
     return out
 
 
-def _with_previous(ranges: DataFrame) -> DataFrame:
-    order = Window.partitionBy("network").orderBy("_seq")
-    own = ranges.withColumn("cur", F.struct(*FIELDS))
-    return own.withColumn("prev", F.lag("cur").over(order))
+#: Values of _seq in a bucket.
+BUCKET = 1 << 20
 
 
-def detect_reorgs(ranges: DataFrame) -> DataFrame:
+def _joined_by_bucket(rows: DataFrame, value: Column, name: str, bucket: int, summary: Column, inner, across, later: bool) -> DataFrame:
+    """rows with ``name``: what ``inner`` makes of the values before (or after) a row in its bucket, else what ``across`` makes of
+    the buckets' summaries before (or after) it; the least of both if values are looked up after."""
+    span = (1, Window.unboundedFollowing) if later else (Window.unboundedPreceding, -1)
+    own = rows.withColumn("__bucket", F.floor(F.col("_seq") / bucket)).withColumn("__value", value)
+    each = own.groupBy("network", "__bucket").agg(summary.alias("__summary"))
+    far = each.withColumn("__far", across("__summary").over(Window.partitionBy("network").orderBy("__bucket").rowsBetween(*span))).drop("__summary")
+    near = own.withColumn("__near", inner("__value").over(Window.partitionBy("network", "__bucket").orderBy("_seq").rowsBetween(*span)))
+    both = F.least("__near", "__far") if later else F.coalesce("__near", "__far")
+    return near.join(far, ["network", "__bucket"]).withColumn(name, both).drop("__bucket", "__value", "__near", "__far")
+
+
+def _last_before(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
+    """rows with ``name``: the last value, nulls passed over, of the rows before in the network."""
+    last = lambda c: F.last(c, ignorenulls=True)
+    return _joined_by_bucket(rows, value, name, bucket, F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col("_seq"))), last, last, False)
+
+
+def _least_after(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
+    """rows with ``name``: the least value of the rows after in the network."""
+    return _joined_by_bucket(rows, value, name, bucket, F.min("__value"), F.min, F.min, True)
+
+
+def _with_previous(ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    return _last_before(ranges.withColumn("cur", F.struct(*FIELDS)), F.col("cur"), "prev", bucket)
+
+
+def detect_reorgs(ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """_seq, network, start, end of what each range (``_seq`` and range fields) invalidates."""
-    own = _with_previous(ranges).where(~_same("cur", "prev") & (F.col("start") <= F.col("prev.end")))
+    own = _with_previous(ranges, bucket).where(~_same("cur", "prev") & (F.col("start") <= F.col("prev.end")))
     return own.select("_seq", "network", "start", F.greatest("end", "prev.end").alias("end"))
 
 
@@ -46,7 +71,7 @@ def detect_duplicates(ranges: DataFrame) -> DataFrame:
     return own.groupBy("_seq").agg(F.bool_and("same").alias("same")).where("same").select("_seq")
 
 
-def published(batches: DataFrame) -> DataFrame:
+def published(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """_seq of the data batches whose rows are in the table after the whole stream.
 
     A batch is in if nothing later replaces any of its ranges, its microbatch (equal ranges in a row) got complete, and
@@ -55,12 +80,11 @@ def published(batches: DataFrame) -> DataFrame:
     notice = F.coalesce("_notice", F.lit(False))
     base = batches.select("_seq", "_ranges", F.coalesce("_ranges_complete", F.lit(False)).alias("complete"), notice.alias("notice"))
     rows = base.select("_seq", "notice", F.explode("_ranges").alias("cur")).select("_seq", "notice", "cur", "cur.network", "cur.start", "cur.end")
-    order = Window.partitionBy("network").orderBy("_seq")
-    earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    rows = rows.withColumn("prev", F.last(F.when(~F.col("notice"), F.col("cur")), ignorenulls=True).over(earlier))
-    rows = rows.withColumn("eq", _same("cur", "prev")).withColumn("turn", F.count(F.when(~F.col("notice"), 1)).over(earlier))
+    # of the last data batch before: its range and its place
+    rows = _last_before(rows, F.when(~F.col("notice"), F.struct("cur", "_seq")), "before", bucket).withColumn("prev", F.col("before.cur")).withColumn("turn", F.col("before._seq"))
+    rows = rows.withColumn("eq", _same("cur", "prev"))
     voids = F.when(F.col("notice") | (~F.col("eq") & (F.col("start") <= F.col("prev.end"))), F.col("start"))
-    rows = rows.withColumn("void", voids).withColumn("void_later", F.min("void").over(later))
+    rows = _least_after(rows.withColumn("void", voids), F.col("void"), "void_later", bucket)
     since = Window.partitionBy("network", "turn").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("noticed", F.min(F.when(F.col("notice"), F.col("start"))).over(since))
     alive = F.col("void_later").isNull() | (F.col("end") < F.col("void_later"))
@@ -75,9 +99,9 @@ def published(batches: DataFrame) -> DataFrame:
     return data.where("alive and done and not done_before").select("_seq")
 
 
-def current_rows(log: DataFrame, batches: DataFrame) -> DataFrame:
+def current_rows(log: DataFrame, batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """The rows of ``log`` (with ``_seq``) that are in the table after all batches."""
-    return log.join(published(batches), "_seq", "left_semi")
+    return log.join(published(batches, bucket), "_seq", "left_semi")
 
 
 def delete_batches(rows: DataFrame, affected: DataFrame) -> DataFrame:

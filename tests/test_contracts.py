@@ -150,8 +150,9 @@ def test_replay_equals_a_simulation(spark, seed):
             own.append((n, start, end, r.choice([None, f"h{seq}"])))
             at[n] = end + 1
         rows.append((seq, own, r.random() < 0.7, False))
-    got = [x for (x,) in values(reorg.published(batches(spark, rows)), "_seq")]
-    assert got == simulate(rows)
+    for bucket in (reorg.BUCKET, 7):
+        got = [x for (x,) in values(reorg.published(batches(spark, rows), bucket), "_seq")]
+        assert got == simulate(rows)
 
 
 def test_history(spark):
@@ -164,7 +165,8 @@ def test_history(spark):
 
 def test_gaps_and_resume(spark):
     led = table(spark, [(1, "eth", 0, 100, None, None), (2, "eth", 200, 300, None, None), (3, "eth", 500, 600, None, None)])
-    assert values(ledger.detect_gaps(led), "gap_start", "gap_end") == [(101, 199), (301, 499)]
+    for bucket in (1 << 20, 64, 1):
+        assert values(ledger.detect_gaps(led, bucket), "gap_start", "gap_end") == [(101, 199), (301, 499)]
     assert values(ledger.resume_position(led, True), "start", "end", "is_gap") == [(101, 199, True), (301, 499, True), (601, 601, False)]
     over = table(spark, [(1, "eth", 0, 1000, None, None), (2, "eth", 1100, 1200, None, None), (3, "eth", 1050, 1300, None, None)])
     assert values(ledger.detect_gaps(over), "gap_start", "gap_end") == [(1001, 1049)]
