@@ -1,12 +1,15 @@
 """Parquet tables: versions in folders behind a pointer file, so that a rewrite is one atomic step.
 
-``<root>/v<n>/`` holds the files of a version and ``<root>/CURRENT`` names the version that readers use. Appends add
+``<root>/v<n>-<id>/`` holds the files of a version and ``<root>/CURRENT`` names the folder that readers use. Appends add
 files to the current version; overwrite, upsert and compaction write the next version and then swap the pointer, so no job
-reads the folder it writes. The pointer is read and written through Hadoop's file system, wherever the table lives.
+reads the folder it writes. Who replaces version n must first make the file ``<root>/after-<n>``, which only one writer can: of two
+writers that began from the same version the second fails instead of undoing the first. The pointer is read and written through
+Hadoop's file system, wherever the table lives.
 """
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -30,18 +33,27 @@ class LakeTable:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf), p
 
-    def _version(self) -> int | None:
+    def _current(self) -> str | None:
+        """The folder of the current version."""
         fs, p = self._fs(f"{self.root}/CURRENT")
-        if not fs.exists(p):
-            return None
-        return int(self.spark.read.text(f"{self.root}/CURRENT").first()[0])
-
-    def _swap(self, n: int) -> None:
-        fs, draft = self._fs(f"{self.root}/CURRENT.{uuid.uuid4().hex}")
-        out = fs.create(draft, True)
-        out.write(bytearray(str(n).encode()))
+        return self.spark.read.text(f"{self.root}/CURRENT").first()[0] if fs.exists(p) else None
+
+    def _text(self, name: str, text: str) -> None:
+        """Makes a file that must not be there yet."""
+        fs, p = self._fs(name)
+        out = fs.create(p, False)
+        out.write(bytearray(text.encode()))
         out.close()
-        self._replace(fs, draft, f"{self.root}/CURRENT")
+
+    def _swap(self, before: str | None, folder: str) -> None:
+        try:
+            self._text(f"{self.root}/after-{'nothing' if before is None else before.partition('-')[0]}", folder)
+        except Exception as e:
+            raise RuntimeError(f"another writer has replaced {before or 'the empty table'} of {self.root}; read it again") from e
+        draft = f"{self.root}/CURRENT.{uuid.uuid4().hex}"
+        self._text(draft, folder)
+        fs, p = self._fs(draft)
+        self._replace(fs, p, f"{self.root}/CURRENT")
 
     def _replace(self, fs, draft, name: str) -> None:
         """Renames in one step over what is there."""
@@ -53,58 +65,71 @@ class LakeTable:
         jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration()).rename(source, target, how)
 
     def exists(self) -> bool:
-        return self._version() is not None
+        return self._current() is not None
 
     def read(self) -> DataFrame:
-        n = self._version()
-        if n is None:
+        return self._read(self._current())
+
+    def _read(self, folder: str | None) -> DataFrame:
+        if folder is None:
             raise FileNotFoundError(f"no table at {self.root}")
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/v{n}")
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{folder}")
 
-    def _put(self, df: DataFrame, n: int, mode: str) -> None:
+    def _put(self, df: DataFrame, folder: str, mode: str) -> None:
         writer = df.write.mode(mode)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         if self.max_rows:
             writer = writer.option("maxRecordsPerFile", self.max_rows)
-        writer.parquet(f"{self.root}/v{n}")
+        writer.parquet(f"{self.root}/{folder}")
 
-    def _next(self, df: DataFrame) -> None:
-        n = self._version()
-        n = 0 if n is None else n + 1
-        self._put(df, n, "overwrite")  # a failed attempt's files are replaced
-        self._swap(n)
+    def _next(self, df: DataFrame, before: str | None) -> None:
+        n = 0 if before is None else int(before.partition("-")[0].removeprefix("v")) + 1
+        folder = f"v{n}-{uuid.uuid4().hex}"
+        self._put(df, folder, "errorifexists")
+        self._swap(before, folder)
 
     def write(self, df: DataFrame, mode: str = "append", keys: list[str] | None = None, order: list[str] | None = None) -> None:
         if mode not in MODES:
             raise ValueError(f"mode {mode} is not one of {', '.join(MODES)}")
         if missing := [c for c in self.partition_by if c not in df.columns]:
             raise ValueError(f"partition columns {', '.join(missing)} are not in the rows")
-        n = self._version()
-        if n is None or mode == "overwrite":
-            self._next(df)
+        now = self._current()
+        if now is None or mode == "overwrite":
+            self._next(df, now)
             return
         if not self.evolve:
-            check_schema(self.read(), df)
+            check_schema(self._read(now), df)
         if mode == "append":
-            self._put(df, n, "append")
+            self._put(df, now, "append")
             return
         if not keys:
             raise ValueError("an upsert needs keys")
-        table = self.read()
+        table = self._read(now)
         both = evolve_schema(table, df).schema  # columns that one side lacks are null there
         fill = lambda x: x.select([F.col(f"`{f.name}`") if f.name in x.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in both])
-        self._next(upsert(fill(table), fill(df), keys, order or keys))
+        # without an order the greatest row of a key counts, so equal input gives equal tables
+        self._next(upsert(fill(table), fill(df), keys, order or [c for c in df.columns if c not in keys] or keys), now)
 
     def delete_batches(self, affected: DataFrame) -> None:
         """Rewrites the table without the rows of the affected batches."""
         from rangeloom.operators.reorg import delete_batches
 
-        self._next(delete_batches(self.read(), affected))
+        now = self._current()
+        self._next(delete_batches(self._read(now), affected), now)
 
     def compact(self, files: int) -> None:
         """Rewrites the table in so many files."""
-        self._next(self.read().repartition(files))
+        now = self._current()
+        self._next(self._read(now).repartition(files), now)
+
+    def remove_old(self) -> int:
+        """Deletes the folders of versions that are no longer current (for when no reader is on them); how many went."""
+        now, (fs, p), gone = self._current(), self._fs(self.root), 0
+        for found in fs.listStatus(p):
+            if found.isDirectory() and re.match("v[0-9]+-", found.getPath().getName()) and found.getPath().getName() != now:
+                gone += fs.delete(found.getPath(), True)
+        return gone
 
 
 def load(df: DataFrame, sink, mode: str = "append", table: str = "", **how) -> DataFrame:

@@ -45,7 +45,11 @@ def test_derived_datasets(spark, tmp_path):
     assert df.count() == 1 and json.loads(json.dumps(manifest))["dependencies"] == {"eth": "_/eth@1.0.0"}
     assert datasets.declared_schema(manifest, "d") == df.schema
     assert [f.name for f in datasets.output_schema(spark, "SELECT 1 AS x", True)] == ["_block_num", "x"]
-    assert [b.num_rows for b in datasets.stream_batches(spark.range(25), 10)] == [10, 10, 5]
+    assert [b.num_rows for b in datasets.stream_batches(spark.range(25).coalesce(1), 10)] == [10, 10, 5]
+    got = datasets.collect_table(spark.range(25))
+    assert got.num_rows == 25 and sorted(got.column("id").to_pylist()) == list(range(25))
+    with pytest.raises(ValueError):
+        datasets.collect_table(spark.range(100_000), 1000)
     assert datasets.adhoc_select(rows, ["v"], "block_num = 2").first()[0] == "b"
 
 
@@ -76,6 +80,12 @@ def test_lake_tables(spark, tmp_path):
     t.write(ids)
     t.delete_batches(spark.createDataFrame([("b",)], "batch_id string"))
     assert sorted(r.id for r in t.read().collect()) == [1, 3]
+    late = lake.LakeTable(spark, f"file://{tmp_path}/b")
+    before = late._current()
+    t.write(ids, "overwrite")
+    with pytest.raises(RuntimeError):  # a writer that began from the version that was replaced meanwhile
+        late._next(ids, before)
+    assert t.read().count() == 3 and t.remove_old() == 3 and t.read().count() == 3
     assert lake.load(spark.range(7), lake.LakeTable(spark, f"file://{tmp_path}/e"), "overwrite").first().rows == 7
 
 
