@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
 import uuid
 
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 from rangeloom.functions import encoding, evm, ranges
 from rangeloom.operators import analytics, joins, kv, ledger, merge, partition, reorg
 from rangeloom.sinks import jdbc, lake
-from rangeloom.sources import chain, datasets, labels
+from rangeloom.sources import abi, chain, datasets, labels
 from rangeloom.sources.chain import read
 from rangeloom.streaming import continuous
 
@@ -36,6 +38,8 @@ def scratch(spark: SparkSession, what: str) -> str:
     """A new folder that driver and executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-shared-', dir='/tmp')}"
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
@@ -87,7 +91,19 @@ def table_progress(spark, d):
 @query("SELECT count(*) AS \"rows\", 6 AS \"columns\", count(DISTINCT o_orderkey) AS \"keys\", count(*) = count(DISTINCT o_orderkey) AS is_unique FROM orders")
 def table_stats(spark, d):
     o = read(spark, d, "orders")
-    return datasets.table_stats(o).select("columns").join(merge.distinct_check(o, "o_orderkey"))
+    known = datasets.table_stats(o).select("rows", "columns")
+    return known.join(merge.distinct_check(o, "o_orderkey"), "rows")
+
+
+@query("SELECT 2 + 0 * count(*) AS files, count(*) AS \"rows\", 2 AS \"columns\", true AS bytes_agree FROM orders")
+def table_files(spark, d):
+    """Rows, files and bytes of a table of two files, the bytes against what the file system lists."""
+    path = scratch(spark, "files")
+    read(spark, d, "orders").select("o_orderkey", "o_totalprice").repartition(2).write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    size = sum(x.getLen() for x in listed if x.getPath().getName().startswith("part-"))
+    return datasets.table_stats(spark.read.parquet(path)).select("files", "rows", "columns", (F.col("bytes") == size).alias("bytes_agree"))
 
 
 @query(
@@ -127,6 +143,13 @@ def label_join(spark, d):
     return joins.label_join(rows, labels.read_labels(spark, path), "n_nationkey", "c_nationkey")
 
 
+@query("SELECT l_orderkey, l_linenumber, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey")
+def label_join_lines(spark, d):
+    """Order lines with the supplier's label."""
+    sets = labels.as_labels(read(spark, d, "supplier").select("s_suppkey", "s_name"))
+    return joins.label_join(read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"), sets, "s_suppkey", "l_suppkey").drop("l_suppkey")
+
+
 @query(
     "SELECT n_name, c_mktsegment, count(*) AS row_count FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey "
     "GROUP BY 1, 2 ORDER BY row_count DESC, n_name, c_mktsegment LIMIT 10"
@@ -531,16 +554,29 @@ def load_audit(spark, d):
     return lake.load(rows, lake.LakeTable(spark, scratch(spark, "lake")), "overwrite", "lineitem").select("columns", "rows", "success")
 
 
-@query(_REPLAY)
-def continuous_load(spark, d):
+def _streamed(spark, d) -> continuous.ContinuousTable:
     """The replay as a stream: rows in files of several epochs, read until there are no more."""
     rows = _stream_rows(spark, d).join(_stream_batches(spark, d).select("_seq", F.concat(F.lit('{"ranges":'), ranges.ranges_json(F.col("_ranges")), F.lit(',"ranges_complete":true}')).alias("_metadata_json")), "_seq")
     source = scratch(spark, "source")
-    rows.withColumn("_notice", F.lit(False)).repartitionByRange(4, "_seq").write.parquet(source)
+    cuts = chain.stream(spark, d).agg(F.percentile_approx("_seq", [0.25, 0.5, 0.75])).first()[0]
+    for low, high in zip([-1, *cuts], [*cuts, 1 << 62], strict=True):  # deliveries follow each other, a file each
+        part = rows.where((F.col("_seq") > low) & (F.col("_seq") <= high)).withColumn("_notice", F.lit(False))
+        part.repartition(1).write.mode("append").parquet(source)
     schema = T.StructType([f for f in rows.schema if f.name not in ("_seq", "_metadata_json")])
     table = continuous.ContinuousTable(spark, scratch(spark, "table"))
-    continuous.await_load(table.start(continuous.read_block_stream(spark, source, schema, files_per_trigger=2), available_now=True))
-    return _by_batch(table.current())
+    continuous.await_load(table.start(continuous.read_block_stream(spark, source, schema, files_per_trigger=1), available_now=True))
+    return table
+
+
+@query(_REPLAY)
+def continuous_load(spark, d):
+    return _by_batch(_streamed(spark, d).current())
+
+
+@query(_BATCHES + _STREAM + " SELECT _seq, network, \"start\", \"end\" FROM voids")
+def reorg_notices(spark, d):
+    """What the running stream told of reorganisations, epoch by epoch."""
+    return _streamed(spark, d).notices()
 
 
 @query(_BATCHES + " SELECT event_id, network, block_num FROM blocks WHERE slot % 5 <> 0")
@@ -573,6 +609,274 @@ def hybrid_load(spark, d):
     return both.groupBy("network").agg(F.count("*").alias("row_count"), F.sum("event_id").alias("ids"))
 
 
+# --- what the other operators do, one query each ------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def stream_batches(spark, d):
+    """A result in Arrow batches of 1000 rows, made by the tasks and read again."""
+    o = read(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return datasets.unpacked_batches(datasets.packed_batches(o, 1000), o.schema)
+
+
+@query("SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2")
+def collect_table(spark, d):
+    """An aggregate as an Arrow table on the driver, and back."""
+    return spark.createDataFrame(datasets.collect_table(read(spark, d, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))))
+
+
+def _counted_columns(spark, d, tables: list[str], type_: str | None, name: str | None) -> DataFrame:
+    """Rows with a value of each column that describe_tables and columns_of find."""
+    described = datasets.describe_tables(spark, {t: read(spark, d, t).schema for t in tables})
+    found, out = [(r.table, r.column) for r in datasets.columns_of(described, type_, name).collect()], None  # columns of the named tables
+    for t in tables:
+        own = [c for x, c in found if x == t]
+        if own:
+            counts = read(spark, d, t).agg(*[F.count(c).alias(c) for c in own]).unpivot([], own, "column", "filled").withColumn("table", F.lit(t))
+            out = counts if out is None else out.unionByName(counts)
+    return described.join(out, ["table", "column"])
+
+
+_FILLED = "SELECT '{0}' AS \"table\", '{1}' AS \"column\", '{2}' AS type, true AS nullable, count({1}) AS filled FROM {0}"
+
+
+@query(" UNION ALL ".join(_FILLED.format(t, c, k) for t, c, k in (("customer", "c_custkey", "bigint"), ("customer", "c_name", "string"), ("customer", "c_nationkey", "int"), ("customer", "c_acctbal", "double"), ("customer", "c_mktsegment", "string"), ("nation", "n_nationkey", "int"), ("nation", "n_name", "string"), ("nation", "n_regionkey", "int"))))
+def describe_tables(spark, d):
+    return _counted_columns(spark, d, ["customer", "nation"], None, None)
+
+
+@query(" UNION ALL ".join(_FILLED.format(t, c, "double") for t, c in (("orders", "o_totalprice"), ("customer", "c_acctbal"), ("part", "p_retailprice"))))
+def columns_by_type(spark, d):
+    return _counted_columns(spark, d, ["orders", "customer", "part"], "double", "price|bal")
+
+
+@query("SELECT o_orderkey AS _block_num, o_custkey AS customer, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders WHERE o_totalprice > 100000")
+def output_schema(spark, d):
+    """The schema of a query that never runs, with the block column first, laid over the rows of another one."""
+    read(spark, d, "orders").createOrReplaceTempView("orders_of_schema")
+    schema = datasets.output_schema(spark, "SELECT o_custkey AS customer, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders_of_schema", with_block=True)
+    rows = read(spark, d, "orders").where("o_totalprice > 100000").select("o_orderkey", "o_custkey", F.round(F.col("o_totalprice") * 100))
+    return rows.toDF(*schema.names).select([F.col(f.name).cast(f.dataType) for f in schema])
+
+
+@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def label_registry(spark, d):
+    """A set that is added, replaced and found by name among others."""
+    sets = labels.LabelRegistry(spark)
+    nations = _nation_labels(spark, d)
+    sets.add("nations", nations.limit(0))
+    sets.add("nations", nations)
+    sets.add("others", nations.limit(1))
+    sets.remove("others")
+    (name,) = sets.names()
+    out = joins.label_join(read(spark, d, "customer").select("c_custkey", "c_nationkey"), sets.get(name), "n_nationkey", "c_nationkey").drop("c_nationkey")
+    sets.clear()
+    return out
+
+
+@query("SELECT l_orderkey AS block_num, l_linenumber AS log_index, l_suppkey AS to_id FROM lineitem")
+def abi_events(spark, d):
+    """Logs decoded by the signature that a contract's interface description gives."""
+    path = scratch(spark, "abi")
+    parts = [{"name": n, "type": t, "indexed": i} for n, t, i in (("from", "address", True), ("to", "address", True), ("value", "uint256", False))]
+    spark.createDataFrame([(json.dumps([{"type": "event", "name": "Transfer", "inputs": parts}, {"type": "function", "name": "f", "inputs": []}]),)], "value string").coalesce(1).write.text(path)
+    signature = abi.read_abi_events(spark, path, "Transfer").first()["signature"]
+    logs = chain.logs(spark, d).where(F.col("topic0") == evm.event_topic(signature))
+    dec = evm.decode_event(signature, F.col("topic1"), F.col("topic2"), F.col("topic3"), F.col("data"))
+    return logs.select("block_num", "log_index", F.conv(F.hex(dec["to"]), 16, 10).cast("long").alias("to_id"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) - 500 FROM orders)")
+def resolve_end_block(spark, d):
+    o = read(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return partition.in_range(o, "o_orderkey", 0, partition.resolve_end(o, "o_orderkey", "-500") + 1)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def read_table(spark, d):
+    """Columns of a table in several folders, the first of which lacks one."""
+    path, o = scratch(spark, "table"), read(spark, d, "orders")
+    o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus").write.parquet(f"{path}/half=0")
+    o.where("o_orderkey % 2 = 1").select("o_orderkey", "o_orderstatus", "o_custkey").write.parquet(f"{path}/half=1")
+    return datasets.read_table(spark, path, ["o_orderkey", "o_orderstatus"])
+
+
+@query("SELECT 'c_custkey' AS \"column\", 'bigint' AS type, count(c_custkey) AS filled FROM customer UNION ALL SELECT 'c_acctbal', 'double', count(c_acctbal) FROM customer UNION ALL SELECT 'c_name', 'string', count(c_name) FROM customer")
+def jdbc_schema(spark, d):
+    """Columns of an external table and how many rows have a value there."""
+    url = f"jdbc:derby:memory:x{uuid.uuid4().hex}"
+    table = jdbc.JdbcTable(spark, f"{url};create=true", "customer", jdbc.DERBY)
+    table.write(read(spark, d, "customer").select("c_custkey", "c_acctbal", "c_name"), "overwrite")
+    schema = datasets.jdbc_schema(spark, url, "customer", jdbc.DERBY)
+    kinds = spark.createDataFrame([(f.name.lower(), f.dataType.simpleString()) for f in schema], "column string, type string")
+    filled = table.read().agg(*[F.count(f.name).alias(f.name.lower()) for f in schema]).unpivot([], [f.name.lower() for f in schema], "column", "filled")
+    return kinds.withColumn("type", F.regexp_replace("type", r"varchar.*", "string")).join(filled, "column")
+
+
+@query(_BATCHES + " SELECT b.event_id, x.slot FROM blocks b JOIN batches x ON b.network = x.network AND b.block_num BETWEEN greatest(x.\"start\" - 5, 0) AND x.\"end\" WHERE x.slot % 7 = 3")
+def block_contains(spark, d):
+    """Events inside ranges that reach five blocks back: in the batch's slot or the one before."""
+    wide = chain.batches(spark, d).where("slot % 7 = 3").select("network", F.col("slot").alias("of"), ranges.make_range("network", F.greatest(F.col("start") - 5, F.lit(0)), "end").alias("r"), F.explode(F.sequence(F.expr("greatest(start - 5, 0) div 10"), F.expr("end div 10"))).alias("slot"))
+    met = chain.blocks(spark, d).join(wide, ["network", "slot"]).where(ranges.contains_block(F.col("r"), F.col("block_num")))
+    return met.select("event_id", F.col("of").alias("slot"))
+
+
+@query("SELECT count(*) AS \"rows\", 4 AS \"columns\", true AS success, 'l_linenumber,l_orderkey,l_quantity,l_shipdate' AS names FROM lineitem WHERE l_quantity < 0")
+def empty_result(spark, d):
+    """A load without rows keeps the columns: the table is there and can be read."""
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate").where("l_quantity < 0")
+    table = lake.LakeTable(spark, scratch(spark, "lake"))
+    audit = lake.load(rows, table, "overwrite", "lineitem").select("columns", "success")
+    return table.read().agg(F.count("*").alias("rows")).join(audit).withColumn("names", F.lit(",".join(sorted(table.read().columns))))
+
+
+@query(
+    "WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) + 1 AS hi FROM lineitem), s AS (SELECT lo, (hi - lo + 7) // 8 AS step FROM b), p AS (SELECT (l_orderkey - lo) // step AS part, count(*) AS n FROM lineitem, s GROUP BY 1) "
+    "SELECT CAST(coalesce(sum(n) FILTER (part % 3 <> 2), 0) AS BIGINT) AS \"rows\", CAST(sum((part + 1) * 0.5) AS DOUBLE) AS seconds, count(*) FILTER (part % 3 <> 2) AS completed, count(*) FILTER (part % 3 = 2) AS failed, "
+    "round(avg(n / ((part + 1) * 0.5)) FILTER (part % 3 <> 2), 6) AS rows_per_second FROM p"
+)
+def partition_stats(spark, d):
+    """Totals of an audit table of a load in eight ranges, of which every third one failed."""
+    li = read(spark, d, "lineitem").select("l_orderkey")
+    b = li.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    audit = partition.partitioned_load(li, "l_orderkey", "lineitem", b[0], b[1] + 1, workers=8)
+    audit = audit.withColumn("seconds", (F.col("part") + 1) * F.lit(0.5)).withColumn("success", F.col("part") % 3 != 2)
+    return partition.partition_totals(audit).withColumn("rows_per_second", F.round("rows_per_second", 6))
+
+
+_NANOS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+@query(f"SELECT event_id, {_NANOS} AS ts_text FROM events")
+def from_nanoseconds(spark, d):
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + F.col("event_id") % 1000
+    return read(spark, d, "events").select("event_id", encoding.timestamp_text(encoding.from_nanoseconds(nanos)).alias("ts_text"))
+
+
+@query("SELECT event_id, CASE WHEN user_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE '' END AS text FROM events")
+def text_or_empty(spark, d):
+    return read(spark, d, "events").select("event_id", encoding.text_or_empty(F.when(F.col("user_id") % 2 == 0, F.col("user_id"))).alias("text"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') END AS at FROM events")
+def parse_utc(spark, d):
+    """Timestamps from text with and without the word UTC; text that is none gives null."""
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    text = F.when(F.col("event_id") % 5 == 0, "not a time").when(F.col("event_id") % 2 == 0, F.concat(text, F.lit(" UTC"))).otherwise(text)
+    return read(spark, d, "events").select("event_id", F.date_format(encoding.parse_utc(text), "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query("SELECT c_custkey, lower(c_mktsegment) AS namespace, c_name AS name, '1.0.' || c_nationkey AS version, lower(c_mktsegment) || '/' || c_name || '@1.0.' || c_nationkey AS again FROM customer")
+def references(spark, d):
+    whole = F.concat(F.lower("c_mktsegment"), F.lit("/"), "c_name", F.lit("@1.0."), F.col("c_nationkey").cast("string"))
+    parsed = read(spark, d, "customer").select("c_custkey", encoding.parse_reference(whole).alias("r")).select("c_custkey", "r.*")
+    return parsed.withColumn("again", encoding.format_reference(F.col("namespace"), F.col("name"), F.col("version")))
+
+
+@query("SELECT o_orderstatus, count(*) AS row_count, true AS small_files FROM orders GROUP BY 1")
+def partitioned_write(spark, d):
+    """A lake table in folders by status, with files of 100 rows at most."""
+    table = lake.LakeTable(spark, scratch(spark, "orders"), partition_by=["o_orderstatus"], max_rows_per_file=100)
+    table.write(read(spark, d, "orders").select("o_orderkey", "o_orderstatus"))
+    files = table.read().groupBy("o_orderstatus", F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"))
+    return files.groupBy("o_orderstatus").agg(F.sum("n").alias("row_count"), (F.max("n") <= 100).alias("small_files"))
+
+
+@query(_SLICES + " SELECT * FROM a UNION ALL SELECT * FROM b")
+def append_rows(spark, d):
+    first, second = _slices(spark, d)
+    table = lake.LakeTable(spark, scratch(spark, "orders"))
+    table.write(first)
+    table.write(second, "append")
+    return table.read()
+
+
+@query(_SLICES + ", u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT count(*) AS \"rows\", CAST(sum(o_orderkey) AS BIGINT) AS \"keys\", 2 AS files FROM u")
+def compact(spark, d):
+    """Two appends in many files, rewritten as two."""
+    table = lake.LakeTable(spark, scratch(spark, "orders"))
+    for rows in _slices(spark, d):
+        table.write(rows.repartition(3))
+    table.compact(2)
+    table.remove_old()
+    return table.read().agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"), F.count_distinct(F.col("_metadata.file_path")).cast("int").alias("files"))
+
+
+_DDL = [("postgresql", "o_orderkey", "BIGINT"), ("postgresql", "o_totalprice", "DOUBLE PRECISION"), ("postgresql", "o_orderstatus", "TEXT"), ("clickhouse", "o_orderkey", "Int64"), ("clickhouse", "o_totalprice", "Float64"), ("clickhouse", "o_orderstatus", "String"),
+        ("snowflake", "o_orderkey", "BIGINT"), ("snowflake", "o_totalprice", "FLOAT"), ("snowflake", "o_orderstatus", "VARCHAR"), ("iceberg", "o_orderkey", "long"), ("iceberg", "o_totalprice", "double"), ("iceberg", "o_orderstatus", "string")]
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS target, '{c}' AS \"column\", '{k}' AS kind, count({c}) AS filled FROM orders" for t, c, k in _DDL))
+def ddl_types(spark, d):
+    """The column types of the orders table by target, with the rows that have a value there."""
+    o = read(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    kinds = spark.createDataFrame([(t, f.name, jdbc.ddl_type(t, f.dataType)) for t in jdbc.TYPES for f in o.schema], "target string, column string, kind string")
+    return kinds.join(o.agg(*[F.count(c).alias(c) for c in o.columns]).unpivot([], o.columns, "column", "filled"), "column")
+
+
+@query(_SLICES + " SELECT * FROM a UNION ALL SELECT * FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)")
+def warehouse_insert(spark, d):
+    """A relational table that gets the rows it lacks: keys are looked up, what is new is appended."""
+    first, second = _slices(spark, d)
+    table = jdbc.JdbcTable(spark, f"jdbc:derby:memory:x{uuid.uuid4().hex};create=true", "orders", jdbc.DERBY)
+    table.write(first, "overwrite")
+    have = table.read().toDF(*first.columns)
+    fresh = merge.insert_if_absent(have.limit(0), second.join(have, "o_orderkey", "left_anti"), ["o_orderkey"], ["o_custkey"])[0]
+    kept = scratch(spark, "fresh")
+    fresh.write.parquet(kept)  # the table is not read by the job that writes it
+    table.write(spark.read.parquet(kept), "append")
+    return table.read().toDF(*first.columns)
+
+
+@query("SELECT event_id FROM events WHERE ts + INTERVAL 2 HOUR > (SELECT max(ts) FROM events)")
+def expire_at(spark, d):
+    e = read(spark, d, "events")
+    now = F.lit(e.agg(F.max("ts")).first()[0]).cast(e.schema["ts"].dataType)
+    return kv.unexpired(kv.with_expiry(e, 7200, F.col("ts")), now).select("event_id")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS key, o_custkey, o_orderstatus FROM (" + _SLICES + " SELECT * FROM a UNION ALL SELECT * FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a))")
+def kv_rows(spark, d):
+    """Rows under keys; those whose key is there already do not replace it."""
+    first, second = (kv.kv_rows(x, F.col("o_orderkey").cast("string")) for x in _slices(spark, d))
+    both = merge.insert_if_absent(first, second, ["key"], ["value"])[0]
+    return both.select("key", "value.o_custkey", "value.o_orderstatus")
+
+
+@query("SELECT user_id AS key, string_agg('{\"event_id\":' || event_id || '}', '|' ORDER BY event_id) AS entries FROM events GROUP BY 1")
+def kv_list(spark, d):
+    e = read(spark, d, "events")
+    return kv.kv_list(e, F.col("user_id"), F.col("event_id"), ["event_id"]).select("key", F.array_join("values", "|").alias("entries"))
+
+
+@query(_BATCHES + " SELECT DISTINCT '[{\"network\":\"' || network || '\",\"start\":' || \"start\" || ',\"end\":' || \"end\" || ',\"hash\":\"' || hash || '\",\"prev_hash\":null}]' AS _block_ranges, true AS _is_current, CAST(NULL AS VARCHAR) AS _reorg_batch_id FROM batches")
+def batch_columns(spark, d):
+    """Ranges as JSON and the history columns beside the rows of every batch."""
+    b = chain.batches(spark, d).select("network", "slot", F.array(ranges.make_range("network", "start", "end", "hash", "prev_hash")).alias("_ranges"))
+    rows = reorg.add_batch_columns(chain.blocks(spark, d).join(b, ["network", "slot"]), with_json=True, with_history=True)
+    return rows.select("_block_ranges", "_is_current", "_reorg_batch_id").distinct()
+
+
+@query("SELECT o_orderkey, CAST(CAST(o_orderkey AS HUGEINT) * 10000000000000000 * 10000000000000000 + o_custkey AS VARCHAR) AS digits FROM orders")
+def wide_numbers(spark, d):
+    """Amounts of some 40 digits, as words of event data and as text: the number is beyond a decimal or not, its digits are there."""
+    o = read(spark, d, "orders").select("o_orderkey", "o_custkey")
+    # o_orderkey * 10^32 + o_custkey in limbs of 32 bits
+    limbs = [(10**32 >> 32 * i) & 0xFFFFFFFF for i in range(4)]
+    carry, parts = F.col("o_custkey"), []
+    for x in limbs:  # least first; a product of 31 and 32 bits and a carry stay below 2^63
+        total = F.col("o_orderkey") * F.lit(x) + carry
+        parts.append(total.bitwiseAND(F.lit(0xFFFFFFFF)))
+        carry = F.shiftrightunsigned(total, 32)
+    word = F.concat(F.lit(bytearray(12)), *[F.unhex(F.lpad(F.hex(p), 8, "0")) for p in [carry, *reversed(parts)]])
+    dec = evm.decode_event("Amount(uint256 value)", F.lit(None), F.lit(None), F.lit(None), word)
+    return o.select("o_orderkey", F.coalesce(dec["value_text"], dec["value"].cast("string")).alias("digits"))
+
+
+#: Queries that run a job of their own before they return, or Python in the tasks.
+EAGER = {"reorg_notices", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "warehouse_insert"}
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical rows after all reorganisations, joined with labels of their users, counted by label."""
     current = reorg.current_rows(_stream_rows(spark, sf_dir), _stream_batches(spark, sf_dir))

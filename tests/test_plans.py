@@ -9,7 +9,7 @@ from rangeloom.plans import registered
 from rangeloom.sources import chain
 
 FOLDER = "/root/testdata/sf0.001"
-LAZY = sorted(set(registered.QUERIES) - {"continuous_load", "hybrid_load", "jdbc_round_trip", "load_audit", "upsert", "partitioned_load_stats", "indexer_output", "derived_dataset", "label_join"})
+LAZY = sorted(set(registered.QUERIES) - {"continuous_load", "hybrid_load", "jdbc_round_trip", "load_audit", "upsert", "partitioned_load_stats", "indexer_output", "derived_dataset", "label_join"} - registered.EAGER)
 
 
 def plan(df):
@@ -44,3 +44,8 @@ def test_small_labels_are_broadcast_and_large_ones_are_not(spark, monkeypatch):
 def test_history_windows_run_on_batches(spark):
     p = plan(registered.QUERIES["replay_with_reorgs"](spark, FOLDER))
     assert "Window" in p and not re.search(r"SinglePartition.*event_id", p)
+
+
+def test_recent_blocks_are_a_literal_at_the_scan(spark):
+    p = plan(registered.QUERIES["recent_blocks"](spark, FOLDER))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderkey,[0-9]+\)", p) and "Join" not in p
