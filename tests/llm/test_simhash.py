@@ -1,8 +1,11 @@
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from rangeloom.llm import simhash
+from rangeloom.llm.common import mix
 
 
 def brute_fp(text, k):
@@ -49,10 +52,21 @@ def brute(rows, k=4, d=4):
     return sorted(((doc, f"{fp[i]:016x}", ids[i]) for i, (doc, _) in enumerate(rows)), key=str)
 
 
+def brute_sketch(text, k=5):
+    """512 bits as one number: majorities of the mixed hashes of the shingles."""
+    w = [x for x in "".join(c.lower() if c.isascii() else c for c in text or "").translate({c: " " for c in range(9, 14)}).split(" ") if x]
+    h = [xxh64_intdigest(" ".join(w[i : i + k]).encode(), 42) for i in range(max(1, len(w) - k + 1))] if w else []
+    out = 0
+    for j in range(simhash.SKETCH):
+        own = [int(x) for x in mix(np.array(h, np.uint64) + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % 2**64))] if h else []
+        out |= sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > len(own)) << 64 * j
+    return out
+
+
 def brute_kept(rows):
-    """Ids of the rows that one_of_each keeps."""
-    a, b = [brute_words(t) for _, t in rows], [brute_fp(t, 5) for _, t in rows]
-    near = lambda i, j: (a[i] ^ a[j]).bit_count() <= simhash.WORD_BITS and (b[i] ^ b[j]).bit_count() <= simhash.SHINGLE_BITS
+    """Ids of the rows that one_of_each keeps; for texts without buckets of more than FEW members."""
+    a, b, c = [brute_words(t) for _, t in rows], [brute_fp(t, 5) for _, t in rows], [brute_sketch(t) for _, t in rows]
+    near = lambda i, j: (a[i] ^ a[j]).bit_count() <= simhash.WORD_BITS and (b[i] ^ b[j]).bit_count() <= simhash.SHINGLE_BITS and (c[i] ^ c[j]).bit_count() <= simhash.SKETCH_BITS
     return set(named(rows, groups(len(rows), near)))
 
 
@@ -134,5 +148,15 @@ def test_near_copies_share_a_component(spark):
             edited.append((1_000_000 + doc, " ".join(w)))
             near.append((doc, 1_000_000 + doc))
     both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(edited, "doc_id long, text string"))
-    roots = {x.doc_id: x.root for x in simhash.grouped(both, 5, simhash.WORD_BITS, simhash.SHINGLE_BITS).collect()}
+    roots = {x.doc_id: x.root for x in simhash.grouped(both, 5, simhash.WORD_BITS, simhash.SHINGLE_BITS, simhash.SKETCH_BITS).collect()}
     assert sum(roots[a] == roots[b] for a, b in near) >= 0.9 * len(near) and len(near) > 60
+    # of the links between different texts, hardly any is below a similarity of 0.65
+    edited, shingles = dict(edited), dict(shingles)
+    for doc, t in edited.items():
+        w = t.lower().split()
+        shingles[doc] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    own = simhash.cut(simhash.fingerprints(both, 5, True)).withColumn("node", F.struct("fp", "wide"))
+    found = simhash.similar(simhash.links(own.select("fp", "wide").distinct(), simhash.WORD_BITS, simhash.SHINGLE_BITS), own, simhash.SKETCH_BITS).collect()
+    doc_of = {r.node: r.doc_id for r in own.collect()}
+    alike = [len(shingles[x] & shingles[y]) / len(shingles[x] | shingles[y]) for x, y in ((doc_of[r.a], doc_of[r.b]) for r in found)]
+    assert len(alike) > 60 and np.mean(np.array(alike) >= 0.65) > 0.97
