@@ -32,27 +32,31 @@ def _same(a: str, b: str) -> Column:
 BUCKET = 1 << 20
 
 
-def _joined_by_bucket(rows: DataFrame, value: Column, name: str, bucket: int, summary: Column, inner, across, later: bool) -> DataFrame:
-    """rows with ``name``: what ``inner`` makes of the values before (or after) a row in its bucket, else what ``across`` makes of
-    the buckets' summaries before (or after) it; the least of both if values are looked up after."""
+def _joined_by_bucket(rows: DataFrame, value: Column, name: str, bucket: int, summary: Column, inner, across, both, later: bool = False) -> DataFrame:
+    """rows with ``name``: ``both`` of what ``inner`` makes of the values before (or after) a row in its bucket, and of what ``across``
+    makes of the summaries of the buckets before (or after) it."""
     span = (1, Window.unboundedFollowing) if later else (Window.unboundedPreceding, -1)
     own = rows.withColumn("__bucket", F.floor(F.col("_seq") / bucket)).withColumn("__value", value)
     each = own.groupBy("network", "__bucket").agg(summary.alias("__summary"))
     far = each.withColumn("__far", across("__summary").over(Window.partitionBy("network").orderBy("__bucket").rowsBetween(*span))).drop("__summary")
     near = own.withColumn("__near", inner("__value").over(Window.partitionBy("network", "__bucket").orderBy("_seq").rowsBetween(*span)))
-    both = F.least("__near", "__far") if later else F.coalesce("__near", "__far")
-    return near.join(far, ["network", "__bucket"]).withColumn(name, both).drop("__bucket", "__value", "__near", "__far")
+    return near.join(far, ["network", "__bucket"]).withColumn(name, both("__near", "__far")).drop("__bucket", "__value", "__near", "__far")
 
 
 def _last_before(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
     """rows with ``name``: the last value, nulls passed over, of the rows before in the network."""
     last = lambda c: F.last(c, ignorenulls=True)
-    return _joined_by_bucket(rows, value, name, bucket, F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col("_seq"))), last, last, False)
+    return _joined_by_bucket(rows, value, name, bucket, F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col("_seq"))), last, last, F.coalesce)
 
 
 def _least_after(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
     """rows with ``name``: the least value of the rows after in the network."""
-    return _joined_by_bucket(rows, value, name, bucket, F.min("__value"), F.min, F.min, True)
+    return _joined_by_bucket(rows, value, name, bucket, F.min("__value"), F.min, F.min, F.least, later=True)
+
+
+def _greatest_before(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
+    """rows with ``name``: the greatest value of the rows before in the network."""
+    return _joined_by_bucket(rows, value, name, bucket, F.max("__value"), F.max, F.max, F.greatest)
 
 
 def _with_previous(ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -65,6 +69,19 @@ def detect_reorgs(ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return own.select("_seq", "network", "start", F.greatest("end", "prev.end").alias("end"))
 
 
+def first_voided_by(ranges: DataFrame, size: int = 1000, bucket: int = BUCKET) -> DataFrame:
+    """_seq, network, start, end and by_seq of the ranges that a later one made void, by_seq being the first that did.
+
+    A void range reaches from its start to the greatest end so far; ranges meet it in the buckets of ``size`` blocks that they reach into.
+    """
+    reach = _greatest_before(ranges.select("_seq", "network", "end"), F.col("end"), "top", bucket).select("_seq", "network", "top")
+    voids = detect_reorgs(ranges, bucket).join(reach, ["_seq", "network"]).select(F.col("_seq").alias("by_seq"), "network", F.col("start").alias("void"), F.greatest("top", "start").alias("top"))
+    blocks = lambda a, z: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(z) / size)))
+    own = ranges.select("_seq", "network", "start", "end", blocks("start", "end").alias("block"))
+    met = own.join(voids.select("by_seq", "network", "void", blocks("void", "top").alias("block")), ["network", "block"])
+    return met.where("by_seq > _seq AND void <= end").groupBy("_seq", "network", "start", "end").agg(F.min("by_seq").alias("by_seq"))
+
+
 def detect_duplicates(ranges: DataFrame) -> DataFrame:
     """_seq of the batches all of whose ranges equal their networks' previous ones."""
     own = _with_previous(ranges).withColumn("same", _same("cur", "prev"))

@@ -325,10 +325,8 @@ def apply_reorg(spark, d):
 def superseded_history(spark, d):
     """History of the stream's rows: what was voided, and by which batch first."""
     s = reorg.range_ids(chain.stream(spark, d))
-    voids = reorg.detect_reorgs(s).select(F.col("_seq").alias("by_seq"), "network", F.col("start").alias("void"))
-    # a copy reaches back five blocks, so what it voids lies in its own slot or the one before; both are met by slot
-    near = voids.join(s.select(F.col("_seq").alias("by_seq"), "slot"), "by_seq").select("by_seq", "network", "void", F.explode(F.array(F.col("slot"), F.col("slot") - 1)).alias("slot"))
-    hit = s.join(near, ["network", "slot"]).where("by_seq > _seq AND void <= end").groupBy(F.concat_ws("-", "batch_id", "_seq").alias("batch_id")).agg(F.min("by_seq").cast("string").alias("by_seq"))
+    hit = reorg.first_voided_by(s, 10).join(s.select("_seq", "network", "batch_id"), ["_seq", "network"])
+    hit = hit.select(F.concat_ws("-", "batch_id", "_seq").alias("batch_id"), F.col("by_seq").cast("string").alias("by_seq"))
     rows = _stream_rows(spark, d).join(s.select("_seq", F.concat_ws("-", "batch_id", "_seq").alias("_batch_id")), "_seq").withColumn("_is_current", F.lit(True)).withColumn("_reorg_batch_id", F.lit(None).cast("string"))
     _, history = reorg.history_views(reorg.mark_superseded(rows, hit, "by_seq"), "stream_rows")
     return history.select("network", "event_id", "_seq", "_is_current", "_reorg_batch_id")

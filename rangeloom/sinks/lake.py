@@ -102,6 +102,8 @@ class LakeTable:
             check_schema(self._read(now), df)
         if mode == "append":
             self._put(df, now, "append")
+            if self._current() != now:
+                raise RuntimeError(f"{now} of {self.root} was replaced while rows were appended to it; append them again")
             return
         if not keys:
             raise ValueError("an upsert needs keys")

@@ -155,6 +155,26 @@ def test_replay_equals_a_simulation(spark, seed):
         assert got == simulate(rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_first_voids_equal_a_search(spark, seed):
+    r, rows, at = random.Random(seed), [], {"a": 0, "b": 0}
+    for seq in range(80):
+        n = r.choice("ab")
+        start = at[n] if r.random() < 0.7 else max(0, at[n] - r.randint(1, 40))
+        end = start + r.randint(0, 6)
+        rows.append((seq, n, start, end, f"h{seq}", None))
+        at[n] = end + 1
+    voids, last = [], {}
+    for seq, n, a, z, _, _ in rows:
+        if n in last and a <= last[n]:
+            voids.append((seq, n, a))
+        last[n] = z
+    want = sorted((s, n, a, z, min(v for v, m, b in voids if m == n and v > s and b <= z)) for s, n, a, z, _, _ in rows if any(m == n and v > s and b <= z for v, m, b in voids))
+    for size, bucket in ((1000, 1 << 20), (5, 9)):
+        got = values(reorg.first_voided_by(table(spark, rows), size, bucket), "_seq", "network", "start", "end", "by_seq")
+        assert sorted(got) == want and want
+
+
 def test_history(spark):
     rows = spark.createDataFrame([("a", True, None), ("b|c", True, None), ("d", False, "old"), ("b", False, "old")], "_batch_id string, _is_current boolean, _reorg_batch_id string")
     out = reorg.mark_superseded(rows, spark.createDataFrame([("c", "r"), ("b", "s"), ("d", "s")], "batch_id string, by string"), "by")
