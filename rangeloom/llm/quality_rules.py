@@ -165,8 +165,9 @@ def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
                     _, keys = ngrams(*flat_bytes(own.column(1)), order)
                     new = np.unique(keys, return_counts=True)
                     held[lang] = merged(held[lang], new) if lang in held else new
-                    if len(held[lang][0]) > most:  # bounded memory; sums go on after the shuffle
-                        yield from emitted(lang, held.pop(lang))
+                    while sum(len(k) for k, _ in held.values()) > most:  # bounded memory; sums go on after the shuffle
+                        large = max(held, key=lambda x: len(held[x][0]))
+                        yield from emitted(large, held.pop(large))
         for lang, own in held.items():
             yield from emitted(lang, own)
 
