@@ -27,7 +27,7 @@ from rangeloom.llm.common import flat_bytes, shuffle_partitions, stored, sub_bat
 from rangeloom.llm.tokens import UnitEncoder, encoder_path
 
 #: Characters of a chunk before its overlap, and of the overlap.
-CHUNK, OVERLAP, GROWTH = 1 << 15, 1 << 11, 8
+CHUNK, OVERLAP, GROWTH = 1 << 14, 1 << 10, 8
 #: The longest fixed alternative of the pattern looks this far ahead.
 AHEAD = 3
 

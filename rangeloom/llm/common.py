@@ -94,7 +94,7 @@ def row_key() -> list[Column]:
     return [F.coalesce("doc_id", F.lit(-1)).alias("k1"), F.xxhash64("text").alias("k2")]
 
 
-def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``most`` bytes of a string or binary column (at least a row each): bounds numpy's scratch."""
     if not batch.num_rows:
         return

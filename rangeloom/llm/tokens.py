@@ -17,7 +17,7 @@ import numpy as np
 from rangeloom.llm.common import mix
 
 SPECIAL = b"<|endoftext|>"
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 PRIME = (1 << 61) - 1
 _BASE = 0x9E3779B97F4A7C15 % PRIME
 _codes = np.arange(256)
@@ -45,24 +45,19 @@ def certain_cuts(data: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of a base and of its inverse modulo the prime 2^61 - 1, as far as asked."""
+    """Powers of a base, in halves of 32 bits, and of its inverse modulo the prime 2^61 - 1, as far as asked."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-        self.low, self.high = self._halves()
-
-    def _halves(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.up & np.uint64(0xFFFFFFFF), self.up >> np.uint64(32)
+        self.low, self.high, self.down = np.ones(1, np.uint32), np.zeros(1, np.uint32), np.ones(1, np.uint64)
 
     def upto(self, n: int) -> "Powers":
-        if len(self.up) < n:
-            while len(self.up) < n:
-                m = len(self.up)
-                more = min(m, n + (1 << 16) - m)
-                for name, base in (("up", _BASE), ("down", pow(_BASE, -1, PRIME))):
-                    own = getattr(self, name)
-                    setattr(self, name, np.concatenate([own, times(own[:more], np.uint64(pow(base, m, PRIME)))]))
-            self.low, self.high = self._halves()
+        while len(self.down) < n:
+            m = len(self.down)
+            more = min(m, n + (1 << 16) - m)
+            up = times(self.low[:more] | self.high[:more].astype(np.uint64) << np.uint64(32), np.uint64(pow(_BASE, m, PRIME)))
+            self.low = np.concatenate([self.low, (up & np.uint64(0xFFFFFFFF)).astype(np.uint32)])
+            self.high = np.concatenate([self.high, (up >> np.uint64(32)).astype(np.uint32)])
+            self.down = np.concatenate([self.down, times(self.down[:more], np.uint64(pow(pow(_BASE, -1, PRIME), m, PRIME)))])
         return self
 
 
