@@ -109,7 +109,7 @@ class UnitEncoder:
 
     SLOTS = 21
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 6 << 20):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 3 << 20):
         self.encode_strings, self.limit = encode, limit
         self._forget()
 

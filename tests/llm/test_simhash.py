@@ -91,7 +91,7 @@ def test_links_connect_what_all_links_connect(spark, monkeypatch):
     fps = {x ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 6))) for x in base for _ in range(12)} | {0, (1 << 64) - 1, 1 << 63}
     signed = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
-    for d, few in ((4, 16), (4, 1), (0, 16), (1, 16), (2, 16), (3, 16), (6, 2), (7, 16)):
+    for d, few in ((4, 16), (4, 1), (0, 16), (1, 16), (2, 16), (7, 2)):
         monkeypatch.setattr(simhash, "FEW", few)
         near = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= d  # noqa: B023, E731
         got = [tuple(x) for x in simhash.links(df, d).collect()]
@@ -148,15 +148,16 @@ def test_near_copies_share_a_component(spark):
             edited.append((1_000_000 + doc, " ".join(w)))
             near.append((doc, 1_000_000 + doc))
     both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(edited, "doc_id long, text string"))
-    roots = {x.doc_id: x.root for x in simhash.grouped(both, 5, simhash.WORD_BITS, simhash.SHINGLE_BITS, simhash.SKETCH_BITS).collect()}
+    own = simhash.cut(simhash.fingerprints(both, 5, True)).withColumn("node", F.struct("fp", "wide"))
+    links = simhash.cut(simhash.similar(simhash.links(own.select("fp", "wide").distinct(), simhash.WORD_BITS, simhash.SHINGLE_BITS), own, simhash.SKETCH_BITS))
+    root = {r.node: r.root for r in simhash.connected(links).collect()}
+    node_of = {r.doc_id: r.node for r in own.collect()}
+    roots = {doc: root.get(node, node) for doc, node in node_of.items()}
     assert sum(roots[a] == roots[b] for a, b in near) >= 0.9 * len(near) and len(near) > 60
     # of the links between different texts, hardly any is below a similarity of 0.65
-    edited, shingles = dict(edited), dict(shingles)
-    for doc, t in edited.items():
+    for doc, t in edited:
         w = t.lower().split()
         shingles[doc] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-    own = simhash.cut(simhash.fingerprints(both, 5, True)).withColumn("node", F.struct("fp", "wide"))
-    found = simhash.similar(simhash.links(own.select("fp", "wide").distinct(), simhash.WORD_BITS, simhash.SHINGLE_BITS), own, simhash.SKETCH_BITS).collect()
-    doc_of = {r.node: r.doc_id for r in own.collect()}
+    doc_of, found = {node: doc for doc, node in node_of.items()}, links.collect()
     alike = [len(shingles[x] & shingles[y]) / len(shingles[x] | shingles[y]) for x, y in ((doc_of[r.a], doc_of[r.b]) for r in found)]
     assert len(alike) > 60 and np.mean(np.array(alike) >= 0.65) > 0.97
