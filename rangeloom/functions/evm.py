@@ -1,7 +1,8 @@
 """Event logs of contracts: topics of signatures and typed parameters, as column expressions.
 
 A signature reads ``Name(type [indexed] name, ...)``. It is parsed and hashed once on the driver; no row passes through
-Python. Indexed parameters come from topics 1 to 3 in order, the others from the 32-byte words of the data in order.
+Python. Indexed parameters come from topics 1 to 3 in order, the others from the data; types may be arrays and tuples of types, nested
+at will. Data that is too short, and offsets or lengths beyond it, give null for what they are of.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rangeloom.functions.abi_types import Kind, decoded, parse_parameter, split_list
+
 #: Round constants and rotations of the Keccak permutation follow from its rules (FIPS 202, section 3.2).
 _MASK = (1 << 64) - 1
 
@@ -62,10 +65,14 @@ def keccak256(data: bytes) -> bytes:
 
 @dataclass(frozen=True)
 class Parameter:
-    type: str
+    kind: Kind
     name: str
     indexed: bool
 
+    @property
+    def type(self) -> str:
+        return self.kind.canonical
+
 
 @dataclass(frozen=True)
 class Event:
@@ -82,17 +89,16 @@ class Event:
 
 
 def parse_signature(signature: str) -> Event:
-    m = re.fullmatch(r"\s*(?:event\s+)?(\w+)\s*\((.*)\)\s*;?\s*", signature, re.S)
+    m = re.fullmatch(r"\s*(?:event\s+)?(\w+)\s*\((.*)\)\s*(?:anonymous\s*)?;?\s*", signature, re.S)
     if not m:
         raise ValueError(f"not an event signature: {signature}")
     found = []
-    for i, part in enumerate(x for x in m[2].split(",") if x.strip()):
-        words = part.split()
-        kind = {"uint": "uint256", "int": "int256"}.get(words[0], words[0])
-        if not re.fullmatch(r"address|bool|string|bytes([1-9]|[12]\d|3[012])?|u?int(8|16|24|[3-9][26]|[4-8][08]|[1-9]\d\d?)", kind):
-            raise ValueError(f"type {words[0]} is not supported")
-        rest = [w for w in words[1:] if w != "indexed"]
-        found.append(Parameter(kind, rest[0] if rest else f"arg{i}", "indexed" in words[1:]))
+    for i, part in enumerate(x for x in split_list(m[2]) if x.strip()):
+        kind, words = parse_parameter(part)
+        rest = [w for w in words if w != "indexed"]
+        if len(rest) > 1:
+            raise ValueError(f"not a parameter: {part}")
+        found.append(Parameter(kind, rest[0] if rest else f"arg{i}", "indexed" in words))
     if sum(p.indexed for p in found) > 3:
         raise ValueError("an event has at most three indexed parameters")
     return Event(m[1], tuple(found))
@@ -152,13 +158,11 @@ def _signed_digits(word: Column) -> Column:
     return F.when(negative, F.concat(F.lit("-"), up)).otherwise(word_digits(word))
 
 
-def _tail(data: Column, word: Column) -> Column:
-    """Bytes of a dynamic value whose offset the word holds."""
-    at = uint_word(word).cast("int")
-    return F.substring(data, at + 33, uint_word(F.substring(data, at + 1, F.lit(32))).cast("int"))
-
-
-def _value(kind: str, word: Column, data: Column | None) -> Column:
+def _value(kind: str, word: Column) -> Column:
+    """The column of a scalar's word; ``<type> text`` gives the digits of numbers that are null for their size."""
+    if kind.endswith(" text"):
+        kind = kind.removesuffix(" text")
+        return F.when(word.isNotNull() & _value(kind, word).isNull(), _signed_digits(word) if kind.startswith("int") else word_digits(word))
     if kind == "address":
         return F.substring(word, 13, 20)
     if kind == "bool":
@@ -167,28 +171,43 @@ def _value(kind: str, word: Column, data: Column | None) -> Column:
         return uint_word(word)
     if kind.startswith("int"):
         return int_word(word)
-    if kind in ("string", "bytes"):
-        if data is None:  # an indexed dynamic value is only there as its hash
-            return word
-        return _tail(data, word).cast("string") if kind == "string" else _tail(data, word)
-    return F.substring(word, 1, int(kind.removeprefix("bytes")))
+    return F.substring(word, 1, 24 if kind == "function" else int(kind.removeprefix("bytes")))
+
+
+def _whole(word: Column) -> Column:
+    return F.when(F.octet_length(word) == 32, word)
 
 
 def decode_event(signature: str, topic1: Column, topic2: Column, topic3: Column, data: Column, with_hex: bool = False, wide: str = "text") -> Column:
     """A struct of the event's parameters. Numbers are decimal(38,0). Types of more than 126 bits can hold more: with wide =
     ``text`` they get ``<name>_text`` beside the number, the whole number in decimal digits where the number is null for its
     size (so nothing is lost and the rest costs nothing); with wide = ``none`` they do not. with_hex adds ``<name>_hex`` with the
-    whole word of each number."""
-    topics, at, fields = [topic1, topic2, topic3], 0, []
+    whole word of each number. Arrays become arrays (of numbers, with an array of texts beside them), tuples structs. Indexed arrays, tuples
+    and texts are only there as their hash."""
+    topics, at, out = [topic1, topic2, topic3], 0, []
+    end, more = F.octet_length(data).cast("long"), wide == "text"
     for p in parse_signature(signature).parameters:
+        simple = not (p.kind.item or p.kind.parts or p.kind.varies)
         if p.indexed:
-            word, source = topics.pop(0), None
+            word = _whole(topics.pop(0))
+        elif simple:
+            word, at = _whole(F.substring(data, at + 1, 32)), at + 32
         else:
-            word, source, at = F.substring(data, at + 1, 32), data, at + 32
-        value = _value(p.type, word, source)
-        fields.append(value.alias(p.name))
-        if wide == "text" and re.match("u?int", p.type) and int(p.type.lstrip("uint")) > 126:
-            fields.append(F.when(word.isNotNull() & value.isNull(), _signed_digits(word) if p.type.startswith("int") else word_digits(word)).alias(f"{p.name}_text"))
-        if with_hex and re.match("u?int", p.type):
-            fields.append(F.concat(F.lit("0x"), F.lower(F.hex(word))).alias(f"{p.name}_hex"))
-    return F.struct(*fields)
+            part = decoded(p.kind, data, at, 0, end, _value, more)
+            out.append(part.alias(p.name))
+            if more and p.kind.wide:
+                out.append(_texts(p, data, at, end))
+            at += p.kind.head
+            continue
+        value = _value(p.type, word) if simple else word
+        out.append(value.alias(p.name))
+        if simple and more and p.kind.wide:
+            out.append(_value(f"{p.type} text", word).alias(f"{p.name}_text"))
+        if simple and with_hex and re.match("u?int", p.type):
+            out.append(F.concat(F.lit("0x"), F.lower(F.hex(word))).alias(f"{p.name}_hex"))
+    return F.struct(*out)
+
+
+def _texts(p: Parameter, data: Column, at: int, end: Column) -> Column:
+    """The digits of the wide numbers of an array whose place is at ``at``."""
+    return decoded(p.kind, data, at, 0, end, lambda k, w: _value(f"{k} text", w), True).alias(f"{p.name}_text")

@@ -411,6 +411,34 @@ def decode_events(spark, d):
     return logs.select("block_num", "log_index", dec.alias("dec")).select("block_num", "log_index", number(F.col("dec")["from"]).alias("from_id"), number(F.col("dec")["to"]).alias("to_id"), F.col("dec")["value"].cast("long").alias("amount"))
 
 
+_POSITIONS = "WITH x AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, CAST(l_quantity AS BIGINT), l_returnflag) - 1 AS position, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) "
+
+
+@query(
+    _POSITIONS + "SELECT l_orderkey AS block_num, CAST(position AS INTEGER) AS position, CAST(l_partkey AS BIGINT) AS id, CASE WHEN l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0 THEN CAST(l_quantity AS BIGINT) END AS amount FROM x"
+)
+def decode_batch_events(spark, d):
+    """Events whose parameters are arrays; logs that are cut short or point beyond their data lose the array that is broken."""
+    logs = chain.batch_logs(spark, d).where(F.col("topic0") == evm.event_topic(chain.TRANSFER_BATCH))
+    none = F.lit(None).cast("binary")
+    dec = evm.decode_event(chain.TRANSFER_BATCH, none, none, none, F.col("data"), wide="none")
+    both = logs.select("block_num", dec.alias("e")).select("block_num", F.posexplode("e.ids").alias("position", "id"), F.col("e.values").alias("values"))
+    return both.select("block_num", "position", F.col("id").cast("long").alias("id"), F.get("values", F.col("position")).cast("long").alias("amount"))
+
+
+@query(
+    _POSITIONS + "SELECT l_orderkey AS block_num, CAST(position AS INTEGER) AS position, CAST(l_partkey AS BIGINT) AS part, l_returnflag AS flag, -CAST(l_quantity AS BIGINT) AS quantity, "
+    "CAST(count(*) FILTER (l_linenumber % 2 = 0) OVER (PARTITION BY l_orderkey) AS INTEGER) AS n_even, CAST(coalesce(sum(l_linenumber) FILTER (l_linenumber % 2 = 1) OVER (PARTITION BY l_orderkey), 0) AS BIGINT) AS sum_odd FROM x"
+)
+def decode_nested_events(spark, d):
+    """Events with arrays of tuples that hold texts and negative numbers, and with arrays of arrays."""
+    logs, none = chain.fill_logs(spark, d), F.lit(None).cast("binary")
+    dec = evm.decode_event(chain.FILLED, none, none, none, F.col("data"))
+    even, odd = F.col("e.numbers")[0], F.col("e.numbers")[1]
+    counted = logs.select("block_num", dec.alias("e")).select("block_num", F.size(even).alias("n_even"), F.aggregate(odd, F.lit(0).cast("long"), lambda s, x: s + x.cast("long")).alias("sum_odd"), F.posexplode("e.legs").alias("position", "leg"))
+    return counted.select("block_num", "position", F.col("leg.part").cast("long").alias("part"), "leg.flag", F.col("leg.quantity").cast("long").alias("quantity"), "n_even", "sum_odd")
+
+
 @query("SELECT l_orderkey AS block_num, l_linenumber AS log_index, '0x' || lower(printf('%064x', l_partkey)) AS topic1, '0x' || lower(printf('%064x', CAST(l_quantity AS BIGINT))) AS data FROM lineitem")
 def hex_encode_binary(spark, d):
     return encoding.hex_encode_binary(chain.logs(spark, d).select("block_num", "log_index", "topic1", "data"))

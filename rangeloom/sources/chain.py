@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -52,4 +52,49 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _word(c) -> Column:
+    return F.unhex(F.lpad(F.hex(c.cast("long")), 64, "0"))
+
+
+def _joined(words: Column) -> Column:
+    """An array of binary values as one."""
+    return F.unhex(F.array_join(F.transform(words, F.hex), ""))
+
+
+def batch_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log for each order: its lines' parts and quantities as two arrays. Every seventh one is cut short, every eleventh says that the
+    second array is far beyond the data."""
+    from rangeloom.functions.evm import event_topic
+
+    li = read(spark, sf_dir, "lineitem")
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")))).alias("x"))  # an order's lines
+    array = lambda f: F.concat(_word(F.size("x")), _joined(F.transform("x", lambda e: _word(e[f]))))
+    second = F.when(F.col("l_orderkey") % 11 == 0, F.lit(bytearray(b"\xff" * 32))).otherwise(_word(F.size("x") * 32 + 96))
+    data = F.concat(_word(F.lit(64)), second, array("l_partkey"), array("q"))
+    data = F.when(F.col("l_orderkey") % 7 == 0, F.substring(data, F.lit(1), F.octet_length(data) - 8)).otherwise(data)
+    return lines.select(F.col("l_orderkey").alias("block_num"), event_topic(TRANSFER_BATCH).alias("topic0"), data.alias("data"))
+
+
+def fill_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log for each order: its lines as tuples with a text of their own, and the line numbers by parity as nested arrays."""
+    from rangeloom.functions.evm import event_topic
+
+    li = read(spark, sf_dir, "lineitem")
+    line = F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"), F.col("l_returnflag").alias("flag"))
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("x"))
+    n = F.size("x")
+    # a tuple is its part, the distance of its text, minus its quantity, and the text: five words
+    text = lambda e: F.concat(_word(F.octet_length(e["flag"])), F.rpad(e["flag"].cast("binary"), 32, F.lit(bytearray(1))))
+    negative = lambda v: F.unhex(F.lpad(F.hex(-v), 64, "F"))
+    bodies = F.transform("x", lambda e: F.concat(_word(e["l_partkey"]), _word(F.lit(96)), negative(e["q"]), text(e)))
+    places = F.transform("x", lambda e, i: _word(n * 32 + i * 160))
+    tuples = F.concat(_word(n), _joined(places), _joined(bodies))
+    some = lambda k: F.filter("x", lambda e: e["l_linenumber"] % 2 == k)
+    numbers = lambda k: F.concat(_word(F.size(some(k))), _joined(F.transform(some(k), lambda e: _word(e["l_linenumber"]))))
+    nested = F.concat(_word(F.lit(2)), _word(F.lit(64)), _word(F.size(some(0)) * 32 + 96), numbers(0), numbers(1))
+    return lines.select(F.col("l_orderkey").alias("block_num"), event_topic(FILLED).alias("topic0"), F.concat(_word(F.lit(64)), _word(n * 192 + 96), tuples, nested).alias("data"))
+
+
+TRANSFER_BATCH = "TransferBatch(address indexed operator, address indexed from, address indexed to, uint256[] ids, uint256[] values)"
+FILLED = "Filled((uint256 part, string flag, int64 quantity)[] legs, uint8[][] numbers)"
 TRANSFER = "Transfer(address indexed from, address indexed to, uint256 value)"
