@@ -137,7 +137,7 @@ def test_wide_numbers_keep_their_digits(spark):
 
 
 def test_hostile_words_in_flat_events(spark):
-    for w in (1 << 31, 1 << 32, 1 << 62, 1 << 64, (1 << 256) - 1, 7):
+    for w in (1 << 31, 1 << 32, 1 << 62, 1 << 64, (1 << 256) - 1, 33):
         x = decode(spark, "E(uint8 a, string s, bytes b)", [word(1) + word(w) + word(96) + word(w) + bytes(32)])[0]
         assert int(x.a) == 1 and x.s is None and x.b is None
 
