@@ -580,29 +580,33 @@ def load_audit(spark, d):
     return lake.load(rows, lake.LakeTable(spark, scratch(spark, "lake")), "overwrite", "lineitem").select("columns", "rows", "success")
 
 
-def _streamed(spark, d) -> continuous.ContinuousTable:
-    """The replay as a stream: rows in files of several epochs, read until there are no more."""
+def _delivered(spark, d) -> tuple[str, T.StructType]:
+    """The replay's rows as deliveries that follow each other, a file each: their folder and the columns beside the marks."""
     rows = _stream_rows(spark, d).join(_stream_batches(spark, d).select("_seq", F.concat(F.lit('{"ranges":'), ranges.ranges_json(F.col("_ranges")), F.lit(',"ranges_complete":true}')).alias("_metadata_json")), "_seq")
     source = scratch(spark, "source")
     cuts = chain.stream(spark, d).agg(F.percentile_approx("_seq", [0.25, 0.5, 0.75])).first()[0]
-    for low, high in zip([-1, *cuts], [*cuts, 1 << 62], strict=True):  # deliveries follow each other, a file each
+    for low, high in zip([-1, *cuts], [*cuts, 1 << 62], strict=True):
         part = rows.where((F.col("_seq") > low) & (F.col("_seq") <= high)).withColumn("_notice", F.lit(False))
         part.repartition(1).write.mode("append").parquet(source)
-    schema = T.StructType([f for f in rows.schema if f.name not in ("_seq", "_metadata_json")])
-    table = continuous.ContinuousTable(spark, scratch(spark, "table"))
-    continuous.await_load(table.start(continuous.read_block_stream(spark, source, schema, files_per_trigger=1), available_now=True))
-    return table
+    return source, T.StructType([f for f in rows.schema if f.name not in ("_seq", "_metadata_json")])
 
 
 @query(_REPLAY)
 def continuous_load(spark, d):
-    return _by_batch(_streamed(spark, d).current())
+    """The replay as a stream of several epochs, read until there are no more deliveries."""
+    source, schema = _delivered(spark, d)
+    table = continuous.ContinuousTable(spark, scratch(spark, "table"))
+    continuous.await_load(table.start(continuous.read_block_stream(spark, source, schema, files_per_trigger=1), available_now=True))
+    return _by_batch(table.current())
 
 
 @query(_BATCHES + _STREAM + " SELECT _seq, network, \"start\", \"end\" FROM voids")
 def reorg_notices(spark, d):
-    """What the running stream told of reorganisations, epoch by epoch."""
-    return _streamed(spark, d).notices()
+    """What a running stream tells of reorganisations, delivery by delivery, from a state store with a value for each network."""
+    source, schema = _delivered(spark, d)
+    table = continuous.ContinuousTable(spark, scratch(spark, "table"))
+    continuous.await_load(table.start_notices(continuous.read_block_stream(spark, source, schema, files_per_trigger=1), available_now=True))
+    return table.notices()
 
 
 @query(_BATCHES + " SELECT event_id, network, block_num FROM blocks WHERE slot % 5 <> 0")

@@ -2,8 +2,8 @@
 
 The log keeps every data row with its ``_seq``; the ledger keeps every batch. Both are written by epoch folder, so an epoch
 that is run again replaces its own files. What is current is a view (rangeloom.operators.reorg.published over the
-ledger), so a reorganisation costs no rewrite; ``LakeTable.compact`` of that view is the maintenance job. While the stream runs, every epoch
-also writes the notices of the reorganisations that it saw, from its ranges and the last range of each network before it (a row for each network).
+ledger), so a reorganisation costs no rewrite. What reorganisations void is also told while the stream runs: ``start_notices`` is a second query
+over the batch marks, with the last range of each network in a state store (rangeloom.streaming.notices).
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rangeloom.functions.ranges import FIELDS, RANGES, batch_id_list, parse_metadata
+from rangeloom.functions.ranges import RANGES, batch_id_list, parse_metadata
 from rangeloom.operators.partition import from_block, max_block, partitioned_load
-from rangeloom.operators.reorg import current_rows, detect_reorgs, exploded
+from rangeloom.operators.reorg import current_rows
+from rangeloom.streaming.notices import NOTICE, reorg_notices
 
 LEDGER = T.StructType([T.StructField("_seq", T.LongType()), T.StructField("_ranges", RANGES), T.StructField("_ranges_complete", T.BooleanType()), T.StructField("_notice", T.BooleanType())])
 
@@ -41,36 +42,27 @@ class ContinuousTable:
         try:
             batches = rows.groupBy("_seq").agg(F.first("_ranges").alias("_ranges"), F.bool_or("_ranges_complete").alias("_ranges_complete"), F.bool_or(F.coalesce("_notice", F.lit(False))).alias("_notice"))
             batches.write.mode("overwrite").parquet(f"{self.root}/ledger/epoch={epoch}")
-            self._notice(batches.where(~F.col("_notice")), epoch)
             data = rows.where(~F.coalesce("_notice", F.lit(False))).withColumn("_batch_id", batch_id_list(F.col("_ranges"))).drop("_ranges", "_ranges_complete", "_notice")
             data.write.mode("overwrite").parquet(f"{self.root}/log/epoch={epoch}")
         finally:
             rows.unpersist()
 
-    def _notice(self, batches: DataFrame, epoch: int) -> None:
-        """Writes the epoch's notices, and the last range of each network for the next epoch."""
-        ranges = exploded(batches)
-        if epoch:
-            before = self.spark.read.parquet(f"{self.root}/last/epoch={epoch - 1}")
-            found = detect_reorgs(ranges.unionByName(before)).join(before.agg(F.max("_seq").alias("done")), F.col("done").isNull() | (F.col("_seq") > F.col("done"))).drop("done")
-            ranges = ranges.unionByName(before)
-        else:
-            found = detect_reorgs(ranges)
-        found.write.mode("overwrite").parquet(f"{self.root}/notices/epoch={epoch}")
-        last = ranges.groupBy("network").agg(F.max_by(F.struct("_seq", *FIELDS), "_seq").alias("x")).select("x.*")
-        last.write.mode("overwrite").parquet(f"{self.root}/last/epoch={epoch}")
-
     def start(self, stream: DataFrame, available_now: bool = False):
         """Starts the query; with available_now it ends when the source has no more."""
         writer = stream.writeStream.option("checkpointLocation", f"{self.root}/checkpoint").foreachBatch(self._apply)
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
+    def start_notices(self, stream: DataFrame, available_now: bool = False):
+        """Starts the query that tells of reorganisations as their batches arrive; it has a checkpoint and an output of its own."""
+        writer = reorg_notices(stream).writeStream.format("parquet").option("checkpointLocation", f"{self.root}/checkpoint-notices").option("path", f"{self.root}/notices").outputMode("append")
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
     def ledger(self) -> DataFrame:
         return self.spark.read.schema(T.StructType([*LEDGER.fields, T.StructField("epoch", T.LongType())])).parquet(f"{self.root}/ledger").drop("epoch")
 
     def notices(self) -> DataFrame:
-        """_seq, network, start, end of what the batches seen so far made void, each written in the epoch that brought it."""
-        return self.spark.read.schema("_seq long, network string, start long, end long, epoch long").parquet(f"{self.root}/notices").drop("epoch")
+        """_seq, network, start, end of what the batches seen so far made void."""
+        return self.spark.read.schema(NOTICE).parquet(f"{self.root}/notices")
 
     def log(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/log").drop("epoch")
