@@ -32,50 +32,55 @@ def _same(a: str, b: str) -> Column:
 BUCKET = 1 << 20
 
 
-def _joined_by_bucket(rows: DataFrame, value: Column, name: str, bucket: int, summary: Column, inner, across, both, later: bool = False) -> DataFrame:
-    """rows with ``name``: ``both`` of what ``inner`` makes of the values before (or after) a row in its bucket, and of what ``across``
+def _dealt(rows: DataFrame, bucket: int) -> DataFrame:
+    """rows by network and bucket of ``_seq``: one exchange that all passes over them share."""
+    return rows.withColumn("__bucket", F.floor(F.col("_seq") / bucket)).repartition("network", "__bucket")
+
+
+def _joined_by_bucket(rows: DataFrame, value: Column, name: str, summary: Column, inner, across, both, later: bool = False) -> DataFrame:
+    """Dealt rows with ``name``: ``both`` of what ``inner`` makes of the values before (or after) a row in its bucket, and of what ``across``
     makes of the summaries of the buckets before (or after) it."""
     span = (1, Window.unboundedFollowing) if later else (Window.unboundedPreceding, -1)
-    own = rows.withColumn("__bucket", F.floor(F.col("_seq") / bucket)).withColumn("__value", value)
+    own = rows.withColumn("__value", value)
     each = own.groupBy("network", "__bucket").agg(summary.alias("__summary"))
     far = each.withColumn("__far", across("__summary").over(Window.partitionBy("network").orderBy("__bucket").rowsBetween(*span))).drop("__summary")
     near = own.withColumn("__near", inner("__value").over(Window.partitionBy("network", "__bucket").orderBy("_seq").rowsBetween(*span)))
-    return near.join(far, ["network", "__bucket"]).withColumn(name, both("__near", "__far")).drop("__bucket", "__value", "__near", "__far")
+    return near.join(far, ["network", "__bucket"]).withColumn(name, both("__near", "__far")).drop("__value", "__near", "__far")
 
 
-def _last_before(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
-    """rows with ``name``: the last value, nulls passed over, of the rows before in the network."""
+def _last_before(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Dealt rows with ``name``: the last value, nulls passed over, of the rows before in the network."""
     last = lambda c: F.last(c, ignorenulls=True)
-    return _joined_by_bucket(rows, value, name, bucket, F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col("_seq"))), last, last, F.coalesce)
+    return _joined_by_bucket(rows, value, name, F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col("_seq"))), last, last, F.coalesce)
 
 
-def _least_after(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
-    """rows with ``name``: the least value of the rows after in the network."""
-    return _joined_by_bucket(rows, value, name, bucket, F.min("__value"), F.min, F.min, F.least, later=True)
+def _least_after(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Dealt rows with ``name``: the least value of the rows after in the network."""
+    return _joined_by_bucket(rows, value, name, F.min("__value"), F.min, F.min, F.least, later=True)
 
 
-def _greatest_before(rows: DataFrame, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
-    """rows with ``name``: the greatest value of the rows before in the network."""
-    return _joined_by_bucket(rows, value, name, bucket, F.max("__value"), F.max, F.max, F.greatest)
+def _with_previous(ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    dealt = _dealt(ranges.withColumn("cur", F.struct(*FIELDS)), bucket)
+    return _last_before(dealt, F.col("cur"), "prev").drop("__bucket")
 
 
-def _with_previous(ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    return _last_before(ranges.withColumn("cur", F.struct(*FIELDS)), F.col("cur"), "prev", bucket)
+def _voids(ranges: DataFrame, bucket: int) -> DataFrame:
+    """Ranges with ``prev`` that differ from it and start no later than it ends."""
+    return _with_previous(ranges, bucket).where(~_same("cur", "prev") & (F.col("start") <= F.col("prev.end")))
 
 
 def detect_reorgs(ranges: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """_seq, network, start, end of what each range (``_seq`` and range fields) invalidates."""
-    own = _with_previous(ranges, bucket).where(~_same("cur", "prev") & (F.col("start") <= F.col("prev.end")))
-    return own.select("_seq", "network", "start", F.greatest("end", "prev.end").alias("end"))
+    return _voids(ranges, bucket).select("_seq", "network", "start", F.greatest("end", "prev.end").alias("end"))
 
 
 def first_voided_by(ranges: DataFrame, size: int = 1000, bucket: int = BUCKET) -> DataFrame:
     """_seq, network, start, end and by_seq of the ranges that a later one made void, by_seq being the first that did.
 
-    A void range reaches from its start to the greatest end so far; ranges meet it in the buckets of ``size`` blocks that they reach into.
+    Of the ranges that are not void yet the one before always ends last, so what a void is the first to hit lies between its start
+    and that end: all voids together reach over no more blocks than were delivered. Ranges meet them in the buckets of ``size`` blocks.
     """
-    reach = _greatest_before(ranges.select("_seq", "network", "end"), F.col("end"), "top", bucket).select("_seq", "network", "top")
-    voids = detect_reorgs(ranges, bucket).join(reach, ["_seq", "network"]).select(F.col("_seq").alias("by_seq"), "network", F.col("start").alias("void"), F.greatest("top", "start").alias("top"))
+    voids = _voids(ranges, bucket).select(F.col("_seq").alias("by_seq"), "network", F.col("start").alias("void"), F.col("prev.end").alias("top"))
     blocks = lambda a, z: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(z) / size)))
     own = ranges.select("_seq", "network", "start", "end", blocks("start", "end").alias("block"))
     met = own.join(voids.select("by_seq", "network", "void", blocks("void", "top").alias("block")), ["network", "block"])
@@ -88,24 +93,34 @@ def detect_duplicates(ranges: DataFrame) -> DataFrame:
     return own.groupBy("_seq").agg(F.bool_and("same").alias("same")).where("same").select("_seq")
 
 
-def published(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """_seq of the data batches whose rows are in the table after the whole stream.
+def _ranged(batches: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """The batches with plain flags, and a row for each of their ranges: what it equals, what it makes void and what voids it later.
 
-    A batch is in if nothing later replaces any of its ranges, its microbatch (equal ranges in a row) got complete, and
-    it is not a second delivery of a complete microbatch.
+    ``_given`` (alive, goes_on), where a batch has it, is its verdict after the batches that are not here any more: it voids nothing again.
     """
-    notice = F.coalesce("_notice", F.lit(False))
-    base = batches.select("_seq", "_ranges", F.coalesce("_ranges_complete", F.lit(False)).alias("complete"), notice.alias("notice"))
-    rows = base.select("_seq", "notice", F.explode("_ranges").alias("cur")).select("_seq", "notice", "cur", "cur.network", "cur.start", "cur.end")
+    given = F.col("_given") if "_given" in batches.columns else F.lit(None).cast("struct<alive:boolean,goes_on:boolean>")
+    base = batches.select("_seq", "_ranges", F.coalesce("_ranges_complete", F.lit(False)).alias("complete"), F.coalesce("_notice", F.lit(False)).alias("notice"), given.alias("given"))
+    rows = _dealt(base.select("_seq", "notice", "given", F.explode("_ranges").alias("cur")).select("_seq", "notice", "given", "cur", "cur.network", "cur.start", "cur.end"), bucket)
     # of the last data batch before: its range and its place
-    rows = _last_before(rows, F.when(~F.col("notice"), F.struct("cur", "_seq")), "before", bucket).withColumn("prev", F.col("before.cur")).withColumn("turn", F.col("before._seq"))
+    rows = _last_before(rows, F.when(~F.col("notice"), F.struct("cur", "_seq")), "before").withColumn("prev", F.col("before.cur")).withColumn("turn", F.col("before._seq"))
     rows = rows.withColumn("eq", _same("cur", "prev"))
-    voids = F.when(F.col("notice") | (~F.col("eq") & (F.col("start") <= F.col("prev.end"))), F.col("start"))
-    rows = _least_after(rows.withColumn("void", voids), F.col("void"), "void_later", bucket)
+    voids = F.when(F.col("given").isNull() & (F.col("notice") | (~F.col("eq") & (F.col("start") <= F.col("prev.end")))), F.col("start"))
+    return base, _least_after(rows.withColumn("void", voids), F.col("void"), "void_later")
+
+
+def least_voids(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """network and the least block from which on a batch made earlier ones void."""
+    return _ranged(batches, bucket)[1].where("void IS NOT NULL").groupBy("network").agg(F.min("void").alias("void"))
+
+
+def judged(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """_seq, key and run of each data batch (equal ranges in a row are a run, a microbatch), alive, goes_on, and whether its rows are in the
+    table (``_in``)."""
+    base, rows = _ranged(batches, bucket)
     since = Window.partitionBy("network", "turn").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("noticed", F.min(F.when(F.col("notice"), F.col("start"))).over(since))
-    alive = F.col("void_later").isNull() | (F.col("end") < F.col("void_later"))
-    goes_on = F.col("eq") & (F.col("noticed").isNull() | (F.col("noticed") > F.col("end")))
+    alive = F.coalesce("given.alive", F.lit(True)) & (F.col("void_later").isNull() | (F.col("end") < F.col("void_later")))
+    goes_on = F.coalesce("given.goes_on", F.col("eq") & (F.col("noticed").isNull() | (F.col("noticed") > F.col("end"))))
     data = rows.where(~F.col("notice")).groupBy("_seq").agg(F.bool_and(alive).alias("alive"), F.bool_and(goes_on).alias("goes_on"))
     data = base.where(~F.col("notice")).withColumn("key", F.to_json("_ranges")).join(data, "_seq")
     runs = Window.partitionBy("key").orderBy("_seq")
@@ -113,7 +128,16 @@ def published(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
     run = Window.partitionBy("key", "run")
     before = F.max("complete").over(run.orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1))
     data = data.withColumn("done", F.max("complete").over(run)).withColumn("done_before", F.coalesce(before, F.lit(False)))
-    return data.where("alive and done and not done_before").select("_seq")
+    return data.withColumn("_in", F.expr("alive and done and not done_before")).select("_seq", "_ranges", "complete", "key", "run", "alive", "goes_on", "_in")
+
+
+def published(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """_seq of the data batches whose rows are in the table after the whole stream.
+
+    A batch is in if nothing later replaces any of its ranges, its microbatch (equal ranges in a row) got complete, and
+    it is not a second delivery of a complete microbatch.
+    """
+    return judged(batches, bucket).where("_in").select("_seq")
 
 
 def current_rows(log: DataFrame, batches: DataFrame, bucket: int = BUCKET) -> DataFrame:

@@ -600,6 +600,18 @@ def continuous_load(spark, d):
     return _by_batch(table.current())
 
 
+@query(_REPLAY)
+def canonical_snapshot(spark, d):
+    """The replay from a snapshot of all epochs but the newest, made in two steps, and the tail."""
+    source, schema = _delivered(spark, d)
+    table = continuous.ContinuousTable(spark, scratch(spark, "table"))
+    continuous.await_load(table.start(continuous.read_block_stream(spark, source, schema, files_per_trigger=1), available_now=True))
+    table.compact(depth=1 << 40)  # nothing is so deep
+    table.compact(depth=50)
+    table.compact()
+    return _by_batch(table.current())
+
+
 @query(_BATCHES + _STREAM + " SELECT _seq, network, \"start\", \"end\" FROM voids")
 def reorg_notices(spark, d):
     """What a running stream tells of reorganisations, delivery by delivery, from a state store with a value for each network."""
@@ -904,7 +916,7 @@ def wide_numbers(spark, d):
 
 
 #: Queries that run a job of their own before they return, or Python in the tasks.
-EAGER = {"reorg_notices", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "warehouse_insert"}
+EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "warehouse_insert"}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 The log keeps every data row with its ``_seq``; the ledger keeps every batch. Both are written by epoch folder, so an epoch
 that is run again replaces its own files. What is current is a view (rangeloom.operators.reorg.published over the
-ledger), so a reorganisation costs no rewrite. What reorganisations void is also told while the stream runs: ``start_notices`` is a second query
+ledger), so a reorganisation costs no rewrite; ``compact`` moves old epochs into a snapshot, so that a read replays the tail only (rangeloom.streaming.snapshot). What reorganisations void is also told while the stream runs: ``start_notices`` is a second query
 over the batch marks, with the last range of each network in a state store (rangeloom.streaming.notices).
 """
 
@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from rangeloom.functions.ranges import RANGES, batch_id_list, parse_metadata
 from rangeloom.operators.partition import from_block, max_block, partitioned_load
-from rangeloom.operators.reorg import current_rows
 from rangeloom.streaming.notices import NOTICE, reorg_notices
+from rangeloom.streaming.snapshot import Snapshot
 
 LEDGER = T.StructType([T.StructField("_seq", T.LongType()), T.StructField("_ranges", RANGES), T.StructField("_ranges_complete", T.BooleanType()), T.StructField("_notice", T.BooleanType())])
 
@@ -41,9 +41,10 @@ class ContinuousTable:
         rows = rows.persist()
         try:
             batches = rows.groupBy("_seq").agg(F.first("_ranges").alias("_ranges"), F.bool_or("_ranges_complete").alias("_ranges_complete"), F.bool_or(F.coalesce("_notice", F.lit(False))).alias("_notice"))
-            batches.write.mode("overwrite").parquet(f"{self.root}/ledger/epoch={epoch}")
             data = rows.where(~F.coalesce("_notice", F.lit(False))).withColumn("_batch_id", batch_id_list(F.col("_ranges"))).drop("_ranges", "_ranges_complete", "_notice")
             data.write.mode("overwrite").parquet(f"{self.root}/log/epoch={epoch}")
+            # after the rows, so that no batch is known whose rows are not there
+            batches.write.mode("overwrite").parquet(f"{self.root}/ledger/epoch={epoch}")
         finally:
             rows.unpersist()
 
@@ -57,19 +58,29 @@ class ContinuousTable:
         writer = reorg_notices(stream).writeStream.format("parquet").option("checkpointLocation", f"{self.root}/checkpoint-notices").option("path", f"{self.root}/notices").outputMode("append")
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
+    def _ledger(self) -> DataFrame:
+        return self.spark.read.schema(T.StructType([*LEDGER.fields, T.StructField("epoch", T.LongType())])).parquet(f"{self.root}/ledger")
+
     def ledger(self) -> DataFrame:
-        return self.spark.read.schema(T.StructType([*LEDGER.fields, T.StructField("epoch", T.LongType())])).parquet(f"{self.root}/ledger").drop("epoch")
+        return self._ledger().drop("epoch")
 
     def notices(self) -> DataFrame:
         """_seq, network, start, end of what the batches seen so far made void."""
         return self.spark.read.schema(NOTICE).parquet(f"{self.root}/notices")
 
+    def _log(self) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/log")
+
     def log(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/log").drop("epoch")
+        return self._log().drop("epoch")
 
     def current(self) -> DataFrame:
-        """The rows that are in the table after everything that has arrived."""
-        return current_rows(self.log(), self.ledger())
+        """The rows that are in the table after everything that has arrived: the snapshot, if there is one, and a replay of the epochs after it."""
+        return Snapshot(self.spark, self.root).current(self._log(), self._ledger())
+
+    def compact(self, depth: int = 0) -> bool:
+        """Moves the epochs that lie ``depth`` blocks below each network's highest one into the snapshot; whether there were any."""
+        return Snapshot(self.spark, self.root).compact(self._log(), self._ledger(), depth)
 
 
 def hybrid_load(history: DataFrame, block: str, network: str, least: int, path: str, table: ContinuousTable, stream: DataFrame, buffer: int = 200, workers: int = 4, available_now: bool = True):
