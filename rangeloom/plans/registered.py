@@ -835,13 +835,36 @@ def append_rows(spark, d):
 
 @query(_SLICES + ", u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT count(*) AS \"rows\", CAST(sum(o_orderkey) AS BIGINT) AS \"keys\", 2 AS files FROM u")
 def compact(spark, d):
-    """Two appends in many files, rewritten as two."""
+    """Two appends, the first in one file, the second in six small ones: these are merged, the large one stays."""
     table = lake.LakeTable(spark, scratch(spark, "orders"))
-    for rows in _slices(spark, d):
-        table.write(rows.repartition(3))
-    table.compact(2)
-    table.remove_old()
-    return table.read().agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"), F.count_distinct(F.col("_metadata.file_path")).cast("int").alias("files"))
+    first, second = _slices(spark, d)
+    table.write(first.coalesce(1))
+    (large,) = table._listed(table.state())
+    table.write(second.repartition(6))
+    table.compact(target_bytes=1 << 30, small_bytes=large[1])
+    table.remove_old(0)
+    return table.read().agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"), F.lit(len(table._listed(table.state()))).alias("files"))
+
+
+@query(_SLICES + " SELECT o_orderkey, o_custkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY k DESC) AS n FROM (SELECT *, 0 AS k FROM a UNION ALL SELECT *, 1 FROM b UNION ALL SELECT o_orderkey, o_custkey, 'Y', 2 FROM o WHERE o_orderkey % 100 = 0)) WHERE n = 1")
+def upsert_by_place(spark, d):
+    """A table in key buckets with a filter for each file: two upserts, the second of a hundredth of the keys; no file is rewritten."""
+    first, second = _slices(spark, d)
+    table = lake.LakeTable(spark, scratch(spark, "orders"), keys=["o_orderkey"], buckets=8)
+    table.write(first)
+    table.write(second, "upsert", order=["o_custkey"])
+    o = read(spark, d, "orders").select("o_orderkey", "o_custkey").where("o_orderkey % 100 = 0").withColumn("o_orderstatus", F.lit("Y"))
+    table.write(o, "upsert", order=["o_custkey"])
+    return table.read()
+
+
+@query(_BATCHES + " SELECT b.event_id, b.network, b.block_num FROM blocks b ANTI JOIN (SELECT network, slot FROM batches WHERE network = 'click' AND \"end\" >= 205) x USING (network, slot)")
+def delete_by_file_index(spark, d):
+    """A reorganisation in a lake table: the index names the files that hold its batches, and rows go by their place."""
+    table = lake.LakeTable(spark, scratch(spark, "events"), partition_by=["network"])
+    table.write(_identified(spark, d))
+    table.delete_batches(ledger.invalidate_from(reorg.range_ids(chain.batches(spark, d)), "click", 205)[1])
+    return table.read().select("event_id", "network", "block_num")
 
 
 _DDL = [("postgresql", "o_orderkey", "BIGINT"), ("postgresql", "o_totalprice", "DOUBLE PRECISION"), ("postgresql", "o_orderstatus", "TEXT"), ("clickhouse", "o_orderkey", "Int64"), ("clickhouse", "o_totalprice", "Float64"), ("clickhouse", "o_orderstatus", "String"),
@@ -916,7 +939,7 @@ def wide_numbers(spark, d):
 
 
 #: Queries that run a job of their own before they return, or Python in the tasks.
-EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "warehouse_insert"}
+EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "delete_by_file_index", "warehouse_insert"}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

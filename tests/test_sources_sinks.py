@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rangeloom.operators import kv
-from rangeloom.sinks import jdbc, lake
+from rangeloom.sinks import jdbc
 from rangeloom.sources import datasets
 from rangeloom.streaming import continuous
 
@@ -53,42 +53,6 @@ def test_derived_datasets(spark, tmp_path):
     assert datasets.adhoc_select(rows, ["v"], "block_num = 2").first()[0] == "b"
 
 
-def test_lake_tables(spark, tmp_path):
-    table = lake.LakeTable(spark, f"file://{tmp_path}/t", partition_by=["k"], max_rows_per_file=2)
-    rows = lambda *v: spark.createDataFrame([(i, s, i % 2) for i, s in v], "id long, v string, k long")
-    with pytest.raises(FileNotFoundError):
-        table.read()
-    table.write(rows((1, "a"), (2, "a"), (3, "a")))
-    table.write(rows((2, "b"), (3, "b"), (4, "b")), "upsert", keys=["id"], order=["v"])
-    assert sorted((r.id, r.v) for r in table.read().collect()) == [(1, "a"), (2, "b"), (3, "b"), (4, "b")]
-    table.write(rows((5, "c")).withColumn("extra", F.lit(1)))
-    assert "extra" in table.read().columns and table.read().count() == 5
-    table.compact(1)
-    assert table.read().count() == 5
-    table.write(rows((9, "z")), "overwrite")
-    assert [r.id for r in table.read().collect()] == [9]
-    with pytest.raises(ValueError):
-        table.write(rows((9, "z")).drop("k"))
-    with pytest.raises(ValueError):
-        table.write(rows((9, "z")), "other")
-    strict = lake.LakeTable(spark, f"file://{tmp_path}/s", evolve=False)
-    strict.write(rows((1, "a")))
-    audit = lake.load(rows((2, "b")).withColumn("extra", F.lit(1)), strict, "append", "s").first()
-    assert not audit.success and "extra" in audit.error
-    ids = spark.createDataFrame([(1, "a"), (2, "a|b"), (3, "c")], "id long, _batch_id string")
-    t = lake.LakeTable(spark, f"file://{tmp_path}/b")
-    t.write(ids)
-    t.delete_batches(spark.createDataFrame([("b",)], "batch_id string"))
-    assert sorted(r.id for r in t.read().collect()) == [1, 3]
-    late = lake.LakeTable(spark, f"file://{tmp_path}/b")
-    before = late._current()
-    t.write(ids, "overwrite")
-    with pytest.raises(RuntimeError):  # a writer that began from the version that was replaced meanwhile
-        late._next(ids, before)
-    assert t.read().count() == 3 and t.remove_old() == 3 and t.read().count() == 3
-    assert lake.load(spark.range(7), lake.LakeTable(spark, f"file://{tmp_path}/e"), "overwrite").first().rows == 7
-
-
 def test_definitions():
     schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("l", T.ArrayType(T.IntegerType())), T.StructField("d", T.DecimalType(10, 2)), T.StructField("t", T.TimestampType())])
     assert jdbc.create_table("postgresql", "x", schema, True) == ['CREATE TABLE IF NOT EXISTS "x" ("id" BIGINT NOT NULL, "l" TEXT, "d" NUMERIC(10,2), "t" TIMESTAMPTZ, "_batch_id" TEXT)', 'CREATE INDEX IF NOT EXISTS "x_batch" ON "x" ("_batch_id")']
