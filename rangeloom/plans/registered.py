@@ -867,16 +867,45 @@ def delete_by_file_index(spark, d):
     return table.read().select("event_id", "network", "block_num")
 
 
-_DDL = [("postgresql", "o_orderkey", "BIGINT"), ("postgresql", "o_totalprice", "DOUBLE PRECISION"), ("postgresql", "o_orderstatus", "TEXT"), ("clickhouse", "o_orderkey", "Int64"), ("clickhouse", "o_totalprice", "Float64"), ("clickhouse", "o_orderstatus", "String"),
-        ("snowflake", "o_orderkey", "BIGINT"), ("snowflake", "o_totalprice", "FLOAT"), ("snowflake", "o_orderstatus", "VARCHAR"), ("iceberg", "o_orderkey", "long"), ("iceberg", "o_totalprice", "double"), ("iceberg", "o_orderstatus", "string")]
-
-
-@query(" UNION ALL ".join(f"SELECT '{t}' AS target, '{c}' AS \"column\", '{k}' AS kind, count({c}) AS filled FROM orders" for t, c, k in _DDL))
+#: A column of each Spark type, made of an order, and its type by target (postgresql, clickhouse, snowflake, iceberg).
+_TYPED = [
+    ("CAST(o_orderkey % 100 AS TINYINT)", "SMALLINT", "Int8", "TINYINT", "int"), ("CAST(o_orderkey % 100 AS SMALLINT)", "SMALLINT", "Int16", "SMALLINT", "int"), ("CAST(o_orderkey AS INT)", "INTEGER", "Int32", "INTEGER", "int"),
+    ("o_orderkey", "BIGINT", "Int64", "BIGINT", "long"), ("CAST(o_totalprice AS FLOAT)", "REAL", "Float32", "FLOAT", "float"), ("o_totalprice", "DOUBLE PRECISION", "Float64", "FLOAT", "double"),
+    ("o_orderkey % 2 = 0", "BOOLEAN", "Bool", "BOOLEAN", "boolean"), ("o_orderstatus", "TEXT", "String", "VARCHAR", "string"), ("CAST(o_orderstatus AS BINARY)", "BYTEA", "String", "BINARY", "binary"),
+    ("CAST(o_totalprice AS DECIMAL(12,2))", "NUMERIC(12,2)", "Decimal(12,2)", "NUMBER(12,2)", "decimal(12,2)"), ("CAST(o_orderdate AS DATE)", "DATE", "Date", "DATE", "date"),
+    ("CAST(o_orderdate AS TIMESTAMP_LTZ)", "TIMESTAMPTZ", "DateTime64(6, 'UTC')", "TIMESTAMP_TZ", "timestamptz"), ("CAST(o_orderdate AS TIMESTAMP_NTZ)", "TIMESTAMP", "DateTime64(6)", "TIMESTAMP_NTZ", "timestamp"),
+    ("array(CAST(o_orderkey AS INT))", "TEXT", "Array(Int32)", "VARIANT", "list<int>"), ("struct(o_orderkey)", "TEXT", "String", "OBJECT", "struct"), ("map(o_orderstatus, o_totalprice)", "TEXT", "Map(String, Float64)", "OBJECT", "map<string,double>"),
+]
+_TARGETS = ("postgresql", "clickhouse", "snowflake", "iceberg")
+_DDL = [(t, i, kinds[k]) for i, (_, *kinds) in enumerate(_TYPED) for k, t in enumerate(_TARGETS)]
+
+
+@query("SELECT target, kind, count(o_orderkey) * n AS filled FROM orders, (SELECT target, kind, count(*) AS n FROM (VALUES " + ", ".join("('{}', {}, '{}')".format(t, i, k.replace("'", "''")) for t, i, k in _DDL) + ") v(target, i, kind) GROUP BY 1, 2) GROUP BY target, kind, n")
 def ddl_types(spark, d):
-    """The column types of the orders table by target, with the rows that have a value there."""
-    o = read(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    """How many values of orders go into each column type of a target: a column of every Spark type, typed by the definitions of their tables."""
+    o = read(spark, d, "orders").selectExpr(*[f"{e} AS c{i}" for i, (e, *_) in enumerate(_TYPED)])
     kinds = spark.createDataFrame([(t, f.name, jdbc.ddl_type(t, f.dataType)) for t in jdbc.TYPES for f in o.schema], "target string, column string, kind string")
-    return kinds.join(o.agg(*[F.count(c).alias(c) for c in o.columns]).unpivot([], o.columns, "column", "filled"), "column")
+    filled = o.agg(*[F.count(c).alias(c) for c in o.columns]).unpivot([], o.columns, "column", "filled")
+    return kinds.join(filled, "column").groupBy("target", "kind").agg(F.sum("filled").alias("filled"))
+
+
+@query(_SLICES + " SELECT * FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b) UNION ALL SELECT * FROM b")
+def transactional_load(spark, d):
+    """A relational table that is loaded through staging tables: a first load, an upsert, and both again under their tokens, which changes nothing."""
+    first, second = _slices(spark, d)
+    table = jdbc.JdbcTable(spark, f"jdbc:derby:memory:x{uuid.uuid4().hex};create=true", "orders", jdbc.DERBY)
+    for _ in range(2):
+        table.load(first, "load-1")
+        table.load(second, "load-2", keys=["o_orderkey"])
+    return table.read().toDF(*first.columns)
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS cents FROM orders")
+def csv_export(spark, d):
+    """Rows as CSV with a header, read back as text."""
+    path = scratch(spark, "csv")
+    lake.write_csv(read(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")), path)
+    return spark.read.option("header", True).csv(path)
 
 
 @query(_SLICES + " SELECT * FROM a UNION ALL SELECT * FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)")
@@ -939,7 +968,7 @@ def wide_numbers(spark, d):
 
 
 #: Queries that run a job of their own before they return, or Python in the tasks.
-EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "delete_by_file_index", "warehouse_insert"}
+EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "transactional_load", "csv_export", "delete_by_file_index", "warehouse_insert"}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

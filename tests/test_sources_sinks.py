@@ -70,6 +70,34 @@ def test_jdbc(spark, tmp_path):
         table.write(spark.range(1), "upsert")
 
 
+def test_transactional_loads(spark, tmp_path):
+    table = jdbc.JdbcTable(spark, f"jdbc:derby:{tmp_path}/db;create=true", "t", jdbc.DERBY, column_types="_batch_id VARCHAR(100)")
+    rows = spark.range(6).repartition(3).selectExpr("id", "CAST(concat('b', id div 2) AS STRING) AS _batch_id")
+    held = lambda: sorted((r.id, r._batch_id) for r in table.read().collect())
+    # a task that committed its rows and runs again: an attempt more of a partition, and then of all of them
+    table._loaded("a")
+    rows.limit(0).write.options(**table.options).jdbc(table.url, table.table, "append", table.properties)
+    stage = table._stage(rows, "a")
+    table._stage(rows, "a", "append")
+    assert spark.read.jdbc(table.url, stage, properties=table.properties).count() == 12
+    table._merge(stage, "a", rows.columns, [], [])
+    assert held() == [(i, f"b{i // 2}") for i in range(6)]
+    assert not table.load(rows, "a") and len(held()) == 6
+    # a load that fails inside its transaction leaves nothing, and its next try all
+    broken = spark.range(3).selectExpr("id + 100 AS id", "'x' AS _batch_id", "1 AS extra")
+    with pytest.raises(Exception, match="EXTRA|extra"):
+        table.load(broken, "b", void_batches=["b0"])
+    assert len(held()) == 6 and table.load(broken.drop("extra"), "b", void_batches=["b0", "b2"])
+    assert held() == [(2, "b1"), (3, "b1"), (100, "x"), (101, "x"), (102, "x")]
+    assert table.load(spark.range(3, 5).selectExpr("id", "'n|b1' AS _batch_id"), "c", keys=["id"])
+    assert held()[:3] == [(2, "b1"), (3, "n|b1"), (4, "n|b1")]
+    write = table.epoch_writer("stream", keys=["id"])
+    for epoch in (0, 0, 1, 1):
+        write(spark.range(200 + epoch, 202 + epoch).selectExpr("id", "'s' AS _batch_id"), epoch)
+    assert [i for i, b in held() if b == "s"] == [200, 201, 202]
+    assert table.load(rows.limit(0), "d", void_batches=["b1"]) and [i for i, b in held() if "b1" in b] == []
+
+
 def test_key_values(spark):
     df = spark.createDataFrame([(1, "a", True, None), (1, "b", None, 2.0)], "id long, v string, f boolean, x double")
     hashes = [r.fields for r in kv.kv_hash(df, F.col("id").cast("string"), ["v", "f", "x"]).collect()]
