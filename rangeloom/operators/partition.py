@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangeloom.functions.ranges import batch_id, make_range
+from rangeloom.sources.footers import bounds
 
 
 def in_range(df: DataFrame, block: str, start: int, end: int) -> DataFrame:
@@ -19,7 +20,8 @@ def from_block(df: DataFrame, block: str, least: int, detected: int, buffer: int
 
 
 def max_block(df: DataFrame, block: str) -> int:
-    found = df.agg(F.max(block)).first()[0]
+    """The highest block: from the files' footers if ``df`` is a table as read, else by a scan."""
+    found = bounds(df, block)[1]
     if found is None:
         raise ValueError("the table has no blocks")
     return int(found)
@@ -32,8 +34,7 @@ def recent_range(df: DataFrame, block: str, n: int) -> tuple[int, int]:
 
 
 def recent_blocks(df: DataFrame, block: str, n: int) -> DataFrame:
-    """Rows of recent_range. The highest block is looked up first, from file statistics where Spark can, so that the range is a
-    literal that reaches the scan."""
+    """Rows of recent_range. The highest block is looked up first (``max_block``), so that the range is a literal that reaches the scan."""
     return df.where(F.col(block) >= recent_range(df, block, n)[0])
 
 

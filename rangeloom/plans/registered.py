@@ -83,9 +83,15 @@ def partitioned_load_stats(spark, d):
     return out.select("part", F.col("rows").alias("row_count"), "first_block", "last_block")
 
 
-@query("SELECT min(o_orderkey) AS start_block, max(o_orderkey) AS current_block, count(*) AS \"rows\" FROM orders")
+@query("SELECT min(o_orderkey) AS start_block, max(o_orderkey) AS current_block, count(*) AS \"rows\", count(DISTINCT o_orderkey % 3) AS files, true AS bytes_agree FROM orders")
 def table_progress(spark, d):
-    return datasets.table_progress(read(spark, d, "orders"), "o_orderkey").select("start_block", "current_block", "rows")
+    """A table in a folder for each remainder of three; its bytes are those of the files of its folders."""
+    path = scratch(spark, "progress")
+    read(spark, d, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % 3).alias("part")).repartition("part").write.partitionBy("part").parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = sum(x.getLen() for part in fs.listStatus(folder) if part.isDirectory() for x in fs.listStatus(part.getPath()) if x.getPath().getName().endswith(".parquet"))
+    return datasets.table_progress(spark.read.parquet(path), "o_orderkey").withColumn("bytes_agree", F.col("bytes") == size).drop("bytes")
 
 
 @query("SELECT count(*) AS \"rows\", 6 AS \"columns\", count(DISTINCT o_orderkey) AS \"keys\", count(*) = count(DISTINCT o_orderkey) AS is_unique FROM orders")
@@ -95,15 +101,17 @@ def table_stats(spark, d):
     return known.join(merge.distinct_check(o, "o_orderkey"), "rows")
 
 
-@query("SELECT 2 + 0 * count(*) AS files, count(*) AS \"rows\", 2 AS \"columns\", true AS bytes_agree FROM orders")
+@query("SELECT o_orderpriority, count(*) AS \"rows\", 2 AS \"columns\", count(DISTINCT o_orderstatus) AS files FROM orders GROUP BY 1")
 def table_files(spark, d):
-    """Rows, files and bytes of a table of two files, the bytes against what the file system lists."""
-    path = scratch(spark, "files")
-    read(spark, d, "orders").select("o_orderkey", "o_totalprice").repartition(2).write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    size = sum(x.getLen() for x in listed if x.getPath().getName().startswith("part-"))
-    return datasets.table_stats(spark.read.parquet(path)).select("files", "rows", "columns", (F.col("bytes") == size).alias("bytes_agree"))
+    """Rows and files of a table for each priority, with a file for each status."""
+    path, out = scratch(spark, "files"), None
+    o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    o.repartition("o_orderpriority", "o_orderstatus").write.partitionBy("o_orderpriority", "o_orderstatus").parquet(path)
+    for (p,) in o.select("o_orderpriority").distinct().collect():  # a table each
+        t = spark.read.parquet(f"{path}/o_orderpriority={p}")
+        row = datasets.table_stats(t).select(F.lit(p).alias("o_orderpriority"), "rows", "columns", "files")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query(
@@ -968,7 +976,7 @@ def wide_numbers(spark, d):
 
 
 #: Queries that run a job of their own before they return, or Python in the tasks.
-EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "transactional_load", "csv_export", "delete_by_file_index", "warehouse_insert"}
+EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "table_progress", "table_stats", "transactional_load", "csv_export", "delete_by_file_index", "warehouse_insert"}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

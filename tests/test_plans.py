@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from rangeloom.operators import joins
 from rangeloom.plans import registered
@@ -49,3 +50,22 @@ def test_history_windows_run_on_batches(spark):
 def test_recent_blocks_are_a_literal_at_the_scan(spark):
     p = plan(registered.QUERIES["recent_blocks"](spark, FOLDER))
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderkey,[0-9]+\)", p) and "Join" not in p
+
+
+def test_bounds_and_counts_come_from_footers(spark, tmp_path):
+    from rangeloom.operators import partition
+    from rangeloom.sources import datasets, footers
+
+    spark.range(1000).selectExpr("id AS b", "CAST(id AS STRING) AS s", "CAST(NULL AS INT) AS e").repartition(3).write.parquet(f"file://{tmp_path}/t")
+    df = spark.read.parquet(f"file://{tmp_path}/t")
+    asked = footers.from_footers(df.select("b"), F.min("b"), F.max("b"), F.count("*"), columns=["b"])
+    p = plan(asked)
+    assert "PushedAggregation: [MIN(b), MAX(b), COUNT(*)]" in p and "ReadSchema: struct<min(b):bigint,max(b):bigint,count(*):bigint>" in p
+    assert footers.bounds(df, "b") == (0, 999, 1000) and footers.bounds(df, "e") == (None, None, 1000) and footers.bounds(df, "s")[1] == "999"
+    assert footers.bounds(df.where("b < 10"), "b") == (0, 9, 10) and footers.plain_paths(df.where("b < 10")) is None
+    assert footers.plain_paths(df.select((F.col("b") + 1).alias("b"))) is None and footers.plain_paths(spark.range(3)) is None
+    assert partition.max_block(df, "b") == 999 and partition.max_block(df.select("b").where("b < 5"), "b") == 4
+    got = datasets.table_progress(df, "b").first()
+    assert got[:4] == (0, 999, 1000, 3) and got.bytes == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert datasets.table_stats(df).first()[:3] == (1000, 3, 3)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
