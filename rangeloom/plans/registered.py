@@ -629,6 +629,21 @@ def reorg_notices(spark, d):
     return table.notices()
 
 
+@query("SELECT event_id, event_id // 10 AS block_num, value FROM events WHERE event_id // 10 >= 50")
+def block_position_stream(spark, d):
+    """A table of blocks as a stream that is cut by block positions: two queries, the second goes on after the ledger of the first."""
+    path, root = scratch(spark, "chain"), scratch(spark, "table")
+    rows = chain.blocks(spark, d).select("event_id", "block_num", "value")
+    top, table = partition.max_block(rows, "block_num"), continuous.ContinuousTable(spark, root)
+    rows.where(F.col("block_num") <= top // 2).repartition(3).write.parquet(path)
+    for k in range(2):
+        stream = continuous.read_blocks(spark, path, "block_num", "events", rows.schema, blocks_per_trigger=top // 4 + 1, blocks_per_task=top // 16 + 1, start=50, table=table)
+        continuous.await_load(table.start(stream, True, fresh=True))
+        if not k:  # more blocks; the first query's checkpoint is not used again
+            rows.where(F.col("block_num") > top // 2).repartition(2).write.mode("append").parquet(path)
+    return table.current().select("event_id", "block_num", "value")
+
+
 @query(_BATCHES + " SELECT event_id, network, block_num FROM blocks WHERE slot % 5 <> 0")
 def microbatch_assembly(spark, d):
     """Each batch comes in two parts of one range, the second completes it; every fifth batch never gets complete."""
@@ -976,7 +991,7 @@ def wide_numbers(spark, d):
 
 
 #: Queries that run a job of their own before they return, or Python in the tasks.
-EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "table_progress", "table_stats", "transactional_load", "csv_export", "delete_by_file_index", "warehouse_insert"}
+EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "block_position_stream", "table_progress", "table_stats", "transactional_load", "csv_export", "delete_by_file_index", "warehouse_insert"}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

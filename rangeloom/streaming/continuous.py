@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from rangeloom.functions.ranges import RANGES, batch_id_list, parse_metadata
 from rangeloom.operators.partition import from_block, max_block, partitioned_load
+from rangeloom.sources.block_source import register
 from rangeloom.streaming.notices import NOTICE, reorg_notices
 from rangeloom.streaming.snapshot import Snapshot
 
@@ -31,6 +32,16 @@ def read_block_stream(spark: SparkSession, path: str, schema: T.StructType, file
     return reader.parquet(path).withColumn("_ranges", ranges).withColumn("_ranges_complete", complete).drop("_metadata_json")
 
 
+def read_blocks(spark: SparkSession, path: str, block: str, network: str, schema: T.StructType, blocks_per_trigger: int = 0, blocks_per_task: int = 10_000, start: int = 0, table: ContinuousTable | None = None) -> DataFrame:
+    """A stream of the blocks of a table that grows, as read_block_stream gives it; offsets are block positions. A new query goes on after what
+    the ledger of ``table`` has."""
+    register(spark)
+    options = {"path": path, "block": block, "network": network, "schema": schema.json(), "start": start, "blocksPerTask": blocks_per_task, "blocksPerTrigger": blocks_per_trigger}
+    stream = spark.readStream.format("blocks").options(**options | ({"ledger": f"{table.root}/ledger"} if table else {})).load()
+    ranges, complete = parse_metadata(F.col("_metadata_json"))
+    return stream.withColumn("_ranges", ranges).withColumn("_ranges_complete", complete).drop("_metadata_json")
+
+
 class ContinuousTable:
     """A table that a block stream feeds. Restarts go on from the checkpoint; its epochs replace themselves."""
 
@@ -48,14 +59,35 @@ class ContinuousTable:
         finally:
             rows.unpersist()
 
-    def start(self, stream: DataFrame, available_now: bool = False):
-        """Starts the query; with available_now it ends when the source has no more."""
-        writer = stream.writeStream.option("checkpointLocation", f"{self.root}/checkpoint").foreachBatch(self._apply)
+    def _folders(self, name: str, prefix: str) -> dict[int, str]:
+        """Folders below ``name`` whose names are a prefix and a number."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [x.getPath() for x in fs.listStatus(p)] if fs.exists(p) else []
+        return {int(x.getName().removeprefix(prefix)): x.toString() for x in found if x.getName().startswith(prefix)}
+
+    def _base(self, fresh: bool) -> int:
+        """The number of the checkpoint to go on from: the epoch folders of its query begin with it."""
+        known = self._folders("", "checkpoint-")
+        if known and not fresh:
+            return max(known)
+        ledger = self._folders("ledger", "epoch=")
+        for epoch, folder in self._folders("log", "epoch=").items():
+            if epoch not in ledger:  # its batches are not known, so they come again
+                p = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        return max([-1, *ledger, *known]) + 1
+
+    def start(self, stream: DataFrame, available_now: bool = False, fresh: bool = False):
+        """Starts the query; with available_now it ends when the source has no more. fresh: without the source's place in the checkpoint, as a
+        stream that goes on after the ledger (read_blocks) does not need it."""
+        base = self._base(fresh)
+        writer = stream.writeStream.option("checkpointLocation", f"{self.root}/checkpoint-{base}").foreachBatch(lambda rows, epoch: self._apply(rows, base + epoch))
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
     def start_notices(self, stream: DataFrame, available_now: bool = False):
         """Starts the query that tells of reorganisations as their batches arrive; it has a checkpoint and an output of its own."""
-        writer = reorg_notices(stream).writeStream.format("parquet").option("checkpointLocation", f"{self.root}/checkpoint-notices").option("path", f"{self.root}/notices").outputMode("append")
+        writer = reorg_notices(stream).writeStream.format("parquet").option("checkpointLocation", f"{self.root}/notices-checkpoint").option("path", f"{self.root}/notices").outputMode("append")
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
     def _ledger(self) -> DataFrame:
