@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,7 +44,8 @@ def keyset_page(df: DataFrame, key: str, after=None, size: int = 50) -> DataFram
 
 def keyword_search(df: DataFrame, ident: str, text: str, query: str, n: int = 50) -> DataFrame:
     """ident and score of the n best texts: sum over the query's words of count times ln(1 + texts / texts with the
-    word). Words are runs of letters and digits, without regard to case. The scoring is this library's own."""
+    word). Words are runs of letters and digits, without regard to case. The scoring is this library's own. All texts are scanned; for
+    many queries see rangeloom.operators.text_index."""
     words = sorted({w for w in query.lower().split() if w})
     # a text's other words are dropped before its words become rows
     hits = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w.isin(words))
@@ -62,18 +63,7 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def semantic_search(df: DataFrame, ident: str, vector: str, query: Column, n: int = 50) -> DataFrame:
-    """ident and cosine similarity of the n nearest vectors."""
+    """ident and cosine similarity of the n nearest vectors, by one scan; for many queries see rangeloom.operators.vectors."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
     v, length = F.col(vector), df.sparkSession.range(1).select(F.sqrt(dot(query, query))).first()[0]  # the query's own, once
     return df.select(ident, (dot(v, query) / (F.sqrt(dot(v, v)) * F.lit(length))).alias("similarity")).orderBy(F.desc("similarity"), ident).limit(n)
-
-
-def semantic_search_each(df: DataFrame, ident: str, vector: str, queries: DataFrame, n: int = 50) -> DataFrame:
-    """query_id, ident, rank and cosine similarity of the n nearest vectors of each row of queries (ident and vector)."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    own = lambda t, i, v, l: t.select(F.col(ident).alias(i), F.col(vector).cast("array<double>").alias(v)).withColumn(l, F.sqrt(dot(F.col(v), F.col(v))))
-    pairs = own(df, ident, "v", "length").crossJoin(own(queries, "query_id", "w", "query_length"))
-    found = pairs.select("query_id", ident, (dot(F.col("v"), F.col("w")) / (F.col("length") * F.col("query_length"))).alias("similarity"))
-    # tasks keep the n first of each query before the exchange
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), ident))
-    return found.withColumn("rank", rank).where(F.col("rank") <= n)

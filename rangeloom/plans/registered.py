@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rangeloom.functions import encoding, evm, ranges
-from rangeloom.operators import analytics, joins, kv, ledger, merge, partition, reorg
+from rangeloom.operators import analytics, joins, kv, ledger, merge, partition, reorg, text_index, vectors
 from rangeloom.sinks import jdbc, lake
 from rangeloom.sources import abi, chain, datasets, labels
 from rangeloom.sources.chain import read
@@ -526,6 +526,15 @@ def keyword_search(spark, d):
     return analytics.keyword_search(read(spark, d, "documents"), "doc_id", "text", "the license stupid", 50).withColumn("score", F.round("score", 6))
 
 
+@query(ORACLE["keyword_search"])
+def keyword_search_indexed(spark, d):
+    """The same from an inverted index that is built first and read as far as its bounds ask for."""
+    path = scratch(spark, "text_index")
+    text_index.build(read(spark, d, "documents"), "doc_id", "text", path)
+    best, _ = text_index.TextIndex(spark, path).search("the license stupid", "doc_id", 50)
+    return best.withColumn("score", F.round("score", 6))
+
+
 @query(
     "WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0) SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])), 6) AS similarity FROM embeddings, q "
     "ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(v AS DOUBLE[])) DESC, vec_id LIMIT 20"
@@ -542,7 +551,10 @@ def semantic_search(spark, d):
 )
 def semantic_search_each(spark, d):
     e = read(spark, d, "embeddings")
-    return analytics.semantic_search_each(e, "vec_id", "embedding", e.where("vec_id % 100 = 0"), 20).withColumn("similarity", F.round("similarity", 6))
+    path = scratch(spark, "vectors")
+    vectors.VectorIndex.build(e, "vec_id", "embedding", path)
+    found, _ = vectors.VectorIndex(spark, path).search_each(e.where("vec_id % 100 = 0"), "vec_id", "embedding", scratch(spark, "search"), 20)
+    return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @query("SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS value FROM orders")
@@ -991,7 +1003,7 @@ def wide_numbers(spark, d):
 
 
 #: Queries that run a job of their own before they return, or Python in the tasks.
-EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "block_position_stream", "table_progress", "table_stats", "transactional_load", "csv_export", "delete_by_file_index", "warehouse_insert"}
+EAGER = {"reorg_notices", "canonical_snapshot", "stream_batches", "collect_table", "describe_tables", "columns_by_type", "abi_events", "table_files", "read_table", "jdbc_schema", "empty_result", "partitioned_write", "append_rows", "compact", "upsert_by_place", "keyword_search_indexed", "semantic_search_each", "block_position_stream", "table_progress", "table_stats", "transactional_load", "csv_export", "delete_by_file_index", "warehouse_insert"}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
