@@ -1,20 +1,18 @@
 """Quality rules: counts of words, symbols and repetition, and bands of n-gram perplexity by language.
 
-The language model is a modified Kneser-Ney model of byte n-grams. Spark counts the n-grams of the whole corpus by
-language, derives continuation counts, discounts and interpolated probabilities with aggregations and joins, and writes
-each order with log probabilities and log backoff weights to files by hash prefix (shards). Every n-gram has its own entry
-under its whole key, so the model grows with the corpus; the number of shards follows from the counted n-grams. Tasks
-load the shards they meet from the shared folder and hold HELD bytes of them at a time.
-
-The perplexity of a text is that of its bytes from the ORDER-th on by letter: the inverse of their probability, to the power
-one by the number of letters, digits and other characters beyond ASCII marks. So marks between words, of which a model of
-the whole corpus expects as many as the corpus has, raise it without lengthening the text. Its logarithm is compared with
-the median of the texts of its language that pass the base rules (equal texts count once there); a text is rejected outside a
-band of so many robust deviations of either side, the wider the shorter the text.
+The language model gives words their probability. Spark counts the words and the byte n-grams of the whole corpus by language. Byte
+n-grams make a modified Kneser-Ney model: continuation counts, discounts and interpolated probabilities are aggregations and joins. Words have the
+same discounts above it: a word's discounted share, and for what is left its spelling, byte by byte. Counts and probabilities are written to files
+by hash prefix (shards), every entry under its whole key, so the model grows with the corpus; the number of shards follows from the
+counted entries. Tasks load the shards they meet from the shared folder and hold HELD bytes of them at a time.
+
+A text is judged by the others: its own words are taken out of the counts, and byte n-grams that no other text has count as unseen. Its
+perplexity is that of its words (those with a letter, digit or character beyond ASCII): the inverse of their probability, to the power one by their
+number. Its logarithm is compared with the median of the texts of its language that pass the base rules (equal texts count once
+there); a text is rejected outside a band of so many robust deviations of either side, the wider the fewer words it has.
 
 Defined cases: null text has no words and fails the base rules; a null language is a language of its own; rows with repeated
-or null ids give a row each; a text shorter than ORDER bytes or without letters has no perplexity and is judged by the base
-rules alone; an empty table gives an empty result; other columns are ignored.
+or null ids give a row each; a text without such words has no perplexity and is judged by the base rules alone; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,9 +34,9 @@ from rangeloom.llm.tokens import span_hashes
 ORDER = 5  # bytes, at most 7 as keys are positive longs
 #: Entries of a shard, and bytes of shards that a worker holds at a time.
 SHARD, HELD = 1 << 20, 160_000_000
-#: Reach of the band below and above the median in robust deviations of that side, and the text length in letters at which
-#: its variance doubles.
-BELOW, ABOVE, SHORT = 12.0, 6.0, 100.0
+#: Reach of the band below and above the median in robust deviations of that side, and the number of words at which its
+#: variance doubles.
+BELOW, ABOVE, SHORT = 12.0, 6.0, 20.0
 #: Least deviation of log perplexity, so that a corpus of near equal texts rejects none for nothing.
 LEAST_SPREAD = 0.02
 WINDOW_WORDS = 8
@@ -138,8 +136,36 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[n
     return keep, key[keep]
 
 
-def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """lang, key, c of every n-gram of the corpus: tasks merge what they read, then Spark adds up."""
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text, key) of every word with a letter."""
+    if not len(data):
+        return (*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64))
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    solid, edge = ~_BLANK[data], np.ones(len(data), bool)
+    edge[1:] = owner[1:] != owner[:-1]
+    before = edge.copy()
+    before[1:] |= ~solid[:-1]
+    after = np.append(edge[1:], True)
+    after[:-1] |= ~solid[1:]
+    first, last = np.flatnonzero(solid & before), np.flatnonzero(solid & after) + 1
+    letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+    real = letters[last] > letters[first]
+    first, last = first[real], last[real]
+    return first, last, owner[first], span_hashes(data, first, last)
+
+
+def counted_words(docs: DataFrame) -> DataFrame:
+    """lang, key, c of every word of the corpus."""
+    return counted(docs, lambda data, offsets: words(data, offsets)[3])
+
+
+def counted_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """lang, key, c of every n-gram of the corpus."""
+    return counted(docs, lambda data, offsets: ngrams(data, offsets, order)[1])
+
+
+def counted(docs: DataFrame, found) -> DataFrame:
+    """lang, key, c of the keys that ``found`` gives for texts: tasks merge what they read, then Spark adds up."""
     schema = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("c", pa.int64())])
     most = 1 << 21
 
@@ -162,8 +188,7 @@ def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 langs = np.array(b.column(2).to_pylist())
                 for lang in np.unique(langs).tolist():
                     own = b.filter(pa.array(langs == lang))
-                    _, keys = ngrams(*flat_bytes(own.column(1)), order)
-                    new = np.unique(keys, return_counts=True)
+                    new = np.unique(found(*flat_bytes(own.column(1))), return_counts=True)
                     held[lang] = merged(held[lang], new) if lang in held else new
                     while sum(len(k) for k, _ in held.values()) > most:  # bounded memory; sums go on after the shuffle
                         large = max(held, key=lambda x: len(held[x][0]))
@@ -174,6 +199,23 @@ def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return in_larger_tasks(_rows(docs)).mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
 
 
+def _with_discount(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """rows (lang, c) with d1, d2, d3 of their language's counts and ``off``, what is taken off each count."""
+    n = [F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
+    y = F.col("n1") / F.greatest(F.lit(1.0), F.col("n1") + 2 * F.col("n2"))
+    # a corpus too small for an estimate gets the usual start values
+    d = [F.least(F.lit(float(i)), F.greatest(F.lit(0.1), F.when(F.col(f"n{i}") > 0, i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(0.5 * i))).alias(f"d{i}") for i in (1, 2, 3)]
+    rows = rows.join(F.broadcast(counts.groupBy("lang").agg(*n).select("lang", *d)), "lang")  # a row for each language
+    off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+    return rows.withColumn("off", F.least(off, F.col("c").cast("double")))
+
+
+def word_layer(counts: DataFrame) -> dict[str, tuple[float, ...]]:
+    """By language: words in all, the discounts of counts 1, 2 and more, and the share that they take off."""
+    t = _with_discount(counts, counts).groupBy("lang").agg(F.sum("c").alias("total"), F.first("d1").alias("d1"), F.first("d2").alias("d2"), F.first("d3").alias("d3"), F.sum("off").alias("mass"))
+    return {r["lang"]: (r["total"], r["d1"], r["d2"], r["d3"], r["mass"] / r["total"]) for r in t.collect()}  # a row for each language
+
+
 def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, DataFrame]]:
     """By order: (lang, key, p) interpolated probabilities and (lang, key, g) backoff weights of contexts.
 
@@ -186,13 +228,7 @@ def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, D
     lower = None
     for k in range(1, order + 1):
         t = tables[k].withColumn("context", F.shiftright("key", 8))
-        n = [F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-        y = F.col("n1") / F.greatest(F.lit(1.0), F.col("n1") + 2 * F.col("n2"))
-        # a corpus too small for an estimate gets the usual start values
-        d = [F.least(F.lit(float(i)), F.greatest(F.lit(0.1), F.when(F.col(f"n{i}") > 0, i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(0.5 * i))).alias(f"d{i}") for i in (1, 2, 3)]
-        t = t.join(F.broadcast(tables[k].groupBy("lang").agg(*n).select("lang", *d)), "lang")  # a row for each language
-        off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        t = t.withColumn("off", F.least(off, F.col("c").cast("double")))
+        t = _with_discount(t, tables[k])
         contexts = t.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.sum("off").alias("mass"))
         weights = contexts.select("lang", F.col("context").alias("key"), (F.col("mass") / F.col("total")).alias("g"))
         own = t.join(contexts, ["lang", "context"])
@@ -213,10 +249,11 @@ def hashed(keys: np.ndarray) -> np.ndarray:
     return mix(keys.astype(np.uint64) + np.uint64(1))
 
 
-def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str) -> None:
-    """Shards: folder/bits=<b>/language=<hash>/kind=<p or g and order>/shard=<highest b bits of the key's hash>/part with
-    key and value (natural logarithm). b follows from the number of n-grams, so that a shard has about SHARD entries at most."""
-    most = parts[max(parts)][0].groupBy("lang").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str, counts: dict[str, DataFrame] | None = None) -> None:
+    """Shards: folder/bits=<b>/language=<hash>/kind=<p or g and order, or a name of counts>/shard=<highest b bits of the key's hash>/part with
+    key and value (natural logarithms of p and g, counts as they are). b follows from the number of entries, so that a shard has about SHARD of them at most."""
+    sizes = [t.groupBy("lang").agg(F.count("*").alias("n")) for t in (parts[max(parts)][0], *(counts or {}).values())]
+    most = max(x.agg(F.max("n")).first()[0] or 0 for x in sizes)
     bits = max(0, -(-most // SHARD) - 1).bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,6 +267,8 @@ def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str) -> N
         for kind, t in ((f"p{k}", probs.withColumnRenamed("p", "x")), (f"g{k}", weights.withColumnRenamed("g", "x"))):
             own = t.select(F.sha2("lang", 256).alias("language"), F.lit(kind).alias("kind"), "key", F.log("x").cast("float").alias("value"))
             rows = own if rows is None else rows.unionByName(own)
+    for kind, t in (counts or {}).items():
+        rows = rows.unionByName(t.select(F.sha2("lang", 256).alias("language"), F.lit(kind).alias("kind"), "key", F.col("c").cast("float").alias("value")))
     sharded = rows.mapInArrow(run, "language string, kind string, key long, value float, shard long")
     sharded.repartition("language", "kind", "shard").write.partitionBy("language", "kind", "shard").parquet(f"{folder}/bits={bits}")
 
@@ -306,9 +345,11 @@ class Arrays:
             out[own] = of(number[own[0]]).find(keys[own], h[own])
         return out
 
-    def log_p(self, keys: np.ndarray) -> np.ndarray:
-        """Log probability of each n-gram's last symbol after the others; unseen n-grams back off."""
+    def log_p(self, keys: np.ndarray, unseen: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of each n-gram's last symbol after the others; n-grams that are unseen, or shall count as such, back off."""
         out = self.find(f"p{ORDER}", keys)
+        if unseen is not None:
+            out[unseen] = np.nan
         left = np.flatnonzero(np.isnan(out))
         extra, k = np.zeros(len(left)), ORDER
         while len(left):
@@ -331,12 +372,47 @@ def arrays(folder: str, language: str) -> Arrays:
 
 # --- scores and verdicts ------------------------------------------------------------------------------------------
 
-SCORES = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((x, pa.int64()) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_letters")), ("log_ppl", pa.float64())])
-SCORES_DDL = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_letters long, log_ppl double"
+SCORES = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((x, pa.int64()) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_scored")), ("log_ppl", pa.float64())])
+SCORES_DDL = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_scored long, log_ppl double"
 
 
-def scores(docs: DataFrame, folder: str) -> DataFrame:
-    """Base counts, number of letters and log perplexity of every row."""
+def _own_counts(doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """How often the key of each element occurs in its text."""
+    both = mix(keys ^ doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(both, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(both[order]) != 0)) if len(both) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(both)))
+    out = np.empty(len(both), np.int64)
+    out[order] = np.repeat(size, size)
+    return out
+
+
+def log_perplexity(data: np.ndarray, offsets: np.ndarray, found: Arrays, layer: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(words that are scored, minus their mean log probability) of each text, its own counts taken out."""
+    n = len(offsets) - 1
+    first, last, doc, h = words(data, offsets)
+    scored = np.bincount(doc, minlength=n)
+    if not len(first):
+        return scored, np.zeros(n)
+    at, keys = ngrams(data, offsets)
+    spelled = np.zeros(len(data) + 1)
+    if len(keys):
+        of = np.searchsorted(offsets, at, side="right") - 1
+        spelled[at + ORDER - 1] = found.log_p(keys, found.find("c", keys) <= _own_counts(of, keys))
+    # a word's spelling is its bytes and the blank that ends it
+    ends = np.minimum(last + 1, offsets[doc + 1])
+    so_far = np.concatenate([[0], np.cumsum(spelled)])
+    spelling = so_far[ends] - so_far[first]
+    total, d1, d2, d3, mass = layer
+    others = np.maximum(0, np.nan_to_num(found.find("w", h)) - _own_counts(doc, h))
+    share = np.maximum(0, others - np.select([others == 1, others == 2], [d1, d2], d3)) / np.maximum(1, total - scored[doc])
+    with np.errstate(divide="ignore"):
+        p = np.logaddexp(np.log(share), np.log(mass) + spelling)
+    return scored, np.bincount(doc, weights=-p, minlength=n) / np.maximum(1, scored)
+
+
+def scores(docs: DataFrame, folder: str, layers: dict[str, tuple[float, ...]]) -> DataFrame:
+    """Base counts, number of scored words and log perplexity of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -347,16 +423,10 @@ def scores(docs: DataFrame, folder: str) -> DataFrame:
                 for lang in np.unique(langs).tolist():
                     own = b.filter(pa.array(langs == lang))
                     data, offsets = flat_bytes(own.column(1))
-                    n = own.num_rows
-                    at, keys = ngrams(data, offsets)
-                    letters = np.diff(np.concatenate([[0], np.cumsum(_LETTER[data])])[offsets])
-                    scored, total = np.zeros(n, bool), np.zeros(n)
-                    if len(keys):
-                        doc = np.searchsorted(offsets, at, side="right") - 1
-                        scored[doc] = True
-                        total = np.bincount(doc, weights=arrays(folder, hashlib.sha256(lang.encode()).hexdigest()).log_p(keys), minlength=n)
-                    ppl = pa.array(-total / np.maximum(1, letters), mask=~scored | (letters == 0))
-                    yield table(SCORES, doc_id=own.column(0), lang=[lang] * n, n_letters=letters, log_ppl=ppl, **base_counts(data, offsets))
+                    n_scored, value = np.zeros(own.num_rows, np.int64), np.zeros(own.num_rows)
+                    if lang in layers:  # else there is no word in the language
+                        n_scored, value = log_perplexity(data, offsets, arrays(folder, hashlib.sha256(lang.encode()).hexdigest()), layers[lang])
+                    yield table(SCORES, doc_id=own.column(0), lang=[lang] * own.num_rows, n_scored=n_scored, log_ppl=pa.array(value, mask=n_scored == 0), **base_counts(data, offsets))
 
     return _rows(docs).mapInArrow(run, SCORES_DDL)
 
@@ -364,15 +434,16 @@ def scores(docs: DataFrame, folder: str) -> DataFrame:
 def judge(docs: DataFrame, below: float = BELOW, above: float = ABOVE, folder: str | None = None) -> DataFrame:
     """doc_id, base counts, base_failed, kept, perplexity and the band's ends of every row."""
     folder = folder or new_folder(docs.sparkSession, "ngrams")
-    write_model(model(stored(counted(docs))), folder)
-    found = cut(scores(docs, folder))
+    grams, each = stored(counted_ngrams(docs)), stored(counted_words(docs))
+    write_model(model(grams), folder, {"c": grams, "w": each})
+    found = cut(scores(docs, folder, word_layer(each)))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return banded(found.withColumn("base_failed", failed), below, above)
 
 
 def banded(found: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
     """Verdicts of scored rows; each end of a language's band follows from the texts on its side of the median."""
-    usual = found.where("not base_failed and log_ppl is not null").select("lang", "log_ppl", "n_letters").distinct()
+    usual = found.where("not base_failed and log_ppl is not null").select("lang", "log_ppl", "n_scored").distinct()
     middle = usual.groupBy("lang").agg(F.percentile_approx("log_ppl", 0.5, 10000).alias("middle"))  # a row for each language
     away = usual.join(F.broadcast(middle), "lang").withColumn("away", (F.col("log_ppl") - F.col("middle")) / _widening())
     side = lambda on, sign: F.greatest(F.lit(LEAST_SPREAD), F.coalesce(1.4826 * F.percentile_approx(F.when(on, sign * F.col("away")), 0.5, 10000), F.lit(LEAST_SPREAD)))
@@ -384,4 +455,4 @@ def banded(found: DataFrame, below: float = BELOW, above: float = ABOVE) -> Data
 
 
 def _widening():
-    return F.sqrt(1 + SHORT / F.greatest(F.lit(1.0), F.col("n_letters").cast("double")))
+    return F.sqrt(1 + SHORT / F.greatest(F.lit(1.0), F.col("n_scored").cast("double")))
