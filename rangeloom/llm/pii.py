@@ -1,18 +1,22 @@
 """Surrogates for personal data: keyed, of the same type and format, distinct for distinct entities.
 
-Detected entities are e-mail addresses, phone and national identity numbers, IPv4 addresses, payment cards (with a valid
-check digit), bank accounts (IBAN with valid check digits), secrets (named assignments and long hexadecimal strings) and
-persons. A person stands after a title or, with two names, after a word that announces one (TITLES and CUES, fixed lists in
-several languages); later or earlier mentions in the same text by whole, family or given name need neither. A surrogate keeps type,
-length, separators, script and case; a card or an account gets valid check digits. Listed given names are replaced by given names
-of the same gender; other names keep their last letter, which shows the gender in many languages, and their pattern of vowels and consonants.
+Detected entities are e-mail addresses, phone and national identity numbers, addresses of both internet protocols, payment cards (with a valid
+check digit), bank accounts (IBAN with valid check digits), secrets (named assignments, keys with well-known prefixes and long hexadecimal strings) and
+persons. A person stands after titles or, with two names, after a word that announces one (TITLES and CUES, fixed lists in several languages)
+or with a listed given name; later or earlier mentions in the same text by whole, family or given name need none of these. A surrogate keeps type,
+length, separators, script and case (an address of version 6 its version only); a card or an account gets valid check digits. Listed given names are
+replaced by given names of the same gender; other names keep their last letter, which shows the gender in many languages, and their pattern
+of vowels and consonants, but for scripts without cases.
 
 Each surrogate is a keyed permutation without fixed points of the entity's normal form within its format (a Feistel network with
 cycle walking over the format's values), so an entity has one surrogate in the whole corpus and two entities of a format never
 share one, without a table of entities. ``collisions`` checks that over the whole corpus with one aggregation; should it find one, the corpus
 gets another key derived from the first.
 
-The key is a parameter, or the session's setting ``spark.rangeloom.pii.key`` (hexadecimal); a session without it gets a random one.
+Values of more than LONG characters are permuted by a Feistel network over their halves, position by position, in time in proportion to their length.
+
+The key is a parameter, or the session's setting ``spark.rangeloom.pii.secret`` (hexadecimal), a name that Spark redacts in its UI and logs; a session
+without it gets a random one, so two sessions give different surrogates unless they share the setting.
 
 Defined cases: null text stays null; texts without entities are returned as they are; rows with repeated or null ids give
 a row each; an empty table gives an empty result; other columns are ignored.
@@ -23,6 +27,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import hmac
+import ipaddress
 import re
 import secrets
 import sys
@@ -36,7 +41,9 @@ from pyspark.sql import functions as F
 
 from rangeloom.llm.common import in_small_batches, release
 
-KEY_SETTING = "spark.rangeloom.pii.key"
+KEY_SETTING = "spark.rangeloom.pii.secret"
+#: Characters from which on a value is permuted in halves.
+LONG = 256
 
 
 def session_key(spark: SparkSession) -> bytes:
@@ -108,9 +115,26 @@ def block_set(c: str) -> str | None:
     return "".join(x for x in map(chr, range(own[0] << 7, (own[0] + 1) << 7)) if _class(x) == own)
 
 
+def _halves(key: bytes, tweak: str, sets: list[str], places: list[int], rounds: int = 8) -> list[int]:
+    """Places in sets, permuted: each round adds to one half, modulo the sets, a stream that the other half fixes."""
+    middle, sizes = len(places) // 2, list(map(len, sets))
+    out = list(places)
+    for turn in range(rounds):
+        own, other = (slice(0, middle), slice(middle, None))[:: 1 if turn % 2 else -1]
+        seed = hmac.digest(key, f"{tweak}|{turn}|".encode() + ",".join(map(str, out[other])).encode(), "sha256")
+        stream = hashlib.shake_256(seed).digest(8 * len(out[own]))
+        out[own] = [(x + int.from_bytes(stream[8 * i : 8 * i + 8], "big")) % n for i, (x, n) in enumerate(zip(out[own], sizes[own], strict=True))]
+    return out
+
+
 def same_pattern(key: bytes, tweak: str, text: str, special: dict[str, str] | None = None) -> str:
     """Lower-case text permuted within its pattern of character sets; special: sets that go before the usual ones."""
     sets = [(special or {}).get(c) or _SET_OF.get(c) or block_set(c) for c in text]
+    if len(text) > LONG:
+        pattern = hashlib.sha256("".join("-" if s is None else s[0] for s in sets).encode()).hexdigest()
+        own = [s for s in sets if s]
+        new = iter(_halves(key, f"{tweak}|{len(text)}|{pattern}", own, [s.index(c) for c, s in zip(text, sets, strict=True) if s]))
+        return "".join(s[next(new)] if s else c for c, s in zip(text, sets, strict=True))
     value, size = 0, 1
     for c, s in zip(text, sets, strict=True):
         if s:
@@ -127,7 +151,7 @@ def same_pattern(key: bytes, tweak: str, text: str, special: dict[str, str] | No
 
 def name_pattern(key: bytes, tweak: str, name: str) -> str:
     """A lower-case name permuted within its pattern of vowels and consonants, but for the last letter of three or more."""
-    end = name[-1:] if sum(map(str.isalpha, name)) > 2 and name[-1:].isalpha() else ""
+    end = name[-1:] if sum(map(str.isalpha, name)) > 2 and name[-1:].upper() != name[-1:].lower() else ""
     return same_pattern(key, f"{tweak}|{end}", name.removesuffix(end), _NAME_SET_OF) + end
 
 
@@ -180,22 +204,31 @@ def _ranges(kinds: tuple[str, ...]) -> str:
 
 
 _UPPER, _LOWER = _ranges(("Lu", "Lt")), _ranges(("Ll",))
-_NAME = rf"[{_UPPER}][{_LOWER}]+(?:[-'][{_UPPER}][{_LOWER}]+)*"
+_TITLE = rf"(?:(?:{TITLES})\b\.? ?)+"
+_NAME = rf"(?!(?:{TITLES})\b)[{_UPPER}][{_LOWER}]+(?:[-'][{_UPPER}][{_LOWER}]+)*"
+#: Names in scripts without cases: Han, Hiragana, Katakana and Hangul.
+_SHORT_NAME = "[\u4e00-\u9fff\u3040-\u30ff\uac00-\ud7a3]{2,4}"
 
 PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[\w-]+\.)+[^\W\d_]{2,}(?![\w-])"),
     "secret": re.compile(r"""(?i)\b(?:api[_-]?key|access[_-]?key|auth|password|passwd|secret|token)\b["']?\s{0,3}[:=]\s{0,3}["']?(?P<v>[A-Za-z0-9_\-+/]{16,})"""),
+    "keyed": re.compile(r"(?<![\w])(?:(?:AKIA|ASIA)(?P<v>[0-9A-Z]{16})|(?:gh[pousr]_|sk-|xox[abp]-)(?P<w>[A-Za-z0-9_-]{20,}))(?![\w])"),
     "hex": re.compile(r"(?<![\w])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,}(?![\w])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)"),
     "card": re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"),
-    "phone": re.compile(r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w])"),
-    "national": re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
+    "phone": re.compile(r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,12}(?:[ .-][0-9]{2,8}){0,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|0[0-9]{3,4} [0-9]{6})(?![\w])"),
+    "called": re.compile(r"(?i)(?<!\w)(?:phone|tel(?:ephone|efon|éfono)?|téléphone|mobile|mobil|móvil|call|fax|тел(?:ефон)?)(?: number| is)?[:.]? {0,2}(?P<v>[0-9]{8,15})(?!\w)"),
+    "national": re.compile(r"(?<![\w-])[0-9]{3}([- ])[0-9]{2}\1[0-9]{4}(?![\w-])"),
+    "ip6": re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){3,7}(?![\w:])"),
     "ip": re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]|\w)"),
-    "person": re.compile(rf"(?<!\w)(?:{TITLES})\.? (?P<v>{_NAME}(?: {_NAME})?)(?!\w)"),
+    "person": re.compile(rf"(?<!\w){_TITLE}(?<=[ .])(?P<v>{_NAME}(?: {_NAME})?(?!\w)|{_SHORT_NAME})"),
     "announced": re.compile(rf"(?<!\w)(?:{CUES})[:,]? (?P<v>{_NAME} {_NAME})(?!\w)"),
+    "listed": re.compile(rf"(?<!\w)(?P<v>(?:{'|'.join(WOMEN + MEN)}) {_NAME})(?!\w)"),
 }
+#: Patterns that find what another kind is.
+_SAME_KIND = {"announced": "person", "listed": "person", "keyed": "secret", "called": "phone"}
 #: What a text must hold for a pattern to be tried.
-_NEEDS = {"email": re.compile("@"), "person": re.compile(rf"\b(?:{TITLES})\b"), "secret": re.compile("[:=]"), "announced": re.compile(rf"\b(?:{CUES})[:,]? [{_UPPER}]")}
+_NEEDS = {"email": re.compile("@"), "keyed": re.compile("A[KS]IA|gh[pousr]_|sk-|xox[abp]-"), "ip6": re.compile(":[0-9A-Fa-f]{0,4}:"), "listed": re.compile(rf"\b(?:{'|'.join(WOMEN + MEN)}) [{_UPPER}]"), "person": re.compile(rf"\b(?:{TITLES})\b"), "secret": re.compile("[:=]"), "announced": re.compile(rf"\b(?:{CUES})[:,]? [{_UPPER}]")}
 _DIGIT = re.compile("[0-9]")
 
 
@@ -206,6 +239,11 @@ def valid(kind: str, found: str) -> bool:
         return iban_ok(found)
     if kind == "ip":
         return all(int(x) < 256 for x in found.split("."))
+    if kind == "ip6":
+        try:
+            return bool(ipaddress.IPv6Address(found)) and found.count(":") > 2
+        except ValueError:
+            return False
     if kind == "phone":
         return 8 <= len(only_digits(found)) <= 15
     return True
@@ -222,11 +260,12 @@ def entities(text: str) -> list[tuple[int, int, str]]:
         if not (need.search(text) if need else digits):
             continue
         for m in pattern.finditer(text):
-            a, z = m.span("v") if "v" in pattern.groupindex else m.span()
+            a, z = m.span(next((g for g in pattern.groupindex if m[g] is not None), 0))
             i = bisect.bisect(taken, (a, z, ""))
+            kind = _SAME_KIND.get(kind, kind)
             apart = (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= z)
             if apart and valid(kind, text[a:z]):
-                taken.insert(i, (a, z, "person" if kind == "announced" else kind))
+                taken.insert(i, (a, z, kind))
     return untitled(text, taken)
 
 
@@ -235,7 +274,8 @@ def untitled(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, in
     kinds: dict[str, str] = {}
     for a, z, kind in taken:
         if kind == "person":
-            given, _, family = text[a:z].partition(" ")
+            given, _, family = text[a:z].rpartition(" ")
+            given, family = (given, family) if given else (family, "")
             kinds[text[a:z]] = "person"
             if family:
                 kinds[family] = "person"
@@ -260,6 +300,8 @@ def normal(kind: str, found: str) -> str:
         return found.replace(" ", "").upper()
     if kind == "ip":
         return ".".join(str(int(x)) for x in found.split("."))
+    if kind == "ip6":
+        return ipaddress.IPv6Address(found).exploded
     return found
 
 
@@ -281,6 +323,9 @@ def surrogate(key: bytes, kind: str, found: str) -> str:
     if kind == "ip":
         value = int.from_bytes(bytes(map(int, n.split("."))), "big")
         return ".".join(map(str, permuted(key, "ip", value, 1 << 32).to_bytes(4, "big")))
+    if kind == "ip6":
+        new = ipaddress.IPv6Address(permuted(key, "ip6", int(ipaddress.IPv6Address(found)), 1 << 128)).exploded
+        return new.upper() if found != found.lower() else new
     if kind == "hex":
         return recased(found, f"{permuted(key, 'hex', int(n, 16), 16 ** len(n)):0{len(n)}x}") if found != found.upper() else f"{permuted(key, 'hex', int(n, 16), 16 ** len(n)):0{len(n)}X}"
     if kind == "email":
