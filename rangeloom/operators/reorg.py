@@ -93,36 +93,37 @@ def detect_duplicates(ranges: DataFrame) -> DataFrame:
     return own.groupBy("_seq").agg(F.bool_and("same").alias("same")).where("same").select("_seq")
 
 
-def _ranged(batches: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame]:
-    """The batches with plain flags, and a row for each of their ranges: what it equals, what it makes void and what voids it later.
+def _ranged(batches: DataFrame, bucket: int) -> DataFrame:
+    """A row for each range of the batches, with plain flags: what it equals, what it makes void and what voids it later.
 
     ``_given`` (alive, goes_on), where a batch has it, is its verdict after the batches that are not here any more: it voids nothing again.
     """
     given = F.col("_given") if "_given" in batches.columns else F.lit(None).cast("struct<alive:boolean,goes_on:boolean>")
     base = batches.select("_seq", "_ranges", F.coalesce("_ranges_complete", F.lit(False)).alias("complete"), F.coalesce("_notice", F.lit(False)).alias("notice"), given.alias("given"))
-    rows = _dealt(base.select("_seq", "notice", "given", F.explode("_ranges").alias("cur")).select("_seq", "notice", "given", "cur", "cur.network", "cur.start", "cur.end"), bucket)
+    flags = ["_seq", "_ranges", "complete", "notice", "given"]
+    rows = _dealt(base.select(*flags, F.explode("_ranges").alias("cur")).select(*flags, "cur", "cur.network", "cur.start", "cur.end"), bucket)
     # of the last data batch before: its range and its place
     rows = _last_before(rows, F.when(~F.col("notice"), F.struct("cur", "_seq")), "before").withColumn("prev", F.col("before.cur")).withColumn("turn", F.col("before._seq"))
     rows = rows.withColumn("eq", _same("cur", "prev"))
     voids = F.when(F.col("given").isNull() & (F.col("notice") | (~F.col("eq") & (F.col("start") <= F.col("prev.end")))), F.col("start"))
-    return base, _least_after(rows.withColumn("void", voids), F.col("void"), "void_later")
+    return _least_after(rows.withColumn("void", voids), F.col("void"), "void_later")
 
 
 def least_voids(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """network and the least block from which on a batch made earlier ones void."""
-    return _ranged(batches, bucket)[1].where("void IS NOT NULL").groupBy("network").agg(F.min("void").alias("void"))
+    return _ranged(batches, bucket).where("void IS NOT NULL").groupBy("network").agg(F.min("void").alias("void"))
 
 
 def judged(batches: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """_seq, key and run of each data batch (equal ranges in a row are a run, a microbatch), alive, goes_on, and whether its rows are in the
     table (``_in``)."""
-    base, rows = _ranged(batches, bucket)
+    rows = _ranged(batches, bucket)
     since = Window.partitionBy("network", "turn").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("noticed", F.min(F.when(F.col("notice"), F.col("start"))).over(since))
     alive = F.coalesce("given.alive", F.lit(True)) & (F.col("void_later").isNull() | (F.col("end") < F.col("void_later")))
     goes_on = F.coalesce("given.goes_on", F.col("eq") & (F.col("noticed").isNull() | (F.col("noticed") > F.col("end"))))
-    data = rows.where(~F.col("notice")).groupBy("_seq").agg(F.bool_and(alive).alias("alive"), F.bool_and(goes_on).alias("goes_on"))
-    data = base.where(~F.col("notice")).withColumn("key", F.to_json("_ranges")).join(data, "_seq")
+    once = [F.first(c).alias(c) for c in ("_ranges", "complete")]  # a batch's ranges all carry these
+    data = rows.where(~F.col("notice")).groupBy("_seq").agg(*once, F.bool_and(alive).alias("alive"), F.bool_and(goes_on).alias("goes_on")).withColumn("key", F.to_json("_ranges"))
     runs = Window.partitionBy("key").orderBy("_seq")
     data = data.withColumn("run", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(runs))
     run = Window.partitionBy("key", "run")
