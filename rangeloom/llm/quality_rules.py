@@ -217,7 +217,7 @@ def word_layer(counts: DataFrame) -> dict[str, tuple[float, ...]]:
 
 
 def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, DataFrame]]:
-    """By order: (lang, key, p) interpolated probabilities and (lang, key, g) backoff weights of contexts.
+    """By order: (lang, key, p) interpolated probabilities, with the counts c at the highest order, and (lang, key, g) backoff weights of contexts.
 
     The highest order has counts, each lower one the number of distinct symbols before an n-gram.
     """
@@ -232,13 +232,14 @@ def model(counts: DataFrame, order: int = ORDER) -> dict[int, tuple[DataFrame, D
         contexts = t.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.sum("off").alias("mass"))
         weights = contexts.select("lang", F.col("context").alias("key"), (F.col("mass") / F.col("total")).alias("g"))
         own = t.join(contexts, ["lang", "context"])
+        kept = ["lang", "key", *(["c"] if k == order else [])]
         p = (F.col("c") - F.col("off")) / F.col("total")
         g = F.col("mass") / F.col("total")
         if lower is None:
-            probs = own.select("lang", "key", (p + g / 256).alias("p"))
+            probs = own.select(*kept, (p + g / 256).alias("p"))
         else:
             short = lower.select("lang", F.col("key").alias("short"), F.col("p").alias("q"))
-            probs = own.withColumn("short", F.col("key").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(short, ["lang", "short"]).select("lang", "key", (p + g * F.col("q")).alias("p"))
+            probs = own.withColumn("short", F.col("key").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(short, ["lang", "short"]).select(*kept, (p + g * F.col("q")).alias("p"))
         lower = probs = stored(probs)
         out[k] = probs, weights
     return out
@@ -249,10 +250,10 @@ def hashed(keys: np.ndarray) -> np.ndarray:
     return mix(keys.astype(np.uint64) + np.uint64(1))
 
 
-def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str, counts: dict[str, DataFrame] | None = None) -> None:
-    """Shards: folder/bits=<b>/language=<hash>/kind=<p or g and order, or a name of counts>/shard=<highest b bits of the key's hash>/part with
-    key and value (natural logarithms of p and g, counts as they are). b follows from the number of entries, so that a shard has about SHARD of them at most."""
-    sizes = [t.groupBy("lang").agg(F.count("*").alias("n")) for t in (parts[max(parts)][0], *(counts or {}).values())]
+def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str, words: DataFrame | None = None) -> None:
+    """Shards: folder/bits=<b>/language=<hash>/kind=<p or g and order, or w of words>/shard=<highest b bits of the key's hash>/part with key, value (natural
+    logarithms of p and g, counts of words) and count (of the highest order). b follows from the number of entries, so that a shard has about SHARD of them at most."""
+    sizes = [t.groupBy("lang").agg(F.count("*").alias("n")) for t in (parts[max(parts)][0], words) if t is not None]
     most = max(x.agg(F.max("n")).first()[0] or 0 for x in sizes)
     bits = max(0, -(-most // SHARD) - 1).bit_length()
 
@@ -260,45 +261,46 @@ def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str, coun
         for b in batches:
             h = hashed(np.asarray(b.column(2)))
             s = pa.array((h >> np.uint64(64 - bits) if bits else h * np.uint64(0)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([*b.columns, s], names=["language", "kind", "key", "value", "shard"])
+            yield pa.RecordBatch.from_arrays([*b.columns, s], names=["language", "kind", "key", "value", "count", "shard"])
 
     rows = None
     for k, (probs, weights) in parts.items():
         for kind, t in ((f"p{k}", probs.withColumnRenamed("p", "x")), (f"g{k}", weights.withColumnRenamed("g", "x"))):
-            own = t.select(F.sha2("lang", 256).alias("language"), F.lit(kind).alias("kind"), "key", F.log("x").cast("float").alias("value"))
+            own = t.select(F.sha2("lang", 256).alias("language"), F.lit(kind).alias("kind"), "key", F.log("x").cast("float").alias("value"), (F.col("c") if kind == f"p{max(parts)}" else F.lit(None)).cast("float").alias("count"))
             rows = own if rows is None else rows.unionByName(own)
-    for kind, t in (counts or {}).items():
-        rows = rows.unionByName(t.select(F.sha2("lang", 256).alias("language"), F.lit(kind).alias("kind"), "key", F.col("c").cast("float").alias("value")))
-    sharded = rows.mapInArrow(run, "language string, kind string, key long, value float, shard long")
+    if words is not None:
+        rows = rows.unionByName(words.select(F.sha2("lang", 256).alias("language"), F.lit("w").alias("kind"), "key", F.col("c").cast("float").alias("value"), F.lit(None).cast("float").alias("count")))
+    sharded = rows.mapInArrow(run, "language string, kind string, key long, value float, count float, shard long")
     sharded.repartition("language", "kind", "shard").write.partitionBy("language", "kind", "shard").parquet(f"{folder}/bits={bits}")
 
 
 class Shard:
     """The entries of a file by slot: those of slot i are at first[i] up to first[i + 1], about one in two slots has one."""
 
-    def __init__(self, where, at: str):
+    def __init__(self, where, at: str, counted: bool):
         found = where.get_file_info(at)
-        keys, value = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        keys, values = np.zeros(0, np.int64), np.zeros((0, 1 + counted), np.float32)
         if found.type != fs.FileType.NotFound:
-            t = pads.dataset(at, filesystem=where, format="parquet").to_table(columns=["key", "value"]).combine_chunks()
-            keys, value = t["key"].to_numpy(), t["value"].to_numpy()
+            columns = ["value", "count"] if counted else ["value"]
+            t = pads.dataset(at, filesystem=where, format="parquet").to_table(columns=["key", *columns]).combine_chunks()
+            keys, values = t["key"].to_numpy(), np.stack([t[c].to_numpy() for c in columns], axis=1)
         self.mask = np.uint64((1 << max(1, (2 * len(keys)).bit_length())) - 1)
         slot = (hashed(keys) & self.mask).astype(np.int64)
         order = np.argsort(slot, kind="stable")
-        self.keys, self.value = keys[order], value[order]
+        self.keys, self.values = keys[order], values[order]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=int(self.mask) + 1))]).astype(np.int32)
-        self.size = self.keys.nbytes + self.value.nbytes + self.first.nbytes
+        self.size = self.keys.nbytes + self.values.nbytes + self.first.nbytes
 
     def find(self, keys: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """The value of each key, nan for keys that are not there."""
-        out = np.full(len(keys), np.nan)
+        """The values of each key, nan for keys that are not there."""
+        out = np.full((len(keys), self.values.shape[1]), np.nan, np.float32)
         slot = (h & self.mask).astype(np.int64)
         at, end = self.first[slot], self.first[slot + 1]
         left = np.flatnonzero(at < end)
         at, end, own = at[left], end[left], keys[left]
         while len(left):
             hit = self.keys[at] == own
-            out[left[hit]] = self.value[at[hit]]
+            out[left[hit]] = self.values[at[hit]]
             more = np.flatnonzero(~hit & (at + 1 < end))
             left, at, end, own = left[more], at[more] + 1, end[more], own[more]
         return out
@@ -307,7 +309,7 @@ class Shard:
 _LOADED: OrderedDict = OrderedDict()
 
 
-def shard(folder: str, where, at: str) -> Shard:
+def shard(folder: str, where, at: str, counted: bool) -> Shard:
     """From the worker's shards, which have HELD bytes at most besides the one in use."""
     if (folder, at) in _LOADED:
         _LOADED.move_to_end((folder, at))
@@ -316,7 +318,7 @@ def shard(folder: str, where, at: str) -> Shard:
             _LOADED.clear()
         while _LOADED and sum(x.size for x in _LOADED.values()) > HELD:
             _LOADED.popitem(last=False)
-        _LOADED[folder, at] = Shard(where, at)
+        _LOADED[folder, at] = Shard(where, at, counted)
     return _LOADED[folder, at]
 
 
@@ -331,25 +333,31 @@ class Arrays:
         self.path = f"{top}/language={language}"
 
     def find(self, kind: str, keys: np.ndarray) -> np.ndarray:
-        h = hashed(keys)
-        keys = keys.astype(np.int64)
-        of = lambda i: shard(self.folder, self.where, f"{self.path}/kind={kind}/shard={i}")
+        """The value of each key, of n-grams of the highest order with its count."""
+        counted, h, keys = kind == f"p{ORDER}", hashed(keys), keys.astype(np.int64)
+        of = lambda i: shard(self.folder, self.where, f"{self.path}/kind={kind}/shard={i}", counted)
         if not self.bits:
-            return of(0).find(keys, h)
-        out = np.full(len(keys), np.nan)
-        number = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        order = np.argsort(number, kind="stable")
-        ends = np.flatnonzero(np.append(np.diff(number[order]) != 0, True)) + 1 if len(order) else []
-        for a, z in zip([0, *ends[:-1]], ends, strict=True):
-            own = order[a:z]
-            out[own] = of(number[own[0]]).find(keys[own], h[own])
-        return out
-
-    def log_p(self, keys: np.ndarray, unseen: np.ndarray | None = None) -> np.ndarray:
-        """Log probability of each n-gram's last symbol after the others; n-grams that are unseen, or shall count as such, back off."""
-        out = self.find(f"p{ORDER}", keys)
-        if unseen is not None:
-            out[unseen] = np.nan
+            out = of(0).find(keys, h)
+        else:
+            out = np.full((len(keys), 1 + counted), np.nan, np.float32)
+            number = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+            order = np.argsort(number, kind="stable")
+            ends = np.flatnonzero(np.append(np.diff(number[order]) != 0, True)) + 1 if len(order) else []
+            for a, z in zip([0, *ends[:-1]], ends, strict=True):
+                own = order[a:z]
+                out[own] = of(number[own[0]]).find(keys[own], h[own])
+        return out.astype(np.float64) if counted else out[:, 0].astype(np.float64)
+
+    def log_p(self, keys: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of each n-gram's last symbol after the others; unseen n-grams back off. doc: the text of each; those that no other
+        text has count as unseen."""
+        found = self.find(f"p{ORDER}", keys)
+        out = found[:, 0]
+        if doc is not None:
+            size = np.bincount(doc)
+            few = np.flatnonzero(found[:, 1] <= size[doc])  # a text has no n-gram more often than it has n-grams
+            own = few[found[few, 1] <= _own_counts(doc[few], keys[few])]
+            out[own] = np.nan
         left = np.flatnonzero(np.isnan(out))
         extra, k = np.zeros(len(left)), ORDER
         while len(left):
@@ -398,7 +406,7 @@ def log_perplexity(data: np.ndarray, offsets: np.ndarray, found: Arrays, layer:
     spelled = np.zeros(len(data) + 1)
     if len(keys):
         of = np.searchsorted(offsets, at, side="right") - 1
-        spelled[at + ORDER - 1] = found.log_p(keys, found.find("c", keys) <= _own_counts(of, keys))
+        spelled[at + ORDER - 1] = found.log_p(keys, of)
     # a word's spelling is its bytes and the blank that ends it
     ends = np.minimum(last + 1, offsets[doc + 1])
     so_far = np.concatenate([[0], np.cumsum(spelled)])
@@ -435,7 +443,7 @@ def judge(docs: DataFrame, below: float = BELOW, above: float = ABOVE, folder: s
     """doc_id, base counts, base_failed, kept, perplexity and the band's ends of every row."""
     folder = folder or new_folder(docs.sparkSession, "ngrams")
     grams, each = stored(counted_ngrams(docs)), stored(counted_words(docs))
-    write_model(model(grams), folder, {"c": grams, "w": each})
+    write_model(model(grams), folder, each)
     found = cut(scores(docs, folder, word_layer(each)))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return banded(found.withColumn("base_failed", failed), below, above)
