@@ -15,7 +15,8 @@ gives as many rows as it has members. Equal fingerprints are one node. Links are
 shingles: an edited word changes five shingles but one word, so candidates come from the fingerprints of the distinct words
 (WORD_BITS apart at most) and are checked by those of the shingles (SHINGLE_BITS), and the links that come out by a sketch, SKETCH
 more fingerprints of the shingles with other bits of their hashes. The similarity is estimated from their distance: of 512 bits, pairs at a
-similarity of 0.8 are 77 apart in the mean with a deviation of 8, at 0.7 they are 98; SKETCH_BITS of 86 stand for 0.76.
+similarity of 0.8 are 77 apart in the mean with a deviation of 8, at 0.7 they are 98; SKETCH_BITS of 86 stand for 0.76. No forest is made before
+that check: of a bucket's components by fingerprints, small ones give all their links, and large ones are searched again with their sketches.
 
 Defined cases: null text is the empty text; a text without words has fingerprint 0; repeated rows and repeated ids give
 a row each; a component in which every id is null has a null component_id; an empty table gives an empty result; other
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import connected, cut, mix, release, shuffle_partitions, texts
+from rangeloom.llm.common import connected, cut, flat_bytes, mix, release, shuffle_partitions, texts
 
 SEED = 42
 #: Segments of a key, bytes of a text that are cut into words at a time, and members of a bucket that are tested pair by pair.
@@ -175,49 +176,89 @@ class Chains:
             out.append(at)
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
-    def forest(self, chain: int, fp: np.ndarray, wide: np.ndarray | None) -> tuple[list, list]:
-        """Links that connect what the links among fp connect."""
-        a, b, left = [], [], np.arange(len(fp))
+    def trees(self, chain: int, fp: np.ndarray, wide: np.ndarray | None, sketch: np.ndarray | None = None, most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each component of the links among fp that has any: links (two arrays of positions) that connect it. With sketch, rows of
+        longs, a link's sketches differ in ``most`` bits at most too."""
+        left = np.arange(len(fp))
         while len(left):
-            queue, left = [left[0]], left[1:]
+            a, b, queue, left = [], [], [left[0]], left[1:]
             while queue and len(left):
                 one = queue.pop()
                 at = self.linked(np.full(len(left), chain), fp[left] ^ fp[one], None if wide is None else wide[left] ^ wide[one])
+                if sketch is not None and len(at):
+                    at = at[np.bitwise_count(sketch[left[at]] ^ sketch[one]).sum(axis=1, dtype=np.int64) <= most]
                 if len(at):
                     queue += left[at].tolist()
                     a.append(np.full(len(at), one))
                     b.append(left[at])
                     left = np.delete(left, at)
-        return a, b
+            if a:
+                yield np.concatenate(a), np.concatenate(b)
 
+    def all_among(self, chain: int, members: np.ndarray, fp: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every link among a few members."""
+        i, j = np.triu_indices(len(members), 1)
+        a, b = members[i], members[j]
+        at = self.linked(np.full(len(a), chain), fp[a] ^ fp[b], wide[a] ^ wide[b])
+        return a[at], b[at]
 
-def links(nodes: DataFrame, distance: int = 4, wide_distance: int | None = None) -> DataFrame:
-    """Pairs (a, b) of distinct values of nodes.fp that differ in 1 to ``distance`` bits: enough of them to connect what all of
-    them connect. With wide_distance nodes are (fp, wide), a and b structs of both, and wide differs in so many bits at most too."""
+
+def _longs(column: pa.Array) -> np.ndarray:
+    """A column of longs, or of sketches as rows of longs, unsigned."""
+    if pa.types.is_binary(column.type):
+        return np.ascontiguousarray(flat_bytes(column)[0]).reshape(len(column), 8 * SKETCH).view(np.uint64)
+    return np.asarray(column).view(np.uint64)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], found) -> Iterator[pa.RecordBatch]:
+    """What found makes of the columns of rows that are sorted by the first one, the key; no bucket is cut in two."""
+    held = None
+    for b in batches:
+        cols = [_longs(c) for c in b.columns]
+        if held is not None:
+            cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
+        # the last bucket may go on in the next batch
+        end = int(np.searchsorted(cols[0].view(np.int64), cols[0].view(np.int64)[-1])) if len(cols[0]) else 0
+        held = [c[end:] for c in cols]
+        yield found([c[:end] for c in cols])
+    if held is not None:
+        yield found(held)
+
+
+def _sizes(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places and sizes of the buckets of sorted keys."""
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return first, np.diff(first, append=len(key))
+
+
+def _pairs(a: list, b: list, cols: list[np.ndarray], names: list[str], **more: pa.Array) -> pa.RecordBatch:
+    a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (a, b))
+    found = [pa.array(c[v].view(np.int64)) for v in (a, b) for c in cols]
+    return pa.RecordBatch.from_arrays([*found, *more.values()], names=[*(f"{s}_{n}" for s in "ab" for n in names), *more])
+
+
+def _sides(found: DataFrame, names: list[str], *more: str) -> DataFrame:
+    side = lambda x: F.col(f"{x}_fp").alias(x) if names == ["fp"] else F.struct(*[F.col(f"{x}_{n}").alias(n) for n in names]).alias(x)
+    return found.select(side("a"), side("b"), *more)
+
+
+def _ordered(found: DataFrame) -> DataFrame:
+    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _met(nodes: DataFrame, distance: int, wide_distance: int | None, every: bool) -> DataFrame:
+    """a, b and crowd: the links among nodes that meet in a bucket. A bucket of more than FEW members gives, unless ``every`` one is asked
+    for, enough of them to connect what they connect; else its components of more than FEW members give those (a and b) with the bucket as crowd."""
     names = ["fp"] if wide_distance is None else ["fp", "wide"]
-    schema = ", ".join(f"{side}_{n} long" for side in "ab" for n in names)
-    side = lambda x: F.col(f"{x}_fp").alias(x) if wide_distance is None else F.struct(*[F.col(f"{x}_{n}").alias(n) for n in names]).alias(x)
-    if distance == 0 and wide_distance is None:
-        return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test, held = Chains(distance, wide_distance), None
-        for b in batches:
-            cols = [np.asarray(c).view(np.uint64) for c in b.columns]
-            if held is not None:
-                cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            # the last bucket may go on in the next batch
-            end = int(np.searchsorted(cols[0].view(np.int64), cols[0].view(np.int64)[-1])) if len(cols[0]) else 0
-            held = [c[end:] for c in cols]
-            yield found(test, [c[:end] for c in cols])
-        if held is not None:
-            yield found(test, held)
+        test = Chains(distance, wide_distance)
+        yield from _by_bucket(batches, lambda cols: found(test, cols))
 
     def found(test: Chains, cols: list[np.ndarray]) -> pa.RecordBatch:
         key, fp, wide = cols[0], cols[1], cols[2] if len(cols) > 2 else None
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        size = np.diff(first, append=len(key))
-        a, b = [], []
+        first, size = _sizes(key)
+        a, b, crowds = [], [], []
         for gap in range(1, min(FEW, int(size.max(initial=0)))):
             one = np.concatenate([np.zeros(0, np.int64), *(first[(size <= FEW) & (size > gap + k)] + k for k in range(FEW - gap))])
             one = one[np.argsort(key[one] >> np.uint64(58), kind="stable")]
@@ -225,19 +266,64 @@ def links(nodes: DataFrame, distance: int = 4, wide_distance: int | None = None)
             a.append(at)
             b.append(at + gap)
         for start, n in zip(first[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
-            own = slice(start, start + n)
-            x, y = test.forest(int(key[start]) >> 58, fp[own], None if wide is None else wide[own])
-            a += [start + v for v in x]
-            b += [start + v for v in y]
-        a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (a, b))
-        return pa.RecordBatch.from_arrays([pa.array(c[v].view(np.int64)) for v in (a, b) for c in cols[1:]], names=[f"{s}_{n}" for s in "ab" for n in names])
+            own, chain = slice(start, start + n), int(key[start]) >> 58
+            for x, y in test.trees(chain, fp[own], None if wide is None else wide[own]):
+                members = np.append(x[0], y)
+                if every and len(members) > FEW:
+                    crowds.append(start + members)
+                    continue
+                if every:
+                    x, y = test.all_among(chain, members, fp[own], wide[own])
+                a.append(start + x)
+                b.append(start + y)
+        links = sum(map(len, a))
+        crowd = np.concatenate([np.zeros(0, np.int64), *crowds])
+        of = pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(key[crowd].view(np.int64))])
+        return _pairs([*a, crowd], [*b, crowd], cols[1:], names, crowd=of)
 
     n = shuffle_partitions(nodes.sparkSession)
     # few bytes that become many: each task files its share
     filed = nodes.repartition(n, *names).select(F.explode(F.array(*_keys(max(1, distance)))).alias("key"), *names)
     # by key alone, so that no bucket ends within a task
     filed = filed.repartition(n, "key").sortWithinPartitions("key")
-    return filed.mapInArrow(run, schema).select(side("a"), side("b")).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    schema = ", ".join(f"{side}_{n} long" for side in "ab" for n in names)
+    return _sides(filed.mapInArrow(run, f"{schema}, crowd long"), names, "crowd")
+
+
+def links(nodes: DataFrame, distance: int = 4, wide_distance: int | None = None) -> DataFrame:
+    """Pairs (a, b) of distinct values of nodes.fp that differ in 1 to ``distance`` bits: enough of them to connect what all of
+    them connect. With wide_distance nodes are (fp, wide), a and b structs of both, and wide differs in so many bits at most too."""
+    if distance == 0 and wide_distance is None:
+        return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
+    return _ordered(_met(nodes, distance, wide_distance, every=False))
+
+
+def checked_links(own: DataFrame, distance: int, wide_distance: int, most: int) -> DataFrame:
+    """Links of the nodes of own (fp, wide, node, sketch) whose sketches differ in ``most`` bits at most too: enough of them to connect what
+    all of them connect. The few links of a small component are checked one by one; large components get the sketches and are searched again."""
+    names = ["fp", "wide"]
+    each = own.groupBy("node").agg(F.min("sketch").alias("sketch"))  # equal fingerprints: nearly always one text
+    met = cut(_met(own.select(*names).distinct(), distance, wide_distance, every=True))
+    few = similar(_ordered(met.where("crowd IS NULL")), each, most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = Chains(distance, wide_distance)
+        yield from _by_bucket(batches, lambda cols: found(test, cols))
+
+    def found(test: Chains, cols: list[np.ndarray]) -> pa.RecordBatch:
+        key, fp, wide, sketch = cols
+        a, b = [], []
+        for start, n in zip(*(x.tolist() for x in _sizes(key)), strict=True):
+            own = slice(start, start + n)
+            for x, y in test.trees(int(key[start]) >> 58, fp[own], wide[own], sketch[own], most):
+                a.append(start + x)
+                b.append(start + y)
+        return _pairs(a, b, [fp, wide], names)
+
+    crowds = met.where("crowd IS NOT NULL").select("crowd", F.col("a").alias("node")).join(each, "node").select("crowd", "node.fp", "node.wide", "sketch")
+    crowds = crowds.repartition(shuffle_partitions(own.sparkSession), "crowd").sortWithinPartitions("crowd")
+    many = _sides(crowds.mapInArrow(run, "a_fp long, a_wide long, b_fp long, b_wide long"), names)
+    return few.unionByName(_ordered(many))
 
 
 def bits_apart(a: F.Column, b: F.Column, longs: int) -> F.Column:
@@ -246,9 +332,8 @@ def bits_apart(a: F.Column, b: F.Column, longs: int) -> F.Column:
     return reduce(add, [F.bit_count(part(a, k).bitwiseXOR(part(b, k))) for k in range(2 * longs)])
 
 
-def similar(found: DataFrame, own: DataFrame, most: int) -> DataFrame:
-    """The links (a, b) whose nodes' sketches differ in ``most`` bits at most."""
-    each = own.groupBy("node").agg(F.min("sketch").alias("sketch"))  # equal fingerprints: nearly always one text
+def similar(found: DataFrame, each: DataFrame, most: int) -> DataFrame:
+    """The links (a, b) whose nodes' sketches (node, sketch) differ in ``most`` bits at most."""
     side = lambda x: each.select(F.col("node").alias(x), F.col("sketch").alias(f"{x}_sketch"))
     both = found.join(side("a"), "a").join(side("b"), "b")
     return both.where(bits_apart(F.col("a_sketch"), F.col("b_sketch"), SKETCH) <= most).select("a", "b")
@@ -260,8 +345,8 @@ def grouped(docs: DataFrame, words: int = 4, distance: int = 4, wide_distance: i
     own = cut(fingerprints(docs, words, wide_distance is not None))
     names = ["fp"] if wide_distance is None else ["fp", "wide"]
     own = own.withColumn("node", F.col("fp") if wide_distance is None else F.struct(*names))
-    found = links(own.select(*names).distinct(), distance, wide_distance)
-    roots = connected(found if sketch_distance is None else similar(found, own, sketch_distance))
+    found = links(own.select(*names).distinct(), distance, wide_distance) if sketch_distance is None else checked_links(own, distance, wide_distance, sketch_distance)
+    roots = connected(found)
     return own.join(roots, "node", "left").select("doc_id", "k2", "fp", F.coalesce("root", "node").alias("root"))
 
 

@@ -64,7 +64,7 @@ def brute_sketch(text, k=5):
 
 
 def brute_kept(rows):
-    """Ids of the rows that one_of_each keeps; for texts without buckets of more than FEW members."""
+    """Ids of the rows that one_of_each keeps."""
     a, b, c = [brute_words(t) for _, t in rows], [brute_fp(t, 5) for _, t in rows], [brute_sketch(t) for _, t in rows]
     near = lambda i, j: (a[i] ^ a[j]).bit_count() <= simhash.WORD_BITS and (b[i] ^ b[j]).bit_count() <= simhash.SHINGLE_BITS and (c[i] ^ c[j]).bit_count() <= simhash.SKETCH_BITS
     return set(named(rows, groups(len(rows), near)))
@@ -101,6 +101,28 @@ def test_links_connect_what_all_links_connect(spark, monkeypatch):
         assert groups(len(signed), lambda i, j: (i, j) in linked) == groups(len(signed), lambda i, j: near(signed[i], signed[j]))  # noqa: B023
 
 
+def test_checked_links_connect_what_all_links_connect(spark, monkeypatch):
+    r = random.Random(8)
+    flipped = lambda x, bits, most: x ^ sum(1 << b for b in r.sample(range(bits), r.randint(0, most)))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = {}
+    for _ in range(12):  # groups that are near by fingerprints, each of several families of sketches
+        fp, wide, families = r.getrandbits(64), r.getrandbits(64), [r.getrandbits(512) for _ in range(3)]
+        for _ in range(40):
+            rows[signed(flipped(fp, 64, 4)), signed(flipped(wide, 64, 8))] = flipped(r.choice(families), 512, 60)
+    nodes = sorted(rows)
+    df = spark.createDataFrame([(a, b, rows[a, b].to_bytes(64, "little")) for a, b in nodes], "fp long, wide long, sketch binary").selectExpr("*", "struct(fp, wide) AS node")
+    bits = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
+    near = lambda i, j: bits(nodes[i][0], nodes[j][0]) <= 7 and bits(nodes[i][1], nodes[j][1]) <= 14 and (rows[nodes[i]] ^ rows[nodes[j]]).bit_count() <= 86
+    want, at = groups(len(nodes), near), {x: i for i, x in enumerate(nodes)}
+    for few in (16, 1, 1000):
+        monkeypatch.setattr(simhash, "FEW", few)
+        pairs = {(at[tuple(x.a)], at[tuple(x.b)]) for x in simhash.checked_links(df, 7, 14, 86).collect()}
+        assert all(near(i, j) for i, j in pairs)
+        assert groups(len(nodes), lambda i, j: (i, j) in pairs or (j, i) in pairs) == want  # noqa: B023
+    assert simhash.checked_links(df.where("false"), 7, 14, 86).count() == 0
+
+
 def test_a_dense_group_gives_few_links(spark):
     fps = [0, *(1 << i | 1 << j for i in range(64) for j in range(i))]
     n = simhash.links(spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")).count()
@@ -149,7 +171,7 @@ def test_near_copies_share_a_component(spark):
             near.append((doc, 1_000_000 + doc))
     both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(edited, "doc_id long, text string"))
     own = simhash.cut(simhash.fingerprints(both, 5, True)).withColumn("node", F.struct("fp", "wide"))
-    links = simhash.cut(simhash.similar(simhash.links(own.select("fp", "wide").distinct(), simhash.WORD_BITS, simhash.SHINGLE_BITS), own, simhash.SKETCH_BITS))
+    links = simhash.cut(simhash.checked_links(own, simhash.WORD_BITS, simhash.SHINGLE_BITS, simhash.SKETCH_BITS))
     root = {r.node: r.root for r in simhash.connected(links).collect()}
     node_of = {r.doc_id: r.node for r in own.collect()}
     roots = {doc: root.get(node, node) for doc, node in node_of.items()}
