@@ -79,12 +79,21 @@ class ContinuousTable:
         return max([-1, *ledger, *known]) + 1
 
     def start(self, stream: DataFrame, available_now: bool = False, fresh: bool = False):
-        """Starts the query; with available_now it ends when the source has no more. fresh: without the source's place in the checkpoint, as a
-        stream that goes on after the ledger (read_blocks) does not need it."""
+        """Starts the query; with available_now it ends when the source has no more, but after one micro-batch of a source written in Python
+        (read_blocks), as Spark has no admission by steps there: ``load`` reads all of it. fresh: without the source's place in the checkpoint, as
+        a stream that goes on after the ledger (read_blocks) does not need it."""
         base = self._base(fresh)
         writer = stream.writeStream.option("checkpointLocation", f"{self.root}/checkpoint-{base}").foreachBatch(lambda rows, epoch: self._apply(rows, base + epoch))
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
+    def load(self, stream: DataFrame, fresh: bool = False) -> None:
+        """Reads all that the source has, in as many micro-batches as its limits ask for. While the source grows faster than it is read, this goes on."""
+        query = self.start(stream, fresh=fresh)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
     def start_notices(self, stream: DataFrame, available_now: bool = False):
         """Starts the query that tells of reorganisations as their batches arrive; it has a checkpoint and an output of its own."""
         writer = reorg_notices(stream).writeStream.format("parquet").option("checkpointLocation", f"{self.root}/notices-checkpoint").option("path", f"{self.root}/notices").outputMode("append")

@@ -44,6 +44,19 @@ def test_micro_batches_are_ranges_of_blocks(spark, tmp_path):
     assert ends[-1] == 149 and all(r.start // 8 == r.end // 8 for x in table.ledger().collect() for r in x._ranges)
 
 
+def test_a_load_takes_all_there_is(spark, tmp_path):
+    table = continuous.ContinuousTable(spark, f"file://{tmp_path}/t")
+    there = []
+    for low, high in ((0, 100), (200, 250)):  # the second load starts with more than a trigger's blocks that are not there
+        grow(spark, tmp_path / "chain", low, high)
+        there += range(low, high)
+        for fresh in (True, False):  # the second time there is nothing left
+            table.load(continuous.read_blocks(spark, f"file://{tmp_path}/chain", "b", "n", SCHEMA, table=table, blocks_per_trigger=30, blocks_per_task=8), fresh)
+            assert sorted(r.b for r in table.current().collect()) == there
+            assert table.log().count() == len(there)
+    assert len(list((tmp_path / "t" / "ledger").glob("epoch=*"))) > 4
+
+
 def test_rows_of_an_epoch_without_a_ledger_come_once(spark, tmp_path):
     table = continuous.ContinuousTable(spark, f"file://{tmp_path}/t")
     grow(spark, tmp_path / "chain", 0, 40)
