@@ -16,7 +16,8 @@ shingles: an edited word changes five shingles but one word, so candidates come
 (WORD_BITS apart at most) and are checked by those of the shingles (SHINGLE_BITS), and the links that come out by a sketch, SKETCH
 more fingerprints of the shingles with other bits of their hashes. The similarity is estimated from their distance: of 512 bits, pairs at a
 similarity of 0.8 are 77 apart in the mean with a deviation of 8, at 0.7 they are 98; SKETCH_BITS of 86 stand for 0.76. No forest is made before
-that check: of a bucket's components by fingerprints, small ones give all their links, and large ones are searched again with their sketches.
+that check: of a bucket's components by fingerprints, small ones give all their links, and large ones are searched again with their sketches. Large
+components of all buckets that have the same least member (by a hash) are searched together, each of their members once and by whole distances.
 
 Defined cases: null text is the empty text; a text without words has fingerprint 0; repeated rows and repeated ids give
 a row each; a component in which every id is null has a null component_id; an empty table gives an empty result; other
@@ -170,21 +171,24 @@ class Chains:
             at = np.arange(np.searchsorted(i, chain), np.searchsorted(i, chain, side="right"))
             for mask, most in zip(self.masks[chain], self.budgets, strict=True):
                 at = at[np.bitwise_count(diff[at] & np.uint64(mask)) <= most]
-            at = at[np.bitwise_count(diff[at]) <= self.distance]
-            if wide is not None:
-                at = at[np.bitwise_count(wide[at]) <= self.wide_distance]
-            out.append(at)
+            out.append(at[self.near(diff[at], None if wide is None else wide[at])])
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
-    def trees(self, chain: int, fp: np.ndarray, wide: np.ndarray | None, sketch: np.ndarray | None = None, most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each component of the links among fp that has any: links (two arrays of positions) that connect it. With sketch, rows of
+    def near(self, diff: np.ndarray, wide: np.ndarray | None) -> np.ndarray:
+        """As linked, for pairs of any chain."""
+        at = np.flatnonzero(np.bitwise_count(diff) <= self.distance)
+        return at if wide is None else at[np.bitwise_count(wide[at]) <= self.wide_distance]
+
+    def trees(self, chain: int | None, fp: np.ndarray, wide: np.ndarray | None, sketch: np.ndarray | None = None, most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each component of the links among fp that has any: links (two arrays of positions) that connect it. chain: None for links of any chain. With sketch, rows of
         longs, a link's sketches differ in ``most`` bits at most too."""
         left = np.arange(len(fp))
         while len(left):
             a, b, queue, left = [], [], [left[0]], left[1:]
             while queue and len(left):
                 one = queue.pop()
-                at = self.linked(np.full(len(left), chain), fp[left] ^ fp[one], None if wide is None else wide[left] ^ wide[one])
+                diff, apart = fp[left] ^ fp[one], None if wide is None else wide[left] ^ wide[one]
+                at = self.near(diff, apart) if chain is None else self.linked(np.full(len(left), chain), diff, apart)
                 if sketch is not None and len(at):
                     at = at[np.bitwise_count(sketch[left[at]] ^ sketch[one]).sum(axis=1, dtype=np.int64) <= most]
                 if len(at):
@@ -248,7 +252,8 @@ def _ordered(found: DataFrame) -> DataFrame:
 
 def _met(nodes: DataFrame, distance: int, wide_distance: int | None, every: bool) -> DataFrame:
     """a, b and crowd: the links among nodes that meet in a bucket. A bucket of more than FEW members gives, unless ``every`` one is asked
-    for, enough of them to connect what they connect; else its components of more than FEW members give those (a and b) with the bucket as crowd."""
+    for, enough of them to connect what they connect; else its components of more than FEW members give those (a and b) with a crowd: the least
+    hash of a member. The buckets of a dense group have many members in common, so few crowds have all of them."""
     names = ["fp"] if wide_distance is None else ["fp", "wide"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +263,7 @@ def _met(nodes: DataFrame, distance: int, wide_distance: int | None, every: bool
     def found(test: Chains, cols: list[np.ndarray]) -> pa.RecordBatch:
         key, fp, wide = cols[0], cols[1], cols[2] if len(cols) > 2 else None
         first, size = _sizes(key)
-        a, b, crowds = [], [], []
+        a, b, crowds, names_of = [], [], [], []
         for gap in range(1, min(FEW, int(size.max(initial=0)))):
             one = np.concatenate([np.zeros(0, np.int64), *(first[(size <= FEW) & (size > gap + k)] + k for k in range(FEW - gap))])
             one = one[np.argsort(key[one] >> np.uint64(58), kind="stable")]
@@ -271,6 +276,7 @@ def _met(nodes: DataFrame, distance: int, wide_distance: int | None, every: bool
                 members = np.append(x[0], y)
                 if every and len(members) > FEW:
                     crowds.append(start + members)
+                    names_of.append(np.full(len(members), mix(fp[crowds[-1]] + mix(wide[crowds[-1]])).min()))
                     continue
                 if every:
                     x, y = test.all_among(chain, members, fp[own], wide[own])
@@ -278,7 +284,7 @@ def _met(nodes: DataFrame, distance: int, wide_distance: int | None, every: bool
                 b.append(start + y)
         links = sum(map(len, a))
         crowd = np.concatenate([np.zeros(0, np.int64), *crowds])
-        of = pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(key[crowd].view(np.int64))])
+        of = pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(np.concatenate([np.zeros(0, np.uint64), *names_of]).view(np.int64))])
         return _pairs([*a, crowd], [*b, crowd], cols[1:], names, crowd=of)
 
     n = shuffle_partitions(nodes.sparkSession)
@@ -315,12 +321,13 @@ def checked_links(own: DataFrame, distance: int, wide_distance: int, most: int)
         a, b = [], []
         for start, n in zip(*(x.tolist() for x in _sizes(key)), strict=True):
             own = slice(start, start + n)
-            for x, y in test.trees(int(key[start]) >> 58, fp[own], wide[own], sketch[own], most):
+            for x, y in test.trees(None, fp[own], wide[own], sketch[own], most):
                 a.append(start + x)
                 b.append(start + y)
         return _pairs(a, b, [fp, wide], names)
 
-    crowds = met.where("crowd IS NOT NULL").select("crowd", F.col("a").alias("node")).join(each, "node").select("crowd", "node.fp", "node.wide", "sketch")
+    # whatever buckets a crowd comes from, each of its members is sent to it once
+    crowds = met.where("crowd IS NOT NULL").select("crowd", F.col("a").alias("node")).distinct().join(each, "node").select("crowd", "node.fp", "node.wide", "sketch")
     crowds = crowds.repartition(shuffle_partitions(own.sparkSession), "crowd").sortWithinPartitions("crowd")
     many = _sides(crowds.mapInArrow(run, "a_fp long, a_wide long, b_fp long, b_wide long"), names)
     return few.unionByName(_ordered(many))

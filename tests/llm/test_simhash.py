@@ -129,6 +129,16 @@ def test_a_dense_group_gives_few_links(spark):
     assert len(fps) - 1 <= n < 100 * len(fps)
 
 
+def test_members_of_a_dense_group_are_sent_to_few_crowds(spark):
+    r = random.Random(6)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    flips = lambda most: sum(1 << b for b in r.sample(range(64), r.randint(0, most)))
+    nodes = sorted({(signed(flips(3)), signed(flips(6))) for _ in range(600)})
+    met = simhash._met(spark.createDataFrame(nodes, "fp long, wide long"), 7, 14, True).where("crowd IS NOT NULL")
+    assert met.select("a").distinct().count() == len(nodes)
+    assert met.select("crowd", "a").distinct().count() < 30 * len(nodes)
+
+
 def test_long_texts_are_cut_into_blocks(monkeypatch):
     text = "".join(random.Random(1).choice(["one two", " three\n", "four ", "\tfive six ", "seven", "É "]) for _ in range(600))
     want = [simhash.fingerprint(text, k) for k in (1, 4, 5)], simhash.word_fingerprint(text)
