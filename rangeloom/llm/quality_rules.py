@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from rangeloom.llm.common import cut, flat_bytes, in_larger_tasks, in_small_batches, mix, new_folder, stored, sub_batches, table
 from rangeloom.llm.files import _split
-from rangeloom.llm.tokens import span_hashes
+from rangeloom.llm.tokens import hashes_of, running_sums
 
 ORDER = 5  # bytes, at most 7 as keys are positive longs
 #: Entries of a shard, and bytes of shards that a worker holds at a time.
@@ -71,12 +71,13 @@ def _groups_of_equal(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.nda
     return earlier, twice
 
 
-def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text."""
+def base_counts(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text. sums: the running sums of data, if they are known."""
     n = len(offsets) - 1
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     if not len(data):
         return {x: np.zeros(n, np.int64) for x in names}
+    sums = running_sums(data) if sums is None else sums
     owner = np.repeat(np.arange(n), np.diff(offsets))
     total = lambda mark: np.bincount(owner[mark], minlength=n)
     blank = _BLANK[data]
@@ -95,8 +96,8 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     words_before = np.concatenate([[0], np.cumsum(~blank)])
     real = words_before[stops] > words_before[starts]
     line_doc = owner[ends][real]
-    earlier, _ = _groups_of_equal(line_doc, span_hashes(data, starts[real], stops[real]))
-    h = span_hashes(data, first, last)
+    earlier, _ = _groups_of_equal(line_doc, hashes_of(sums, starts[real], stops[real]))
+    h = hashes_of(sums, first, last)
     m = len(h) - WINDOW_WORDS + 1
     covered = np.zeros(len(h) + 1, np.int64)
     if m > 0:
@@ -136,7 +137,7 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[n
     return keep, key[keep]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, text, key) of every word with a letter."""
     if not len(data):
         return (*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64))
@@ -151,7 +152,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
     real = letters[last] > letters[first]
     first, last = first[real], last[real]
-    return first, last, owner[first], span_hashes(data, first, last)
+    return first, last, owner[first], hashes_of(running_sums(data) if sums is None else sums, first, last)
 
 
 def counted_words(docs: DataFrame) -> DataFrame:
@@ -340,9 +341,9 @@ class Arrays:
             out = of(0).find(keys, h)
         else:
             out = np.full((len(keys), 1 + counted), np.nan, np.float32)
-            number = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+            number = (h >> np.uint64(64 - self.bits)).astype(np.uint16 if self.bits <= 16 else np.int64)  # numpy sorts short numbers by digits
             order = np.argsort(number, kind="stable")
-            ends = np.flatnonzero(np.append(np.diff(number[order]) != 0, True)) + 1 if len(order) else []
+            ends = np.flatnonzero(np.append(number[order][1:] != number[order][:-1], True)) + 1 if len(order) else []
             for a, z in zip([0, *ends[:-1]], ends, strict=True):
                 own = order[a:z]
                 out[own] = of(number[own[0]]).find(keys[own], h[own])
@@ -351,7 +352,8 @@ class Arrays:
     def log_p(self, keys: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
         """Log probability of each n-gram's last symbol after the others; unseen n-grams back off. doc: the text of each; those that no other
         text has count as unseen."""
-        found = self.find(f"p{ORDER}", keys)
+        each, of = np.unique(keys, return_inverse=True)  # texts repeat their n-grams: a look-up for each different one
+        found = self.find(f"p{ORDER}", each)[of]
         out = found[:, 0]
         if doc is not None:
             size = np.bincount(doc)
@@ -395,10 +397,10 @@ def _own_counts(doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_perplexity(data: np.ndarray, offsets: np.ndarray, found: Arrays, layer: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+def log_perplexity(data: np.ndarray, offsets: np.ndarray, found: Arrays, layer: tuple[float, ...], sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(words that are scored, minus their mean log probability) of each text, its own counts taken out."""
     n = len(offsets) - 1
-    first, last, doc, h = words(data, offsets)
+    first, last, doc, h = words(data, offsets, sums)
     scored = np.bincount(doc, minlength=n)
     if not len(first):
         return scored, np.zeros(n)
@@ -431,10 +433,11 @@ def scores(docs: DataFrame, folder: str, layers: dict[str, tuple[float, ...]]) -
                 for lang in np.unique(langs).tolist():
                     own = b.filter(pa.array(langs == lang))
                     data, offsets = flat_bytes(own.column(1))
+                    sums = running_sums(data)
                     n_scored, value = np.zeros(own.num_rows, np.int64), np.zeros(own.num_rows)
                     if lang in layers:  # else there is no word in the language
-                        n_scored, value = log_perplexity(data, offsets, arrays(folder, hashlib.sha256(lang.encode()).hexdigest()), layers[lang])
-                    yield table(SCORES, doc_id=own.column(0), lang=[lang] * own.num_rows, n_scored=n_scored, log_ppl=pa.array(value, mask=n_scored == 0), **base_counts(data, offsets))
+                        n_scored, value = log_perplexity(data, offsets, arrays(folder, hashlib.sha256(lang.encode()).hexdigest()), layers[lang], sums)
+                    yield table(SCORES, doc_id=own.column(0), lang=[lang] * own.num_rows, n_scored=n_scored, log_ppl=pa.array(value, mask=n_scored == 0), **base_counts(data, offsets, sums))
 
     return _rows(docs).mapInArrow(run, SCORES_DDL)
 

@@ -252,3 +252,23 @@ def test_lines_that_polynomials_modulo_powers_of_two_cannot_tell_apart_are_diffe
     a = "".join("ab"[i.bit_count() & 1] for i in range(1024))
     got = q.base_counts(*flat_bytes(pa.array([a + "\n" + a.translate(str.maketrans("ab", "ba")), a + "\n" + a])))
     assert got["n_dup_lines"].tolist() == [0, 1]
+
+
+def test_a_batch_hashes_its_bytes_once_and_asks_for_each_ngram_once(monkeypatch):
+    data = np.frombuffer(b"one two three one two three\n" * 20, np.uint8)
+    offsets, asked, summed = np.array([0, 280, 560]), [], []
+    monkeypatch.setattr(q, "running_sums", lambda d, f=q.running_sums: summed.append(1) or f(d))
+
+    class Nothing(q.Arrays):
+        def __init__(self):
+            pass
+
+        def find(self, kind, keys):
+            asked.append((kind, len(keys), len(set(keys.tolist()))))
+            return np.full((len(keys), 2), np.nan) if kind == f"p{q.ORDER}" else np.full(len(keys), np.nan)
+
+    sums = q.running_sums(data)
+    plain = q.base_counts(data, offsets, sums), q.log_perplexity(data, offsets, Nothing(), (10, 0.5, 1.0, 1.5, 0.3), sums)
+    assert len(summed) == 1 and all(n == m for kind, n, m in asked if kind == f"p{q.ORDER}")
+    again = q.base_counts(data, offsets), q.log_perplexity(data, offsets, Nothing(), (10, 0.5, 1.0, 1.5, 0.3))
+    assert all((plain[0][k] == again[0][k]).all() for k in again[0]) and all((x == y).all() for x, y in zip(plain[1], again[1], strict=True))
