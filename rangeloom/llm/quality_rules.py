@@ -3,8 +3,9 @@
 The language model gives words their probability. Spark counts the words and the byte n-grams of the whole corpus by language. Byte
 n-grams make a modified Kneser-Ney model: continuation counts, discounts and interpolated probabilities are aggregations and joins. Words have the
 same discounts above it: a word's discounted share, and for what is left its spelling, byte by byte. Counts and probabilities are written to files
-by hash prefix (shards), every entry under its whole key, so the model grows with the corpus; the number of shards follows from the
-counted entries. Tasks load the shards they meet from the shared folder and hold HELD bytes of them at a time.
+by hash prefix (shards), every entry under its whole key (by its hash, which is one to one), so the model grows with the corpus; the number of
+shards follows from the counted entries. Tasks gather texts of a language into lots and look up the different n-grams and words of a lot at once,
+so that a shard is loaded once for a lot, however many there are; they hold HELD bytes of shards at a time.
 
 A text is judged by the others: its own words are taken out of the counts, and byte n-grams that no other text has count as unseen. Its
 perplexity is that of its words (those with a letter, digit or character beyond ASCII): the inverse of their probability, to the power one by their
@@ -17,6 +18,7 @@ or null ids give a row each; a text without such words has no perplexity and is
 
 from __future__ import annotations
 
+import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -27,13 +29,15 @@ import pyarrow.fs as fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import cut, flat_bytes, in_larger_tasks, in_small_batches, mix, new_folder, stored, sub_batches, table
+from rangeloom.llm.common import cut, flat_bytes, in_larger_tasks, in_small_batches, mix, new_folder, release, stored, sub_batches, table
 from rangeloom.llm.files import _split
 from rangeloom.llm.tokens import hashes_of, running_sums
 
 ORDER = 5  # bytes, at most 7 as keys are positive longs
 #: Entries of a shard, and bytes of shards that a worker holds at a time.
-SHARD, HELD = 1 << 20, 160_000_000
+SHARD, HELD = 1 << 20, 96_000_000
+#: Bytes of a language's texts that are scored together, and of all texts that wait in a task.
+LOT, WAITING = 8_000_000, 20_000_000
 #: Reach of the band below and above the median in robust deviations of that side, and the number of words at which its
 #: variance doubles.
 BELOW, ABOVE, SHORT = 12.0, 6.0, 20.0
@@ -170,32 +174,40 @@ def counted(docs: DataFrame, found) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("c", pa.int64())])
     most = 1 << 21
 
-    def merged(a: tuple, b: tuple) -> tuple:
-        keys = np.concatenate([a[0], b[0]])
+    def merged(parts: list[tuple]) -> tuple:
+        keys = np.concatenate([k for k, _ in parts])
         order_ = np.argsort(keys, kind="stable")
-        keys, n = keys[order_], np.concatenate([a[1], b[1]])[order_]
+        keys, n = keys[order_], np.concatenate([n for _, n in parts])[order_]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
         return keys[first], np.add.reduceat(n, first) if len(first) else n
 
+    def size(parts: list[tuple]) -> int:
+        return sum(len(k) for k, _ in parts)
+
     def emitted(lang: str, held: tuple) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(held[0]), 1 << 16):
             keys = held[0][i : i + (1 << 16)].astype(np.int64)
             yield table(schema, lang=[lang] * len(keys), key=keys, c=held[1][i : i + (1 << 16)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple] = {}
+        held: dict[str, list[tuple]] = {}
         for batch in batches:
             for b in sub_batches(batch):
                 langs = np.array(b.column(2).to_pylist())
                 for lang in np.unique(langs).tolist():
                     own = b.filter(pa.array(langs == lang))
-                    new = np.unique(found(*flat_bytes(own.column(1))), return_counts=True)
-                    held[lang] = merged(held[lang], new) if lang in held else new
-                    while sum(len(k) for k, _ in held.values()) > most:  # bounded memory; sums go on after the shuffle
-                        large = max(held, key=lambda x: len(held[x][0]))
-                        yield from emitted(large, held.pop(large))
-        for lang, own in held.items():
-            yield from emitted(lang, own)
+                    parts = held.setdefault(lang, [])
+                    parts.append(np.unique(found(*flat_bytes(own.column(1))), return_counts=True))
+                    if size(parts[1:]) > len(parts[0][0]):  # so an entry is not moved for every batch
+                        held[lang] = [merged(parts)]
+                    while sum(map(size, held.values())) > most:  # bounded memory; sums go on after the shuffle
+                        large = max(held, key=lambda x: size(held[x]))
+                        if len(held[large]) > 1:
+                            held[large] = [merged(held[large])]
+                        else:
+                            yield from emitted(large, held.pop(large)[0])
+        for lang, parts in held.items():
+            yield from emitted(lang, merged(parts))
 
     return in_larger_tasks(_rows(docs)).mapInArrow(run, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c"))
 
@@ -251,59 +263,59 @@ def hashed(keys: np.ndarray) -> np.ndarray:
     return mix(keys.astype(np.uint64) + np.uint64(1))
 
 
-def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str, words: DataFrame | None = None) -> None:
-    """Shards: folder/bits=<b>/language=<hash>/kind=<p or g and order, or w of words>/shard=<highest b bits of the key's hash>/part with key, value (natural
-    logarithms of p and g, counts of words) and count (of the highest order). b follows from the number of entries, so that a shard has about SHARD of them at most."""
-    sizes = [t.groupBy("lang").agg(F.count("*").alias("n")) for t in (parts[max(parts)][0], words) if t is not None]
+#: The highest bit, turned: signed numbers in the order of unsigned ones.
+_TURNED = np.uint64(1 << 63)
+
+
+def write_model(parts: dict[int, tuple[DataFrame, DataFrame]], folder: str, words: DataFrame | None = None, least: int = 1) -> None:
+    """Shards: folder/bits=<b>/language=<hash>/kind=<p or g and order, or w of words>/shard=<highest b bits of the key's hash>/part with key (the key's hash, its
+    highest bit turned, in order), value (natural logarithms of p and g, counts of words) and count (of the highest order). b follows from the number of entries, so
+    that a shard has about SHARD of them at most. Words and n-grams of the highest order with a count below least are left out."""
+    top = parts[max(parts)][0].where(F.col("c") >= least)
+    words = words if words is None else words.where(F.col("c") >= least)
+    sizes = [t.groupBy("lang").agg(F.count("*").alias("n")) for t in (top, words) if t is not None]
     most = max(x.agg(F.max("n")).first()[0] or 0 for x in sizes)
     bits = max(0, -(-most // SHARD) - 1).bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h = hashed(np.asarray(b.column(2)))
-            s = pa.array((h >> np.uint64(64 - bits) if bits else h * np.uint64(0)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([*b.columns, s], names=["language", "kind", "key", "value", "count", "shard"])
+            s = (h >> np.uint64(64 - bits) if bits else h * np.uint64(0)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array((h ^ _TURNED).view(np.int64)), *b.columns[3:], pa.array(s)], names=["language", "kind", "key", "value", "count", "shard"])
 
     rows = None
     for k, (probs, weights) in parts.items():
-        for kind, t in ((f"p{k}", probs.withColumnRenamed("p", "x")), (f"g{k}", weights.withColumnRenamed("g", "x"))):
+        for kind, t in ((f"p{k}", (top if k == max(parts) else probs).withColumnRenamed("p", "x")), (f"g{k}", weights.withColumnRenamed("g", "x"))):
             own = t.select(F.sha2("lang", 256).alias("language"), F.lit(kind).alias("kind"), "key", F.log("x").cast("float").alias("value"), (F.col("c") if kind == f"p{max(parts)}" else F.lit(None)).cast("float").alias("count"))
             rows = own if rows is None else rows.unionByName(own)
     if words is not None:
         rows = rows.unionByName(words.select(F.sha2("lang", 256).alias("language"), F.lit("w").alias("kind"), "key", F.col("c").cast("float").alias("value"), F.lit(None).cast("float").alias("count")))
     sharded = rows.mapInArrow(run, "language string, kind string, key long, value float, count float, shard long")
-    sharded.repartition("language", "kind", "shard").write.partitionBy("language", "kind", "shard").parquet(f"{folder}/bits={bits}")
+    sharded.repartition("language", "kind", "shard").sortWithinPartitions("language", "kind", "shard", "key").write.partitionBy("language", "kind", "shard").parquet(f"{folder}/bits={bits}")
 
 
 class Shard:
-    """The entries of a file by slot: those of slot i are at first[i] up to first[i + 1], about one in two slots has one."""
+    """The entries of a file, in the order of their hashes."""
 
     def __init__(self, where, at: str, counted: bool):
         found = where.get_file_info(at)
-        keys, values = np.zeros(0, np.int64), np.zeros((0, 1 + counted), np.float32)
+        self.h, self.values = np.zeros(0, np.uint64), np.zeros((0, 1 + counted), np.float32)
         if found.type != fs.FileType.NotFound:
             columns = ["value", "count"] if counted else ["value"]
-            t = pads.dataset(at, filesystem=where, format="parquet").to_table(columns=["key", *columns]).combine_chunks()
-            keys, values = t["key"].to_numpy(), np.stack([t[c].to_numpy() for c in columns], axis=1)
-        self.mask = np.uint64((1 << max(1, (2 * len(keys)).bit_length())) - 1)
-        slot = (hashed(keys) & self.mask).astype(np.int64)
-        order = np.argsort(slot, kind="stable")
-        self.keys, self.values = keys[order], values[order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=int(self.mask) + 1))]).astype(np.int32)
-        self.size = self.keys.nbytes + self.values.nbytes + self.first.nbytes
-
-    def find(self, keys: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """The values of each key, nan for keys that are not there."""
-        out = np.full((len(keys), self.values.shape[1]), np.nan, np.float32)
-        slot = (h & self.mask).astype(np.int64)
-        at, end = self.first[slot], self.first[slot + 1]
-        left = np.flatnonzero(at < end)
-        at, end, own = at[left], end[left], keys[left]
-        while len(left):
-            hit = self.keys[at] == own
-            out[left[hit]] = self.values[at[hit]]
-            more = np.flatnonzero(~hit & (at + 1 < end))
-            left, at, end, own = left[more], at[more] + 1, end[more], own[more]
+            t = pads.dataset(at, filesystem=where, format="parquet").to_table(columns=["key", *columns])
+            self.h, self.values = t["key"].to_numpy().view(np.uint64) ^ _TURNED, np.stack([t[c].to_numpy() for c in columns], axis=1)
+            if (self.h[1:] < self.h[:-1]).any():  # several files
+                order = np.argsort(self.h)
+                self.h, self.values = self.h[order], self.values[order]
+        self.size = self.h.nbytes + self.values.nbytes
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The values of each hash, nan for those that are not there."""
+        out = np.full((len(h), self.values.shape[1]), np.nan, np.float32)
+        if len(self.h):
+            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+            hit = self.h[at] == h
+            out[hit] = self.values[at[hit]]
         return out
 
 
@@ -334,46 +346,87 @@ class Arrays:
         self.path = f"{top}/language={language}"
 
     def find(self, kind: str, keys: np.ndarray) -> np.ndarray:
-        """The value of each key, of n-grams of the highest order with its count."""
-        counted, h, keys = kind == f"p{ORDER}", hashed(keys), keys.astype(np.int64)
-        of = lambda i: shard(self.folder, self.where, f"{self.path}/kind={kind}/shard={i}", counted)
-        if not self.bits:
-            out = of(0).find(keys, h)
-        else:
-            out = np.full((len(keys), 1 + counted), np.nan, np.float32)
-            number = (h >> np.uint64(64 - self.bits)).astype(np.uint16 if self.bits <= 16 else np.int64)  # numpy sorts short numbers by digits
-            order = np.argsort(number, kind="stable")
-            ends = np.flatnonzero(np.append(number[order][1:] != number[order][:-1], True)) + 1 if len(order) else []
-            for a, z in zip([0, *ends[:-1]], ends, strict=True):
-                own = order[a:z]
-                out[own] = of(number[own[0]]).find(keys[own], h[own])
-        return out.astype(np.float64) if counted else out[:, 0].astype(np.float64)
-
-    def log_p(self, keys: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
-        """Log probability of each n-gram's last symbol after the others; unseen n-grams back off. doc: the text of each; those that no other
-        text has count as unseen."""
-        each, of = np.unique(keys, return_inverse=True)  # texts repeat their n-grams: a look-up for each different one
-        found = self.find(f"p{ORDER}", each)[of]
-        out = found[:, 0]
-        if doc is not None:
-            size = np.bincount(doc)
-            few = np.flatnonzero(found[:, 1] <= size[doc])  # a text has no n-gram more often than it has n-grams
-            own = few[found[few, 1] <= _own_counts(doc[few], keys[few])]
-            out[own] = np.nan
-        left = np.flatnonzero(np.isnan(out))
+        """The value of each key, of n-grams of the highest order with its count. Each shard is asked once."""
+        counted, h = kind == f"p{ORDER}", hashed(keys)
+        order = np.argsort(h)
+        h = h[order]
+        out = np.full((len(keys), 1 + counted), np.nan)
+        number = h >> np.uint64(64 - self.bits) if self.bits else h * np.uint64(0)
+        starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))[: len(h)]
+        for a, z in zip(starts, [*starts[1:], len(h)], strict=True) if len(h) else ():
+            out[order[a:z]] = shard(self.folder, self.where, f"{self.path}/kind={kind}/shard={number[a]}", counted).find(h[a:z])
+        return out if counted else out[:, 0]
+
+    def known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each n-gram: log probability of its last symbol after the others, its count (both nan for unseen ones), and what backing off gives."""
+        found = self.find(f"p{ORDER}", keys)
+        left, less = np.arange(len(keys)), np.zeros(len(keys))
         extra, k = np.zeros(len(left)), ORDER
         while len(left):
             g = self.find(f"g{k}", (keys[left] & np.uint64((1 << 8 * k) - 1)) >> np.uint64(8))
             extra += np.where(np.isnan(g), 0, g)  # an unseen context backs off freely
             k -= 1
             if k == 0:
-                out[left] = extra - np.log(256)
+                less[left] = extra - np.log(256)
                 break
             p = self.find(f"p{k}", keys[left] & np.uint64((1 << 8 * k) - 1))
             seen = ~np.isnan(p)
-            out[left[seen]] = extra[seen] + p[seen]
+            less[left[seen]] = extra[seen] + p[seen]
             left, extra = left[~seen], extra[~seen]
-        return out
+        return found[:, 0], found[:, 1], less
+
+    def log_p(self, keys: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of each n-gram's last symbol after the others; unseen n-grams back off. doc: the text of each; those that no other
+        text has count as unseen."""
+        each, of = np.unique(keys, return_inverse=True)  # texts repeat their n-grams: a look-up for each different one
+        return _of_others(keys, doc, *[x[of] for x in self.known(each)])
+
+
+def _of_others(keys: np.ndarray, doc: np.ndarray | None, p: np.ndarray, count: np.ndarray, less: np.ndarray) -> np.ndarray:
+    """p of the n-grams that other texts have, less of all others."""
+    unseen = np.isnan(p)
+    if doc is not None:
+        size = np.bincount(doc)
+        few = np.flatnonzero(count <= size[doc])  # a text has no n-gram more often than it has n-grams
+        unseen[few[count[few] <= _own_counts(doc[few], keys[few])]] = True
+    return np.where(unseen, less, p)
+
+
+class Places:
+    """Different keys in the order of their hashes, and where each is."""
+
+    def __init__(self, keys: np.ndarray):
+        h = hashed(keys)
+        order = np.argsort(h)
+        self.keys = keys[order]
+        bits = max(1, (2 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount((h[order] >> self.shift).astype(np.int64), minlength=1 << bits))[:-1]]).astype(np.int32)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, all of which are there."""
+        at = self.first[(hashed(keys) >> self.shift).astype(np.int64)]
+        left = np.flatnonzero(self.keys[at] != keys)
+        while len(left):
+            at[left] += 1
+            left = left[self.keys[at[left]] != keys[left]]
+        return at
+
+
+class Lot:
+    """What the model has of the n-grams and words of a lot of texts."""
+
+    def __init__(self, found: Arrays, ngrams: np.ndarray, words: np.ndarray):
+        self.ngrams, self.words = Places(ngrams), Places(words)
+        self.known, self.counts = found.known(self.ngrams.keys), found.find("w", self.words.keys)
+
+    def find(self, kind: str, keys: np.ndarray) -> np.ndarray:
+        """The count of each word."""
+        return self.counts[self.words.of(keys)]
+
+    def log_p(self, keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        at = self.ngrams.of(keys)
+        return _of_others(keys, doc, *[x[at] for x in self.known])
 
 
 def arrays(folder: str, language: str) -> Arrays:
@@ -397,10 +450,10 @@ def _own_counts(doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_perplexity(data: np.ndarray, offsets: np.ndarray, found: Arrays, layer: tuple[float, ...], sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(words that are scored, minus their mean log probability) of each text, its own counts taken out."""
+def log_perplexity(data: np.ndarray, offsets: np.ndarray, found: Arrays | Lot, layer: tuple[float, ...], sums: np.ndarray | None = None, known: tuple[np.ndarray, ...] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(words that are scored, minus their mean log probability) of each text, its own counts taken out. known: the texts' ``words``."""
     n = len(offsets) - 1
-    first, last, doc, h = words(data, offsets, sums)
+    first, last, doc, h = known or words(data, offsets, sums)
     scored = np.bincount(doc, minlength=n)
     if not len(first):
         return scored, np.zeros(n)
@@ -421,23 +474,45 @@ def log_perplexity(data: np.ndarray, offsets: np.ndarray, found: Arrays, layer:
     return scored, np.bincount(doc, weights=-p, minlength=n) / np.maximum(1, scored)
 
 
+def _scored(texts: list[pa.RecordBatch], lang: str, folder: str, layer: tuple[float, ...] | None) -> Iterator[pa.RecordBatch]:
+    """The rows of a lot of texts of a language."""
+    parts, grams, each = [], [], []
+    for lot in pa.Table.from_batches(texts).combine_chunks().to_batches():
+        for b in sub_batches(lot):
+            data, offsets = flat_bytes(b.column(1))
+            sums = running_sums(data)
+            own = words(data, offsets, sums)
+            parts.append((b, base_counts(data, offsets, sums), own))
+            grams.append(np.unique(ngrams(data, offsets)[1]))
+            each.append(np.unique(own[3]))
+    if layer:  # else there is no word in the language
+        found = Lot(arrays(folder, hashlib.sha256(lang.encode()).hexdigest()), np.unique(np.concatenate(grams)), np.unique(np.concatenate(each)))
+    while parts:
+        b, base, own = parts.pop()
+        n_scored, value = log_perplexity(*flat_bytes(b.column(1)), found, layer, known=own) if layer else (np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows))
+        yield table(SCORES, doc_id=b.column(0), lang=[lang] * b.num_rows, n_scored=n_scored, log_ppl=pa.array(value, mask=n_scored == 0), **base)
+    release()
+
+
 def scores(docs: DataFrame, folder: str, layers: dict[str, tuple[float, ...]]) -> DataFrame:
     """Base counts, number of scored words and log perplexity of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
+        held: dict[str, list[pa.RecordBatch]] = {}
+        size: dict[str, int] = {}
         for batch in batches:
             for b in sub_batches(batch):
                 langs = np.array(b.column(2).to_pylist())
                 for lang in np.unique(langs).tolist():
                     own = b.filter(pa.array(langs == lang))
-                    data, offsets = flat_bytes(own.column(1))
-                    sums = running_sums(data)
-                    n_scored, value = np.zeros(own.num_rows, np.int64), np.zeros(own.num_rows)
-                    if lang in layers:  # else there is no word in the language
-                        n_scored, value = log_perplexity(data, offsets, arrays(folder, hashlib.sha256(lang.encode()).hexdigest()), layers[lang], sums)
-                    yield table(SCORES, doc_id=own.column(0), lang=[lang] * own.num_rows, n_scored=n_scored, log_ppl=pa.array(value, mask=n_scored == 0), **base_counts(data, offsets, sums))
+                    held.setdefault(lang, []).append(own)
+                    size[lang] = size.get(lang, 0) + own.nbytes
+                    while size and (max(size.values()) > LOT or sum(size.values()) > WAITING):
+                        large = max(size, key=size.get)
+                        del size[large]
+                        yield from _scored(held.pop(large), large, folder, layers.get(large))
+        for lang in list(held):
+            yield from _scored(held.pop(lang), lang, folder, layers.get(lang))
 
     return _rows(docs).mapInArrow(run, SCORES_DDL)
 
@@ -446,7 +521,7 @@ def judge(docs: DataFrame, below: float = BELOW, above: float = ABOVE, folder: s
     """doc_id, base counts, base_failed, kept, perplexity and the band's ends of every row."""
     folder = folder or new_folder(docs.sparkSession, "ngrams")
     grams, each = stored(counted_ngrams(docs)), stored(counted_words(docs))
-    write_model(model(grams), folder, each)
+    write_model(model(grams), folder, each, least=2)  # what is there once is in the text that is judged, and not in others
     found = cut(scores(docs, folder, word_layer(each)))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return banded(found.withColumn("base_failed", failed), below, above)

@@ -272,3 +272,26 @@ def test_a_batch_hashes_its_bytes_once_and_asks_for_each_ngram_once(monkeypatch)
     assert len(summed) == 1 and all(n == m for kind, n, m in asked if kind == f"p{q.ORDER}")
     again = q.base_counts(data, offsets), q.log_perplexity(data, offsets, Nothing(), (10, 0.5, 1.0, 1.5, 0.3))
     assert all((plain[0][k] == again[0][k]).all() for k in again[0]) and all((x == y).all() for x, y in zip(plain[1], again[1], strict=True))
+
+
+def test_a_shard_is_loaded_once_for_many_batches(spark, monkeypatch):
+    """Shards beyond what a worker holds are not loaded again for every batch; entries that are there once are not needed for a score."""
+    from rangeloom.llm.common import new_folder
+
+    texts = [" ".join(f"w{(i * 37 + j * j * (i % 5 + 1)) % 3001}x{j % 7}" for j in range(300)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    grams, each = q.counted_ngrams(docs).cache(), q.counted_words(docs).cache()
+    layer, whole, small = q.word_layer(each), new_folder(spark, "m"), new_folder(spark, "m")
+    q.write_model(q.model(grams), whole, each)
+    want = {r.doc_id: r.log_ppl for r in q.scores(docs, whole, layer).collect()}
+    monkeypatch.setattr(q, "SHARD", 256)
+    monkeypatch.setattr(q, "HELD", 0)
+    assert each.where("c = 1").count() > 100
+    q.write_model(q.model(grams), small, each, **({"least": 2} if "least" in q.write_model.__code__.co_varnames else {}))
+    loads = Counter()
+    monkeypatch.setattr(q, "Shard", lambda where, at, counted, f=q.Shard: loads.update([at]) or f(where, at, counted))
+    monkeypatch.setattr(q, "_rows", lambda _: type("Rows", (), {"mapInArrow": lambda self, run, ddl: run})())
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t], "lang": ["=en"]}) for i, t in enumerate(texts)]
+    got = {i: x for b in q.scores(None, small, layer)(iter(batches)) for i, x in zip(b["doc_id"].to_pylist(), b["log_ppl"].to_pylist(), strict=True)}
+    assert len(loads) > 20 and max(loads.values()) == 1
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-12) for i in got)
