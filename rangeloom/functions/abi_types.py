@@ -118,7 +118,7 @@ def small(word: Column) -> Column:
     return F.when((F.substring(word, 1, 28) == F.lit(bytearray(28))) & (low < 1 << 31), low)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), the value being computed once."""
     return F.transform(F.array(value), body)[0]
 
@@ -130,7 +130,7 @@ def _tail_bytes(data: Column, at: Column, end: Column) -> Column:
     def held(size: Column) -> Column:
         return F.when(at + 32 + size <= end, F.substring(data, (at + 33).cast("int"), size.cast("int")))
 
-    return _let(small(word_at(data, at, end)), held)
+    return let(small(word_at(data, at, end)), held)
 
 
 def decoded(kind: Kind, data: Column, at: Column | int, base: Column | int, end: Column, leaf: Leaf, texts: bool) -> Column:
@@ -141,7 +141,7 @@ def decoded(kind: Kind, data: Column, at: Column | int, base: Column | int, end:
     """
     at, base = (F.lit(x).cast("long") if isinstance(x, int) else x for x in (at, base))
     if kind.varies:
-        return _let(small(word_at(data, at, end)), lambda distance: _let(base + distance, lambda p: _tail(kind, data, p, end, leaf, texts)))
+        return let(small(word_at(data, at, end)), lambda distance: let(base + distance, lambda p: _tail(kind, data, p, end, leaf, texts)))
     if kind.item:
         return _elements(kind.item, data, at, F.lit(kind.length).cast("long"), end, leaf, texts)
     if kind.parts:
@@ -152,7 +152,7 @@ def decoded(kind: Kind, data: Column, at: Column | int, base: Column | int, end:
 def _tail(kind: Kind, data: Column, p: Column, end: Column, leaf: Leaf, texts: bool) -> Column:
     """A value of variable size that starts at ``p``; null if that is not in the data."""
     if kind.item and kind.length is None:
-        value = _let(small(word_at(data, p, end)), lambda n: _elements(kind.item, data, p + 32, n, end, leaf, texts))
+        value = let(small(word_at(data, p, end)), lambda n: _elements(kind.item, data, p + 32, n, end, leaf, texts))
     elif kind.item:
         value = _elements(kind.item, data, p, F.lit(kind.length).cast("long"), end, leaf, texts)
     elif kind.parts:
@@ -180,7 +180,7 @@ def _elements(item: Kind, data: Column, start: Column, n: Column, end: Column, l
 
         return F.transform(p, one)
 
-    return _let(starts, apart)
+    return let(starts, apart)
 
 
 def fields(parts: tuple[tuple[str, Kind], ...], data: Column, start: Column | int, end: Column, leaf: Leaf, texts: bool) -> list[Column]:

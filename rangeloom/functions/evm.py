@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rangeloom.functions.abi_types import Kind, decoded, parse_parameter, split_list
+from rangeloom.functions.abi_types import Kind, decoded, let, parse_parameter, split_list
 
 #: Round constants and rotations of the Keccak permutation follow from its rules (FIPS 202, section 3.2).
 _MASK = (1 << 64) - 1
@@ -131,31 +132,34 @@ def int_word(word: Column) -> Column:
     return F.when(negative, F.try_subtract(F.lit("-1").cast("decimal(38,0)"), uint_word(flipped))).otherwise(uint_word(word)).cast("decimal(38,0)")
 
 
-def word_digits(word: Column) -> Column:
-    """A 32-byte word as the text of its unsigned decimal number, of any size. Four numbers of eight bytes are added up in
-    limbs of nine digits: the carry of each product stays below 2^63."""
-    limbs, base, parts = 9, 10**9, [F.conv(F.hex(F.substring(word, 1 + 4 * i, 4)), 16, 10).cast("long") for i in range(8)]
+def word_digits(word: Column, more: int = 0) -> Column:
+    """A 32-byte word as the text of its unsigned decimal number plus ``more``, of any size. Each of its eight numbers of four bytes
+    is multiplied by its power of 2^32 in limbs of eight digits; the sum of a limb's products stays below 2^63."""
+    base, low = 10**8, F.lit(0xFFFFFFFF)
+    quads = F.array(*[F.conv(F.hex(F.substring(word, 1 + 8 * i, 8)), 16, -10).cast("long") for i in reversed(range(4))])  # two's complement
+    halves = lambda q: F.array(*[half for i in range(4) for half in (q[i].bitwiseAND(low), F.shiftrightunsigned(q[i], 32))])
 
-    def times_2_32_plus(x: Column, part: Column) -> Column:
-        # the last field is the least limb; aggregate carries from there
-        step = lambda acc, limb: F.struct(F.concat(F.array((limb * F.lit(1 << 32) + acc["carry"]) % base), acc["out"]).alias("out"), F.call_function("div", limb * F.lit(1 << 32) + acc["carry"], F.lit(base)).alias("carry"))
-        return F.aggregate(F.reverse(x), F.struct(F.array().cast("array<bigint>").alias("out"), part.alias("carry")), step)["out"]
+    def limbs(parts: Column) -> Column:
+        found = []
+        for j in range(10):
+            products = [parts[i] if c == 1 else parts[i] * F.lit(c) for i in range(8) if (c := 2 ** (32 * i) // base**j % base)]
+            found.append(reduce(lambda x, y: x + y, products) if products else F.lit(0).cast("long"))
+        return F.array(*found)
 
-    first = F.array(*[F.lit(0).cast("long")] * limbs)
-    total = F.aggregate(F.array(*parts), first, times_2_32_plus)
-    text = F.array_join(F.transform(total, lambda x: F.lpad(x.cast("string"), 9, "0")), "")
-    return F.coalesce(F.nullif(F.regexp_replace(text, "^0+", ""), F.lit("")), F.when(word.isNotNull(), "0"))
+    def step(acc: Column, limb: Column) -> Column:
+        total = limb + acc["carry"]
+        return F.struct(F.concat(F.lpad((total % base).cast("string"), 8, "0"), acc["out"]).alias("out"), F.call_function("div", total, F.lit(base)).alias("carry"))
+
+    start = F.struct(F.lit("").alias("out"), F.lit(more).cast("long").alias("carry"))
+    text = F.ltrim(F.aggregate(let(let(quads, halves), limbs), start, step)["out"], F.lit("0"))
+    return F.coalesce(F.nullif(text, F.lit("")), F.when(word.isNotNull(), "0"))
 
 
 def _signed_digits(word: Column) -> Column:
     """As word_digits, of the number in two's complement: -(1 + the flipped word) if it is negative."""
     negative = F.substring(F.hex(F.substring(word, 1, 1)), 1, 1) >= "8"
-    less_one = word_digits(F.unhex(F.translate(F.hex(word), "0123456789ABCDEF", "FEDCBA9876543210")))
-    # adding one changes the last digit that is not 9 and the nines after it
-    nines = F.regexp_extract(less_one, "9*$", 0)
-    head = F.substring(less_one, F.lit(1), F.length(less_one) - F.length(nines))
-    up = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.when(head == "", "1").otherwise((F.substring(head, -1, 1).cast("int") + 1).cast("string")), F.regexp_replace(nines, "9", "0"))
-    return F.when(negative, F.concat(F.lit("-"), up)).otherwise(word_digits(word))
+    flipped = F.unhex(F.translate(F.hex(word), "0123456789ABCDEF", "FEDCBA9876543210"))
+    return F.when(negative, F.concat(F.lit("-"), word_digits(flipped, 1))).otherwise(word_digits(word))
 
 
 def _value(kind: str, word: Column) -> Column:

@@ -998,7 +998,8 @@ def wide_numbers(spark, d):
         parts.append(total.bitwiseAND(F.lit(0xFFFFFFFF)))
         carry = F.shiftrightunsigned(total, 32)
     word = F.concat(F.lit(bytearray(12)), *[F.unhex(F.lpad(F.hex(p), 8, "0")) for p in [carry, *reversed(parts)]])
-    dec = evm.decode_event("Amount(uint256 value)", F.lit(None), F.lit(None), F.lit(None), word)
+    o = o.select("o_orderkey", word.alias("word"))  # a column of its own, as decoding refers to it many times
+    dec = evm.decode_event("Amount(uint256 value)", F.lit(None), F.lit(None), F.lit(None), F.col("word"))
     return o.select("o_orderkey", F.coalesce(dec["value_text"], dec["value"].cast("string")).alias("digits"))
 
 

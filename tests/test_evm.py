@@ -87,3 +87,11 @@ def test_encodings(spark):
     ref = spark.createDataFrame([("ns/name@1.0.0",), ("bad",)], "r string").select(encoding.parse_reference(F.col("r")).alias("x")).select("x.*").collect()
     assert tuple(ref[0]) == ("ns", "name", "1.0.0") and tuple(ref[1]) == (None, None, None)
     assert encoding.hex_encode_binary(df.select("b")).first()[0] == "0xab"
+
+
+def test_digits_of_numbers_with_carries_through_all_limbs(spark):
+    numbers = [10**k + d for k in range(8, 78, 3) for d in (-1, 0, 1)] + [2**k - d for k in range(31, 256, 25) for d in (0, 1)] + [2**256 - 1 - 2**64, 1 << 63, (1 << 64) - 1, 1 << 255]
+    df = spark.createDataFrame([(str(n), word(n)) for n in numbers], "n string, w binary")
+    assert df.where(evm.word_digits(F.col("w")) != F.col("n")).count() == 0
+    more = df.select("n", evm.word_digits(F.col("w"), 1).alias("m"), evm.uint_word(F.col("w")).alias("u")).collect()
+    assert all(int(r.m) == int(r.n) + 1 and (None if r.u is None else int(r.u)) == (int(r.n) if int(r.n) < 10**38 else None) for r in more)

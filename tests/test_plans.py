@@ -69,3 +69,7 @@ def test_bounds_and_counts_come_from_footers(spark, tmp_path):
     assert got[:4] == (0, 999, 1000, 3) and got.bytes == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
     assert datasets.table_stats(df).first()[:3] == (1000, 3, 3)
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_words_of_wide_numbers_are_made_once(spark):
+    assert plan(registered.QUERIES["wide_numbers"](spark, FOLDER)).count("unhex(") < 10
