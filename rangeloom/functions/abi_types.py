@@ -165,8 +165,12 @@ def _tail(kind: Kind, data: Column, p: Column, end: Column, leaf: Leaf, texts: b
 
 def _elements(item: Kind, data: Column, start: Column, n: Column, end: Column, leaf: Leaf, texts: bool) -> Column:
     """An array of n elements whose places begin at ``start``; null if they do not all fit."""
-    places = F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(0).cast("long"), n - 1))
-    places = F.when(start + n * item.head <= end, places)
+    fits = lambda x: F.when(start + n * item.head <= end, x)
+    if item.name and not item.varies:  # a word each, by its first byte from 1, and made once for all that its value refers to it
+        first = (start + 1).cast("int")
+        at = F.when(n == 0, F.array().cast("array<int>")).otherwise(F.sequence(first, first + ((n - 1) * 32).cast("int"), F.lit(32)))
+        return F.transform(F.transform(fits(at), lambda x: F.substring(data, x, F.lit(32))), lambda word: leaf(item.name, word))
+    places = fits(F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(0).cast("long"), n - 1)))
     if not item.varies:
         return F.transform(places, lambda i: decoded(item, data, start + i * item.head, start, end, leaf, texts))
     # where each tail starts; the next one's start, or the end, is where it must end

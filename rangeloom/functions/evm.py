@@ -118,10 +118,11 @@ def _number(part: Column) -> Column:
 def uint_word(word: Column) -> Column:
     """A 32-byte word as an unsigned decimal(38,0); null if it needs more than 38 digits.
 
-    Words of eight bytes, nearly all of them, are one conversion; longer ones are two halves."""
-    low, zeros = _number(F.substring(word, 25, 8)), lambda n: F.substring(word, 1, n) == F.lit(bytearray(n))
-    both = F.try_add(F.try_multiply(_number(F.substring(word, 17, 8)), F.lit(str(1 << 64)).cast("decimal(20,0)")), low)
-    return F.when(zeros(24), low.cast("decimal(38,0)")).when(zeros(16), both.cast("decimal(38,0)"))
+    Words below 2^63, nearly all of them, are one conversion to a long; longer ones are two halves."""
+    low, zeros = F.substring(word, 25, 8), lambda n: F.substring(word, 1, n) == F.lit(bytearray(n))
+    short = F.substring(word, 1, 25) < F.lit(bytearray(24) + b"\x80")  # bytes compare as unsigned, from the left
+    both = F.try_add(F.try_multiply(_number(F.substring(word, 17, 8)), F.lit(str(1 << 64)).cast("decimal(20,0)")), _number(low))
+    return F.when(short, F.conv(F.hex(low), 16, 10).cast("long").cast("decimal(38,0)")).when(zeros(16), both.cast("decimal(38,0)"))
 
 
 def int_word(word: Column) -> Column:

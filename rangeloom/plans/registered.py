@@ -430,8 +430,10 @@ def decode_batch_events(spark, d):
     logs = chain.batch_logs(spark, d).where(F.col("topic0") == evm.event_topic(chain.TRANSFER_BATCH))
     none = F.lit(None).cast("binary")
     dec = evm.decode_event(chain.TRANSFER_BATCH, none, none, none, F.col("data"), wide="none")
-    both = logs.select("block_num", dec.alias("e")).select("block_num", F.posexplode("e.ids").alias("position", "id"), F.col("e.values").alias("values"))
-    return both.select("block_num", "position", F.col("id").cast("long").alias("id"), F.get("values", F.col("position")).cast("long").alias("amount"))
+    # posexplode would filter by the size of what it explodes, and decode for that once more, all that data is made of within
+    arrays = logs.select("block_num", dec.alias("e")).select("block_num", "e.ids", "e.values")
+    both = arrays.select("block_num", F.posexplode_outer("ids").alias("position", "id"), "values")
+    return both.where("position is not null").select("block_num", "position", F.col("id").cast("long").alias("id"), F.get("values", F.col("position")).cast("long").alias("amount"))
 
 
 @query(

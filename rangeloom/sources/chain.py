@@ -68,9 +68,10 @@ def batch_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     li = read(spark, sf_dir, "lineitem")
     lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")))).alias("x"))  # an order's lines
-    array = lambda f: F.concat(_word(F.size("x")), _joined(F.transform("x", lambda e: _word(e[f]))))
-    second = F.when(F.col("l_orderkey") % 11 == 0, F.lit(bytearray(b"\xff" * 32))).otherwise(_word(F.size("x") * 32 + 96))
-    data = F.concat(_word(F.lit(64)), second, array("l_partkey"), array("q"))
+    digits = lambda c: F.lpad(F.hex(c.cast("long")), 64, "0")
+    array = lambda f: F.concat(digits(F.size("x")), F.array_join(F.transform("x", lambda e: digits(e[f])), ""))
+    second = F.when(F.col("l_orderkey") % 11 == 0, F.lit("F" * 64)).otherwise(digits(F.size("x") * 32 + 96))
+    data = F.unhex(F.concat(digits(F.lit(64)), second, array("l_partkey"), array("q")))
     data = F.when(F.col("l_orderkey") % 7 == 0, F.substring(data, F.lit(1), F.octet_length(data) - 8)).otherwise(data)
     return lines.select(F.col("l_orderkey").alias("block_num"), event_topic(TRANSFER_BATCH).alias("topic0"), data.alias("data"))
 

@@ -71,5 +71,12 @@ def test_bounds_and_counts_come_from_footers(spark, tmp_path):
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
 
 
+def test_batch_events_are_decoded_once(spark):
+    """No filter that Spark adds for what is exploded decodes the data once more, and data is made once for all that refers to it."""
+    p = plan(registered.QUERIES["decode_batch_events"](spark, FOLDER))
+    assert not any("transform(" in line for line in p.split("\n") if line.lstrip(" +-:").startswith("Filter"))
+    assert p.count("unhex(") < 10
+
+
 def test_words_of_wide_numbers_are_made_once(spark):
     assert plan(registered.QUERIES["wide_numbers"](spark, FOLDER)).count("unhex(") < 10
