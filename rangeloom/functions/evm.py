@@ -152,8 +152,8 @@ def word_digits(word: Column, more: int = 0) -> Column:
         return F.struct(F.concat(F.lpad((total % base).cast("string"), 8, "0"), acc["out"]).alias("out"), F.call_function("div", total, F.lit(base)).alias("carry"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(more).cast("long").alias("carry"))
-    text = F.ltrim(F.aggregate(let(let(quads, halves), limbs), start, step)["out"], F.lit("0"))
-    return F.coalesce(F.nullif(text, F.lit("")), F.when(word.isNotNull(), "0"))
+    text = F.aggregate(let(let(quads, halves), limbs), start, step)["out"]
+    return F.regexp_replace(text, "^0+(?=.)", "")  # the text is referred to once: inside a condition, Spark would make it for each time
 
 
 def _signed_digits(word: Column) -> Column:
